@@ -50,7 +50,6 @@ def fit_label(df: DataFrame, column: str) -> LabelModel:
               .distinct())
     numbered = global_row_number(values, ["value"], name="code")
     dictionary = numbered.select("value", (F.col("code") - 1).cast("int").alias("code"))
-    dictionary = dictionary.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else dictionary
     return LabelModel(column, dictionary, dictionary.count())
 
 
