@@ -74,7 +74,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
 @dataclass
 class IsolationForestModel:
     columns: list[str]
-    trees: dict            # tree id -> arrays (feature, threshold, left, right, size, leaf)
+    trees: dict            # tree id -> arrays (feature, threshold, left, right, leaf_adjust, leaf)
     max_samples: int
     threshold: float | None = None
 
@@ -88,7 +88,7 @@ class IsolationForestModel:
             x = np.column_stack([c.to_numpy(dtype="float64", na_value=np.nan) for c in cols])
             x = np.nan_to_num(x, nan=0.0)
             depth = np.zeros(len(x))
-            for feat, thr, left, right, size, leaf in forest.value.values():
+            for feat, thr, left, right, adj, leaf in forest.value.values():
                 node = np.zeros(len(x), dtype=np.int64)
                 d = np.zeros(len(x))
                 active = ~leaf[node]
@@ -98,7 +98,7 @@ class IsolationForestModel:
                     node[active] = np.where(go_left, left[node[active]], right[node[active]])
                     d[active] += 1
                     active = ~leaf[node]
-                depth += d + np.array([average_path(s) for s in size[node]])
+                depth += d + adj[node]
             mean_depth = depth / max(len(forest.value), 1)
             return pd.Series(np.power(2.0, -mean_depth / norm) if norm > 0 else np.zeros(len(x)))
 
@@ -143,9 +143,10 @@ def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_sa
     trees = {}
     for t, g in nodes.groupby("tree"):
         g = g.sort_values("node")
+        # per node: c(size) added when a walk ends there (the unbuilt part of the path)
+        adj = np.array([average_path(float(n)) for n in g["size"].to_numpy()])
         trees[int(t)] = (g["feature"].to_numpy().clip(min=0), g["threshold"].to_numpy(),
-                         g["left"].to_numpy(), g["right"].to_numpy(), g["size"].to_numpy(),
-                         g["leaf"].to_numpy())
+                         g["left"].to_numpy(), g["right"].to_numpy(), adj, g["leaf"].to_numpy())
     model = IsolationForestModel(cols, trees, psi)
     scored = df.select(model.score_column(df).alias("score"))
     model.threshold = scored.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).first()[0]
