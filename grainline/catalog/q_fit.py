@@ -198,3 +198,25 @@ FROM {EX}, (SELECT quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95)
 def q_outlier_cap(spark, sf):
     df = events_extremes(spark, sf).select("event_id", "value")
     return rounded(O.detect_outliers(df, ["value"], method="iqr", action="cap"))
+
+
+KNN_SQL = """
+WITH p AS (SELECT p_partkey, p_size,
+             CASE WHEN p_partkey % 20 = 0 THEN NULL ELSE p_retailprice END AS p_retailprice FROM part),
+r AS (SELECT * FROM p WHERE p_retailprice IS NULL),
+d AS (SELECT * FROM p WHERE p_retailprice IS NOT NULL),
+c AS (SELECT r.p_partkey AS rk, d.p_retailprice AS y, row_number() OVER (PARTITION BY r.p_partkey
+        ORDER BY 3.0 / 2 * ((CAST(r.p_partkey AS DOUBLE) - d.p_partkey) * (CAST(r.p_partkey AS DOUBLE) - d.p_partkey)
+                 + (CAST(r.p_size AS DOUBLE) - d.p_size) * (CAST(r.p_size AS DOUBLE) - d.p_size)),
+                 d.p_partkey NULLS FIRST, d.p_size NULLS FIRST, d.p_retailprice NULLS FIRST) AS rn
+      FROM r, d)
+SELECT p.p_partkey, p.p_size, round(coalesce(p.p_retailprice, m.v), 6) AS p_retailprice
+FROM p LEFT JOIN (SELECT rk, avg(y) AS v FROM c WHERE rn <= 5 GROUP BY rk) m ON p.p_partkey = m.rk"""
+
+
+@register("impute_knn", KNN_SQL)
+def q_impute_knn(spark, sf):
+    part = table(spark, sf, "part").select(
+        "p_partkey", "p_size",
+        F.when(F.col("p_partkey") % 20 == 0, None).otherwise(F.col("p_retailprice")).alias("p_retailprice"))
+    return rounded(I.impute(part, {"p_retailprice": "knn"}, knn_neighbors=5))

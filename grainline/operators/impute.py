@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions.exprs import as_double, clean_value, is_numeric_type, qcol
 from ..functions.ordering import ordered_fill
 from ..functions.stats import column_modes, exact_quantiles
+from .predicates import apply_filters, filter_rows
 
 FIT_STRATEGIES = ("mean", "median", "mode", "constant")
 
@@ -105,7 +106,7 @@ def impute(df: DataFrame, column_strategies: dict[str, str], fill_values: dict |
             continue
         df = flush(df)
         if strategy == "drop":
-            df = df.where(clean_value(df, c).isNotNull())
+            df = filter_rows(df, c, "not_null")
         elif strategy in ("forward_fill", "backward_fill"):
             if not order_by:
                 raise ValueError(f"{strategy} of {c} needs order_by: Spark rows have no order")
@@ -128,11 +129,7 @@ def impute(df: DataFrame, column_strategies: dict[str, str], fill_values: dict |
 
 def drop_rows_with_nulls(df: DataFrame) -> DataFrame:
     """Drop rows holding any null (NaN counts as null)."""
-    conds = [clean_value(df, c).isNotNull() for c in df.columns]
-    out = df
-    for cond in conds:
-        out = out.where(cond)
-    return out
+    return apply_filters(df, [{"column": c, "condition": "not_null"} for c in df.columns])
 
 
 def drop_columns_with_nulls(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import and_all, clean_value
+from ..functions.exprs import and_all, is_float_type, qcol
 
 CONDITIONS = ("equals", "not_equals", "greater_than", "less_than", "contains",
               "in", "not_null", "is_null")
@@ -24,11 +24,15 @@ def condition_expr(df: DataFrame, column: str, condition: str, value=None) -> Co
     """The predicate of one filter, or ``None`` when the filter is a no-op."""
     if column is None or column not in df.columns:
         return None
-    c = clean_value(df, column)
+    c = qcol(column)
+    # NaN counts as missing.  The predicates are written on the raw column (plus
+    # an ``isnan`` guard where NaN would otherwise pass) so that the comparison
+    # itself still reaches the Parquet reader as a pushed filter.
+    floating = is_float_type(df.schema[column].dataType)
     if condition == "is_null":
-        return c.isNull()
+        return (c.isNull() | F.isnan(c)) if floating else c.isNull()
     if condition == "not_null":
-        return c.isNotNull()
+        return (c.isNotNull() & ~F.isnan(c)) if floating else c.isNotNull()
     if value is None:
         return None
     if condition == "equals":
@@ -36,7 +40,8 @@ def condition_expr(df: DataFrame, column: str, condition: str, value=None) -> Co
     if condition == "not_equals":
         return ~c.eqNullSafe(F.lit(value))
     if condition == "greater_than":
-        return c > F.lit(value)
+        # Spark orders NaN above every number; pandas compares it as False
+        return ((c > F.lit(value)) & ~F.isnan(c)) if floating else (c > F.lit(value))
     if condition == "less_than":
         return c < F.lit(value)
     if condition == "contains":

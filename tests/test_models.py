@@ -24,3 +24,38 @@ def test_isolation_forest_finds_planted_points(spark):
     out = model.transform(df).toPandas()
     assert out.loc[out.id >= 2000, "is_outlier"].all()
     assert 15 <= out.is_outlier.sum() <= 30
+
+
+def _brute_knn(X, k):
+    n = X.shape[1]
+    out = X.copy()
+    for j in range(n):
+        miss = np.isnan(X[:, j])
+        don = np.flatnonzero(~miss)
+        for r in np.flatnonzero(miss):
+            diff = X[r][None, :] - X[don]
+            cnt = (~np.isnan(diff)).sum(1)
+            d2 = np.where(cnt > 0, np.nansum(diff ** 2, 1) * n / np.maximum(cnt, 1), np.nan)
+            ok = ~np.isnan(d2)
+            idx, dd = don[ok], d2[ok]
+            keys = []
+            for c in reversed(range(n)):
+                keys += [np.nan_to_num(X[idx, c]), ~np.isnan(X[idx, c])]
+            o = np.lexsort(keys + [dd])[:k]
+            out[r, j] = X[idx[o], j].mean()
+    return out
+
+
+def test_knn_exact_against_brute_force_with_rings_and_chunks(spark):
+    from grainline.operators.knn import impute_knn
+    rng = np.random.default_rng(9)
+    X = np.column_stack([rng.integers(0, 300, 600).astype(float), rng.normal(size=600), rng.normal(size=600)])
+    X[rng.random(600) < 0.15, 1] = np.nan
+    X[rng.random(600) < 0.10, 2] = np.nan
+    X[:200, 0] = 7.0                                    # a hot value holding a third of the rows
+    rows = [(i, *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(X)]
+    df = spark.createDataFrame(rows, "rid string, a double, b double, c double".replace("rid string", "rid int"))
+    df = df.withColumn("rid", F.col("rid").cast("string"))
+    got = impute_knn(df, None, 4, donors_per_cell=40, chunk_rows=30).toPandas()
+    got = got.assign(rid=got.rid.astype(int)).sort_values("rid")[["a", "b", "c"]].to_numpy()
+    assert np.allclose(got, _brute_knn(X, 4), atol=1e-12)
