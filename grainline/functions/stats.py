@@ -80,6 +80,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
                     hi_p = min(1.0, max(0.0, p + eps))
                     pending[(c, r)] = {"n": n, "lo": sketch[lo_p] if p - eps > 0 else None,
                                        "hi": sketch[hi_p] if p + eps < 1 else None}
+    known.update(_gather_small(base, v, pending, accuracy, collect_limit))
     known.update(_resolve(base, v, pending, accuracy, collect_limit))
     for c, ranks in plan.items():
         res = []
@@ -99,6 +100,44 @@ def _inside(col, t):
     return F.when(cond, col)
 
 
+def _gather_small(base, v, pending, accuracy, collect_limit):
+    """One fused pass for brackets the sketch bound keeps small.
+
+    The sketch has rank error at most ``n / accuracy``, so the values strictly
+    inside a bracket number at most ``8 n / accuracy`` — gathered directly —
+    while the (possibly huge) runs of values equal to either end are only
+    counted.  Brackets that fail verification stay in ``pending`` for the
+    general search; verified ones are removed and returned.
+    """
+    small = [key for key, t in pending.items()
+             if t["lo"] is not None and t["hi"] is not None and 8.0 * t["n"] / accuracy <= collect_limit]
+    if not small:
+        return {}
+    aggs = []
+    for j, (c, r) in enumerate(small):
+        t = pending[(c, r)]
+        lo, hi = F.lit(t["lo"]), F.lit(t["hi"])
+        aggs += [F.count_if(v[c] < lo).alias(f"b{j}"), F.count_if(v[c] == lo).alias(f"el{j}"),
+                 F.count_if(v[c] == hi).alias(f"eh{j}"),
+                 F.sort_array(F.collect_list(F.when((v[c] > lo) & (v[c] < hi), v[c]))).alias(f"g{j}")]
+    row = base.agg(*aggs).first()
+    done = {}
+    for j, key in enumerate(small):
+        t, r = pending[key], key[1]
+        below, inside = row[f"b{j}"], row[f"g{j}"]
+        seq_len = row[f"el{j}"] + len(inside) + (row[f"eh{j}"] if t["hi"] != t["lo"] else 0)
+        pos = r - below
+        if 0 <= pos < seq_len:
+            if pos < row[f"el{j}"]:
+                done[key] = float(t["lo"])
+            elif pos < row[f"el{j}"] + len(inside):
+                done[key] = float(inside[pos - row[f"el{j}"]])
+            else:
+                done[key] = float(t["hi"])
+            del pending[key]
+    return done
+
+
 def _resolve(base, v, pending, accuracy, collect_limit):
     """Turn rank brackets ``{(column, rank): {n, lo, hi}}`` into exact values.
 
