@@ -105,6 +105,7 @@ class IsolationForestModel:
         return score(*[as_double(df, c) for c in self.columns])
 
     def transform(self, df: DataFrame, flag_column: str = "is_outlier", score_column: str | None = None) -> DataFrame:
+        df = spread(df)
         s = self.score_column(df)
         out = df.withColumn(flag_column, s > F.lit(self.threshold))
         if score_column:
@@ -112,6 +113,14 @@ class IsolationForestModel:
         return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Scoring is CPU-bound Python: when the input has fewer partitions than
+    the cluster has cores (a small file is one split), spread it round-robin
+    first.  Inputs that are already split are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_samples: int = 256,
                          contamination: float = 0.1, seed: int = 42) -> IsolationForestModel:
     cols = existing(df, columns) if columns else numeric_columns(df)
@@ -121,13 +130,17 @@ def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_sa
     rate = min(1.0, 2.0 * psi / max(n, 1))
     scale = 1 << 30
     feats = [as_double(df, c) for c in cols]
-    # one hash per (row, tree); keep the pairs under the rate
-    per_tree = F.array(*[
-        F.struct(F.lit(t).alias("tree"), F.xxhash64(*feats, F.lit(seed * 1000 + t)).alias("h"))
-        for t in range(n_trees)])
-    chosen = F.filter(per_tree, lambda s: F.pmod(s["h"], F.lit(scale)) < F.lit(int(rate * scale)))
-    sample = (df.select(*[f.alias(f"x{i}") for i, f in enumerate(feats)], F.explode(chosen).alias("s"))
-              .select("s.tree", "s.h", *[F.col(f"x{i}") for i in range(len(cols))]))
+    # one hash per (row, tree), all codegen'd CASE expressions; keep the trees under the rate
+    def tree_hash(t):
+        return F.xxhash64(*feats, F.lit(seed * 1000 + t))
+
+    cut = F.lit(int(rate * scale))
+    member = F.array_compact(F.array(*[F.when(F.pmod(tree_hash(t), F.lit(scale)) < cut, F.lit(t))
+                                       for t in range(n_trees)]))
+    sample = (df.select(*[f.alias(f"x{i}") for i, f in enumerate(feats)], F.explode(member).alias("tree"))
+              .withColumn("h", F.xxhash64(*[F.col(f"x{i}") for i in range(len(cols))],
+                                          F.lit(seed * 1000) + F.col("tree")))
+              .select("tree", "h", *[F.col(f"x{i}") for i in range(len(cols))]))
     xcols = [f"x{i}" for i in range(len(cols))]
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -148,6 +161,7 @@ def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_sa
         trees[int(t)] = (g["feature"].to_numpy().clip(min=0), g["threshold"].to_numpy(),
                          g["left"].to_numpy(), g["right"].to_numpy(), adj, g["leaf"].to_numpy())
     model = IsolationForestModel(cols, trees, psi)
-    scored = df.select(model.score_column(df).alias("score"))
+    src = spread(df.select(*cols))
+    scored = src.select(model.score_column(src).alias("score"))
     model.threshold = scored.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).first()[0]
     return model
