@@ -33,7 +33,7 @@ def _needed_ranks(n: int, p: float) -> tuple[int, int, float]:
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
-                    accuracy: int = 10_000, collect_limit: int = 50_000,
+                    accuracy: int = 2_000, collect_limit: int = 50_000,
                     where=None) -> dict[str, list[float | None]]:
     """Exact quantiles of numeric ``columns`` at ``probs`` (NaN and null skipped).
 
