@@ -52,3 +52,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="grainline-ckpt-"))
         return sc.getCheckpointDir()
     return None
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``grainline`` importable in Python workers (pandas UDFs,
+    ``applyInPandas``): zip the package once per application and add it with
+    ``addPyFile``, the same as ``--py-files`` on ``spark-submit``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import os
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    base = ensure_checkpoint_dir(spark)
+    if base and base.startswith("file:"):
+        out_dir = os.path.join(base[len("file:"):], "grainline-pyfiles")
+    else:
+        out_dir = tempfile.mkdtemp(prefix="grainline-pyfiles-")
+    os.makedirs(out_dir, exist_ok=True)
+    target = os.path.join(out_dir, f"grainline-{app}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(root, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
