@@ -202,14 +202,37 @@ def _resolve(base, v, pending, accuracy, collect_limit):
 def column_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     """Most frequent non-null value per column, smallest value on ties.
 
-    One partial aggregation per column (``groupBy(value).count()``, combined
-    map-side), then a global ``min(struct(-count, value))`` over the distinct
-    values — bounded work per task whatever the skew.
+    Columns of one type family are stacked into ``(column, value)`` rows and
+    counted by one partial aggregation (combined map-side, so a value holding a
+    third of the table is one row per task before the shuffle); then one
+    ``min(struct(-count, value))`` per column over the distinct values.  Text
+    columns and numeric columns (as double, ordered numerically) each take one
+    job; other types keep their own type, one job each.
     """
-    out = {}
+    from pyspark.sql import types as T
+    families: dict[str, list[str]] = {}
     for c in columns:
-        counted = (df.where(qcol(c).isNotNull())
-                   .groupBy(qcol(c).alias("value")).agg(F.count(F.lit(1)).alias("cnt")))
-        best = counted.agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("value"))).alias("m")).first()
-        out[c] = None if best["m"] is None else best["m"]["value"]
+        dt = df.schema[c].dataType
+        if isinstance(dt, T.StringType):
+            families.setdefault("string", []).append(c)
+        elif isinstance(dt, T.NumericType) and not isinstance(dt, T.DecimalType):
+            families.setdefault("double", []).append(c)
+        else:
+            families.setdefault(f"own:{c}", []).append(c)
+    out = {}
+    for fam, cols in families.items():
+        cast = (lambda c: qcol(c)) if fam.startswith("own:") else (lambda c, t=fam: qcol(c).cast(t))
+        pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), cast(c).alias("v"))
+                                    for i, c in enumerate(cols)])).alias("p")
+        counted = (df.select(pairs).select("p.k", "p.v").where(F.col("v").isNotNull())
+                   .groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+        best = counted.groupBy("k").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("v"))).alias("m"))
+        found = {r["k"]: r["m"]["v"] for r in best.collect()}      # one row per column
+        for i, c in enumerate(cols):
+            v = found.get(i)
+            dt = df.schema[c].dataType
+            if v is not None and fam == "double" and isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType,
+                                                                      T.LongType)):
+                v = int(v)
+            out[c] = v
     return out
