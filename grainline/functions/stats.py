@@ -24,6 +24,11 @@ from pyspark.sql import functions as F
 from .exprs import as_double, qcol
 
 
+def _columns_of(df: DataFrame, extra: dict) -> list[str]:
+    """Source columns the extra aggregates may refer to (all, when any)."""
+    return list(df.columns) if extra else []
+
+
 def _needed_ranks(n: int, p: float) -> tuple[int, int, float]:
     h = (n - 1) * p
     lo = int(math.floor(h))
@@ -34,16 +39,21 @@ def _needed_ranks(n: int, p: float) -> tuple[int, int, float]:
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
                     accuracy: int = 2_000, collect_limit: int = 50_000,
-                    where=None) -> dict[str, list[float | None]]:
+                    where=None, extra: dict | None = None,
+                    extra_out: dict | None = None) -> dict[str, list[float | None]]:
     """Exact quantiles of numeric ``columns`` at ``probs`` (NaN and null skipped).
 
     Returns ``{column: [q(p) for p in probs]}``; ``None`` for a column without
     values.  ``where`` optionally restricts the rows (a boolean Column).
+    ``extra`` — ``{name: aggregate Column over df}`` — rides along in the first
+    pass (saving the caller a job); the values land in ``extra_out``.
     """
     if not columns:
         return {}
     base = df if where is None else df.where(where)
-    base = base.select(*[as_double(base, c).alias(f"v{i}") for i, c in enumerate(columns)])
+    extra = extra or {}
+    base = base.select(*[as_double(base, c).alias(f"v{i}") for i, c in enumerate(columns)],
+                       *[qcol(c) for c in _columns_of(df, extra)])
     v = {c: F.col(f"v{i}") for i, c in enumerate(columns)}
 
     # pass 1: sizes, extremes and one mergeable sketch per column
@@ -54,7 +64,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
         aggs += [F.count(v[c]).alias(f"n{i}"), F.min(v[c]).alias(f"mn{i}"),
                  F.max(v[c]).alias(f"mx{i}"),
                  F.percentile_approx(v[c], probes, accuracy).alias(f"pa{i}")]
+    aggs += [e.alias(f"x_{name}") for name, e in extra.items()]
     row = base.agg(*aggs).first()
+    if extra_out is not None:
+        extra_out.update({name: row[f"x_{name}"] for name in extra})
 
     out: dict[str, list[float | None]] = {}
     known: dict[tuple[str, int], float] = {}

@@ -53,13 +53,13 @@ def profile_numeric(df: DataFrame, columns=None) -> DataFrame:
     cols = columns or numeric_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, stat string, value double")
-    aggs = []
+    aggs = {}
     for i, c in enumerate(cols):
         x = as_double(df, c)
-        aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    row = df.agg(*aggs).first()
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        aggs.update({f"c{i}": F.count(x), f"m{i}": F.avg(x), f"s{i}": F.stddev_samp(x),
+                     f"lo{i}": F.min(x), f"hi{i}": F.max(x)})
+    row: dict = {}
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], extra=aggs, extra_out=row)   # moments ride along
     rows = []
     for i, c in enumerate(cols):
         vals = [row[f"c{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], *q[c], row[f"hi{i}"]]
