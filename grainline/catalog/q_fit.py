@@ -23,13 +23,13 @@ def q_impute_drop(spark, sf):
 
 
 @register("impute_mean", f"""
-SELECT event_id, round(coalesce(value, (SELECT avg(value) FROM {EG})), 6) AS value FROM {EG}""")
+SELECT event_id, (round(coalesce(value, (SELECT avg(value) FROM {EG})), 6) + 0.0) AS value FROM {EG}""")
 def q_impute_mean(spark, sf):
     return rounded(I.impute(events_gaps(spark, sf), {"value": "mean"}).select("event_id", "value"))
 
 
 @register("impute_median", f"""
-SELECT event_id, round(coalesce(value, (SELECT quantile_cont(value, 0.5) FROM {EG})), 6) AS value FROM {EG}""")
+SELECT event_id, (round(coalesce(value, (SELECT quantile_cont(value, 0.5) FROM {EG})), 6) + 0.0) AS value FROM {EG}""")
 def q_impute_median(spark, sf):
     return rounded(I.impute(events_gaps(spark, sf), {"value": "median"}).select("event_id", "value"))
 
@@ -96,7 +96,7 @@ SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
 
 
 def _scale_sql(center, spread):
-    sel = ", ".join(f"round((li.{c} - s.{c}_c) / s.{c}_s, 6) AS {c}" for c in SCALE_COLS)
+    sel = ", ".join(f"(round((li.{c} - s.{c}_c) / s.{c}_s, 6) + 0.0) AS {c}" for c in SCALE_COLS)
     stats = ", ".join(f"{center.format(c=c)} AS {c}_c, {spread.format(c=c)} AS {c}_s" for c in SCALE_COLS)
     return f"WITH s AS (SELECT {stats} FROM lineitem) SELECT li.l_orderkey, li.l_linenumber, {sel} FROM lineitem li, s"
 
@@ -145,7 +145,7 @@ def q_encode_onehot(spark, sf):
 
 
 @register("encode_target", f"""
-SELECT o.o_orderkey, o.o_orderstatus, round(m.te, 6) AS o_orderpriority_target_encoded
+SELECT o.o_orderkey, o.o_orderstatus, (round(m.te, 6) + 0.0) AS o_orderpriority_target_encoded
 FROM {OG} o LEFT JOIN (SELECT o_orderpriority, avg(o_totalprice) AS te FROM {OG}
   WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority) m ON o.o_orderpriority = m.o_orderpriority""")
 def q_encode_target(spark, sf):
@@ -193,7 +193,7 @@ def q_outlier_remove(spark, sf):
 
 
 @register("outlier_cap", f"""
-SELECT event_id, round(CASE WHEN value IS NULL THEN NULL ELSE greatest(q.lo, least(q.hi, value)) END, 6) AS value
+SELECT event_id, (round(CASE WHEN value IS NULL THEN NULL ELSE greatest(q.lo, least(q.hi, value)) END, 6) + 0.0) AS value
 FROM {EX}, (SELECT quantile_cont(value, 0.05) AS lo, quantile_cont(value, 0.95) AS hi FROM {EX}) q""")
 def q_outlier_cap(spark, sf):
     df = events_extremes(spark, sf).select("event_id", "value")
@@ -210,7 +210,7 @@ c AS (SELECT r.p_partkey AS rk, d.p_retailprice AS y, row_number() OVER (PARTITI
                  + (CAST(r.p_size AS DOUBLE) - d.p_size) * (CAST(r.p_size AS DOUBLE) - d.p_size)),
                  d.p_partkey NULLS FIRST, d.p_size NULLS FIRST, d.p_retailprice NULLS FIRST) AS rn
       FROM r, d)
-SELECT p.p_partkey, p.p_size, round(coalesce(p.p_retailprice, m.v), 6) AS p_retailprice
+SELECT p.p_partkey, p.p_size, (round(coalesce(p.p_retailprice, m.v), 6) + 0.0) AS p_retailprice
 FROM p LEFT JOIN (SELECT rk, avg(y) AS v FROM c WHERE rn <= 5 GROUP BY rk) m ON p.p_partkey = m.rk"""
 
 

@@ -122,7 +122,7 @@ def q_quality_metrics(spark, sf):
 
 # ---------------------------------------------------------------- streaming
 @register("stream_row_local", """
-SELECT event_id, user_id, round((value - s.m) / s.sd, 6) AS value, CAST(isodow(ts) - 1 AS INTEGER) AS ts_dayofweek,
+SELECT event_id, user_id, (round((value - s.m) / s.sd, 6) + 0.0) AS value, CAST(isodow(ts) - 1 AS INTEGER) AS ts_dayofweek,
   CAST(length(props) AS INTEGER) AS props_length
 FROM events, (SELECT avg(value) AS m, stddev_pop(value) AS sd FROM events) s WHERE value > 10""")
 def q_stream(spark, sf):

@@ -21,7 +21,7 @@ def q_select_variance(spark, sf):
 
 
 @register("select_variance_scores", " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, round(var_samp({c}), 6) AS score FROM lineitem" for c in FEATS))
+    f"SELECT '{c}' AS feature, (round(var_samp({c}), 6) + 0.0) AS score FROM lineitem" for c in FEATS))
 def q_select_variance_scores(spark, sf):
     return rounded(SE.variance_scores(_lineitem(spark, sf), FEATS))
 
@@ -34,7 +34,7 @@ FROM (SELECT l_returnflag, count({c}) AS n, sum({c}) AS s, sum({c} * {c}) AS q F
 
 
 def _ranked_sql(parts, k):
-    return f"""SELECT feature, round(score, 6) AS score,
+    return f"""SELECT feature, (round(score, 6) + 0.0) AS score,
   row_number() OVER (ORDER BY score DESC NULLS LAST, feature) <= {k} AS selected FROM ({' UNION ALL '.join(parts)})"""
 
 
@@ -70,7 +70,7 @@ def q_custom_column(spark, sf):
 
 
 CUSTOM_TABLE_SQL = """SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty,
-  round(avg(l_extendedprice), 6) AS avg_price FROM {data} WHERE l_shipdate <= TIMESTAMP '2001-09-02 00:00:00'
+  (round(avg(l_extendedprice), 6) + 0.0) AS avg_price FROM {data} WHERE l_shipdate <= TIMESTAMP '2001-09-02 00:00:00'
   GROUP BY l_returnflag, l_linestatus"""
 
 

@@ -16,7 +16,7 @@ RESULT_COLS = ["rule", "category", "type", "passed", "critical", "metric", "thre
 def _res_sql(rule, category, rtype, passed, critical, metric, threshold, source):
     thr = "CAST(NULL AS DOUBLE)" if threshold is None else f"CAST({threshold} AS DOUBLE)"
     return (f"SELECT '{rule}' AS rule, '{category}' AS category, '{rtype}' AS type, {passed} AS passed, "
-            f"{critical} AS critical, round(CAST({metric} AS DOUBLE), 6) AS metric, {thr} AS threshold "
+            f"{critical} AS critical, (round(CAST({metric} AS DOUBLE), 6) + 0.0) AS metric, {thr} AS threshold "
             f"FROM {source}")
 
 
@@ -157,15 +157,15 @@ SUITE_SQL = f"""
 SELECT 0 AS pos, 'req' AS rule, true AS passed, true AS critical, 0.0 AS metric
 UNION ALL SELECT 1, 'ncols', true, false, 6.0
 UNION ALL SELECT 2, 'value_nulls', count_if(value IS NULL) = 0, true,
-  round(100.0 * count_if(value IS NULL) / count(*), 6) FROM {EG}
+  (round(100.0 * count_if(value IS NULL) / count(*), 6) + 0.0) FROM {EG}
 UNION ALL SELECT 3, 'ids', count(*) = count(DISTINCT event_id), true,
   CAST(count(*) - count(DISTINCT event_id) AS DOUBLE) FROM {EG}
 UNION ALL SELECT 4, 'types_complete', 100.0 * count(event_type) / count(*) >= 95, true,
-  round(100.0 * count(event_type) / count(*), 6) FROM {EG}
+  (round(100.0 * count(event_type) / count(*), 6) + 0.0) FROM {EG}
 UNION ALL SELECT 5, 'positive', count_if(NOT coalesce(value > 0, false)) = 0, false,
   CAST(count_if(NOT coalesce(value > 0, false)) AS DOUBLE) FROM {EG}
 UNION ALL SELECT 6, 'z_outliers', 100.0 * count_if(abs(value - s.m) / s.sd > 3) / count(*) <= 5, false,
-  round(100.0 * count_if(abs(value - s.m) / s.sd > 3) / count(*), 6)
+  (round(100.0 * count_if(abs(value - s.m) / s.sd > 3) / count(*), 6) + 0.0)
   FROM {EG}, (SELECT avg(value) AS m, stddev_samp(value) AS sd FROM {EG}) s
 """
 
@@ -207,7 +207,7 @@ def q_profile_basic(spark, sf):
 
 @register("profile_missing", " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS missing_count, "
-    f"round(100.0 * count_if({c} IS NULL) / count(*), 6) AS missing_percentage FROM {EG}" for c in EV_COLS)
+    f"(round(100.0 * count_if({c} IS NULL) / count(*), 6) + 0.0) AS missing_percentage FROM {EG}" for c in EV_COLS)
     + f" UNION ALL SELECT '*', count_if(event_type IS NULL) + count_if(value IS NULL), NULL FROM {EG}")
 def q_profile_missing(spark, sf):
     return rounded(PR.profile_missing(events_gaps(spark, sf)))
@@ -215,7 +215,7 @@ def q_profile_missing(spark, sf):
 
 @register("profile_duplicates", """
 SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events)) AS duplicate_rows,
-  round(100.0 * (count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events))) / count(*), 6)
+  (round(100.0 * (count(*) - (SELECT count(*) FROM (SELECT DISTINCT user_id, event_type FROM events))) / count(*), 6) + 0.0)
   AS duplicate_percentage FROM events""")
 def q_profile_duplicates(spark, sf):
     return rounded(PR.profile_duplicates(table(spark, sf, "events").select("user_id", "event_type")))
@@ -228,7 +228,7 @@ _STAT_SQL = {"count": "count({c})", "mean": "avg({c})", "std": "stddev_samp({c})
 
 
 @register("profile_numeric", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", '{s}' AS stat, round(CAST({e.format(c=c)} AS DOUBLE), 6) AS value FROM lineitem"
+    f"SELECT '{c}' AS \"column\", '{s}' AS stat, (round(CAST({e.format(c=c)} AS DOUBLE), 6) + 0.0) AS value FROM lineitem"
     for c in NUM_COLS for s, e in _STAT_SQL.items()))
 def q_profile_numeric(spark, sf):
     return rounded(PR.profile_numeric(table(spark, sf, "lineitem").select(*NUM_COLS)))

@@ -41,12 +41,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round every floating column (the oracle rounds the same columns)."""
-    exprs = {f.name: F.round(F.col(f"`{f.name}`"), digits) for f in df.schema.fields
+    """Round every floating column (the oracle rounds the same columns).
+
+    ``+ 0.0`` makes a rounded negative zero a plain zero on both sides (one
+    engine keeps the sign of ``round(-1e-9, 6)``, the other does not)."""
+    exprs = {f.name: F.round(F.col(f"`{f.name}`"), digits) + F.lit(0.0) for f in df.schema.fields
              if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     return df.withColumns(exprs) if exprs else df
 
 
+def r6(expr: str) -> str:
+    """SQL twin of ``rounded`` for one expression."""
+    return f"(round({expr}, {DIGITS}) + 0.0)"
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     from ..session import ensure_checkpoint_dir
