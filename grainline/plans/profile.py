@@ -9,9 +9,7 @@ column — Spark plans that as a partial count and a per-partition top-k
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_double, clean_value, numeric_columns, qcol, string_columns
@@ -78,19 +76,26 @@ def profile_categorical(df: DataFrame, columns=None) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "column string, unique_count bigint, most_frequent string")
 
 
-def profile_top_values(df: DataFrame, columns=None, k: int = 10) -> DataFrame:
-    """Top ``k`` values with counts per text column (ties: smaller value first)."""
+def profile_top_values(df: DataFrame, columns=None, k: int = 10, salt: int = 64) -> DataFrame:
+    """Top ``k`` values with counts per text column (ties: smaller value first).
+
+    One scan for all columns: ``(column, value)`` pairs are counted by one
+    partial aggregation; the top-k is then taken in two window levels — first
+    per ``(column, hash(value) % salt)``, then per column over at most
+    ``k × salt`` survivors — so no task ranks all distinct values of a column.
+    """
     cols = columns or string_columns(df)
-    parts = []
-    for c in cols:
-        counted = (df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("value"))
-                   .agg(F.count(F.lit(1)).alias("count")))
-        top = counted.orderBy(F.desc("count"), F.asc("value")).limit(k)
-        parts.append(top.select(F.lit(c).alias("column"), F.col("value").cast("string").alias("value"),
-                                "count"))
-    if not parts:
+    if not cols:
         return df.sparkSession.createDataFrame([], "column string, value string, count bigint")
-    return reduce(DataFrame.unionByName, parts)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), qcol(c).cast("string").alias("value"))
+                                for c in cols])).alias("p")
+    counts = (df.select(pairs).select("p.column", "p.value").where(F.col("value").isNotNull())
+              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
+    order = [F.desc("count"), F.asc("value")]
+    local = Window.partitionBy("column", F.pmod(F.xxhash64("value"), F.lit(salt))).orderBy(*order)
+    final = Window.partitionBy("column").orderBy(*order)
+    first = counts.withColumn("r", F.row_number().over(local)).where(F.col("r") <= k).drop("r")
+    return first.withColumn("r", F.row_number().over(final)).where(F.col("r") <= k).drop("r")
 
 
 def profile(df: DataFrame) -> dict[str, DataFrame]:
