@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.exprs import (DIGIT_PATTERN, EDGE_WHITESPACE_PATTERN, PUNCTUATION_PATTERN, WHITESPACE_RUN_PATTERN,
+                               WORD_PATTERN)
 from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import predicates as P
@@ -105,12 +107,12 @@ def _text_q(key, ops, sql_expr, source="documents", idcols=("doc_id",)):
 
 _text_q("text_lowercase", ["lowercase"], "lower(text)")
 _text_q("text_uppercase", ["uppercase"], "upper(replace(text, 'ß', 'SS'))")  # full case mapping of ß
-_text_q("text_strip", ["strip"], r"regexp_replace(text, '^\s+|\s+$', '', 'g')",
+_text_q("text_strip", ["strip"], f"regexp_replace(text, '{EDGE_WHITESPACE_PATTERN}', '', 'g')",
         "conversations", ("conv_id", "turn"))
 _text_q("text_remove_punctuation", ["remove_punctuation"],
-        r"regexp_replace(text, '[^\p{L}\p{N}_\s]', '', 'g')")
-_text_q("text_remove_digits", ["remove_digits"], r"regexp_replace(text, '\p{Nd}', '', 'g')")
-_text_q("text_remove_extra_spaces", ["remove_extra_spaces"], r"regexp_replace(text, '\s+', ' ', 'g')")
+        f"regexp_replace(text, '{PUNCTUATION_PATTERN}', '', 'g')")
+_text_q("text_remove_digits", ["remove_digits"], f"regexp_replace(text, '{DIGIT_PATTERN}', '', 'g')")
+_text_q("text_remove_extra_spaces", ["remove_extra_spaces"], f"regexp_replace(text, '{WHITESPACE_RUN_PATTERN}', ' ', 'g')")
 
 
 @register("clean_row_filters", f"""
@@ -169,11 +171,11 @@ def q_datetime(spark, sf):
 
 TEXT_SQL = {
     "length": "length(text)",
-    "word_count": r"len(regexp_extract_all(text, '\S+'))",
+    "word_count": f"len(regexp_extract_all(text, '{WORD_PATTERN}'))",
     "char_count": "length(replace(text, ' ', ''))",
     "uppercase_count": "len(regexp_extract_all(text, '[A-Z]'))",
-    "digit_count": r"len(regexp_extract_all(text, '\p{Nd}'))",
-    "punctuation_count": r"len(regexp_extract_all(text, '[^\p{L}\p{N}_\s]'))",
+    "digit_count": f"len(regexp_extract_all(text, '{DIGIT_PATTERN}'))",
+    "punctuation_count": f"len(regexp_extract_all(text, '{PUNCTUATION_PATTERN}'))",
 }
 
 

@@ -12,13 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# --- fixed values: regular expressions that must give the same result as the
-# Unicode-aware Python patterns of the tool being rebuilt (\w, \d, \s).
-PUNCTUATION_PATTERN = r"[^\p{L}\p{N}_\s]"   # Python [^\w\s] with Unicode letters/digits
-DIGIT_PATTERN = r"\p{Nd}"                   # Python \d (any decimal digit)
-WHITESPACE_RUN_PATTERN = r"\s+"             # Python \s+
-EDGE_WHITESPACE_PATTERN = r"^\s+|\s+$"      # Python str.strip()
-WORD_PATTERN = r"\S+"                       # tokens of str.split()
+# --- fixed values: regular expressions that give the results of the Unicode-aware
+# Python patterns of the tool being rebuilt (\w, \d, \s, str.strip, str.split).
+# PY_SPACE is the set of characters Python treats as whitespace (str.isspace).
+PY_SPACE = (r"\t\n\x0B\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+            r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+PUNCTUATION_PATTERN = r"[^\p{L}\p{N}_" + PY_SPACE + "]"   # Python [^\w\s]
+DIGIT_PATTERN = r"\p{Nd}"                                  # Python \d
+WHITESPACE_RUN_PATTERN = "[" + PY_SPACE + "]+"              # Python \s+
+EDGE_WHITESPACE_PATTERN = "^[" + PY_SPACE + "]+|[" + PY_SPACE + "]+$"   # str.strip()
+WORD_PATTERN = "[^" + PY_SPACE + "]+"                       # tokens of str.split()
 UPPER_ASCII_PATTERN = r"[A-Z]"
 # small constant added to divisors by ratio-style features
 RATIO_EPSILON = 1e-8

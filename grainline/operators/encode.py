@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import existing, qcol, string_columns
+from ..functions.exprs import as_double, existing, qcol, string_columns
 from ..functions.joins import join_lookup
 from ..functions.ordering import global_row_number
 
@@ -95,7 +95,7 @@ def encode_target(df: DataFrame, columns=None, target_column: str | None = None,
         if c == target_column:
             continue
         means = (df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("__te_key"))
-                 .agg(F.avg(qcol(target_column).cast("double")).alias(f"{c}_target_encoded")))
+                 .agg(F.avg(as_double(df, target_column)).alias(f"{c}_target_encoded")))
         n = means.count()
         joined = join_lookup(df, means, qcol(c) == F.col("__te_key"), "left", n).drop("__te_key")
         if drop_original:

@@ -32,3 +32,20 @@ def test_cast_policies(spark):
     assert [r[0] for r in C.cast_columns(df, {"s": "int"}, on_error="null").collect()] == [1, None, None]
     kept = C.cast_columns(df, {"s": "int"}, on_error="keep")
     assert dict(kept.dtypes)["s"] == "string"
+
+
+def test_text_ops_follow_python_unicode_semantics(spark):
+    import re
+
+    from grainline.operators import features as FE
+    samples = ["　a b c, d!\x1c", "x\u0085y\t\tz", "é_1٣ ½ !?", "", "   "]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(samples)], "id int, t string")
+    strip = {r["id"]: r["t"] for r in C.clean_text(df, "t", ["strip"]).collect()}
+    spaces = {r["id"]: r["t"] for r in C.clean_text(df, "t", ["remove_extra_spaces"]).collect()}
+    punct = {r["id"]: r["t"] for r in C.clean_text(df, "t", ["remove_punctuation"]).collect()}
+    words = {r["id"]: r["t_word_count"] for r in FE.text_features(df, "t", ["word_count"]).collect()}
+    for i, t in enumerate(samples):
+        assert strip[i] == t.strip()
+        assert spaces[i] == re.sub(r"\s+", " ", t)
+        assert punct[i] == re.sub(r"[^\w\s]", "", t)
+        assert words[i] == len(t.split())
