@@ -205,7 +205,7 @@ def clean_step(df: DataFrame, config: dict) -> DataFrame:
         df = rename_columns(df, config["rename_columns"])
     if config.get("dtype_conversions"):
         df = cast_columns(df, config["dtype_conversions"], config.get("date_format"),
-                          config.get("on_cast_error", "null"))
+                          config.get("on_cast_error", "keep"))
     for col, ops in (config.get("text_cleaning") or {}).items():
         df = clean_text(df, col, ops)
     if config.get("row_filters"):
