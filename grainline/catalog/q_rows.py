@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.exprs import (DIGIT_PATTERN, EDGE_WHITESPACE_PATTERN, PUNCTUATION_PATTERN, WHITESPACE_RUN_PATTERN,
-                               WORD_PATTERN)
+from ..functions.exprs import DIGIT_PATTERN
+from ..functions.exprs import SQL_EDGE_WHITESPACE_PATTERN as EDGE_WHITESPACE_PATTERN
+from ..functions.exprs import SQL_PUNCTUATION_PATTERN as PUNCTUATION_PATTERN
+from ..functions.exprs import SQL_WHITESPACE_RUN_PATTERN as WHITESPACE_RUN_PATTERN
+from ..functions.exprs import SQL_WORD_PATTERN as WORD_PATTERN
 from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import predicates as P

@@ -14,15 +14,23 @@ from pyspark.sql import types as T
 
 # --- fixed values: regular expressions that give the results of the Unicode-aware
 # Python patterns of the tool being rebuilt (\w, \d, \s, str.strip, str.split).
-# PY_SPACE is the set of characters Python treats as whitespace (str.isspace).
+# Python's whitespace (str.isspace) is Unicode White_Space plus U+001C..U+001F.
+# Spark (Java regex): the (?U) flag makes \s Unicode White_Space and keeps the
+# engine's fast path; the four separators are added to the class.
+PUNCTUATION_PATTERN = r"(?U)[^\p{L}\p{N}_\s\x{1C}-\x{1F}]"           # Python [^\w\s]
+DIGIT_PATTERN = r"\p{Nd}"                                             # Python \d
+WHITESPACE_RUN_PATTERN = r"(?U)[\s\x{1C}-\x{1F}]+"                     # Python \s+
+EDGE_WHITESPACE_PATTERN = r"(?U)^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$"  # str.strip()
+WORD_PATTERN = r"(?U)[^\s\x{1C}-\x{1F}]+"                             # tokens of str.split()
+UPPER_ASCII_PATTERN = r"[A-Z]"
+# The same sets for engines without the (?U) flag (RE2, used by the SQL oracles):
+# every whitespace character spelled out.
 PY_SPACE = (r"\t\n\x0B\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
-PUNCTUATION_PATTERN = r"[^\p{L}\p{N}_" + PY_SPACE + "]"   # Python [^\w\s]
-DIGIT_PATTERN = r"\p{Nd}"                                  # Python \d
-WHITESPACE_RUN_PATTERN = "[" + PY_SPACE + "]+"              # Python \s+
-EDGE_WHITESPACE_PATTERN = "^[" + PY_SPACE + "]+|[" + PY_SPACE + "]+$"   # str.strip()
-WORD_PATTERN = "[^" + PY_SPACE + "]+"                       # tokens of str.split()
-UPPER_ASCII_PATTERN = r"[A-Z]"
+SQL_PUNCTUATION_PATTERN = r"[^\p{L}\p{N}_" + PY_SPACE + "]"
+SQL_WHITESPACE_RUN_PATTERN = "[" + PY_SPACE + "]+"
+SQL_EDGE_WHITESPACE_PATTERN = "^[" + PY_SPACE + "]+|[" + PY_SPACE + "]+$"
+SQL_WORD_PATTERN = "[^" + PY_SPACE + "]+"
 # small constant added to divisors by ratio-style features
 RATIO_EPSILON = 1e-8
 
