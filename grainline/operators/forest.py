@@ -78,28 +78,45 @@ class IsolationForestModel:
     max_samples: int
     threshold: float | None = None
 
+    def packed(self):
+        """All trees in flat arrays (absolute child indices) plus each root."""
+        feats, thrs, lefts, rights, adjs, leaves, roots = [], [], [], [], [], [], []
+        offset = 0
+        for feat, thr, left, right, adj, leaf in self.trees.values():
+            roots.append(offset)
+            feats.append(feat)
+            thrs.append(thr)
+            lefts.append(np.where(left >= 0, left + offset, -1))
+            rights.append(np.where(right >= 0, right + offset, -1))
+            adjs.append(adj)
+            leaves.append(leaf)
+            offset += len(feat)
+        cat = np.concatenate
+        return (cat(feats), cat(thrs), cat(lefts), cat(rights), cat(adjs), cat(leaves).astype(bool),
+                np.array(roots, dtype=np.int64))
+
     def score_column(self, df: DataFrame):
         sc = df.sparkSession.sparkContext
-        forest = sc.broadcast(self.trees)
+        forest = sc.broadcast(self.packed())
         norm = average_path(self.max_samples)
+        n_trees = max(len(self.trees), 1)
 
         @pandas_udf("double")
         def score(*cols: pd.Series) -> pd.Series:
+            feat, thr, left, right, adj, leaf, roots = forest.value
             x = np.column_stack([c.to_numpy(dtype="float64", na_value=np.nan) for c in cols])
             x = np.nan_to_num(x, nan=0.0)
-            depth = np.zeros(len(x))
-            for feat, thr, left, right, adj, leaf in forest.value.values():
-                node = np.zeros(len(x), dtype=np.int64)
-                d = np.zeros(len(x))
+            rows = np.arange(len(x))[:, None]
+            node = np.broadcast_to(roots, (len(x), len(roots))).copy()   # one walker per (row, tree)
+            depth = np.zeros(node.shape)
+            active = ~leaf[node]
+            while active.any():
+                go_left = x[rows, feat[node]] < thr[node]
+                step = np.where(go_left, left[node], right[node])
+                node = np.where(active, step, node)
+                depth += active
                 active = ~leaf[node]
-                while active.any():
-                    f = feat[node[active]]
-                    go_left = x[active, f] < thr[node[active]]
-                    node[active] = np.where(go_left, left[node[active]], right[node[active]])
-                    d[active] += 1
-                    active = ~leaf[node]
-                depth += d + adj[node]
-            mean_depth = depth / max(len(forest.value), 1)
+            mean_depth = (depth + adj[node]).sum(axis=1) / n_trees
             return pd.Series(np.power(2.0, -mean_depth / norm) if norm > 0 else np.zeros(len(x)))
 
         return score(*[as_double(df, c) for c in self.columns])

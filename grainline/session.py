@@ -60,10 +60,13 @@ _SHIPPED: set[str] = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``grainline`` importable in Python workers (pandas UDFs,
     ``applyInPandas``): zip the package once per application and add it with
-    ``addPyFile``, the same as ``--py-files`` on ``spark-submit``."""
+    ``addPyFile``, the same as ``--py-files`` on ``spark-submit``.
+
+    Only in local mode; on a cluster the package is shipped with
+    ``spark-submit --py-files`` (no machine-local staging folder is used)."""
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not sc.master.startswith("local"):
         return
     import os
     import zipfile
