@@ -80,7 +80,7 @@ def null_tokens(df: DataFrame, tokens: list[str]) -> DataFrame:
     """Text values equal to a token become null (all text columns)."""
     toks = list(dict.fromkeys(tokens))
     exprs = {f.name: F.when(~qcol(f.name).isin(toks), qcol(f.name)) for f in df.schema.fields
-             if isinstance(f.dataType, T.StringType)}
+             if isinstance(f.dataType, T.StringType) and not f.name.startswith("__")}
     return df.withColumns(exprs) if exprs else df
 
 
@@ -102,17 +102,27 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", encoding: str
     else:
         df = _reader(spark, separator, encoding, header is not None, multiline).option(
             "inferSchema", "false").csv(path)
+    order = []
+    if max_rows is not None and not skip_rows:
+        # "first n rows" in file order: file path, then position inside the file
+        # (ids are consecutive within a split, and a file's splits come in order)
+        df = df.withColumns({"__f": F.col("_metadata.file_path"), "__i": F.monotonically_increasing_id()})
+        order = ["__f", "__i"]
+    elif max_rows is not None:
+        order = []
     if columns:
-        df = df.select(*[qcol(c) for c in columns if c in df.columns])
+        df = df.select(*[qcol(c) for c in columns if c in df.columns], *order)
     if schema is None:
         df = null_tokens(df, DEFAULT_NA_TOKENS + list(na_values or []))
         if dtypes:
             df = apply_dtypes(df, dtypes)
-        rest = [c for c in df.columns if c not in (dtypes or {}) and c not in (date_columns or [])]
+        rest = [c for c in df.columns if c not in (dtypes or {}) and c not in (date_columns or [])
+                and c not in ("__f", "__i")]
         df = infer_text_types(df, rest)
     df = apply_dtypes(df, None, date_columns)
     if max_rows is not None:
-        df = df.limit(int(max_rows))
+        df = (df.orderBy(*order).limit(int(max_rows)).drop(*order) if order
+              else df.limit(int(max_rows)))
     return df
 
 

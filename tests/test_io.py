@@ -78,3 +78,21 @@ def test_request_batches_envelope(spark):
 def test_flatten_nested(spark):
     df = spark.createDataFrame([(1, (2, (3, "x")), [1, 2])], "a int, b struct<c:int, d:struct<e:int, f:string>>, l array<int>")
     assert SF.flatten(df).columns == ["a", "b.c", "b.d.e", "b.d.f", "l"]
+
+
+def test_csv_max_rows_are_the_first_rows_in_file_order(spark):
+    path = scratch_dir(spark, "t-maxrows")
+    spark.range(0, 5000, numPartitions=3).select(F.col("id").alias("k")) \
+        .write.option("header", "true").csv(path)
+    got = [r["k"] for r in SF.read_csv(spark, path, max_rows=40).collect()]
+    files = sorted(r[0] for r in spark.read.text(path).select(F.col("_metadata.file_path")).distinct().collect())
+    first_file = spark.read.option("header", "true").csv(files[0]).limit(40).collect()
+    assert sorted(got) == sorted(int(r["k"]) for r in first_file)
+    assert len(got) == 40
+
+
+def test_union_skips_empty_sources(spark):
+    a = spark.createDataFrame([(1,)], "k int")
+    b = spark.createDataFrame([], "k int, only_here string")
+    u = SM.union_sources({"a": a, "b": b})
+    assert u.columns == ["k", "_source"] and u.count() == 1
