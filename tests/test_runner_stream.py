@@ -27,6 +27,8 @@ def test_run_success_history_and_shapes(spark):
     hist = H.History(spark, scratch_dir(spark, "t-hist"))
     ok = run_spec(spark, _spec(), history=hist)
     assert ok.success and ok.records_processed > 0
+    assert ok.source_rows == {"o": spark.read.parquet(f"{SF}/orders.parquet").count()}
+    assert ok.target_rows == ok.records_processed
     assert [s["type"] for s in ok.shapes] == ["clean", "scale"]
     assert ok.shapes[0]["columns_out"] == ok.shapes[0]["columns_in"] - 1
     bad = _spec()
