@@ -4,16 +4,20 @@
 task, and ``partitionBy(key)`` does the same for a key that holds a third of
 the table.  Both fills and global numbering here run in two levels instead:
 
-1. **Range buckets.**  A bounded sample of the sort key (``samples_per_bucket``
-   × buckets rows) is sorted on the driver and cut into bucket bounds.  The
-   bucket of a row is a pure expression (a balanced ``CASE`` tree of struct
-   comparisons), so it is the same on every recomputation and after executor
-   loss — nothing has to be checkpointed to keep it stable.
+1. **Range buckets.**  Up to ``CASE_MAX_BUCKETS`` buckets: a bounded sample
+   of the sort key (``SAMPLES_PER_BUCKET`` × buckets rows) is sorted on the
+   driver and cut into bounds, and the bucket of a row is a pure expression (a
+   balanced ``CASE`` tree of struct comparisons) — the same on every
+   recomputation and after executor loss, so nothing is materialised.  More
+   buckets (tables of billions of rows): ``repartitionByRange`` and the
+   partition id, frozen with a reliable ``checkpoint()`` in the shared
+   checkpoint folder (the range sampler is not deterministic across re-runs).
 2. **Per-bucket summary.**  One aggregate per bucket (counts, first/last keys,
-   last/first non-null value) — at most ``max_buckets`` rows reach the driver,
-   which computes carries / offsets in one linear pass.
+   last/first non-null value) — one row per bucket reaches the driver, which
+   computes carries / offsets in one linear pass.
 3. **Local window.**  ``Window.partitionBy(bucket, keys).orderBy(order)`` plus
-   the carried value (or offset) looked up by bucket id from a literal array.
+   the carried value (or offset), joined by bucket id from a small table
+   broadcast under its known row count.
 
 Hot partition keys are split across buckets because the sort key is
 ``(keys..., order...)``; only ties of the full sort key stay together.
@@ -30,9 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .exprs import qcol
+from .joins import join_lookup
 
 ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+CASE_MAX_BUCKETS = 256          # above this the bucket is a range partition id
 SAMPLES_PER_BUCKET = 20
 
 
@@ -59,18 +64,34 @@ def _sort_key(row):
     return tuple(out)
 
 
+def wanted_buckets(df: DataFrame, n: int) -> int:
+    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_BUCKET))
+
+
+def assign_buckets(df: DataFrame, sort_cols: list[str], n_buckets: int | None = None,
+                   name: str = "__bucket") -> tuple[DataFrame, int]:
+    """``df`` plus a range-bucket id column over ``sort_cols`` (ascending)."""
+    n = df.count()
+    want = n_buckets or wanted_buckets(df, n)
+    if want <= CASE_MAX_BUCKETS:
+        expr, nb = range_bucket_expr(df, sort_cols, want)
+        return df.withColumn(name, expr), nb
+    ranged = df.repartitionByRange(want, *[qcol(c) for c in sort_cols]).withColumn(
+        name, F.spark_partition_id())
+    return ranged.checkpoint(), want
+
+
+def _lookup(data: DataFrame, rows: list[tuple], schema: T.StructType, on: str) -> DataFrame:
+    """Join a per-bucket table built on the driver (one row per bucket)."""
+    table = data.sparkSession.createDataFrame(rows, schema)
+    return join_lookup(data, table, on, "left", len(rows))
+
+
 def range_bucket_expr(df: DataFrame, sort_cols: list[str], n_buckets: int | None = None,
                       seed: int = 7) -> tuple[Column, int]:
     """Deterministic range-bucket id of each row over ``sort_cols`` ascending."""
-    spark = df.sparkSession
-    if n_buckets is None:
-        n = df.count()
-        n_buckets = max(spark.sparkContext.defaultParallelism,
-                        math.ceil(n / ROWS_PER_BUCKET))
-        n_buckets = min(MAX_BUCKETS, n_buckets)
-    else:
-        n = df.count()
-    n_buckets = max(1, min(MAX_BUCKETS, n_buckets))
+    n = df.count()
+    n_buckets = max(1, min(CASE_MAX_BUCKETS, n_buckets or wanted_buckets(df, n)))
     if n == 0 or n_buckets == 1:
         return F.lit(0), 1
     want = SAMPLES_PER_BUCKET * n_buckets
@@ -108,9 +129,8 @@ def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
     ``partition_by`` groups (or over the whole table)."""
     pkeys = list(partition_by or [])
     sort_cols = pkeys + list(order_by)
-    bucket, nb = range_bucket_expr(df, sort_cols, n_buckets)
     b = "__fill_bucket"
-    data = df.withColumn(b, bucket)
+    data, nb = assign_buckets(df, sort_cols, n_buckets, b)
     skey = F.struct(*[qcol(c).alias(f"k{i}") for i, c in enumerate(sort_cols)])
     pk = F.struct(*[qcol(c).alias(f"p{i}") for i, c in enumerate(pkeys)]) if pkeys else F.lit(0)
     forward = direction == "forward"
@@ -119,7 +139,7 @@ def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
     for i, c in enumerate(columns):
         packed = F.when(qcol(c).isNotNull(), F.struct(skey.alias("s"), pk.alias("p"), qcol(c).alias("v")))
         aggs.append((F.max(packed) if forward else F.min(packed)).alias(f"nn{i}"))
-    summary = {r[b]: r for r in data.groupBy(b).agg(*aggs).collect()}   # <= nb rows
+    summary = {r[b]: r for r in data.groupBy(b).agg(*aggs).collect()}   # one row per bucket
 
     order = sorted(summary) if forward else sorted(summary, reverse=True)
     carries = {i: {} for i in range(len(columns))}
@@ -142,41 +162,53 @@ def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
     w = Window.partitionBy(F.col(b), *[qcol(c) for c in pkeys]).orderBy(*[qcol(c) for c in order_by])
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if forward \
         else w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    needed = [i for i in range(len(columns)) if any(v is not None for v in carries[i].values())]
+    if needed:
+        # one row per bucket that has a carry: (bucket, carry values, entering key)
+        fields = [T.StructField(b, T.IntegerType())]
+        fields += [T.StructField(f"__carry{i}", df.schema[columns[i]].dataType) for i in needed]
+        if pkeys:
+            fields.append(T.StructField("__enter", T.StructType(
+                [T.StructField(f"p{j}", df.schema[c].dataType) for j, c in enumerate(pkeys)])))
+        rows = []
+        for bk, r in summary.items():
+            vals = [carries[i].get(bk) for i in needed]
+            if all(v is None for v in vals):
+                continue
+            row = [bk, *vals]
+            if pkeys:
+                p = r["first"]["p"] if forward else r["last"]["p"]
+                row.append(tuple(p))
+            rows.append(tuple(row))
+        data = _lookup(data, rows, T.StructType(fields), b)
     exprs = {}
     for i, c in enumerate(columns):
-        dtype = df.schema[c].dataType
         local = F.last(qcol(c), ignorenulls=True).over(w) if forward \
             else F.first(qcol(c), ignorenulls=True).over(w)
-        carry_vals = [carries[i].get(bk) for bk in range(nb)]
-        if all(v is None for v in carry_vals):
+        if i not in needed:
             exprs[c] = local
             continue
-        carry = F.element_at(F.array(*[_lit(v, dtype) for v in carry_vals]), F.col(b) + 1)
+        carry = F.col(f"__carry{i}")
         if pkeys:
-            enter_p = [(summary[bk]["first"]["p"] if forward else summary[bk]["last"]["p"])
-                       if bk in summary else None for bk in range(nb)]
-            ptypes = [df.schema[c2].dataType for c2 in pkeys]
-            enter_arr = F.array(*[
-                F.struct(*[_lit(None if p is None else p[j], t).alias(f"p{j}") for j, t in enumerate(ptypes)])
-                for p in enter_p])
-            same = pk == F.element_at(enter_arr, F.col(b) + 1)
-            carry = F.when(same, carry)
+            carry = F.when(pk == F.col("__enter"), carry)
         exprs[c] = F.coalesce(local, carry)
-    return data.withColumns(exprs).drop(b)
+    out = data.withColumns(exprs)
+    return out.select(*[qcol(c) for c in df.columns])
 
 
 def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_pos",
                       n_buckets: int | None = None) -> DataFrame:
     """1-based position of each row in ``order_by`` order, computed in two
     levels (no single-task window)."""
-    bucket, nb = range_bucket_expr(df, list(order_by), n_buckets)
     b = "__pos_bucket"
-    data = df.withColumn(b, bucket)
+    data, nb = assign_buckets(df, list(order_by), n_buckets, b)
     counts = {r[b]: r["n"] for r in data.groupBy(b).agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, run = [], 0
-    for bk in range(nb):
-        offsets.append(run)
-        run += counts.get(bk, 0)
+    rows, run = [], 0
+    for bk in sorted(counts):
+        rows.append((bk, run))
+        run += counts[bk]
+    schema = T.StructType([T.StructField(b, T.IntegerType()), T.StructField("__offset", T.LongType())])
+    data = _lookup(data, rows, schema, b)
     w = Window.partitionBy(F.col(b)).orderBy(*[qcol(c) for c in order_by])
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(b) + 1)
-    return data.withColumn(name, F.row_number().over(w) + off).drop(b)
+    out = data.withColumn(name, F.row_number().over(w) + F.col("__offset"))
+    return out.select(*[qcol(c) for c in df.columns], F.col(name))

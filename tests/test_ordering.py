@@ -17,18 +17,21 @@ def _frame(spark, n=3000, hot=True):
 
 @pytest.mark.parametrize("keys", [[], ["k"]])
 @pytest.mark.parametrize("direction", ["forward", "backward"])
-def test_fill_matches_pandas_with_hot_key(spark, keys, direction):
+@pytest.mark.parametrize("buckets", [9, 300])          # CASE-tree buckets / range partitions
+def test_fill_matches_pandas_with_hot_key(spark, keys, direction, buckets):
     df, pdf = _frame(spark)
-    got = ordered_fill(df, ["v"], ["t", "id"], keys, direction, n_buckets=9).toPandas().sort_values(["t", "id"])
+    got = ordered_fill(df, ["v"], ["t", "id"], keys, direction, n_buckets=buckets).toPandas() \
+        .sort_values(["t", "id"])
     g = pdf.groupby("k")["v"] if keys else pdf["v"]
     ref = g.ffill() if direction == "forward" else g.bfill()
     a, r = got["v"].to_numpy(), ref.to_numpy()
     assert np.all((a == r) | (np.isnan(a.astype(float)) & np.isnan(r)))
 
 
-def test_global_row_number(spark):
+@pytest.mark.parametrize("buckets", [7, 300])
+def test_global_row_number(spark, buckets):
     df, pdf = _frame(spark)
-    got = global_row_number(df, ["t", "id"], n_buckets=7).toPandas().sort_values(["t", "id"])
+    got = global_row_number(df, ["t", "id"], n_buckets=buckets).toPandas().sort_values(["t", "id"])
     assert (got["row_pos"].to_numpy() == np.arange(1, len(got) + 1)).all()
 
 
