@@ -138,7 +138,8 @@ def write_targets(df: DataFrame, targets: list[dict], fail_on_target_error: bool
                 elif kind == "parquet":
                     write_parquet(data, t["path"], t.get("compression", "snappy"), t.get("mode", "w"))
                 elif kind == "split":
-                    write_split_by_group(data, t["path"], t["group_by"], t.get("format", "parquet"))
+                    write_split_by_group(data, t["path"], t["group_by"], t.get("format", "parquet"),
+                                         t.get("mode", "w"))
                 elif kind == "jdbc":
                     write_jdbc(data, t["url"], t["table_name"], t.get("if_exists", "replace"),
                                t.get("chunksize", 10_000))

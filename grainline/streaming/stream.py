@@ -32,3 +32,24 @@ def run_available(stream: DataFrame, transform: Callable[[DataFrame], DataFrame]
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+def run_available_to_targets(stream: DataFrame, transform: Callable[[DataFrame], DataFrame],
+                             targets: list[dict], checkpoint_dir: str) -> None:
+    """Stream into the batch writers (split-by-group folders, JDBC tables, CSV…)
+    with ``foreachBatch``: every micro-batch is appended to every target.  The
+    checkpoint makes a restarted query resume after the last committed batch;
+    a batch interrupted half-way is replayed (at-least-once for these sinks)."""
+    from ..sinks.writers import write_targets
+
+    appended = [{**t, "mode": "append"} if t.get("type") != "jdbc" else {**t, "if_exists": "append"}
+                for t in targets]
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        write_targets(batch, appended)
+
+    query = (transform(stream).writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()

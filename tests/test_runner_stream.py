@@ -68,3 +68,17 @@ def test_fitted_operators_on_a_stream(spark):
     assert out.count() == batch.count()
     assert out.where(F.col("value").isNull()).count() == 0
     assert {r[0] for r in out.select("value_binned").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_stream_into_split_targets(spark):
+    batch = spark.read.parquet(f"{SF}/events.parquet")
+    base = scratch_dir(spark, "t-stream-split")
+    batch.write.parquet(f"{base}/in")
+    stream = ST.file_stream(spark, f"{base}/in", batch.schema, max_files_per_trigger=1)
+    ST.run_available_to_targets(stream, lambda d: d.select("event_id", "event_type"),
+                                [{"type": "split", "path": f"{base}/out", "group_by": "event_type"},
+                                 {"type": "parquet", "path": f"{base}/flat"}], f"{base}/ckpt")
+    out = spark.read.parquet(f"{base}/out")
+    assert out.count() == batch.count() == spark.read.parquet(f"{base}/flat").count()
+    assert {r[0] for r in out.select("event_type").distinct().collect()} == \
+        {r[0] for r in batch.select("event_type").distinct().collect()}
