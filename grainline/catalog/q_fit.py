@@ -220,3 +220,20 @@ def q_impute_knn(spark, sf):
         "p_partkey", "p_size",
         F.when(F.col("p_partkey") % 20 == 0, None).otherwise(F.col("p_retailprice")).alias("p_retailprice"))
     return rounded(I.impute(part, {"p_retailprice": "knn"}, knn_neighbors=5))
+
+
+@register("scale_minmax_range", "WITH s AS (SELECT " + ", ".join(
+    f"min({c}) AS {c}_lo, coalesce(nullif(max({c}) - min({c}), 0), 1) AS {c}_rng" for c in SCALE_COLS)
+    + " FROM lineitem) SELECT li.l_orderkey, li.l_linenumber, " + ", ".join(
+    f"(round((li.{c} - s.{c}_lo) / (s.{c}_rng / 2.0) + -1.0, 6) + 0.0) AS {c}" for c in SCALE_COLS)
+    + " FROM lineitem li, s")
+def q_scale_minmax_range(spark, sf):
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *SCALE_COLS)
+    return rounded(S.scale(df, SCALE_COLS, "minmax", feature_range=(-1.0, 1.0)))
+
+
+@register("encode_onehot_drop_first", "SELECT o_orderkey, o_totalprice, " + ", ".join(
+    f"coalesce(o_orderstatus = '{v}', false) AS \"status_{v}\"" for v in ["O", "P"]) + " FROM orders")
+def q_onehot_drop_first(spark, sf):
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return E.encode_onehot(df, ["o_orderstatus"], prefix="status", drop_first=True)

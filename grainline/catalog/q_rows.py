@@ -239,3 +239,22 @@ def q_poly(spark, sf):
     df = lineitem_gaps(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
     return FE.polynomial_features(df, ["l_quantity", "l_discount"], 2)
 
+
+
+# ------------------------------------------------------------ option variants
+@register("feat_bin_labels", """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice > 0 AND l_extendedprice <= 20000 THEN 'low'
+  WHEN l_extendedprice > 20000 AND l_extendedprice <= 50000 THEN 'mid'
+  WHEN l_extendedprice > 50000 AND l_extendedprice <= 100000 THEN 'high' END AS price_band
+FROM lineitem""")
+def q_bin_labels(spark, sf):
+    df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return FE.binned_feature(df, "l_extendedprice", [0, 20000, 50000, 100000], "equal_width",
+                             labels=["low", "mid", "high"], name="price_band").drop("l_extendedprice")
+
+
+@register("cast_columns_keep", f"""
+SELECT event_id, CAST(user_id AS INTEGER) AS user_id, k, when_text FROM {K_SQL}""")
+def q_cast_keep(spark, sf):
+    # "k" holds text that is not a number in some rows: the whole column stays text
+    return C.cast_columns(_events_text_k(spark, sf), {"user_id": "int32", "k": "int"}, on_error="keep")

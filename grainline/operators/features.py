@@ -137,7 +137,8 @@ class BinModel:
         inside = ((x >= low) if self.include_lowest else (x > low)) & (x <= F.lit(float(self.edges[-1])))
         code = F.when(x.isNotNull() & inside, F.greatest(F.lit(0), F.least(idx, F.lit(n_bins - 1))))
         if self.labels:
-            return F.element_at(F.array(*[F.lit(v) for v in self.labels]), code + 1)
+            # guard the lookup: element_at with a null index does not give null here
+            return F.when(code.isNotNull(), F.element_at(F.array(*[F.lit(v) for v in self.labels]), code + 1))
         return code.cast("int")
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -58,3 +58,10 @@ def test_scale_inverse_roundtrip(spark, method):
 def test_zscore_constant_column_never_flags(spark):
     df = spark.createDataFrame([(5.0,)] * 10, "c double")
     assert O.detect_outliers(df, ["c"], "zscore", "flag").where("is_outlier").count() == 0
+
+
+def test_labels_and_explicit_edges_leave_outside_values_null(spark):
+    df = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, 10.0), (4, 25.0), (5, None)], "id int, x double")
+    out = FE.binned_feature(df, "x", [0, 10, 20], labels=["lo", "hi"], name="b").orderBy("id").collect()
+    ref = pd.cut(pd.Series([0.0, 5.0, 10.0, 25.0, None], dtype="float64"), [0, 10, 20], labels=["lo", "hi"])
+    assert [r["b"] for r in out] == [None if pd.isna(v) else v for v in ref]
