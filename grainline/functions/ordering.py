@@ -74,7 +74,7 @@ def assign_buckets(df: DataFrame, sort_cols: list[str], n_buckets: int | None =
     n = df.count()
     want = n_buckets or wanted_buckets(df, n)
     if want <= CASE_MAX_BUCKETS:
-        expr, nb = range_bucket_expr(df, sort_cols, want)
+        expr, nb = range_bucket_expr(df, sort_cols, want, n=n)
         return df.withColumn(name, expr), nb
     ranged = df.repartitionByRange(want, *[qcol(c) for c in sort_cols]).withColumn(
         name, F.spark_partition_id())
@@ -88,9 +88,10 @@ def _lookup(data: DataFrame, rows: list[tuple], schema: T.StructType, on: str) -
 
 
 def range_bucket_expr(df: DataFrame, sort_cols: list[str], n_buckets: int | None = None,
-                      seed: int = 7) -> tuple[Column, int]:
-    """Deterministic range-bucket id of each row over ``sort_cols`` ascending."""
-    n = df.count()
+                      seed: int = 7, n: int | None = None) -> tuple[Column, int]:
+    """Deterministic range-bucket id of each row over ``sort_cols`` ascending
+    (``n``: the row count, when the caller already has it)."""
+    n = df.count() if n is None else n
     n_buckets = max(1, min(CASE_MAX_BUCKETS, n_buckets or wanted_buckets(df, n)))
     if n == 0 or n_buckets == 1:
         return F.lit(0), 1
