@@ -198,9 +198,10 @@ def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
 
 
 def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_pos",
-                      n_buckets: int | None = None) -> DataFrame:
+                      n_buckets: int | None = None, with_total: bool = False):
     """1-based position of each row in ``order_by`` order, computed in two
-    levels (no single-task window)."""
+    levels (no single-task window).  ``with_total=True`` also returns the row
+    count (known from the per-bucket counts, no extra job)."""
     b = "__pos_bucket"
     data, nb = assign_buckets(df, list(order_by), n_buckets, b)
     counts = {r[b]: r["n"] for r in data.groupBy(b).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -212,4 +213,5 @@ def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_pos",
     data = _lookup(data, rows, schema, b)
     w = Window.partitionBy(F.col(b)).orderBy(*[qcol(c) for c in order_by])
     out = data.withColumn(name, F.row_number().over(w) + F.col("__offset"))
-    return out.select(*[qcol(c) for c in df.columns], F.col(name))
+    out = out.select(*[qcol(c) for c in df.columns], F.col(name))
+    return (out, run) if with_total else out

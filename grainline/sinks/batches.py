@@ -18,8 +18,7 @@ from ..functions.ordering import global_row_number
 
 def request_batches(df: DataFrame, order_by: list[str], batch_size: int = 100) -> DataFrame:
     """``(batch_number, batch_size, total_batches, payload)`` per batch."""
-    numbered = global_row_number(df, order_by, name="__pos")
-    total = numbered.count()
+    numbered, total = global_row_number(df, order_by, name="__pos", with_total=True)
     total_batches = -(-total // batch_size) if total else 0
     rec = F.struct(*[qcol(c) for c in df.columns])
     batched = numbered.select(((F.col("__pos") - 1) / F.lit(batch_size)).cast("long").alias("b"),
