@@ -52,9 +52,9 @@ def fit_label(df: DataFrame, column: str) -> LabelModel:
     # materialise the dictionary once in the shared checkpoint folder
     if df.sparkSession.sparkContext.getCheckpointDir():
         values = values.checkpoint()
-    numbered = global_row_number(values, ["value"], name="code")
+    numbered, size = global_row_number(values, ["value"], name="code", with_total=True)
     dictionary = numbered.select("value", (F.col("code") - 1).cast("int").alias("code"))
-    return LabelModel(column, dictionary, dictionary.count())
+    return LabelModel(column, dictionary, size)
 
 
 def encode_label(df: DataFrame, columns=None) -> DataFrame:
