@@ -2,7 +2,9 @@
 
 A lookup table is broadcast only when its row count — measured, not guessed —
 is under ``BROADCAST_ROW_LIMIT``; above it the join shuffles both sides and
-AQE's skew-join handling splits a hot key of the big side.
+AQE's skew-join handling splits a hot key of the big side.  Without a known
+row count the join is left to AQE, which switches to a broadcast at run time
+from the measured size of the lookup side (no extra counting job).
 """
 
 from __future__ import annotations
@@ -16,6 +18,6 @@ BROADCAST_ROW_LIMIT = 2_000_000
 def join_lookup(df: DataFrame, lookup: DataFrame, on, how: str = "left",
                 lookup_rows: int | None = None) -> DataFrame:
     if lookup_rows is None:
-        lookup_rows = lookup.count()
+        return df.join(lookup, on, how)
     side = F.broadcast(lookup) if lookup_rows <= BROADCAST_ROW_LIMIT else lookup
     return df.join(side, on, how)

@@ -96,8 +96,8 @@ def encode_target(df: DataFrame, columns=None, target_column: str | None = None,
             continue
         means = (df.where(qcol(c).isNotNull()).groupBy(qcol(c).alias("__te_key"))
                  .agg(F.avg(as_double(df, target_column)).alias(f"{c}_target_encoded")))
-        n = means.count()
-        joined = join_lookup(df, means, qcol(c) == F.col("__te_key"), "left", n).drop("__te_key")
+        # one row per category: AQE broadcasts it at run time when it is small
+        joined = join_lookup(df, means, qcol(c) == F.col("__te_key"), "left").drop("__te_key")
         if drop_original:
             joined = joined.drop(c)
         df = joined
