@@ -1,10 +1,10 @@
 """Isolation forest (Liu, Ting, Zhou 2008) as a distributed Spark job.
 
 1. **Sample.**  Every row hashes itself once per tree (``xxhash64`` of its
-   values and the tree seed, all in one projection).  A row joins tree ``t``
-   when its hash falls under a rate that yields about twice ``max_samples``
-   rows per tree, so the sample step emits a few hundred rows per tree — never
-   a copy of the table per tree.
+   values and the tree seed) inside one codegen pipeline.  A row joins tree
+   ``t`` when its hash falls under a rate that yields about twice
+   ``max_samples`` rows per tree, so only a few hundred rows per tree leave
+   the stage — the table is never copied per tree.
 2. **Grow.**  ``groupBy(tree).applyInPandas``: each group keeps its
    ``max_samples`` smallest hashes and grows one random tree with numpy.  A
    group holds at most a few hundred rows.
@@ -147,17 +147,15 @@ def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_sa
     rate = min(1.0, 2.0 * psi / max(n, 1))
     scale = 1 << 30
     feats = [as_double(df, c) for c in cols]
-    # one hash per (row, tree), all codegen'd CASE expressions; keep the trees under the rate
-    def tree_hash(t):
-        return F.xxhash64(*feats, F.lit(seed * 1000 + t))
-
-    cut = F.lit(int(rate * scale))
-    member = F.array_compact(F.array(*[F.when(F.pmod(tree_hash(t), F.lit(scale)) < cut, F.lit(t))
-                                       for t in range(n_trees)]))
-    sample = (df.select(*[f.alias(f"x{i}") for i, f in enumerate(feats)], F.explode(member).alias("tree"))
-              .withColumn("h", F.xxhash64(*[F.col(f"x{i}") for i in range(len(cols))],
-                                          F.lit(seed * 1000) + F.col("tree")))
-              .select("tree", "h", *[F.col(f"x{i}") for i in range(len(cols))]))
+    # each row is tested against every tree inside one whole-stage-codegen
+    # pipeline (generate tree ids, hash, filter); only the sampled
+    # (row, tree) pairs leave the stage
+    xs = [F.col(f"x{i}") for i in range(len(cols))]
+    sample = (df.select(*[f.alias(f"x{i}") for i, f in enumerate(feats)])
+              .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
+              .withColumn("h", F.xxhash64(*xs, F.lit(seed * 1000) + F.col("tree")))
+              .where(F.pmod(F.col("h"), F.lit(scale)) < F.lit(int(rate * scale)))
+              .select("tree", "h", *xs))
     xcols = [f"x{i}" for i in range(len(cols))]
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
