@@ -212,13 +212,14 @@ def _resolve(base, v, pending, accuracy, collect_limit):
     raise RuntimeError(f"quantile search did not converge for {sorted(pending)}")
 
 
-def column_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
+def column_modes(df: DataFrame, columns: list[str], distinct_out: dict | None = None) -> dict[str, object]:
     """Most frequent non-null value per column, smallest value on ties.
 
     Columns of one type family are stacked into ``(column, value)`` rows and
     counted by one partial aggregation (combined map-side, so a value holding a
     third of the table is one row per task before the shuffle); then one
-    ``min(struct(-count, value))`` per column over the distinct values.  Text
+    ``min(struct(-count, value))`` per column over the distinct values (the
+    number of distinct values per column comes with it: ``distinct_out``).  Text
     columns and numeric columns (as double, ordered numerically) each take one
     job; other types keep their own type, one job each.
     """
@@ -239,8 +240,12 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
                                     for i, c in enumerate(cols)])).alias("p")
         counted = (df.select(pairs).select("p.k", "p.v").where(F.col("v").isNotNull())
                    .groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
-        best = counted.groupBy("k").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("v"))).alias("m"))
-        found = {r["k"]: r["m"]["v"] for r in best.collect()}      # one row per column
+        best = counted.groupBy("k").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("v"))).alias("m"),
+                                        F.count(F.lit(1)).alias("d"))
+        rows = best.collect()                                       # one row per column
+        found = {r["k"]: r["m"]["v"] for r in rows}
+        if distinct_out is not None:
+            distinct_out.update({cols[r["k"]]: r["d"] for r in rows})
         for i, c in enumerate(cols):
             v = found.get(i)
             dt = df.schema[c].dataType

@@ -70,9 +70,9 @@ def profile_categorical(df: DataFrame, columns=None) -> DataFrame:
     cols = columns or string_columns(df)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, unique_count bigint, most_frequent string")
-    row = df.agg(*[F.count_distinct(qcol(c)).alias(f"d{i}") for i, c in enumerate(cols)]).first()
-    modes = column_modes(df, cols)
-    rows = [(c, row[f"d{i}"], modes[c]) for i, c in enumerate(cols)]
+    distinct: dict = {}
+    modes = column_modes(df, cols, distinct_out=distinct)      # one job: modes and distinct counts
+    rows = [(c, distinct.get(c, 0), modes[c]) for c in cols]
     return df.sparkSession.createDataFrame(rows, "column string, unique_count bigint, most_frequent string")
 
 
