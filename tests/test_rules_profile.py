@@ -37,3 +37,11 @@ def test_profiles(spark):
     assert (cat["unique_count"], cat["most_frequent"]) == (2, "a")
     num = {r["stat"]: r["value"] for r in PR.profile_numeric(df).collect()}
     assert num["50%"] == 1.5 and num["count"] == 4
+
+
+def test_uniqueness_approximate_option(spark):
+    df = spark.range(5000).selectExpr("id", "id % 100 AS g")
+    exact = R.validate(df, {"quality": [{"type": "uniqueness", "columns": ["g"]}]}).first()
+    approx = R.validate(df, {"quality": [{"type": "uniqueness", "columns": ["g"], "approximate": True}]}).first()
+    assert exact["metric"] == 4900
+    assert abs(approx["metric"] - 4900) <= 5
