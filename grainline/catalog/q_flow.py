@@ -60,9 +60,9 @@ def q_spec_steps(spark, sf):
 
 
 @register("step_shapes", """
-SELECT 0 AS step, 'clean' AS type, count_if(o_orderstatus IS DISTINCT FROM 'P') AS rows_out, 7 AS columns_in,
+SELECT 0 AS step, 'clean' AS type, CAST(count_if(o_orderstatus IS DISTINCT FROM 'P') AS BIGINT) AS rows_out, 7 AS columns_in,
   7 AS columns_out FROM orders WHERE o_totalprice > 100000
-UNION ALL SELECT 1, 'feature_engineering', count_if(o_orderstatus IS DISTINCT FROM 'P'), 7, 10
+UNION ALL SELECT 1, 'feature_engineering', CAST(count_if(o_orderstatus IS DISTINCT FROM 'P') AS BIGINT), 7, 10
   FROM orders WHERE o_totalprice > 100000""")
 def q_step_shapes(spark, sf):
     res = run_spec(spark, _orders_spec(sf))

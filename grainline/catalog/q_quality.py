@@ -185,9 +185,9 @@ def q_gate(spark, sf):
     return R.first_critical_failure(_suite(spark, sf)).select("pos", "rule")
 
 
-@register("val_summary", f"""SELECT count(*) AS total_rules, count_if(passed) AS passed_rules,
-count_if(NOT passed) AS failed_rules, count_if(NOT passed AND critical) AS error_rules,
-count_if(NOT passed AND NOT critical) AS warning_rules FROM ({SUITE_SQL})""")
+@register("val_summary", f"""SELECT count(*) AS total_rules, CAST(count_if(passed) AS BIGINT) AS passed_rules,
+CAST(count_if(NOT passed) AS BIGINT) AS failed_rules, CAST(count_if(NOT passed AND critical) AS BIGINT) AS error_rules,
+CAST(count_if(NOT passed AND NOT critical) AS BIGINT) AS warning_rules FROM ({SUITE_SQL})""")
 def q_summary(spark, sf):
     return R.summary(_suite(spark, sf))
 
@@ -206,9 +206,9 @@ def q_profile_basic(spark, sf):
 
 
 @register("profile_missing", " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count_if({c} IS NULL) AS missing_count, "
+    f"SELECT '{c}' AS \"column\", CAST(count_if({c} IS NULL) AS BIGINT) AS missing_count, "
     f"(round(100.0 * count_if({c} IS NULL) / count(*), 6) + 0.0) AS missing_percentage FROM {EG}" for c in EV_COLS)
-    + f" UNION ALL SELECT '*', count_if(event_type IS NULL) + count_if(value IS NULL), NULL FROM {EG}")
+    + f" UNION ALL SELECT '*', CAST(count_if(event_type IS NULL) + count_if(value IS NULL) AS BIGINT), NULL FROM {EG}")
 def q_profile_missing(spark, sf):
     return rounded(PR.profile_missing(events_gaps(spark, sf)))
 

@@ -48,11 +48,20 @@ def test_entry_runs(spark):
     assert "is_outlier" in df.columns
 
 
+# DuckDB result types → Spark type names (the driver compares schemas too)
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float"}
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    got = QUERIES[key](spark, SF).toPandas()
+    sdf = QUERIES[key](spark, SF)
+    got = sdf.toPandas()
     if key not in ORACLES:
         assert len(got.columns) > 0
         return
     want = con.execute(ORACLES[key]).df()
     assert _rows(got) == _rows(want)
+    spark_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    duck_types = {r[0]: DUCK_TO_SPARK.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {ORACLES[key]}").fetchall()}
+    assert spark_types == duck_types
