@@ -16,8 +16,6 @@ and keeps the chosen features plus every non-feature column.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,25 +37,30 @@ def variance_scores(df: DataFrame, feature_columns=None, target: str | None = No
 
 def anova_f_scores(df: DataFrame, target: str, feature_columns=None) -> DataFrame:
     """ANOVA F per feature against a class column (rows with a null class or
-    value are left out, per feature)."""
+    value are left out, per feature).  One scan: per-class sufficient
+    statistics for every feature, then one aggregate over the class rows."""
     feats = _features(df, feature_columns, target)
     per_class = df.where(qcol(target).isNotNull()).groupBy(qcol(target).alias("__cls")).agg(
         *[agg for i, c in enumerate(feats) for agg in (
             F.count(as_double(df, c)).alias(f"n{i}"), F.sum(as_double(df, c)).alias(f"s{i}"),
             F.sum(as_double(df, c) * as_double(df, c)).alias(f"q{i}"))])
-    parts = []
-    for i, c in enumerate(feats):
-        n, s, q = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")
-        parts.append(per_class.where(n > 0).agg(
-            F.lit(c).alias("feature"),
-            F.sum(n).alias("N"), F.count(F.lit(1)).alias("K"), F.sum(s).alias("S"), F.sum(q).alias("Q"),
-            F.sum(s * s / n).alias("B")))
-    stats = reduce(DataFrame.unionByName, parts)
+    totals = []
+    for i in range(len(feats)):
+        n, s_, q = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")
+        present = n > 0
+        totals += [F.sum(F.when(present, n)).alias(f"N{i}"), F.count_if(present).alias(f"K{i}"),
+                   F.sum(F.when(present, s_)).alias(f"S{i}"), F.sum(F.when(present, q)).alias(f"Q{i}"),
+                   F.sum(F.when(present, s_ * s_ / n)).alias(f"B{i}")]
+    wide = per_class.agg(*totals)
     # SSB = sum_k S_k^2/n_k - S^2/N ; SSW = Q - sum_k S_k^2/n_k
-    ssb = F.col("B") - F.col("S") * F.col("S") / F.col("N")
-    ssw = F.col("Q") - F.col("B")
-    f = F.try_divide(ssb / (F.col("K") - 1), ssw / (F.col("N") - F.col("K")))
-    return stats.select("feature", f.alias("score"))
+    rows = []
+    for i, c in enumerate(feats):
+        N, K, S, Q, B = (F.col(f"{x}{i}") for x in "NKSQB")
+        ssb = B - S * S / N
+        ssw = Q - B
+        rows.append(F.struct(F.lit(c).alias("feature"),
+                             F.try_divide(ssb / (K - 1), ssw / (N - K)).alias("score")))
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.feature", "r.score")
 
 
 def regression_f_scores(df: DataFrame, target: str, feature_columns=None) -> DataFrame:
@@ -90,10 +93,15 @@ def select_variance(df: DataFrame, threshold: float = 0.01, feature_columns=None
 
 
 def top_k(scores: DataFrame, k: int) -> DataFrame:
-    """Mark the ``k`` best features (ties: feature name order)."""
-    ranked = scores.orderBy(F.desc_nulls_last("score"), "feature").limit(k).select("feature")
-    return scores.join(ranked.withColumn("selected", F.lit(True)), "feature", "left") \
-        .withColumn("selected", F.coalesce("selected", F.lit(False)))
+    """Mark the ``k`` best features (ties: feature name order).  The score
+    table has one row per feature, so it is read once and ranked on the
+    driver instead of being recomputed for a self-join."""
+    rows = scores.collect()                              # one row per feature
+    ranked = sorted(rows, key=lambda r: (r["score"] is None, -(r["score"] or 0.0), r["feature"]))
+    chosen = {r["feature"] for r in ranked[:k]}
+    return scores.sparkSession.createDataFrame(
+        [(r["feature"], r["score"], r["feature"] in chosen) for r in rows],
+        "feature string, score double, selected boolean")
 
 
 def select_univariate(df: DataFrame, target: str, k: int = 10, problem_type: str = "classification",
@@ -103,7 +111,7 @@ def select_univariate(df: DataFrame, target: str, k: int = 10, problem_type: str
     feats = _features(df, feature_columns, target)
     scores = anova_f_scores(df, target, feats) if problem_type == "classification" \
         else regression_f_scores(df, target, feats)
-    chosen = {r["feature"] for r in top_k(scores, min(k, len(feats))).where("selected").collect()}
+    chosen = {r["feature"] for r in top_k(scores, min(k, len(feats))).collect() if r["selected"]}
     return _keep(df, feats, chosen)
 
 
