@@ -129,19 +129,24 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", encoding: str
 def _skip_lines(spark: SparkSession, path: str, encoding: str, n: int) -> DataFrame:
     """Lines of every text file with the first ``n`` lines of each file removed.
 
-    A line's id (``monotonically_increasing_id``) is consecutive inside a
-    partition, and the first split of a file is read by one partition in line
-    order; so the first ``n`` lines of a file are the ids ``first .. first+n-1``
-    where ``first`` is the smallest id of that file (valid while the skipped
-    lines lie in the first split, i.e. any realistic ``n``).  The per-file
-    minimum is a partial aggregate with one row per file.
+    Only splits that start a file (``_metadata.file_block_start == 0``) can
+    hold those lines; rows of every other split pass straight through.  Inside
+    a first split, a line's ``monotonically_increasing_id`` is consecutive and
+    in file order, so the first ``n`` lines of a file are the ids
+    ``first .. first+n-1`` where ``first`` is the smallest id of that file
+    (valid while the skipped lines lie in the first split, i.e. any realistic
+    ``n``).  The per-file minimum is a partial aggregate with one row per file.
     """
     lines = (spark.read.option("encoding", encoding).text(path)
              .select(F.col("value"), F.col("_metadata.file_path").alias("__file"),
+                     F.col("_metadata.file_block_start").alias("__start"),
                      F.monotonically_increasing_id().alias("__id")))
-    firsts = lines.groupBy("__file").agg(F.min("__id").alias("__first"))
-    kept = lines.join(F.broadcast(firsts), "__file").where(F.col("__id") >= F.col("__first") + n)
-    return kept.select("value", "__file", (F.col("__id") - F.col("__first") - n).alias("__line"))
+    head = lines.where(F.col("__start") == 0)
+    firsts = head.groupBy("__file").agg(F.min("__id").alias("__first"))   # one row per file
+    kept = head.join(F.broadcast(firsts), "__file").where(F.col("__id") >= F.col("__first") + n)
+    kept = kept.select("value", "__file", (F.col("__id") - F.col("__first") - n).alias("__line"))
+    rest = lines.where(F.col("__start") > 0).select("value", "__file", F.lit(1 << 62).alias("__line"))
+    return kept.unionByName(rest)
 
 
 def _csv_after_skip(spark, path, separator, encoding, header, n) -> DataFrame:

@@ -96,3 +96,28 @@ def test_union_skips_empty_sources(spark):
     b = spark.createDataFrame([], "k int, only_here string")
     u = SM.union_sources({"a": a, "b": b})
     assert u.columns == ["k", "_source"] and u.count() == 1
+
+
+def test_csv_skip_rows_when_a_file_has_many_splits(spark):
+    def _preamble(batches):
+        first = True
+        for pdf in batches:
+            if first:
+                yield pd.DataFrame({"value": ["junk", "a,b"]})
+                first = False
+            yield pdf
+
+    path = scratch_dir(spark, "t-skip-split")
+    lines = spark.range(0, 60000, numPartitions=1).select(
+        F.concat_ws(",", F.col("id").cast("string"), (F.col("id") + 1).cast("string")).alias("value"))
+    lines.mapInPandas(_preamble, "value string").write.text(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 * 1024))
+    try:
+        df = SF.read_csv(spark, path, skip_rows=1)
+        got = df.toPandas()
+        parts = spark.read.text(path).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert parts > 1
+    assert len(got) == 60000 and (got.b == got.a + 1).all() and got.a.min() == 0
