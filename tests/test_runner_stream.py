@@ -82,3 +82,32 @@ def test_stream_into_split_targets(spark):
     assert out.count() == batch.count() == spark.read.parquet(f"{base}/flat").count()
     assert {r[0] for r in out.select("event_type").distinct().collect()} == \
         {r[0] for r in batch.select("event_type").distinct().collect()}
+
+
+def test_template_like_spec_on_csv(spark):
+    """The shape of the source tool's template: CSV in, dedupe, impute mean/mode,
+    completeness check, CSV out."""
+    base = scratch_dir(spark, "t-template")
+    rows = [(1, "a", 1.5, 10.0, "x"), (1, "a", 1.5, 10.0, "x"), (2, "b", 2.5, None, "y"),
+            (3, "c", 3.5, 30.0, None), (4, "d", 4.5, 20.0, "y")]
+    spark.createDataFrame(rows, "id int, name string, value double, numeric_column double, "
+                                "categorical_column string").write.option("header", "true").csv(f"{base}/in")
+    spec = {
+        "name": "template",
+        "extraction": {"sources": [{"name": "input", "type": "csv", "path": f"{base}/in"}]},
+        "validation": {"pre": {"schema": [{"type": "required_columns", "columns": ["id", "name", "value"]}],
+                               "quality": [{"type": "null_check", "columns": ["id"], "critical": True}]},
+                       "post": {"quality": [{"type": "completeness", "min_completeness": 95}]}},
+        "transformation": {"steps": [
+            {"type": "clean", "config": {"remove_duplicates": True}},
+            {"type": "impute", "config": {"column_strategies": {"numeric_column": "mean",
+                                                                "categorical_column": "mode"}}}]},
+        "loading": {"targets": [{"type": "csv", "path": f"{base}/out"}]},
+    }
+    res = run_spec(spark, spec)
+    assert res.success, res.error
+    out = {r["id"]: r for r in spark.read.option("header", "true").csv(f"{base}/out").collect()}
+    assert len(out) == 4
+    assert float(out["2"]["numeric_column"]) == 20.0          # mean of 10, 30, 20 after dedupe
+    assert out["3"]["categorical_column"] == "y"               # most frequent after dedupe
+    assert res.source_rows == {"input": 5} and res.target_rows == 4
