@@ -45,3 +45,22 @@ def test_uniqueness_approximate_option(spark):
     approx = R.validate(df, {"quality": [{"type": "uniqueness", "columns": ["g"], "approximate": True}]}).first()
     assert exact["metric"] == 4900
     assert abs(approx["metric"] - 4900) <= 5
+
+
+def test_rules_ride_on_a_write(spark):
+    from grainline.catalog.registry import scratch_dir
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    cfg = {"schema": [{"type": "required_columns", "columns": ["event_id"]}],
+           "quality": [{"type": "null_check", "columns": ["value"]},
+                       {"type": "value_range", "columns": ["value"], "min_value": 0, "max_value": 100}],
+           "business": [{"name": "pos", "expression": "value > 0"},
+                        {"name": "total", "expression": "sum(value) > 0", "aggregate": True}],
+           "statistical": [{"type": "distribution", "column": "value", "expected_mean": 50}]}
+    observed, results = R.observe_rules(df, cfg)
+    observed.write.parquet(scratch_dir(spark, "t-observe"))
+    got = [(r["rule"], r["passed"], r["metric"]) for r in results().orderBy("pos").collect()]
+    want = [(r["rule"], r["passed"], r["metric"]) for r in R.validate(df, cfg).orderBy("pos").collect()]
+    assert got == want
+    import pytest
+    with pytest.raises(ValueError):
+        R.observe_rules(df, {"quality": [{"type": "uniqueness", "columns": ["event_id"]}]})
