@@ -99,8 +99,46 @@ def profile_top_values(df: DataFrame, columns=None, k: int = 10, salt: int = 64)
 
 
 def profile(df: DataFrame) -> dict[str, DataFrame]:
-    """All profiles of a table."""
-    return {"basic": profile_basic(df), "missing": profile_missing(df),
-            "duplicates": profile_duplicates(df), "numeric": profile_numeric(df),
-            "categorical": profile_categorical(df), "top_values": profile_top_values(df)}
-
+    """All profiles of a table with the scans fused: one aggregate pass holds the
+    row count, every null count, the distinct-row count, the numeric moments and
+    the quantile sketches (one more bounded pass finishes the quantiles); modes
+    with distinct counts take one job per type family; top values one job."""
+    spark = df.sparkSession
+    cols = df.columns
+    nums, texts = numeric_columns(df), string_columns(df)
+    extra = {"__n": F.count(F.lit(1)), "__d": F.count_distinct(F.struct(*[qcol(c) for c in cols]))}
+    extra.update({f"z{i}": F.count_if(clean_value(df, c).isNull()) for i, c in enumerate(cols)})
+    for i, c in enumerate(nums):
+        x = as_double(df, c)
+        extra.update({f"c{i}": F.count(x), f"m{i}": F.avg(x), f"s{i}": F.stddev_samp(x),
+                      f"lo{i}": F.min(x), f"hi{i}": F.max(x)})
+    v: dict = {}
+    if nums:
+        q = exact_quantiles(df, nums, [0.25, 0.5, 0.75], extra=extra, extra_out=v)
+    else:
+        q = {}
+        row = df.agg(*[e.alias(k) for k, e in extra.items()]).first()
+        v = {k: row[k] for k in extra}
+    n = v["__n"]
+    basic = [("rows", None, str(n)), ("columns", None, str(len(cols)))]
+    basic += [("dtype", f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    missing = [(c, v[f"z{i}"], (100.0 * v[f"z{i}"] / n) if n else None) for i, c in enumerate(cols)]
+    missing.append(("*", sum(r[1] for r in missing), None))
+    dups = n - v["__d"]
+    numeric = []
+    for i, c in enumerate(nums):
+        vals = [v[f"c{i}"], v[f"m{i}"], v[f"s{i}"], v[f"lo{i}"], *q[c], v[f"hi{i}"]]
+        numeric += [(c, st, None if x is None else float(x)) for st, x in zip(NUMERIC_STATS, vals)]
+    distinct: dict = {}
+    modes = column_modes(df, texts, distinct_out=distinct) if texts else {}
+    return {
+        "basic": spark.createDataFrame(basic, "metric string, column string, value string"),
+        "missing": spark.createDataFrame(missing, "column string, missing_count bigint, missing_percentage double"),
+        "duplicates": spark.createDataFrame([(dups, (100.0 * dups / n) if n else 0.0)],
+                                            "duplicate_rows bigint, duplicate_percentage double"),
+        "numeric": spark.createDataFrame(numeric, "column string, stat string, value double"),
+        "categorical": spark.createDataFrame([(c, distinct.get(c, 0), modes[c]) for c in texts],
+                                             "column string, unique_count bigint, most_frequent string"),
+        "top_values": profile_top_values(df, texts) if texts
+        else spark.createDataFrame([], "column string, value string, count bigint"),
+    }

@@ -64,3 +64,13 @@ def test_rules_ride_on_a_write(spark):
     import pytest
     with pytest.raises(ValueError):
         R.observe_rules(df, {"quality": [{"type": "uniqueness", "columns": ["event_id"]}]})
+
+
+def test_fused_profile_equals_single_profiles(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    fused = PR.profile(df)
+    single = {"basic": PR.profile_basic(df), "missing": PR.profile_missing(df),
+              "duplicates": PR.profile_duplicates(df), "numeric": PR.profile_numeric(df),
+              "categorical": PR.profile_categorical(df), "top_values": PR.profile_top_values(df)}
+    for name, frame in single.items():
+        assert sorted(map(tuple, fused[name].collect())) == sorted(map(tuple, frame.collect())), name
