@@ -64,6 +64,34 @@ class History:
         out.write.mode("append").parquet(f"{self.root}/quality")
 
 
+    def record_profile(self, run_id: str, step: str, profiles: dict) -> None:
+        """Append table-profile numbers (``plans.profile.profile``) as quality
+        metrics: missing share per column, duplicate rows, numeric statistics."""
+        parts = []
+        if "missing" in profiles:
+            parts.append(profiles["missing"].where(F.col("column") != "*").select(
+                F.concat(F.lit("missing_pct."), F.col("column")).alias("metric_name"),
+                F.col("missing_percentage").alias("metric_value"),
+                F.lit("share of missing values, %").alias("metric_description")))
+        if "duplicates" in profiles:
+            parts.append(profiles["duplicates"].select(
+                F.lit("duplicate_rows").alias("metric_name"),
+                F.col("duplicate_rows").cast("double").alias("metric_value"),
+                F.lit("rows equal to an earlier row").alias("metric_description")))
+        if "numeric" in profiles:
+            parts.append(profiles["numeric"].select(
+                F.concat(F.col("stat"), F.lit("."), F.col("column")).alias("metric_name"),
+                F.col("value").alias("metric_value"), F.lit("numeric summary").alias("metric_description")))
+        if not parts:
+            return
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        out.select(F.lit(run_id).alias("pipeline_run_id"), F.lit(step).alias("step"), "metric_name",
+                   "metric_value", "metric_description", F.current_timestamp().alias("timestamp")) \
+            .write.mode("append").parquet(f"{self.root}/quality")
+
+
 def recent_runs(runs: DataFrame, n: int = 10) -> DataFrame:
     """Last ``n`` runs by start time (a top-k, the limit is the feature)."""
     return runs.orderBy(F.desc("start_time"), F.desc("id")).limit(n)

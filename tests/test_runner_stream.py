@@ -111,3 +111,13 @@ def test_template_like_spec_on_csv(spark):
     assert float(out["2"]["numeric_column"]) == 20.0          # mean of 10, 30, 20 after dedupe
     assert out["3"]["categorical_column"] == "y"               # most frequent after dedupe
     assert res.source_rows == {"input": 5} and res.target_rows == 4
+
+
+def test_profile_metrics_in_history(spark):
+    from grainline.plans import profile as PR
+    hist = H.History(spark, scratch_dir(spark, "t-qual"))
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    hist.record_profile("run-1", "extract", PR.profile(df))
+    q = {r["metric_name"]: r["metric_value"] for r in hist.table("quality").collect()}
+    assert q["duplicate_rows"] == 0.0 and q["missing_pct.o_orderkey"] == 0.0
+    assert q["count.o_totalprice"] == df.count()
