@@ -53,6 +53,8 @@ class History:
                                result.records_processed, result.error, _dt.datetime.now())], RUNS_SCHEMA)
         self._append("logs", [(result.run_id, lvl, msg, step, ts) for ts, lvl, step, msg in result.logs],
                      LOGS_SCHEMA)
+        for phase, results in (getattr(result, "validation", None) or {}).items():
+            self.record_quality(result.run_id, f"{phase}_validate", results)
 
     def record_quality(self, run_id: str, step: str, results: DataFrame) -> None:
         """Append rule results (``rule``/``metric``) as quality metrics — a

@@ -43,6 +43,8 @@ def test_run_success_history_and_shapes(spark):
     assert H.recent_runs(runs, 1).count() == 1
     thr = H.run_throughput(runs.where("status = 'completed'")).first()
     assert thr["records_per_second"] > 0
+    steps = {r["step"] for r in hist.table("quality").where(F.col("pipeline_run_id") == ok.run_id).collect()}
+    assert steps == {"pre_validate", "post_validate"}
 
 
 def test_skip_broken_step(spark):
