@@ -75,7 +75,17 @@ def category_values(df: DataFrame, column: str, max_categories: int = MAX_CATEGO
 
 def encode_onehot(df: DataFrame, columns=None, prefix: str | None = None, drop_first: bool = False,
                   max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    for c in _columns(df, columns):
+    cols = _columns(df, columns)
+    if cols:
+        # one HyperLogLog pass over all columns first: a column with millions of
+        # values fails here, before an exact distinct would shuffle all of them
+        approx = df.agg(*[F.approx_count_distinct(qcol(c), 0.02).alias(f"a{i}")
+                          for i, c in enumerate(cols)]).first()
+        for i, c in enumerate(cols):
+            if approx[f"a{i}"] > max_categories * 1.1:
+                raise ValueError(f"{c} has about {approx[f'a{i}']} categories (more than {max_categories}); "
+                                 "raise max_categories to one-hot encode it")
+    for c in cols:
         cats = category_values(df, c, max_categories)
         if drop_first:
             cats = cats[1:]

@@ -78,3 +78,9 @@ def test_json_records_single_object_and_missing_key(spark, tmp_path_factory):
     assert out.columns == ["v", "w.x"] and out.collect()[0]["w.x"] == 2
     with pytest.raises(Exception):
         SF.read_json_records(spark, path, "resp.nope")
+
+
+def test_onehot_refuses_high_cardinality_before_collecting(spark):
+    df = spark.range(5000).selectExpr("CAST(id AS STRING) AS k")
+    with pytest.raises(ValueError):
+        E.encode_onehot(df, ["k"], max_categories=100)
