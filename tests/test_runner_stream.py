@@ -123,3 +123,35 @@ def test_profile_metrics_in_history(spark):
     q = {r["metric_name"]: r["metric_value"] for r in hist.table("quality").collect()}
     assert q["duplicate_rows"] == 0.0 and q["missing_pct.o_orderkey"] == 0.0
     assert q["count.o_totalprice"] == df.count()
+
+
+def test_every_step_type_through_the_runner(spark):
+    spec = {
+        "name": "all-steps",
+        "extraction": {"sources": [{"name": "li", "type": "parquet", "path": f"{SF}/lineitem.parquet",
+                                    "columns": ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount",
+                                                "l_tax", "l_returnflag", "l_shipdate"]}]},
+        "transformation": {"steps": [
+            {"type": "clean", "config": {"remove_duplicates": True, "rename_columns": {"l_tax": "tax"}}},
+            {"type": "impute", "config": {"column_strategies": {"l_discount": "median"}}},
+            {"type": "feature_engineering", "config": {"features": [
+                {"type": "datetime", "column": "l_shipdate", "extract_features": ["year"]},
+                {"type": "binning", "column": "l_quantity", "bins": 4, "strategy": "equal_frequency"}]}},
+            {"type": "outlier_detection", "config": {"columns": ["l_extendedprice"], "method": "isolation_forest",
+                                                     "contamination": 0.05}},
+            {"type": "encode", "config": {"columns": ["l_returnflag"], "method": "target",
+                                          "target_column": "l_extendedprice"}},
+            {"type": "scale", "config": {"columns": ["l_quantity", "l_extendedprice"], "method": "robust"}},
+            {"type": "feature_selection", "config": {"method": "univariate", "target_column": "l_orderkey",
+                                                     "problem_type": "regression", "k": 2,
+                                                     "feature_columns": ["l_quantity", "l_discount", "tax"]}},
+            {"type": "dimensionality_reduction", "config": {"columns": ["l_extendedprice", "l_returnflag_target_encoded"],
+                                                            "n_components": 1}},
+            {"type": "custom", "config": {"expression": "coalesce(l_discount, tax) * 2", "new_column": "q2"}},
+        ]},
+    }
+    res = run_spec(spark, spec)
+    assert res.success, res.error
+    cols = res.data.columns
+    assert {"is_outlier", "pca_component_1", "q2", "l_shipdate_year", "l_quantity_binned"} <= set(cols)
+    assert "l_returnflag" not in cols and len(res.shapes) == 9
