@@ -24,6 +24,21 @@ from pyspark.sql import functions as F
 from .exprs import as_double, qcol
 
 
+def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float], *, accuracy: int = 10_000,
+                     where=None, extra: dict | None = None, extra_out: dict | None = None):
+    """One-pass ``percentile_approx`` quantiles (the ``approximate`` option)."""
+    base = df if where is None else df.where(where)
+    extra = extra or {}
+    aggs = [F.percentile_approx(as_double(base, c), list(probs), accuracy).alias(f"q{i}")
+            for i, c in enumerate(columns)]
+    aggs += [e.alias(f"x_{name}") for name, e in extra.items()]
+    row = base.agg(*aggs).first()
+    if extra_out is not None:
+        extra_out.update({name: row[f"x_{name}"] for name in extra})
+    return {c: (list(row[f"q{i}"]) if row[f"q{i}"] is not None else [None] * len(probs))
+            for i, c in enumerate(columns)}
+
+
 def _columns_of(df: DataFrame, extra: dict) -> list[str]:
     """Source columns the extra aggregates may refer to (all, when any)."""
     return list(df.columns) if extra else []
@@ -40,16 +55,21 @@ def _needed_ranks(n: int, p: float) -> tuple[int, int, float]:
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
                     accuracy: int = 2_000, collect_limit: int = 50_000,
                     where=None, extra: dict | None = None,
-                    extra_out: dict | None = None) -> dict[str, list[float | None]]:
+                    extra_out: dict | None = None, approximate: bool = False) -> dict[str, list[float | None]]:
     """Exact quantiles of numeric ``columns`` at ``probs`` (NaN and null skipped).
 
     Returns ``{column: [q(p) for p in probs]}``; ``None`` for a column without
     values.  ``where`` optionally restricts the rows (a boolean Column).
     ``extra`` — ``{name: aggregate Column over df}`` — rides along in the first
     pass (saving the caller a job); the values land in ``extra_out``.
+    ``approximate=True`` stops after the sketch (one pass, rank error below
+    ``1/accuracy``; the values are data values, not interpolated).
     """
     if not columns:
         return {}
+    if approximate:
+        return approx_quantiles(df, columns, probs, accuracy=max(accuracy, 10_000), where=where,
+                                extra=extra, extra_out=extra_out)
     base = df if where is None else df.where(where)
     extra = extra or {}
     base = base.select(*[as_double(base, c).alias(f"v{i}") for i, c in enumerate(columns)],

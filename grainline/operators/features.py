@@ -167,10 +167,11 @@ def fit_bins_equal_width(df: DataFrame, column: str, bins=5, labels=None, name=N
     return BinModel(column, edges, labels, name)
 
 
-def fit_bins_equal_frequency(df: DataFrame, column: str, bins=5, labels=None, name=None) -> BinModel:
+def fit_bins_equal_frequency(df: DataFrame, column: str, bins=5, labels=None, name=None,
+                             approximate: bool = False) -> BinModel:
     """Edges of ``pandas.qcut``: exact quantiles, duplicate edges dropped."""
     probs = [i / bins for i in range(bins + 1)] if isinstance(bins, int) else list(bins)
-    q = exact_quantiles(df, [column], probs)[column]
+    q = exact_quantiles(df, [column], probs, approximate=approximate)[column]
     if q[0] is None:
         return BinModel(column, [0.0, 0.0], labels, name)
     edges = sorted(set(q))

@@ -61,7 +61,8 @@ def fill_expr(df: DataFrame, column: str, value):
     return F.coalesce(c.cast("string"), F.lit(str(value)))
 
 
-def fit_imputer(df: DataFrame, strategies: dict[str, str], fill_values: dict | None = None) -> ImputeModel:
+def fit_imputer(df: DataFrame, strategies: dict[str, str], fill_values: dict | None = None,
+                approximate: bool = False) -> ImputeModel:
     """Fit mean / median / mode / constant fills for the given columns."""
     fill_values = fill_values or {}
     cols = {s: [c for c, st in strategies.items() if st == s and c in df.columns] for s in FIT_STRATEGIES}
@@ -77,7 +78,7 @@ def fit_imputer(df: DataFrame, strategies: dict[str, str], fill_values: dict | N
     cols = {s: [c for c in cs if c in has_null] for s, cs in cols.items()}
     values.update({c: row[f"m{i}"] for i, c in enumerate(mean_cols) if c in has_null})
     if cols["median"]:
-        q = exact_quantiles(df, cols["median"], [0.5])
+        q = exact_quantiles(df, cols["median"], [0.5], approximate=approximate)
         values.update({c: q[c][0] for c in cols["median"]})
     if cols["mode"]:
         values.update(column_modes(df, cols["mode"]))

@@ -46,10 +46,10 @@ class OutlierModel:
 
 
 def fit_outliers(df: DataFrame, columns=None, method: str = "iqr", threshold: float = 3.0,
-                 iqr_factor: float = 1.5) -> OutlierModel:
+                 iqr_factor: float = 1.5, approximate: bool = False) -> OutlierModel:
     cols = existing(df, columns) if columns else numeric_columns(df)
     if method == "iqr":
-        q = exact_quantiles(df, cols, [0.25, 0.75])
+        q = exact_quantiles(df, cols, [0.25, 0.75], approximate=approximate)
         bounds = {}
         for c in cols:
             q1, q3 = q[c]
@@ -70,10 +70,11 @@ def fit_outliers(df: DataFrame, columns=None, method: str = "iqr", threshold: fl
     raise ValueError(f"unknown outlier method {method!r}")
 
 
-def cap_columns(df: DataFrame, columns, lower_percentile: float = 5, upper_percentile: float = 95) -> DataFrame:
+def cap_columns(df: DataFrame, columns, lower_percentile: float = 5, upper_percentile: float = 95,
+                approximate: bool = False) -> DataFrame:
     """Clip every row of each column to its percentiles (nulls stay null)."""
     cols = existing(df, columns) if columns else numeric_columns(df)
-    q = exact_quantiles(df, cols, [lower_percentile / 100.0, upper_percentile / 100.0])
+    q = exact_quantiles(df, cols, [lower_percentile / 100.0, upper_percentile / 100.0], approximate=approximate)
     exprs = {}
     for c in cols:
         lo, hi = q[c]

@@ -58,7 +58,7 @@ class ScaleModel:
 
 
 def fit_scaler(df: DataFrame, columns: list[str] | None = None, method: str = "standard",
-               feature_range=(0.0, 1.0)) -> ScaleModel:
+               feature_range=(0.0, 1.0), approximate: bool = False) -> ScaleModel:
     cols = existing(df, columns) if columns else numeric_columns(df)
     params: dict[str, dict] = {}
     if method == "standard":
@@ -86,7 +86,7 @@ def fit_scaler(df: DataFrame, columns: list[str] | None = None, method: str = "s
             # y = (x - a) / rng * (hi - lo) + lo  ==  (x - a) / (rng / (hi - lo)) + lo
             params[c] = {"center": a, "scale": rng / (hi_r - lo_r)}
     elif method == "robust":
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], approximate=approximate)
         for c in cols:
             q1, med, q3 = q[c]
             if med is None:

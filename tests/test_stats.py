@@ -35,3 +35,10 @@ def test_quantiles_empty_and_single(spark):
 def test_mode_smallest_of_ties(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,), (None,)], "k string")
     assert column_modes(df, ["k"]) == {"k": "a"}
+
+
+def test_approximate_option_is_close(spark):
+    df = spark.range(100000).selectExpr("CAST(id AS DOUBLE) AS x")
+    exact = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75])["x"]
+    approx = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], approximate=True)["x"]
+    assert all(abs(a - e) <= 100000 / 10_000 + 1 for a, e in zip(approx, exact))
