@@ -89,13 +89,14 @@ def fit_imputer(df: DataFrame, strategies: dict[str, str], fill_values: dict | N
 
 def impute(df: DataFrame, column_strategies: dict[str, str], fill_values: dict | None = None,
            global_strategy: str | None = None, order_by: list[str] | None = None,
-           partition_by: list[str] | None = None, knn_neighbors: int = 5) -> DataFrame:
+           partition_by: list[str] | None = None, knn_neighbors: int = 5,
+           approximate: bool = False) -> DataFrame:
     """The whole ``impute`` step."""
     pending: dict[str, str] = {}
 
     def flush(d):
         if pending:
-            d = fit_imputer(d, dict(pending), fill_values).transform(d)
+            d = fit_imputer(d, dict(pending), fill_values, approximate).transform(d)
             pending.clear()
         return d
 

@@ -88,13 +88,13 @@ def cap_columns(df: DataFrame, columns, lower_percentile: float = 5, upper_perce
 def detect_outliers(df: DataFrame, columns=None, method: str = "isolation_forest", action: str = "flag",
                     threshold: float = 3.0, contamination: float = 0.1,
                     lower_percentile: float = 5, upper_percentile: float = 95,
-                    flag_column: str = "is_outlier", seed: int = 42) -> DataFrame:
+                    flag_column: str = "is_outlier", seed: int = 42, approximate: bool = False) -> DataFrame:
     cols = existing(df, columns) if columns else numeric_columns(df)
     if not cols:
         return df
     if action == "cap":
         # the cap action clips all rows; the detection mask is not used
-        return cap_columns(df, cols, lower_percentile, upper_percentile)
+        return cap_columns(df, cols, lower_percentile, upper_percentile, approximate)
     if method == "isolation_forest":
         from .forest import fit_isolation_forest
         model = fit_isolation_forest(df, cols, contamination=contamination, seed=seed)
@@ -104,7 +104,7 @@ def detect_outliers(df: DataFrame, columns=None, method: str = "isolation_forest
         if action == "remove":
             return flagged.where(~F.col(flag_column)).drop(flag_column)
         raise ValueError(f"unknown outlier action {action!r}")
-    mask = fit_outliers(df, cols, method, threshold).mask(df)
+    mask = fit_outliers(df, cols, method, threshold, approximate=approximate).mask(df)
     if action == "flag":
         return df.withColumn(flag_column, mask)
     if action == "remove":

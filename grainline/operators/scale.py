@@ -100,6 +100,6 @@ def fit_scaler(df: DataFrame, columns: list[str] | None = None, method: str = "s
 
 
 def scale(df: DataFrame, columns: list[str] | None = None, method: str = "standard",
-          feature_range=(0.0, 1.0)) -> DataFrame:
-    return fit_scaler(df, columns, method, feature_range).transform(df)
+          feature_range=(0.0, 1.0), approximate: bool = False) -> DataFrame:
+    return fit_scaler(df, columns, method, feature_range, approximate).transform(df)
 
