@@ -65,3 +65,13 @@ def test_labels_and_explicit_edges_leave_outside_values_null(spark):
     out = FE.binned_feature(df, "x", [0, 10, 20], labels=["lo", "hi"], name="b").orderBy("id").collect()
     ref = pd.cut(pd.Series([0.0, 5.0, 10.0, 25.0, None], dtype="float64"), [0, 10, 20], labels=["lo", "hi"])
     assert [r["b"] for r in out] == [None if pd.isna(v) else v for v in ref]
+
+
+def test_approximate_fits_close_to_exact(spark):
+    df = spark.range(20000).selectExpr("CAST(id AS DOUBLE) AS x")
+    exact = S.fit_scaler(df, ["x"], "robust").params["x"]
+    approx = S.fit_scaler(df, ["x"], "robust", approximate=True).params["x"]
+    assert abs(exact["center"] - approx["center"]) <= 20000 / 10_000 + 1
+    assert abs(exact["scale"] - approx["scale"]) <= 2 * (20000 / 10_000 + 1)
+    flagged = O.detect_outliers(df, ["x"], "iqr", "flag", approximate=True).where("is_outlier").count()
+    assert flagged == 0
