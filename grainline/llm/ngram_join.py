@@ -14,12 +14,14 @@ least the threshold; linked documents form components.
 2. **Candidates.**  Two sets that reach the threshold share an n-gram among
    the first ``n - ceil(t n) + 1`` of each.  Those prefixes go to Spark keyed
    by n-gram; n-grams of a single node drop out (``shared.recurring``).
-3. **First round.**  Every node of an n-gram is paired with that n-gram's
-   smallest set only, so a group of near copies costs pairs in proportion to
-   its size.  Verified pairs are contracted to components.
+3. **First round.**  The sets of an n-gram fall into size classes; every node is
+   paired only with ``HUBS`` sets of its class and of the class below, so a group
+   of near copies costs pairs in proportion to its size.  Verified pairs are
+   contracted to components.
 4. **Second round.**  Where an n-gram still joins different components, the
    rows outside its largest component meet the rows of all others.  Pairs in
-   one component are never emitted; every pair that could link two components is.
+   one component are never emitted; every pair that could link two components
+   is, if the number and places of its shared prefix n-grams still allow it.
 5. **Verification, by fragments.**  The global order is cut into fragments;
    each candidate pair's overlap is counted in every fragment by itself and
    the partial counts are summed per pair.  The exact sum decides.
@@ -51,6 +53,9 @@ MAX_FREQUENT = 1 << 20         # size bound of the broadcast table of frequent n
 FREQUENT = 30                  # documents from which an n-gram may count as frequent
 LOCAL = 3                      # documents of one task from which it reports an n-gram
 FLUSH = 4 << 20
+HUBS = 4                       # sets of a size class that all others of it are held against
+EVIDENCE = 30                  # per cent of a prefix that a first-round pair shares at least
+SIZE_CLASS = 1.16              # ratio of set sizes within a class: a link spans two classes at most
 
 
 def _sets(arr: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -221,31 +226,32 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, order, threshol
     segs = _fragments(docs, wanted, order, fragments)
     left = segs.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
     right = segs.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("gb"))
-    partial = (pairs.join(left, "a").join(right, ["b", "fragment"])
+    cut = pairs.withColumn("fragment", F.explode(F.array(*[F.lit(i) for i in range(fragments + 1)])))
+    partial = (cut.join(left, ["a", "fragment"]).join(right, ["b", "fragment"])
                .select("a", "b", "na", "nb", F.size(F.array_intersect("ga", "gb")).alias("o")))
     both = partial.groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("overlap"))
     return both.filter(F.col("overlap") * 100 >= threshold * (F.col("na") + F.col("nb") - F.col("overlap")))
 
 
-def _possible(threshold: int):
-    """Whether sizes and positions of one shared n-gram still allow a link.
-
-    At the first n-gram two linked sets share, all of their overlap lies at or
-    behind it, so this drops no link."""
-    least = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+def _sizes(threshold: int):
+    """Different nodes whose sizes allow a link."""
     return ((F.col("x") != F.col("y"))
-            & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * threshold)
-            & (least * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold))
+            & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * threshold))
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs with ``a < b``."""
+def _counted(met: DataFrame) -> DataFrame:
+    """Distinct pairs ``x < y`` with the number ``c`` of n-grams at which they
+    met and their first and last positions there."""
     swap = F.col("x") > F.col("y")
-    return (pairs.select(F.when(swap, F.col("y")).otherwise(F.col("x")).alias("a"),
-                         F.when(swap, F.col("x")).otherwise(F.col("y")).alias("b"),
-                         F.when(swap, F.col("ny")).otherwise(F.col("nx")).alias("na"),
-                         F.when(swap, F.col("nx")).otherwise(F.col("ny")).alias("nb"))
-            .dropDuplicates(["a", "b"]))
+
+    def put(name: str, u: str, v: str):
+        return F.when(swap, F.col(v)).otherwise(F.col(u)).alias(name)
+
+    return (met.select(put("x", "x", "y"), put("y", "y", "x"), put("nx", "nx", "ny"), put("ny", "ny", "nx"),
+                       put("px", "px", "py"), put("py", "py", "px"))
+            .groupBy("x", "y", "nx", "ny").agg(
+                F.count(F.lit(1)).alias("c"), F.min("px").alias("px"), F.min("py").alias("py"),
+                F.max("px").alias("lx"), F.max("py").alias("ly")))
 
 
 def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS,
@@ -269,12 +275,23 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
                             F.shiftright(meta, 2).bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("p")), "lists")
     x = [F.col("node").alias("x"), F.col("n").alias("nx"), F.col("p").alias("px")]
 
-    # first round: each node with the smallest set of each of its n-grams
-    hubs = lists.groupBy("shingle").agg(F.min(F.struct("n", "node", "p")).alias("hub"))
-    first = written(_ordered(lists.join(hubs, "shingle")
-                             .select(*x, F.col("hub.node").alias("y"), F.col("hub.n").alias("ny"),
-                                     F.col("hub.p").alias("py"))
-                             .filter(_possible(threshold))), "pairs")
+    # first round: each node with the smallest set of its size class, and of the one below
+    cls = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(SIZE_CLASS))).cast("int")
+    classed = lists.withColumn("cls", cls)
+    ranks = [F.col("n").cast("bigint")] + [F.xxhash64(F.lit(i), "node") for i in range(1, HUBS)]
+    hubs = classed.groupBy("shingle", "cls").agg(
+        *[F.min(F.struct(r.alias("r"), "node", "n", "p")).alias(f"h{i}") for i, r in enumerate(ranks)])
+    hubs = (hubs.select("shingle", F.col("cls").alias("own"), F.explode(F.array_distinct(F.array(*[
+        F.struct(F.col(f"h{i}.node").alias("node"), F.col(f"h{i}.n").alias("n"), F.col(f"h{i}.p").alias("p"))
+        for i in range(HUBS)]))).alias("hub"))
+        .select("shingle", "hub", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("cls")))
+    met = _counted(classed.join(hubs, ["shingle", "cls"])
+                   .select(*x, F.col("hub.node").alias("y"), F.col("hub.n").alias("ny"), F.col("hub.p").alias("py"))
+                   .filter(_sizes(threshold)))
+    # worth a look now: a fair part of the smaller prefix; the second round misses none
+    first = written(met.filter(F.col("c") * 1600 >= F.least("nx", "ny") * EVIDENCE)
+                    .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")),
+                    "pairs")
     links = verified(first, docs, reps, order, threshold, fragments).select("a", "b")
     roots = components(links)
 
@@ -290,8 +307,17 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
                     F.col("root").alias("ry"), "main"))
     cross = rest.join(rows.select("shingle", *x, F.col("root").alias("rx")), "shingle").filter(
         (F.col("rx") != F.col("ry")) & ((F.col("rx") == F.col("main")) | (F.col("x") < F.col("y")))
-        & _possible(threshold))
-    second = written(_ordered(cross).join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        & _sizes(threshold))
+    # c counts all n-grams two prefixes share.  The overlap is at most c and what follows the last one;
+    # and at most c and what follows the prefix that ends first in the global order
+    rest_x, rest_y = ((F.ceil(F.col(n) * threshold / 100) - 1) for n in ("nx", "ny"))
+    behind = F.col("c") + F.greatest(rest_x, rest_y)
+    most = F.col("c") + F.least(F.col("nx") - F.col("lx"), F.col("ny") - F.col("ly")) - 1
+    first_on = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+    second = written(_counted(cross).filter(F.least(most, first_on, behind) * (100 + threshold)
+                                            >= (F.col("nx") + F.col("ny")) * threshold)
+                     .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
+                     .join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     if not second.isEmpty():
         more = verified(second, docs, reps, order, threshold, fragments).select("a", "b")
         more = (more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
