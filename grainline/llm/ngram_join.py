@@ -239,19 +239,20 @@ def _sizes(threshold: int):
             & (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * threshold))
 
 
+def _ahead():
+    """Overlap two sets can have when this is the first n-gram they share."""
+    return F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
+
+
 def _counted(met: DataFrame) -> DataFrame:
-    """Distinct pairs ``x < y`` with the number ``c`` of n-grams at which they
-    met and their first and last positions there."""
+    """Distinct pairs ``x < y`` with the number ``c`` of n-grams at which they met."""
     swap = F.col("x") > F.col("y")
 
     def put(name: str, u: str, v: str):
         return F.when(swap, F.col(v)).otherwise(F.col(u)).alias(name)
 
-    return (met.select(put("x", "x", "y"), put("y", "y", "x"), put("nx", "nx", "ny"), put("ny", "ny", "nx"),
-                       put("px", "px", "py"), put("py", "py", "px"))
-            .groupBy("x", "y", "nx", "ny").agg(
-                F.count(F.lit(1)).alias("c"), F.min("px").alias("px"), F.min("py").alias("py"),
-                F.max("px").alias("lx"), F.max("py").alias("ly")))
+    return (met.select(put("x", "x", "y"), put("y", "y", "x"), put("nx", "nx", "ny"), put("ny", "ny", "nx"))
+            .groupBy("x", "y", "nx", "ny").agg(F.count(F.lit(1)).alias("c")))
 
 
 def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: int = FRAGMENTS,
@@ -298,26 +299,33 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
     # second round: what still joins different components
     rows = lists.join(roots, "node", "left").select("shingle", "node", "n", "p", F.coalesce("root", "node").alias("root"))
     mixed = rows.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("shingle")
-    rows = written(rows.join(mixed, "shingle", "left_semi").distinct(), "mixed")
+    rows = rows.join(mixed, "shingle", "left_semi").distinct()
     main = (rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("shingle").agg(F.max(F.struct("c", "root")).alias("m"))
             .select("shingle", F.col("m.root").alias("main")))
-    rest = (rows.join(main, "shingle").filter("root != main")
+    # each row knows the n-grams before its own, so a pair is emitted at its first common one only
+    grams = rows.groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("p", "shingle"))).alias("g"))
+    rows = written(grams.select("node", "n", "root", "g", F.posexplode("g").alias("i", "own"))
+                   .select("own.shingle", "node", "n", "own.p", "root",
+                           F.slice(F.col("g.shingle"), F.lit(1), F.col("i")).alias("before"))
+                   .join(main, "shingle"), "mixed")
+    rest = (rows.filter("root != main")
             .select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("p").alias("py"),
-                    F.col("root").alias("ry"), "main"))
-    cross = rest.join(rows.select("shingle", *x, F.col("root").alias("rx")), "shingle").filter(
+                    F.col("root").alias("ry"), "main", F.col("before").alias("by")))
+    cross = rest.join(rows.select("shingle", *x, F.col("root").alias("rx"), F.col("before").alias("bx")), "shingle").filter(
         (F.col("rx") != F.col("ry")) & ((F.col("rx") == F.col("main")) | (F.col("x") < F.col("y")))
-        & _sizes(threshold))
-    # c counts all n-grams two prefixes share.  The overlap is at most c and what follows the last one;
-    # and at most c and what follows the prefix that ends first in the global order
+        & _sizes(threshold) & (_ahead() * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
+        & ~F.arrays_overlap("bx", "by"))
+    # c counts all n-grams two prefixes share; the overlap is at most c and what follows the prefix
+    # that ends first in the global order
+    shown = grams.select("node", F.col("g.shingle").alias("grams"))
+    both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx")), "x")
+            .join(shown.select(F.col("node").alias("y"), F.col("grams").alias("gy")), "y"))
     rest_x, rest_y = ((F.ceil(F.col(n) * threshold / 100) - 1) for n in ("nx", "ny"))
-    behind = F.col("c") + F.greatest(rest_x, rest_y)
-    most = F.col("c") + F.least(F.col("nx") - F.col("lx"), F.col("ny") - F.col("ly")) - 1
-    first_on = F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
-    second = written(_counted(cross).filter(F.least(most, first_on, behind) * (100 + threshold)
-                                            >= (F.col("nx") + F.col("ny")) * threshold)
-                     .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))
-                     .join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    most = F.size(F.array_intersect("gx", "gy")) + F.greatest(rest_x, rest_y)
+    second = written(both.filter(most * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
+                     .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")),
+                     "pairs")
     if not second.isEmpty():
         more = verified(second, docs, reps, order, threshold, fragments).select("a", "b")
         more = (more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
