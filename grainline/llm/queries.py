@@ -104,3 +104,9 @@ def op2(spark, sf_dir):
 def op10(spark, sf_dir):
     from .mixing import mix_sources
     return mix_sources(_documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+@query("op5_substring_dedup")
+def op5(spark, sf_dir):
+    from .substring import dedup_substrings
+    return dedup_substrings(_documents(spark, sf_dir), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
