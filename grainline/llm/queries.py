@@ -110,3 +110,28 @@ def op10(spark, sf_dir):
 def op5(spark, sf_dir):
     from .substring import dedup_substrings
     return dedup_substrings(_documents(spark, sf_dir), texts=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op3_quality_rules")
+def op3(spark, sf_dir):
+    from .quality import judge
+    return judge(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@query("op4_token_counts")
+def op4(spark, sf_dir):
+    from .token_counts import histogram, lengths
+    return histogram(lengths(_documents(spark, sf_dir)))
+
+
+@query("op6_secret_scan")
+def op6(spark, sf_dir):
+    from .secrets import scan
+    return scan(_documents(spark, sf_dir))
+
+
+@query("op7_toxicity")
+def op7(spark, sf_dir):
+    from .toxicity import score
+    return score(_documents(spark, sf_dir), T.table(spark, sf_dir, "labels"))
