@@ -11,21 +11,24 @@ start); windows are judged on the input.
   dictionary; only symbols at a substring's border can differ.  With every
   symbol goes the extent of words that fixes its parse.
 * **Shared symbols.**  A window's key is the longest symbol (ties: largest
-  name) of any round whose extent lies inside it.  Equal windows have equal
-  keys.  Spark gathers the keys, one row for a stretch of windows with
-  the same key, and keeps those that occur twice (``shared.recurring``).
-* **Verification.**  Only windows with a shared key are compared, by a 64-bit
-  hash of all their words together with the key.  Within a batch all but the
-  first of equal windows are known to repeat; the firsts meet in Spark, sorted,
-  and all but the earliest are removed.
+  name, then leftmost) of any round whose extent, of at most ``REACH`` words,
+  lies inside it.  Equal windows have equal keys.  Neighbouring windows with the
+  same occurrence are one row, with a hash of all words they cover.
+* **Verification.**  Spark sorts the rows by key and age.  A row that equals the
+  earliest of its key in all its words is a repeat for certain; rows that differ
+  from it, and that earliest one, are then compared window by window in the same
+  way.  Hashes are of 64 bits (with 32 more for whole rows).
+* **Hot keys.**  Each batch settles equal rows among its own first, so a key sends
+  one row a batch and form to the task that decides on it, however often it occurs.
 
 Texts are shuffled once; key search, verification and removal read the same
 partitioning.  A hot key sends one row a batch to the task that decides on it.
 
 Edge cases: null or blank text has no words (hash of the empty text); texts
 shorter than a window lose nothing; null ids come after all others, ordered by
-row key; rows of equal id and text are one document and are judged alike; an
-empty table gives an empty result; other columns are ignored.
+row key (64 bits of id and text); rows of equal id and text are one document
+and are judged alike; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -39,18 +42,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .shared import KNOWN, SINGLE, WITNESS, recurring, route
 
 WIDTH = 20
-ROUNDS = 4
+ROUNDS = 3
+REACH = 8                      # longest extent, in words, of a symbol that may serve as a key
 TILE = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _HASH_BITS = np.uint64(58)
 
 
-def window_keys(words: np.ndarray, doc: np.ndarray, width: int = WIDTH, rounds: int = ROUNDS) -> np.ndarray:
-    """Key of the window that starts at each word.
+def window_keys(words: np.ndarray, doc: np.ndarray, width: int = WIDTH, rounds: int = ROUNDS,
+                reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
+    """Key of the window that starts at each word, and where the symbol
+    occurrence behind the key lies.
 
     Only meaningful where the whole window lies in one document."""
     n = len(words)
@@ -86,115 +91,180 @@ def window_keys(words: np.ndarray, doc: np.ndarray, width: int = WIDTH, rounds:
         hi = np.where(joins, np.maximum(hi, hi[nxt]), alone_hi)[~second]
         e = np.where(joins, e[nxt], e)[~second]
         sym, b = name[~second], b[~second]
-        ok = hi - lo <= width
+        ok = hi - lo <= reach
         at.append(lo[ok])
         length.append((hi - lo)[ok])
         rank.append((sym[ok] >> np.uint64(6)) | (np.minimum(e - b, 60)[ok].astype(np.uint64) << _HASH_BITS))
     at, length, rank = np.concatenate(at), np.concatenate(length), np.concatenate(rank)
-    by_length = np.argsort(length, kind="stable")
-    cuts = np.searchsorted(length[by_length], np.arange(1, width + 2))
-    best = np.zeros(n + 1, np.uint64)
-    for w in range(1, width + 1):               # best symbol within w words
+    by_length = np.argsort(length.astype(np.uint8), kind="stable")
+    cuts = np.searchsorted(length[by_length], np.arange(1, reach + 2))
+    best, pick = np.zeros(n, np.uint64), np.zeros(n, np.int64)
+    for w in range(1, width + 1):               # best symbol within w words; equal ones: the leftmost
         if w > 1:
-            np.maximum(best[:-1], best[1:], out=best[:-1])
-        own = by_length[cuts[w - 1]:cuts[w]]
-        np.maximum.at(best, at[own], rank[own])
-    return best[:n]
-
-
-def _tiled_keys(words: np.ndarray, doc: np.ndarray, width: int, rounds: int) -> np.ndarray:
+            later = best[1:] > best[:-1]
+            best[:-1] = np.where(later, best[1:], best[:-1])
+            pick[:-1] = np.where(later, pick[1:], pick[:-1])
+        if w <= reach:
+            own = by_length[cuts[w - 1]:cuts[w]]
+            before = best[at[own]]
+            np.maximum.at(best, at[own], rank[own])
+            won = own[(rank[own] == best[at[own]]) & (rank[own] >= before)][::-1]
+            pick[at[won]] = won
+    # an occurrence's key: its name and all words of its extent
+    powers, back = _powers(n)
+    run = np.r_[np.uint64(0), np.cumsum(T.mix(words) * powers[:n], dtype=np.uint64)]
+    span = T.mix((run[at + length] - run[at]) * back[at]) ^ T.mix(rank + length.astype(np.uint64))
+    return span[pick], at[pick]
+
+
+def _tiled_keys(words: np.ndarray, doc: np.ndarray, width: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """``window_keys`` by tiles; a window's key depends on its own words only."""
-    parts = [np.zeros(0, np.uint64)]
+    keys, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for a in range(0, len(words), TILE):
-        b = min(a + TILE + width - 1, len(words))
-        parts.append(window_keys(words[a:b], doc[a:b], width, rounds)[:min(TILE, len(words) - a)])
-    return np.concatenate(parts)
+        b, m = min(a + TILE + width - 1, len(words)), min(TILE, len(words) - a)
+        k, at = window_keys(words[a:b], doc[a:b], width, rounds)
+        keys.append(k[:m])
+        places.append(at[:m] + a)
+    return np.concatenate(keys), np.concatenate(places)
 
 
-def _window_hashes(words: np.ndarray, width: int) -> np.ndarray:
-    """Hash of the ``width`` words from each start (0 past the last full window)."""
-    n = len(words)
-    out = np.zeros(n, np.uint64)
-    if n >= width:
-        powers = np.cumprod(np.r_[np.uint64(1), np.full(n, _P)], dtype=np.uint64)
-        back = np.cumprod(np.r_[np.uint64(1), np.full(n, _P_INV)], dtype=np.uint64)
-        run = np.r_[np.uint64(0), np.cumsum(T.mix(words) * powers[:n], dtype=np.uint64)]
-        m = n - width + 1
-        out[:m] = T.mix((run[width:] - run[:m]) * back[:m])
-    return out
-
-
-def _stretches(flags: np.ndarray, key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last position of maximal stretches of flagged neighbours in
-    one document with equal keys."""
-    at = np.flatnonzero(flags)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return (np.cumprod(np.r_[np.uint64(1), np.full(n, _P)], dtype=np.uint64),
+            np.cumprod(np.r_[np.uint64(1), np.full(n, _P_INV)], dtype=np.uint64))
+
+
+def _slice_hashes(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of ``words[first:last]`` for each pair."""
+    powers, back = _powers(len(words))
+    run = np.r_[np.uint64(0), np.cumsum(T.mix(words) * powers[:-1], dtype=np.uint64)]
+    return T.mix((run[last] - run[first]) * back[first] + (last - first).astype(np.uint64))
+
+
+def _stretches(full: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of neighbouring windows with one symbol occurrence."""
+    at = np.flatnonzero(full)
     if not len(at):
         return at, at
     cut = np.ones(len(at), bool)
-    cut[1:] = (at[1:] != at[:-1] + 1) | (key[at[1:]] != key[at[:-1]]) | (doc[at[1:]] != doc[at[:-1]])
+    cut[1:] = (at[1:] != at[:-1] + 1) | (place[at[1:]] != place[at[:-1]]) | (key[at[1:]] != key[at[:-1]])
     first = np.flatnonzero(cut)
     return at[first], at[np.r_[first[1:], len(at)] - 1]
 
 
-_ROW = f"key bigint, {T.K1} bigint, {T.K2} int, doc_id bigint, lo int, hi int, meta bigint"
-_SCHEMA = pa.schema([("key", pa.int64()), (T.K1, pa.int64()), (T.K2, pa.int32()), ("doc_id", pa.int64()),
-                     ("lo", pa.int32()), ("hi", pa.int32()), ("meta", pa.int64())])
+_ROW = f"key bigint, body int, {T.K1} bigint, doc_id bigint, lo int, hi int, state tinyint"
+_SCHEMA = pa.schema([("key", pa.int64()), ("body", pa.int32()), (T.K1, pa.int64()), ("doc_id", pa.int64()),
+                     ("lo", pa.int32()), ("hi", pa.int32()), ("state", pa.int8())])
+OPEN, GONE, LOOK = 0, 1, 2       # to be decided; a repeat for certain; to be compared window by window
+
+
+def _ranks(batch: pa.RecordBatch) -> np.ndarray:
+    """Rank of each row of a batch in the order that decides who is earlier."""
+    k1, ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, k1[i]))
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.arange(len(ids))
+    return rank
 
 
-def _rows_out(batch, ids, key, lo, hi, meta):
+def _rows_out(batch, ids, key, body, lo, hi, state):
     pick = pa.array(ids)
     for a in range(0, len(lo), 100_000):
         s = slice(a, a + 100_000)
-        p = pick[s]
-        yield pa.record_batch([pa.array(T.signed(key[s])), *(batch.column(i).take(p) for i in range(3)),
-                               pa.array(lo[s].astype(np.int32)), pa.array(hi[s].astype(np.int32)), pa.array(meta[s])],
-                              schema=_SCHEMA)
+        yield pa.record_batch([pa.array(T.signed(key[s])), pa.array(body[s]), *(batch.column(i).take(pick[s]) for i in range(2)),
+                               pa.array(lo[s].astype(np.int32)), pa.array(hi[s].astype(np.int32)),
+                               pa.array(state[s])], schema=_SCHEMA)
 
 
-def _within(words: np.ndarray, first: np.ndarray, last: np.ndarray, width: int) -> np.ndarray:
-    """Stretches that may hold equal windows themselves (repetitive text).
+def _settled(batch, ids, key, body, lo, hi):
+    """Rows of one batch, equal keys compared within the batch.
 
-    One occurrence of a symbol serves ``width`` windows at most, so a longer
-    stretch holds several; in the others neighbours are compared."""
-    hashes = _window_hashes(words, width)
-    which = np.full(len(words), -1, np.int64)
-    size = last - first + 1
-    which[np.repeat(first - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())] = np.repeat(np.arange(len(first)), size)
-    out = size > width
-    for d in range(1, width):
-        same = (hashes[d:] == hashes[:-d]) & (which[d:] == which[:-d]) & (which[d:] >= 0)
-        if same.any():
-            out[which[d:][same]] = True
-    return out
+    Whatever equals the earliest row of its key is a repeat for certain; the
+    earliest and all that differ from it are left open."""
+    rank = _ranks(batch)
+    o = np.lexsort((lo, rank[ids], key))
+    ids, key, body, lo, hi = ids[o], key[o], body[o], lo[o], hi[o]
+    head = np.ones(len(key), bool)
+    head[1:] = key[1:] != key[:-1]
+    first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(key) else np.zeros(0, np.int64)
+    gone = ~head & (body == body[first]) & (hi - lo == (hi - lo)[first])
+    yield from _rows_out(batch, ids, key, body, lo, hi, np.where(gone, GONE, OPEN).astype(np.int8))
 
 
 def _search(width: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ids, los, his, selfs, base = [], [], [], [], [], 0
+            keys, bodies, ids, los, his, base = [], [], [], [], [], 0
             for part, arr in T.rows([batch]):
                 words, bounds = T.hashed_words(arr)
                 n = np.diff(bounds)
                 doc = np.repeat(np.arange(len(n)), n)
                 full = (np.arange(len(words)) - bounds[:-1][doc] + width) <= n[doc]
-                key = _tiled_keys(words, doc, width, rounds)
-                a, b = _stretches(full, key, doc)
+                key, place = _tiled_keys(words, doc, width, rounds)
+                a, b = _stretches(full, place, key)
                 keys.append(key[a])
+                # equal bodies: all words of the stretch are equal, and the symbol lies at the same place in them
+                body = T.mix(_slice_hashes(words, a, b + width) ^ (place[a] - a).astype(np.uint64))
+                bodies.append(body.astype(np.uint32).view(np.int32))
                 ids.append(doc[a] + base)
-                selfs.append(_within(words, a, b, width))
                 los.append(a - bounds[:-1][doc[a]])
                 his.append(b - bounds[:-1][doc[a]])
                 base += len(n)
-            key, ids, lo, hi, own = map(np.concatenate, (keys, ids, los, his, selfs))
-            o = np.argsort(key, kind="stable")
-            key, ids, lo, hi, own = key[o], ids[o], lo[o], hi[o], own[o]
-            state = route(key)
-            state[own & (state == SINGLE)] = WITNESS
-            yield from _rows_out(batch, ids, key, lo, hi, state)
+            yield from _settled(batch, *map(np.concatenate, (ids, keys, bodies, los, his)))
 
     return run
 
 
+def _decide(loose: int):
+    """Streams rows sorted by key and age.  Rows equal to the first of their key
+    are repeats; the others, and then the first as well, leave as ``loose``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, first = None, None                 # current key; its first row, until it has left
+        body = width = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, b, lo, hi, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 4, 5, 6))
+            out, state = np.zeros(len(k), bool), s.copy()
+            open_ = np.flatnonzero(s == OPEN)
+            out[s == GONE] = True
+            if len(open_):
+                ko, bo, wo = k[open_], b[open_], (hi - lo)[open_]
+                head = np.ones(len(open_), bool)
+                head[1:] = ko[1:] != ko[:-1]
+                head[0] = key is None or key != ko[0]
+                group = np.cumsum(head)             # 0: goes on from the batch before
+                lead = np.flatnonzero(head)
+                fb, fw = np.r_[0 if body is None else body, bo[lead]][group], np.r_[0 if width is None else width, wo[lead]][group]
+                equal = ~head & (bo == fb) & (wo == fw)
+                differ = ~head & ~equal
+                state[open_[equal]] = GONE
+                state[open_[differ]] = loose
+                out[open_[equal | differ]] = True
+                mixed = np.unique(group[differ])
+                if len(mixed) and mixed[0] == 0 and first is not None:
+                    yield first.set_column(6, "state", pa.array([loose], pa.int8()))
+                    first = None
+                leads = open_[lead[mixed[mixed > 0] - 1]]
+                state[leads] = loose
+                out[leads] = True
+                if len(lead):
+                    at = open_[lead[-1]]
+                    key, body, width = ko[-1], bo[lead[-1]], wo[lead[-1]]
+                    first = None if out[at] else batch.slice(at, 1)
+            if out.any():
+                yield batch.set_column(6, "state", pa.array(state)).filter(pa.array(out))
+
+    return run
+
+
+def _sorted(rows: DataFrame) -> DataFrame:
+    """Open rows dealt by key, certain repeats evenly; sorted by key and age."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(n, F.when(F.col("state") == GONE, F.xxhash64(T.K1, "lo")).otherwise(F.col("key")))
+            .sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), T.K1, "lo"))
+
+
 def _ranges(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row index, ``lo`` and ``hi`` of a batch's list of ranges."""
     col = batch.column(batch.schema.get_field_index(name))
@@ -213,61 +283,28 @@ def _marked(row, lo, hi, start, total) -> np.ndarray:
 
 
 def _verify(width: int):
+    """Windows of the ranges to look at, as rows keyed by all their words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # ranks of the batch's documents in the order that decides who is first
-            ids = batch.column(2).to_pylist()
-            k1 = batch.column(0).to_pylist()
-            order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, k1[i]))
-            rank = np.empty(len(ids), np.int64)
-            rank[order] = np.arange(len(ids))
-            keys, docs, pos, base = [], [], [], 0
+            keys, ids, pos, base = [], [], [], 0
             for part, arr in T.rows([batch]):
                 words, bounds = T.hashed_words(arr)
                 row, lo, hi = _ranges(part, "ranges")
                 near = _marked(row, lo, hi + 1, bounds[:-1], len(words))
                 doc = np.repeat(np.arange(len(arr)), np.diff(bounds))
                 at = np.flatnonzero(near)
-                keys.append(_window_hashes(words, width)[at])
-                docs.append(doc[at] + base)
+                keys.append(_slice_hashes(words, at, at + width))
+                ids.append(doc[at] + base)
                 pos.append(at - bounds[:-1][doc[at]])
                 base += len(arr)
-            key, doc, pos = map(np.concatenate, (keys, docs, pos))
-            o = np.lexsort((pos, rank[doc], key))
-            key, doc, pos = key[o], doc[o], pos[o]
-            again = np.zeros(len(key), bool)
-            again[1:] = key[1:] == key[:-1]
-            yield from _rows_out(batch, doc[~again], key[~again], pos[~again], pos[~again], np.zeros((~again).sum(), np.int64))
-            # known repeats, as stretches of one document
-            d, p = doc[again], pos[again]
-            o = np.lexsort((p, d))
-            d, p = d[o], p[o]
-            cut = np.ones(len(d), bool)
-            cut[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1)
-            first = np.flatnonzero(cut)
-            last = np.r_[first[1:], len(d)][:len(first)] - 1
-            yield from _rows_out(batch, d[first], d[first].astype(np.uint64), p[first], p[last],
-                                 np.full(len(first), KNOWN, np.int64))
+            key, ids, pos = map(np.concatenate, (keys, ids, pos))
+            yield from _settled(batch, ids, key, np.zeros(len(key), np.int32), pos, pos)
 
     return run
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted rows: known repeats, and all but the first of each key."""
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        k = batch.column(0).to_numpy(zero_copy_only=False)
-        known = batch.column(6).to_numpy(zero_copy_only=False) == KNOWN
-        again = np.zeros(len(k), bool)
-        again[1:] = (k[1:] == k[:-1]) & ~known[1:] & ~known[:-1]
-        again[0] = last is not None and not known[0] and last == k[0]
-        last = None if known[-1] else k[-1]
-        yield batch.filter(pa.array(known | again))
-
-
-_OUT = pa.schema([(T.K1, pa.int64()), (T.K2, pa.int32()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
+_OUT = pa.schema([(T.K1, pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
                   ("n_removed", pa.int64()), ("kept", pa.string()), ("kept_sha256", pa.string())])
 
 
@@ -288,8 +325,8 @@ def _apply(width: int, texts: bool):
                     kept = b" ".join(words)
                     out.append((n, n - len(words), kept.decode() if texts else None, hashlib.sha256(kept).hexdigest()))
                 cols = list(zip(*out))
-                yield pa.record_batch([*(part.column(i) for i in range(3)),
-                                       *(pa.array(c, t.type) for c, t in zip(cols, list(_OUT)[3:]))], schema=_OUT)
+                yield pa.record_batch([*(part.column(i) for i in range(2)),
+                                       *(pa.array(c, t.type) for c, t in zip(cols, list(_OUT)[2:]))], schema=_OUT)
 
     return run
 
@@ -300,15 +337,19 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS,
     spark = docs.sparkSession
     T.prepare(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = T.keyed(docs).repartition(n, T.K1, T.K2)
-    pair = F.collect_list(F.struct("lo", "hi"))                 # bounded by the document's words
-    keys = recurring(rows.mapInArrow(_search(width, rounds), _ROW), "key", "meta", T.K1)
-    ranges = keys.groupBy(T.K1, T.K2).agg(pair.alias("ranges"))
-    windows = rows.join(ranges, [T.K1, T.K2]).select(T.K1, T.K2, "doc_id", "text", "ranges").mapInArrow(_verify(width), _ROW)
-    known = F.col("meta") == F.lit(KNOWN)
-    found = (windows.repartition(n, F.when(known, F.xxhash64(T.K1, "lo")).otherwise(F.col("key")))
-             .sortWithinPartitions("meta", "key", F.col("doc_id").asc_nulls_last(), T.K1, "lo").mapInArrow(_repeats, _ROW))
-    gone = found.groupBy(T.K1, T.K2).agg(F.sort_array(pair).alias("gone"))
-    return (rows.join(gone, [T.K1, T.K2], "left").select(T.K1, T.K2, "doc_id", "text", "gone")
-            .mapInArrow(_apply(width, texts), f"{T.K1} bigint, {T.K2} int, doc_id bigint, n_words bigint, n_removed bigint, "
+    rows = T.keyed(docs).select(T.K1, "doc_id", "text").repartition(n, T.K1)
+    ranges = F.collect_list(F.struct("lo", "hi"))               # bounded by the document's words
+    first = _sorted(rows.mapInArrow(_search(width, rounds), _ROW)).mapInArrow(_decide(LOOK), _ROW)
+    per = first.groupBy(T.K1).agg(
+        F.collect_list(F.when(F.col("state") == LOOK, F.struct("lo", "hi"))).alias("ranges"),
+        F.collect_list(F.when(F.col("state") == GONE, F.struct("lo", "hi"))).alias("sure"))
+    both = rows.join(per, T.K1, "left").select(T.K1, "doc_id", "text", "ranges", "sure")
+    # the second comparison only sees documents with ranges to look at
+    windows = both.filter(F.size("ranges") > 0).select(T.K1, "doc_id", "text", "ranges").mapInArrow(_verify(width), _ROW)
+    found = _sorted(windows).mapInArrow(_decide(GONE), _ROW).filter(F.col("state") == GONE)
+    gone = found.groupBy(T.K1).agg(ranges.alias("more"))
+    all_ = F.concat(F.coalesce("sure", F.array().cast("array<struct<lo:int,hi:int>>")),
+                    F.coalesce("more", F.array().cast("array<struct<lo:int,hi:int>>")))
+    return (both.join(gone, T.K1, "left").select(T.K1, "doc_id", "text", all_.alias("gone"))
+            .mapInArrow(_apply(width, texts), f"{T.K1} bigint, doc_id bigint, n_words bigint, n_removed bigint, "
                         "kept string, kept_sha256 string"))
