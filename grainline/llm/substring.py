@@ -45,7 +45,7 @@ from . import text as T
 
 WIDTH = 20
 ROUNDS = 3
-REACH = 8                      # longest extent, in words, of a symbol that may serve as a key
+REACH = 6                      # longest extent, in words, of a symbol that may serve as a key
 TILE = 200_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
