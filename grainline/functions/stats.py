@@ -113,7 +113,6 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
                     hi_p = min(1.0, max(0.0, p + eps))
                     pending[(c, r)] = {"n": n, "lo": sketch[lo_p] if p - eps > 0 else None,
                                        "hi": sketch[hi_p] if p + eps < 1 else None}
-    known.update(_gather_small(base, v, pending, accuracy, collect_limit))
     known.update(_resolve(base, v, pending, accuracy, collect_limit))
     for c, ranks in plan.items():
         res = []
@@ -124,112 +123,76 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
     return out
 
 
-def _inside(col, t):
+def _between(col, t):
+    """Values strictly inside a bracket."""
     cond = F.lit(True)
     if t["lo"] is not None:
-        cond = cond & (col >= F.lit(t["lo"]))
+        cond = cond & (col > F.lit(t["lo"]))
     if t["hi"] is not None:
-        cond = cond & (col <= F.lit(t["hi"]))
+        cond = cond & (col < F.lit(t["hi"]))
     return F.when(cond, col)
 
 
-def _gather_small(base, v, pending, accuracy, collect_limit):
-    """One fused pass for brackets the sketch bound keeps small.
-
-    The sketch has rank error at most ``n / accuracy``, so the values strictly
-    inside a bracket number at most ``8 n / accuracy`` — gathered directly —
-    while the (possibly huge) runs of values equal to either end are only
-    counted.  Brackets that fail verification stay in ``pending`` for the
-    general search; verified ones are removed and returned.
-    """
-    small = [key for key, t in pending.items()
-             if t["lo"] is not None and t["hi"] is not None and 8.0 * t["n"] / accuracy <= collect_limit]
-    if not small:
-        return {}
-    aggs = []
-    for j, (c, r) in enumerate(small):
-        t = pending[(c, r)]
-        lo, hi = F.lit(t["lo"]), F.lit(t["hi"])
-        aggs += [F.count_if(v[c] < lo).alias(f"b{j}"), F.count_if(v[c] == lo).alias(f"el{j}"),
-                 F.count_if(v[c] == hi).alias(f"eh{j}"),
-                 F.sort_array(F.collect_list(F.when((v[c] > lo) & (v[c] < hi), v[c]))).alias(f"g{j}")]
-    row = base.agg(*aggs).first()
-    done = {}
-    for j, key in enumerate(small):
-        t, r = pending[key], key[1]
-        below, inside = row[f"b{j}"], row[f"g{j}"]
-        seq_len = row[f"el{j}"] + len(inside) + (row[f"eh{j}"] if t["hi"] != t["lo"] else 0)
-        pos = r - below
-        if 0 <= pos < seq_len:
-            if pos < row[f"el{j}"]:
-                done[key] = float(t["lo"])
-            elif pos < row[f"el{j}"] + len(inside):
-                done[key] = float(inside[pos - row[f"el{j}"]])
-            else:
-                done[key] = float(t["hi"])
-            del pending[key]
-    return done
-
-
 def _resolve(base, v, pending, accuracy, collect_limit):
     """Turn rank brackets ``{(column, rank): {n, lo, hi}}`` into exact values.
 
     A missing end (``None``) means unbounded.  Each round: one counting pass
-    verifies the brackets (a bracket the sketch missed is opened on that
-    side), brackets holding one value are done, small ones are gathered, and
-    wide ones get a finer sketch over their own rows only.
+    counts the values below, at and between the ends, at every size.  A rank that
+    falls on an end is done, a bracket the sketch missed is opened on that side,
+    brackets with few values inside are gathered (at most ``collect_limit`` values
+    a job over all brackets), and wide ones get a finer sketch over the values
+    strictly inside, so heavy values at the ends cannot come back.
     """
     done = {}
     eps = 3.0 / accuracy
-    for _ in range(20):
-        if not pending:
-            return done
+    while pending:
         keys = list(pending)
         aggs = []
-        for j, (c, r) in enumerate(keys):
-            t = pending[(c, r)]
-            aggs.append(F.count_if(v[c] < F.lit(t["lo"])).alias(f"b{j}") if t["lo"] is not None
-                        else F.lit(0).alias(f"b{j}"))
-            aggs.append(F.count_if(v[c] <= F.lit(t["hi"])).alias(f"u{j}") if t["hi"] is not None
-                        else F.lit(t["n"]).alias(f"u{j}"))
+        for j, (c, _) in enumerate(keys):
+            lo, hi = pending[keys[j]]["lo"], pending[keys[j]]["hi"]
+            aggs += [(F.count_if(v[c] < F.lit(lo)) if lo is not None else F.lit(0)).alias(f"b{j}"),
+                     (F.count_if(v[c] == F.lit(lo)) if lo is not None else F.lit(0)).alias(f"l{j}"),
+                     (F.count_if(v[c] == F.lit(hi)) if hi is not None and hi != lo else F.lit(0)).alias(f"h{j}"),
+                     F.count(_between(v[c], pending[keys[j]])).alias(f"i{j}")]
         row = base.agg(*aggs).first()
         gather, narrow = [], []
         for j, key in enumerate(keys):
-            t, r = pending[key], key[1]
-            below, upto = row[f"b{j}"], row[f"u{j}"]
-            if below > r:          # low end above the rank: open it
-                t["lo"], below = None, 0
-            if upto <= r:          # high end below the rank: open it
-                t["hi"], upto = None, t["n"]
-            t["below"], t["size"] = below, upto - below
-            if t["lo"] is not None and t["lo"] == t["hi"]:
+            t = pending[key]
+            at = key[1] - row[f"b{j}"]
+            if at < 0:                                      # low end above the rank: open it
+                t["lo"] = None
+            elif at < row[f"l{j}"]:
                 done[key] = float(t["lo"])
-            elif t["size"] <= collect_limit:
-                gather.append(key)
-            else:
-                narrow.append(key)
-        if gather:
-            row = base.agg(*[F.sort_array(F.collect_list(_inside(v[c], pending[(c, r)]))).alias(f"g{j}")
-                             for j, (c, r) in enumerate(gather)]).first()
-            for j, key in enumerate(gather):
-                t = pending[key]
-                done[key] = float(row[f"g{j}"][key[1] - t["below"]])
+            elif at - row[f"l{j}"] < row[f"i{j}"]:
+                t["at"], t["size"] = at - row[f"l{j}"], row[f"i{j}"]
+                (gather if t["size"] <= collect_limit else narrow).append(key)
+            elif at - row[f"l{j}"] - row[f"i{j}"] < row[f"h{j}"]:
+                done[key] = float(t["hi"])
+            else:                                           # high end below the rank: open it
+                t["hi"] = None
+        while gather:
+            some, total = [], 0
+            while gather and (not some or total + pending[gather[0]]["size"] <= collect_limit):
+                total += pending[gather[0]]["size"]
+                some.append(gather.pop(0))
+            row = base.agg(*[F.sort_array(F.collect_list(_between(v[c], pending[(c, r)]))).alias(f"g{j}")
+                             for j, (c, r) in enumerate(some)]).first()
+            for j, key in enumerate(some):
+                done[key] = float(row[f"g{j}"][pending[key]["at"]])
+        if narrow:
+            aggs = []
+            for j, (c, r) in enumerate(narrow):
+                t = pending[(c, r)]
+                q = t["at"] / max(t["size"] - 1, 1)
+                pr = [min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))]
+                aggs.append(F.percentile_approx(_between(v[c], t), pr, accuracy).alias(f"p{j}"))
+            row = base.agg(*aggs).first()
+            for j, key in enumerate(narrow):
+                pending[key]["lo"], pending[key]["hi"] = row[f"p{j}"]
         for key in list(pending):
             if key in done:
                 del pending[key]
-        if not narrow:
-            continue
-        aggs = []
-        for j, (c, r) in enumerate(narrow):
-            t = pending[(c, r)]
-            q = (r - t["below"]) / max(t["size"] - 1, 1)
-            pr = [min(1.0, max(0.0, q - eps)), min(1.0, max(0.0, q + eps))]
-            aggs.append(F.percentile_approx(_inside(v[c], t), pr, accuracy).alias(f"p{j}"))
-        row = base.agg(*aggs).first()
-        for j, key in enumerate(narrow):
-            lo_v, hi_v = row[f"p{j}"]
-            pending[key] = {"n": pending[key]["n"], "lo": lo_v, "hi": hi_v}
-    raise RuntimeError(f"quantile search did not converge for {sorted(pending)}")
+    return done
 
 
 def column_modes(df: DataFrame, columns: list[str], distinct_out: dict | None = None) -> dict[str, object]:
@@ -240,8 +203,8 @@ def column_modes(df: DataFrame, columns: list[str], distinct_out: dict | None =
     third of the table is one row per task before the shuffle); then one
     ``min(struct(-count, value))`` per column over the distinct values (the
     number of distinct values per column comes with it: ``distinct_out``).  Text
-    columns and numeric columns (as double, ordered numerically) each take one
-    job; other types keep their own type, one job each.
+    columns, integer columns and floating columns (NaN counts as missing) each take
+    one job; other types keep their own type, one job each.
     """
     from pyspark.sql import types as T
     families: dict[str, list[str]] = {}
@@ -249,7 +212,9 @@ def column_modes(df: DataFrame, columns: list[str], distinct_out: dict | None =
         dt = df.schema[c].dataType
         if isinstance(dt, T.StringType):
             families.setdefault("string", []).append(c)
-        elif isinstance(dt, T.NumericType) and not isinstance(dt, T.DecimalType):
+        elif isinstance(dt, T.IntegralType):
+            families.setdefault("bigint", []).append(c)
+        elif isinstance(dt, (T.FloatType, T.DoubleType)):
             families.setdefault("double", []).append(c)
         else:
             families.setdefault(f"own:{c}", []).append(c)
@@ -258,7 +223,8 @@ def column_modes(df: DataFrame, columns: list[str], distinct_out: dict | None =
         cast = (lambda c: qcol(c)) if fam.startswith("own:") else (lambda c, t=fam: qcol(c).cast(t))
         pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), cast(c).alias("v"))
                                     for i, c in enumerate(cols)])).alias("p")
-        counted = (df.select(pairs).select("p.k", "p.v").where(F.col("v").isNotNull())
+        present = F.col("v").isNotNull() & (~F.isnan("v") if fam == "double" else F.lit(True))
+        counted = (df.select(pairs).select("p.k", "p.v").where(present)
                    .groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
         best = counted.groupBy("k").agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("v"))).alias("m"),
                                         F.count(F.lit(1)).alias("d"))
@@ -268,9 +234,5 @@ def column_modes(df: DataFrame, columns: list[str], distinct_out: dict | None =
             distinct_out.update({cols[r["k"]]: r["d"] for r in rows})
         for i, c in enumerate(cols):
             v = found.get(i)
-            dt = df.schema[c].dataType
-            if v is not None and fam == "double" and isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType,
-                                                                      T.LongType)):
-                v = int(v)
             out[c] = v
     return out

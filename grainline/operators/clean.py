@@ -64,6 +64,7 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 # --------------------------------------------------------------------- casts
 # fixed values: dtype names accepted by the spec and their Spark types
+DATE_NAMES = ("datetime", "datetime64", "datetime64[ns]", "timestamp")
 DTYPE_NAMES = {
     "int": "bigint", "int64": "bigint", "int32": "int", "int16": "smallint", "int8": "tinyint",
     "float": "double", "float64": "double", "float32": "float",
@@ -142,7 +143,7 @@ def cast_columns(df: DataFrame, dtypes: dict[str, str], date_formats: dict[str,
     for col, name in (dtypes or {}).items():
         if col not in df.columns:
             continue
-        if name in ("datetime", "datetime64", "datetime64[ns]", "timestamp"):
+        if name in DATE_NAMES:
             exprs[col] = parse_datetime_expr(df, col, date_formats.get(col))
             continue
         target = DTYPE_NAMES.get(name, name)
@@ -155,8 +156,10 @@ def cast_columns(df: DataFrame, dtypes: dict[str, str], date_formats: dict[str,
         else:
             exprs[col] = source.try_cast(target)
     if on_error == "keep" and exprs:
-        checks = [F.count_if(qcol(c).isNotNull() & e.isNull()).alias(c) for c, e in exprs.items()]
-        failed = df.agg(*checks).first().asDict()
+        # a date that cannot be read becomes null; only other casts keep the source column
+        dates = {c for c in exprs if (dtypes or {})[c] in DATE_NAMES}
+        checks = [F.count_if(qcol(c).isNotNull() & e.isNull()).alias(c) for c, e in exprs.items() if c not in dates]
+        failed = df.agg(*checks).first().asDict() if checks else {}
         for c, n in failed.items():
             if n:
                 log.warning("cast of %s left unconverted: %d values fail", c, n)

@@ -144,17 +144,19 @@ def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_sa
     n = df.count()
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
-    rate = min(1.0, 2.0 * psi / max(n, 1))
+    # a pool of rows drawn once, by a number of the row's own (equal rows are drawn
+    # apart); each tree then draws its sample from the pool
+    pool = max(64 * psi, 4096)
+    rate = min(1.0, 1.25 * pool / max(n, 1))
     scale = 1 << 30
+    share = min(1.0, (2.0 * psi + 64) / max(min(n, 1.25 * pool), 1))
     feats = [as_double(df, c) for c in cols]
-    # each row is tested against every tree inside one whole-stage-codegen
-    # pipeline (generate tree ids, hash, filter); only the sampled
-    # (row, tree) pairs leave the stage
     xs = [F.col(f"x{i}") for i in range(len(cols))]
-    sample = (df.select(*[f.alias(f"x{i}") for i, f in enumerate(feats)])
+    sample = (df.select(*[f.alias(f"x{i}") for i, f in enumerate(feats)], F.rand(seed).alias("u"))
+              .where(F.col("u") < F.lit(rate))
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-              .withColumn("h", F.xxhash64(*xs, F.lit(seed * 1000) + F.col("tree")))
-              .where(F.pmod(F.col("h"), F.lit(scale)) < F.lit(int(rate * scale)))
+              .withColumn("h", F.xxhash64("u", F.lit(seed * 1000) + F.col("tree")))
+              .where(F.pmod(F.col("h"), F.lit(scale)) < F.lit(int(share * scale)))
               .select("tree", "h", *xs))
     xcols = [f"x{i}" for i in range(len(cols))]
 
@@ -169,6 +171,8 @@ def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_sa
 
     nodes = sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()   # bounded: trees × nodes
     trees = {}
+    if n and nodes["tree"].nunique() != n_trees:
+        raise RuntimeError(f"{nodes['tree'].nunique()} of {n_trees} trees have a sample")
     for t, g in nodes.groupby("tree"):
         g = g.sort_values("node")
         # per node: c(size) added when a walk ends there (the unbuilt part of the path)

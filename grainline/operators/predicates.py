@@ -79,9 +79,19 @@ def filter_in_table(df: DataFrame, column: str, values: list) -> DataFrame:
     under Spark's own size threshold, otherwise the join shuffles.
     """
     spark = df.sparkSession
-    vals = spark.createDataFrame([(v,) for v in values], schema=None).toDF("__in_value")
-    vals = vals.withColumn("__in_value", F.col("__in_value").cast(df.schema[column].dataType))
-    return df.join(vals, F.col(column) == F.col("__in_value"), "left_semi")
+    kinds = {type(v) for v in values if v is not None}
+    if kinds <= {int}:
+        name = "bigint" if all(v is None or -2**63 <= v < 2**63 for v in values) else None
+    elif kinds <= {int, float}:
+        name = "double"
+    else:
+        name = "string" if kinds == {str} else None
+    if name is None:                  # mixed kinds: let the analyzer find the common type
+        return df.where(qcol(column).isin(values))
+    vals = spark.createDataFrame([(float(v) if name == "double" and v is not None else v,) for v in values],
+                                 f"__in_value {name}")
+    # neither side is cast here: the comparison widens both to their common type, as isin does
+    return df.join(vals, qcol(column) == F.col("__in_value"), "left_semi")
 
 
 def filter_rows(df: DataFrame, column: str, condition: str, value=None) -> DataFrame:

@@ -37,13 +37,16 @@ def variance_scores(df: DataFrame, feature_columns=None, target: str | None = No
 
 def anova_f_scores(df: DataFrame, target: str, feature_columns=None) -> DataFrame:
     """ANOVA F per feature against a class column (rows with a null class or
-    value are left out, per feature).  One scan: per-class sufficient
+    value are left out, per feature).  Two scans: grand means, then per-class
     statistics for every feature, then one aggregate over the class rows."""
     feats = _features(df, feature_columns, target)
-    per_class = df.where(qcol(target).isNotNull()).groupBy(qcol(target).alias("__cls")).agg(
-        *[agg for i, c in enumerate(feats) for agg in (
-            F.count(as_double(df, c)).alias(f"n{i}"), F.sum(as_double(df, c)).alias(f"s{i}"),
-            F.sum(as_double(df, c) * as_double(df, c)).alias(f"q{i}"))])
+    known = df.where(qcol(target).isNotNull())
+    # sums of squares of centred values do not cancel; the grand means are literals
+    mean = known.agg(*[F.avg(as_double(df, c)).alias(f"m{i}") for i, c in enumerate(feats)]).first() if feats else None
+    centred = [as_double(df, c) - F.lit(mean[f"m{i}"]).cast("double") for i, c in enumerate(feats)]
+    per_class = known.groupBy(qcol(target).alias("__cls")).agg(
+        *[agg for i, x in enumerate(centred) for agg in (
+            F.count(x).alias(f"n{i}"), F.sum(x).alias(f"s{i}"), F.sum(x * x).alias(f"q{i}"))])
     totals = []
     for i in range(len(feats)):
         n, s_, q = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")

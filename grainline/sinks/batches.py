@@ -29,4 +29,5 @@ def request_batches(df: DataFrame, order_by: list[str], batch_size: int = 100) -
                     F.lit(total_batches).alias("total_batches"))
     return grouped.select((F.col("b") + 1).alias("batch_number"), F.size("xs").alias("batch_size"),
                           F.lit(total_batches).alias("total_batches"),
-                          F.to_json(F.struct(records.alias("data"), info.alias("batch_info"))).alias("payload"))
+                          F.to_json(F.struct(records.alias("data"), info.alias("batch_info")),
+                                    {"ignoreNullFields": "false"}).alias("payload"))

@@ -72,7 +72,7 @@ def write_csv(df: DataFrame, path: str, separator: str = ",", encoding: str = "u
 
 def write_json(df: DataFrame, path: str, mode: str = "w", date_format: str | None = None) -> str:
     """JSON lines (one record per line), ISO timestamps by default."""
-    w = df.write.mode(_mode(mode))
+    w = df.write.mode(_mode(mode)).option("ignoreNullFields", "false")
     if date_format:
         w = w.option("timestampFormat", date_format).option("timestampNTZFormat", date_format)
     w.json(path)

@@ -57,11 +57,18 @@ def paged_records(pages: DataFrame, data_path: str = "data", page_size: int = 10
     json_path = "$." + ".".join(parts)
     raw = F.get_json_object(F.col("body"), json_path)
     if record_schema is None:
-        sample = pages.select(raw.alias("d")).where(F.col("d").isNotNull()).limit(1).collect()
-        text = sample[0]["d"] if sample else "[]"
-        is_list = text.lstrip().startswith("[")
-        schema_text = F.schema_of_json(F.lit(text if is_list else f"[{text}]"))
-        record_schema = pages.sparkSession.range(1).select(schema_text).first()[0]
+        # one distributed pass over all pages: fields and wider types of any page count
+        bodies = pages.select(raw.alias("d")).where(F.col("d").isNotNull())
+        found = pages.sparkSession.read.option("columnNameOfCorruptRecord", "__bad").json(
+            bodies.rdd.map(lambda r: r[0])).schema
+        if [f.name for f in found.fields] in ([], ["__bad"]):       # lists of plain values, or nothing
+            sample = bodies.limit(1).collect()
+            text = sample[0]["d"] if sample else "[]"
+            is_list = text.lstrip().startswith("[")
+            schema_text = F.schema_of_json(F.lit(text if is_list else f"[{text}]"))
+            record_schema = pages.sparkSession.range(1).select(schema_text).first()[0]
+        else:
+            record_schema = T.ArrayType(T.StructType([f for f in found.fields if f.name != "__bad"]))
     else:
         record_schema = T.ArrayType(record_schema) if not isinstance(record_schema, T.ArrayType) else record_schema
     as_list = F.when(F.trim(raw).startswith("["), raw).otherwise(F.concat(F.lit("["), raw, F.lit("]")))
