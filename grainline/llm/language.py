@@ -157,65 +157,78 @@ def _count(order: int):
     return run
 
 
-def _pruned(grams: DataFrame, max_grams: int) -> DataFrame:
-    """Grams by descending count until the bound; whole count classes go."""
-    if grams.count() <= max_grams:
-        return grams
-    hist = grams.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()
-    total, cut = 0, None
-    for r in hist:
-        if total + r["n"] > max_grams:
-            break
-        total, cut = total + r["n"], r["c"]
-    return grams.filter(F.col("c") >= cut) if cut is not None else grams.limit(0)
+def _mask(k: str) -> str:
+    return f"(shiftleft(1L, {BITS} * ({k})) - 1L)"
+
+
+def _pruned(rows: DataFrame, max_grams: int) -> DataFrame:
+    """``(k, c, ...)`` rows by descending count until each order's bound; whole
+    count classes (sixteenths of a power of two) go."""
+    over = [r["k"] for r in rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] > max_grams]
+    if not over:
+        return rows
+    cls = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
+    hist = rows.filter(F.col("k").isin(over)).groupBy("k", cls.alias("cls")).agg(F.count(F.lit(1)).alias("n")).collect()
+    keep = ~F.col("k").isin(over)
+    for k in over:
+        total, cut = 0, None
+        for c, n in sorted(((r["cls"], r["n"]) for r in hist if r["k"] == k), reverse=True):
+            if total + n > max_grams:
+                break
+            total, cut = total + n, c
+        if cut is not None:
+            keep = keep | ((F.col("k") == k) & (cls >= cut))
+    return rows.filter(keep)
 
 
 def fit(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict | None:
-    """Fit on all rows of ``docs`` (``lang``, ``text``) with a non-null ``lang``."""
+    """Fit on all rows of ``docs`` (``lang``, ``text``) with a non-null ``lang``.
+
+    All orders go through each step together, ``k`` is a row's order."""
     rows = docs.filter("lang is not null and text is not null").select(
         F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     counts = written(rows.mapInArrow(_count(order), "lang string, gram bigint, c bigint")
                      .groupBy("lang", "gram").agg(F.sum("c").alias("c")), "grams")
-    langs = [r["lang"] for r in counts.select("lang").distinct().orderBy("lang").collect()]
+    # every suffix of every n-gram; only n-grams cut off by a word's start bring their own count to a lower order
+    raw = counts.select("lang", F.shiftright("gram", BITS * 5).cast("int").alias("full"),
+                        F.col("gram").bitwiseAND(F.lit((1 << (BITS * 5)) - 1)).alias("gram"), "c")
+    seen = written(raw.select("lang", "full", "gram", "c", F.explode(F.sequence(F.lit(1), "full")).alias("k"))
+                   .select("lang", "k", F.expr(f"gram & {_mask('k')}").alias("gram"),
+                           F.when(F.col("k") == F.col("full"), F.col("c")).otherwise(F.lit(0)).alias("c"))
+                   .groupBy("lang", "k", "gram").agg(F.sum("c").alias("c")), "suffixes")
+    left = seen.filter("k > 1").selectExpr("lang", "k - 1 AS k", f"gram & {_mask('k - 1')} AS gram", "1L AS c")
+    table = written(seen.union(left).groupBy("lang", "k", "gram").agg(F.sum("c").alias("c")), "kneser")
+    n = {(r["lang"], r["k"], r["c"]): r["n"] for r in table.groupBy("lang", "k", F.least("c", F.lit(3)).alias("c"))
+         .agg(F.count(F.lit(1)).alias("n")).collect()}
+    langs = sorted({x for x, _, _ in n})
     if not langs:
         return None
-    tag = F.shiftright("gram", BITS * 5)
-    body = F.col("gram").bitwiseAND(F.lit((1 << (BITS * 5)) - 1))
-    raw = counts.select("lang", tag.alias("k"), body.alias("gram"), "c")
-    tables, above = {}, None
-    for k in range(order, 0, -1):
-        own = raw.filter(F.col("k") == k).select("lang", "gram", "c")      # order: all; below: at word starts
-        if above is not None:
-            more = (above.groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << (BITS * k)) - 1)).alias("gram"))
-                    .agg(F.count(F.lit(1)).alias("c")))
-            own = own.union(more).groupBy("lang", "gram").agg(F.sum("c").alias("c"))
-        tables[k] = above = written(own, f"kn{k}")
-    model = {"langs": langs, "order": order, "grams": {}, "contexts": {}}
-    code = {x: i for i, x in enumerate(langs)}
-    symbols = tables[1].select("gram").distinct().count()
-    model["floor"] = 1.0 / (symbols + 1)
+    disc = []
     for k in range(1, order + 1):
-        n = {(r["lang"], r["c"]): r["n"] for r in
-             tables[k].filter("c <= 2").groupBy("lang", "c").agg(F.count(F.lit(1)).alias("n")).collect()}
-        disc = []
         for x in langs:
-            n1, n2 = n.get((x, 1), 0), n.get((x, 2), 0)
+            n1, n2 = n.get((x, k, 1), 0), n.get((x, k, 2), 0)
             disc.append(min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 else 0.1)
-        context = F.shiftright("gram", BITS)
-        totals = written(tables[k].groupBy("lang", context.alias("context"))
-                         .agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds")), "contexts")
-        discount = F.element_at(F.array(*[F.lit(float(d)) for d in disc]),
-                                F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int"))
-        grams = (_pruned(tables[k], max_grams).withColumn("context", context).join(totals, ["lang", "context"])
-                 .select("lang", "gram", F.greatest((F.col("c") - discount) / F.col("total"), F.lit(0.0)).alias("v")))
-        backs = _pruned(totals.withColumnRenamed("total", "c"), max_grams).select(
-            "lang", F.col("context").alias("gram"), (discount * F.col("kinds") / F.col("c")).alias("v"))
-        for name, df, empty in (("grams", grams, 0.0), ("contexts", backs, 1.0)):
-            pdf = df.toPandas()
-            keys = pdf["gram"].to_numpy(np.int64).view(np.uint64)
-            h = np.unique(keys)
+    code = F.array_position(F.array(*[F.lit(x) for x in langs]), F.col("lang")).cast("int")
+    discount = F.element_at(F.array(*[F.lit(float(d)) for d in disc]), (F.col("k") - 1) * len(langs) + code)
+    symbols = table.filter("k = 1").select("gram").distinct().count()
+    model = {"langs": langs, "order": order, "floor": 1.0 / (symbols + 1), "grams": {}, "contexts": {}}
+    context = F.shiftright("gram", BITS)
+    totals = written(table.groupBy("lang", "k", context.alias("context"))
+                     .agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds")), "contexts")
+    grams = _pruned(table, max_grams).withColumn("context", context).join(totals, ["lang", "k", "context"]).select(
+        "k", "gram", (code - 1).alias("at"),
+        F.greatest((F.col("c") - discount) / F.col("total"), F.lit(0.0)).cast("float").alias("v"))
+    backs = _pruned(totals.withColumnRenamed("total", "c"), max_grams).select(
+        "k", F.col("context").alias("gram"), (code - 1).alias("at"),
+        (discount * F.col("kinds") / F.col("c")).cast("float").alias("v"))
+    for name, df, empty in (("grams", grams, 0.0), ("contexts", backs, 1.0)):
+        ks, keys, at, v = (c.to_numpy() for c in df.toArrow().columns)
+        keys = keys.view(np.uint64)
+        for k in range(1, order + 1):
+            own = ks == k
+            h, row = np.unique(keys[own], return_inverse=True)
             values = np.full((len(h), len(langs)), empty, np.float32)
-            values[np.searchsorted(h, keys), pdf["lang"].map(code).to_numpy(np.int64)] = pdf["v"].to_numpy(np.float32)
+            values[row, at[own]] = v[own]
             model[name][k] = (h, values)
     return model
 
