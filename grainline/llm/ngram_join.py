@@ -55,6 +55,7 @@ LOCAL = 3                      # documents of one task from which it reports an
 FLUSH = 4 << 20
 HUBS = 4                       # sets of a size class that all others of it are held against
 EVIDENCE = 30                  # per cent of a prefix that a first-round pair shares at least
+NEAR = 6                       # earlier n-grams a row of the second round carries along
 SIZE_CLASS = 1.16              # ratio of set sizes within a class: a link spans two classes at most
 
 
@@ -303,11 +304,13 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
     main = (rows.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("c"))
             .groupBy("shingle").agg(F.max(F.struct("c", "root")).alias("m"))
             .select("shingle", F.col("m.root").alias("main")))
-    # each row knows the n-grams before its own, so a pair is emitted at its first common one only
+    # each row knows the NEAR n-grams before its own: a pair is emitted at its first common n-gram, and again
+    # only where no common one lies among those of both rows, so it is never lost and rarely repeated
     grams = rows.groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("p", "shingle"))).alias("g"))
     rows = written(grams.select("node", "n", "root", "g", F.posexplode("g").alias("i", "own"))
                    .select("own.shingle", "node", "n", "own.p", "root",
-                           F.slice(F.col("g.shingle"), F.lit(1), F.col("i")).alias("before"))
+                           F.slice(F.col("g.shingle"), F.greatest(F.col("i") - NEAR, F.lit(0)) + 1,
+                                   F.least(F.col("i"), F.lit(NEAR))).alias("before"))
                    .join(main, "shingle"), "mixed")
     rest = (rows.filter("root != main")
             .select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("p").alias("py"),
@@ -316,7 +319,8 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
         (F.col("rx") != F.col("ry")) & ((F.col("rx") == F.col("main")) | (F.col("x") < F.col("y")))
         & _sizes(threshold) & (_ahead() * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
         & ~F.arrays_overlap("bx", "by"))
-    # c counts all n-grams two prefixes share; the overlap is at most c and what follows the prefix
+    cross = _counted(cross.select("x", "y", "nx", "ny")).drop("c")
+    # the overlap is at most the n-grams two prefixes share and what follows the prefix
     # that ends first in the global order
     shown = grams.select("node", F.col("g.shingle").alias("grams"))
     both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx")), "x")
