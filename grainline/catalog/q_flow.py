@@ -73,40 +73,52 @@ def q_step_shapes(spark, sf):
 
 
 # ------------------------------------------------------------------ history
-_HISTORY: dict[str, H.History] = {}
-THRESHOLDS = [50_000 * i for i in range(1, 13)]   # twelve runs with different price filters
+# every event stands for one run of a job named after its type, every line item for a log line
+RUNS_SQL = """(SELECT CAST(event_id AS VARCHAR) AS id, event_type AS config_name,
+  CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status, ts AS start_time,
+  1 + event_id % 600 AS seconds, CAST(floor(value * 100) AS BIGINT) AS records_processed FROM events)"""
 
 
 def _history(spark, sf) -> H.History:
-    key = f"{spark.sparkContext.applicationId}:{sf}"
-    if key not in _HISTORY:
-        hist = H.History(spark, scratch_dir(spark, "history"))
-        for t in THRESHOLDS:
-            spec = _orders_spec(sf)
-            spec["name"] = f"orders_over_{t}"
-            spec["extraction"]["filters"][0]["value"] = t
-            run_spec(spark, spec, history=hist)
-        failing = _orders_spec(sf)
-        failing["name"] = "orders_missing_column"
-        failing["validation"]["pre"]["schema"][0]["columns"].append("no_such_column")
-        run_spec(spark, failing, history=hist)
-        _HISTORY[key] = hist
-    return _HISTORY[key]
-
-
-@register("run_recent")
+    hist = H.History(spark, scratch_dir(spark, "history"))
+    e = table(spark, sf, "events")
+    start, failed = F.col("ts").cast("timestamp"), F.col("event_type").eqNullSafe("error")
+    end = F.timestamp_micros(F.unix_micros(start) + (F.col("event_id") % 600 + 1) * 1_000_000)
+    hist.extend("runs", e.select(
+        F.col("event_id").alias("id"), F.col("event_type").alias("config_name"),
+        F.when(failed, "failed").otherwise("completed").alias("status"), start.alias("start_time"),
+        end.alias("end_time"), F.floor(F.col("value") * 100).alias("records_processed"),
+        F.when(failed, F.col("props")).alias("error_message"), end.alias("created_at")))
+    line = table(spark, sf, "lineitem")
+    hist.extend("logs", line.select(
+        F.col("l_orderkey").alias("pipeline_run_id"),
+        F.when(F.col("l_returnflag") == "R", "ERROR").otherwise("INFO").alias("level"),
+        F.col("l_linestatus").alias("message"), F.concat(F.lit("line"), "l_linenumber").alias("step"),
+        F.col("l_shipdate").alias("timestamp")))
+    return hist
+
+
+@register("run_recent", f"""SELECT id, config_name, status, start_time, records_processed FROM {RUNS_SQL}
+ORDER BY start_time DESC, id DESC LIMIT 10""")
 def q_run_recent(spark, sf):
-    return H.recent_runs(_history(spark, sf).table("runs"), 10)
+    return H.recent_runs(_history(spark, sf).table("runs"), 10).select(
+        "id", "config_name", "status", F.col("start_time").cast("timestamp_ntz").alias("start_time"), "records_processed")
 
 
-@register("run_status")
+@register("run_status", f"""SELECT r.id, r.config_name, r.status, r.records_processed, CAST(coalesce(l.n, 0) AS INTEGER) AS log_lines,
+  l.steps FROM {RUNS_SQL} r LEFT JOIN (
+  SELECT CAST(l_orderkey AS VARCHAR) AS id, count(*) AS n, string_agg('line' || l_linenumber, ',' ORDER BY l_shipdate,
+    CASE WHEN l_returnflag = 'R' THEN 'ERROR' ELSE 'INFO' END, 'line' || l_linenumber, l_linestatus) AS steps
+  FROM lineitem GROUP BY l_orderkey) l ON r.id = l.id""")
 def q_run_status(spark, sf):
     hist = _history(spark, sf)
     return H.run_status(hist.table("runs"), hist.table("logs")).select(
-        "id", "config_name", "status", "records_processed", F.size("logs").alias("log_lines"))
+        "id", "config_name", "status", "records_processed", F.coalesce(F.size("logs"), F.lit(0)).alias("log_lines"),
+        F.array_join("logs.step", ",").alias("steps"))
 
 
-@register("run_throughput")
+@register("run_throughput", f"""SELECT id, config_name, records_processed, CAST(seconds AS DOUBLE) AS duration_seconds,
+  records_processed / CAST(seconds AS DOUBLE) AS records_per_second FROM {RUNS_SQL} WHERE status = 'completed'""")
 def q_run_throughput(spark, sf):
     return H.run_throughput(_history(spark, sf).table("runs").where(F.col("status") == "completed"))
 

@@ -47,6 +47,14 @@ class History:
         except Exception:  # noqa: BLE001 - no run recorded yet
             return self.spark.createDataFrame([], schema)
 
+    def extend(self, name: str, rows: DataFrame) -> None:
+        """Append rows kept elsewhere (another tool's history) to a table: columns
+        of the fixed schema, absent ones null; a distributed append."""
+        schema = {"runs": RUNS_SCHEMA, "logs": LOGS_SCHEMA, "quality": QUALITY_SCHEMA}[name]
+        cols = [(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema.fields]
+        rows.select(*cols).write.mode("append").parquet(f"{self.root}/{name}")
+
     def record(self, result, spec: dict | None = None) -> None:
         status = "completed" if result.success else "failed"
         self._append("runs", [(result.run_id, result.name, status, result.start_time, result.end_time,
@@ -108,6 +116,6 @@ def run_status(runs: DataFrame, logs: DataFrame, run_id: str | None = None) -> D
 
 
 def run_throughput(runs: DataFrame) -> DataFrame:
-    secs = F.unix_micros(F.col("end_time")) / 1e6 - F.unix_micros(F.col("start_time")) / 1e6
+    secs = (F.unix_micros(F.col("end_time")) - F.unix_micros(F.col("start_time"))) / 1e6
     return runs.select("id", "config_name", "records_processed", secs.alias("duration_seconds"),
                        F.try_divide(F.col("records_processed").cast("double"), secs).alias("records_per_second"))

@@ -110,13 +110,13 @@ def write_split_by_group(df: DataFrame, path: str, group_by: str, file_format: s
     """One output folder per value of ``group_by`` (``group=value``); rows with
     a null group are dropped; path separators in values are replaced.
 
-    There is deliberately no ``repartition(group)`` before the write: that
-    would send a group holding a third of the table to one task.  Each task
-    writes its own rows into the folders of the groups it holds.""" 
+    Rows are rebalanced by group first, so a folder gets few files; AQE splits
+    the partitions of a hot group by size, so it never ends in one task (a plain
+    ``repartition(group)`` would do that)."""
     if group_by not in df.columns:
         raise ValueError(f"group column {group_by!r} not found")
     out = df.where(qcol(group_by).isNotNull()).withColumn(group_by, sanitize_group(qcol(group_by)))
-    w = out.write.mode(_mode(mode)).partitionBy(group_by).format(file_format)
+    w = out.hint("rebalance", qcol(group_by)).write.mode(_mode(mode)).partitionBy(group_by).format(file_format)
     for k, v in options.items():
         w = w.option(k, v)
     w.save(path)
@@ -124,8 +124,9 @@ def write_split_by_group(df: DataFrame, path: str, group_by: str, file_format: s
 
 
 def write_targets(df: DataFrame, targets: list[dict], fail_on_target_error: bool = True) -> list[dict]:
-    """Write one computed plan to several targets (persisted once)."""
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Write one computed plan to the targets (persisted where there are several)."""
+    several = len(targets) > 1
+    data = df.persist(StorageLevel.MEMORY_AND_DISK) if several else df
     results = []
     try:
         for t in targets:
@@ -152,5 +153,6 @@ def write_targets(df: DataFrame, targets: list[dict], fail_on_target_error: bool
                 log.warning("target %s failed: %s", t, exc)
                 results.append({"target": t.get("path"), "type": kind, "ok": False, "error": str(exc)})
     finally:
-        data.unpersist()
+        if several:
+            data.unpersist()
     return results

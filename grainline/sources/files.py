@@ -98,7 +98,7 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", encoding: str
     if skip_rows:
         df = _csv_after_skip(spark, path, separator, encoding, header, skip_rows)
     elif schema is not None:
-        df = _reader(spark, separator, encoding, header is not None, multiline).schema(schema).csv(path)
+        df = _csv_with_schema(_reader(spark, separator, encoding, header is not None, multiline), path, schema, na_values)
     else:
         df = _reader(spark, separator, encoding, header is not None, multiline).option(
             "inferSchema", "false").csv(path)
@@ -126,6 +126,17 @@ def read_csv(spark: SparkSession, path: str, separator: str = ",", encoding: str
     return df
 
 
+def _csv_with_schema(reader, path: str, schema, na_values: list[str] | None) -> DataFrame:
+    """CSV under a given schema; with ``na_values`` the columns are read as text,
+    cleared of null tokens, and then cast (what does not parse is null)."""
+    if not na_values:
+        return reader.schema(schema).csv(path)
+    want = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in want.fields])).csv(path)
+    text = null_tokens(text, DEFAULT_NA_TOKENS + list(na_values))
+    return text.select(*[qcol(f.name).try_cast(f.dataType).alias(f.name) for f in want.fields])
+
+
 def _skip_lines(spark: SparkSession, path: str, encoding: str, n: int) -> DataFrame:
     """Lines of every text file with the first ``n`` lines of each file removed.
 
@@ -214,9 +225,19 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 def read_parquet_first_rows(spark: SparkSession, path: str, n: int, columns=None) -> DataFrame:
     """The first ``n`` rows in file order (file path, then row index inside the
-    file): a distributed top-k, not a collect."""
+    file): a distributed top-k over the first files only.
+
+    Files are taken in path order, one, then two more, then four more, until
+    their footers count ``n`` rows; all others are pruned from the scan."""
     df = spark.read.parquet(path)
     cols = columns or df.columns
-    ordered = df.select(*[qcol(c) for c in cols], F.col("_metadata.file_path").alias("__f"),
-                        F.col("_metadata.row_index").alias("__r"))
+    here = F.col("_metadata.file_path")
+    names, taken, rows = sorted(df.inputFiles()), [], 0
+    while names and (rows < n or not taken):
+        step = max(1, 2 * len(taken))
+        more, names = names[:step], names[step:]
+        rows += spark.read.schema(df.schema).parquet(*more).count()
+        taken += more
+    ordered = (spark.read.schema(df.schema).parquet(*taken) if taken else df).where(F.col("_metadata.row_index") < int(n)).select(
+        *[qcol(c) for c in cols], here.alias("__f"), F.col("_metadata.row_index").alias("__r"))
     return ordered.orderBy("__f", "__r").limit(int(n)).select(*[qcol(c) for c in cols])

@@ -64,3 +64,27 @@ def test_json_keeps_null_keys(spark, tmp_path):
     path = f"file:{tmp_path}/out"
     write_json(spark.createDataFrame([(1, None)], "a int, b string"), path)
     assert spark.read.text(path).first().value == '{"a":1,"b":null}'
+
+
+def test_csv_na_values_with_schema(spark, tmp_path):
+    from grainline.sources.files import read_csv
+    spark.createDataFrame([("a,b",), ("1,x",), ("-999,missing",)], "value string").coalesce(1).write.text(f"file:{tmp_path}/c")
+    got = read_csv(spark, f"file:{tmp_path}/c", na_values=["-999", "missing"], schema="a int, b string")
+    assert got.dtypes == [("a", "int"), ("b", "string")] and sorted(map(tuple, got.collect()), key=str) == [(1, "x"), (None, None)]
+
+
+def test_first_rows_read_only_the_first_files(spark, tmp_path):
+    from grainline.sources.files import read_parquet_first_rows
+    spark.range(0, 100, numPartitions=5).write.parquet(f"file:{tmp_path}/p")
+    got = read_parquet_first_rows(spark, f"file:{tmp_path}/p", 25)
+    assert [r.id for r in got.collect()] == list(range(25)) and len(got.inputFiles()) == 3
+
+
+def test_lookup_broadcast_by_bytes(spark):
+    from grainline.functions.joins import join_lookup
+    df = spark.range(10)
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    small = spark.range(5).selectExpr("id", "id * 2L AS v")
+    assert "broadcast" in plan(join_lookup(df, small, "id", lookup_rows=5))
+    assert "broadcast" not in plan(join_lookup(df, small, "id", lookup_rows=3_000_000))
+    assert "broadcast" not in plan(join_lookup(df, small.selectExpr("id", "cast(v AS string) AS v"), "id", lookup_rows=5))
