@@ -35,18 +35,30 @@ DEPTH = 4
 MIN_DOCS = 10
 SIMILARITY = 60               # per cent of a line's words
 FIELD = "<*>"
-_FIELD_RE = r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"
+#: a word with a digit; starts at a word's start only and never backtracks, so long words cost linear time
+_FIELD_RE = r"(?:^|(?<=[\x20\x09-\x0D]))[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 
 
 def _masked(line: Column) -> Column:
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, _FIELD_RE, FIELD)).otherwise(line)
 
 
+def _spaced(line: Column) -> Column:
+    """``line`` with single spaces between its words, so that it is split at a plain character."""
+    odd = line.rlike(r"[\x09-\x0D]|\x20\x20")
+    return F.btrim(F.when(odd, F.regexp_replace(line, r"[\x20\x09-\x0D]+", " ")).otherwise(line), F.lit(" "))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
-    """``(key, doc_id, line, words)`` of every line."""
+    """``(key, doc_id, line, words)`` of every line with a word.
+
+    The filter reads the raw line; on ``words`` it would be pushed below the
+    projection and compute them a second time."""
     return (T.keyed(docs).filter("text is not null")
             .select(T.K1, T.K2, "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
-            .select(T.K1, T.K2, "doc_id", "line", T.words_of(_masked(F.col("body"))).alias("words")))
+            .filter(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
+            .withColumn("body", _spaced(F.col("body")))
+            .select(T.K1, T.K2, "doc_id", "line", F.split(_masked(F.col("body")), " ").alias("words")))
 
 
 def _leaf(depth: int) -> Column:
@@ -58,7 +70,7 @@ def line_templates(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS
     """Written table ``(key, doc_id, line, template, first)`` of the lines whose
     template recurs; ``first`` marks the template's first document."""
     T.prepare(docs.sparkSession)
-    lines = _lines(docs).filter(F.size("words") > 0).withColumn("leaf", _leaf(depth))
+    lines = _lines(docs).withColumn("leaf", _leaf(depth))
     leaves = written(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") >= min_docs)
                      .select("leaf"), "leaves")
     # lines of leaves that can recur; lid names the masked line within its leaf
@@ -98,7 +110,9 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, si
     k = T.key_columns()
     out = docs.withColumns({T.K1: k[0], T.K2: k[1]}).join(gone, [T.K1, T.K2], "left")
     lines = F.split(F.col("text").cast("string"), "\n", -1)
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone")), lambda i: F.get(lines, i))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    # the lines are bound to a lambda's variable, so a text is cut once and not once a line
+    left = F.get(F.transform(F.array(lines), lambda cut: F.transform(stay, lambda i: F.get(cut, i))), 0)
     kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
     cols = [kept if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts]
     n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("bigint")

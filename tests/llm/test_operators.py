@@ -154,6 +154,16 @@ def test_lines(spark, odd):
     assert drop_lines(odd.limit(0)).count() == 0
 
 
+def test_line_words_and_fields(spark):
+    """Words and masked fields of odd lines equal a plain reading of them."""
+    from grainline.llm import line_dedup as L
+    texts = ["a1 b\tc2d  \x0b e", "\U0001d5611 \U0001d561 \u00a09x\u2003y", "z" * 50_000 + "7 q", "  \t ", "7", "\r8\r\n9 \n\n tail \x0c"]
+    want = sorted((i, j, tuple("<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line)))
+                  for i, t in enumerate(texts) for j, line in enumerate(t.split("\n")) if WORD.search(line))
+    got = L._lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.line, tuple(r.words)) for r in got) == want
+
+
 def test_containment_both_ways(spark, documents, odd):
     from grainline.llm.decontaminate import contaminated
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
