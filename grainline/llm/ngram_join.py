@@ -21,7 +21,8 @@ least the threshold; linked documents form components.
 4. **Second round.**  Where an n-gram still joins different components, the
    rows outside its largest component meet the rows of all others.  Pairs in
    one component are never emitted; every pair that could link two components
-   is, if the number and places of its shared prefix n-grams still allow it.
+   is, if the number and places of its shared prefix n-grams still allow it;
+   bit signatures of the prefixes bound that number before a pair is made.
 5. **Verification, by fragments.**  The global order is cut into fragments;
    each candidate pair's overlap is counted in every fragment by itself and
    the partial counts are summed per pair.  The exact sum decides.
@@ -56,6 +57,7 @@ FLUSH = 4 << 20
 HUBS = 4                       # sets of a size class that all others of it are held against
 EVIDENCE = 30                  # per cent of a prefix that a first-round pair shares at least
 NEAR = 6                       # earlier n-grams a row of the second round carries along
+SIGNATURE = 4                  # 64-bit words of a node's signature in the second round; a power of two
 SIZE_CLASS = 1.16              # ratio of set sizes within a class: a link spans two classes at most
 
 
@@ -245,6 +247,26 @@ def _ahead():
     return F.least(F.col("nx") - F.col("px"), F.col("ny") - F.col("py"))
 
 
+def _beyond(threshold: int):
+    """Most n-grams that the set whose prefix ends first holds after it."""
+    return F.greatest(*[F.ceil(F.col(n) * threshold / 100) - 1 for n in ("nx", "ny")])
+
+
+def _signature():
+    """Bits of a node's prefix n-grams, ``64 * SIGNATURE`` in all."""
+    bit = F.expr("shiftleft(1L, cast(shingle & 63 as int))")
+    word = F.shiftright("shingle", 6).bitwiseAND(F.lit(SIGNATURE - 1))
+    return F.struct(*[F.coalesce(F.bit_or(F.when(word == i, bit)), F.lit(0)).alias(f"s{i}") for i in range(SIGNATURE)]).alias("sig")
+
+
+def _common():
+    """Most prefix n-grams two nodes share: a bit that only one of them has set
+    stands for an n-gram the other lacks, so nothing that links is lost."""
+    def lacking(u: str, v: str):
+        return sum((F.bit_count(F.col(f"{u}.s{i}").bitwiseAND(F.bitwise_not(F.col(f"{v}.s{i}")))) for i in range(SIGNATURE)), F.lit(0))
+    return F.least(F.col("mx") - lacking("sx", "sy"), F.col("my") - lacking("sy", "sx"))
+
+
 def _counted(met: DataFrame) -> DataFrame:
     """Distinct pairs ``x < y`` with the number ``c`` of n-grams at which they met."""
     swap = F.col("x") > F.col("y")
@@ -306,18 +328,20 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
             .select("shingle", F.col("m.root").alias("main")))
     # each row knows the NEAR n-grams before its own: a pair is emitted at its first common n-gram, and again
     # only where no common one lies among those of both rows, so it is never lost and rarely repeated
-    grams = rows.groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("p", "shingle"))).alias("g"))
-    rows = written(grams.select("node", "n", "root", "g", F.posexplode("g").alias("i", "own"))
-                   .select("own.shingle", "node", "n", "own.p", "root",
+    grams = rows.groupBy("node", "n", "root").agg(F.sort_array(F.collect_list(F.struct("p", "shingle"))).alias("g"), _signature())
+    rows = written(grams.select("node", "n", "root", "g", "sig", F.posexplode("g").alias("i", "own"))
+                   .select("own.shingle", "node", "n", "own.p", "root", "sig", F.size("g").alias("m"),
                            F.slice(F.col("g.shingle"), F.greatest(F.col("i") - NEAR, F.lit(0)) + 1,
                                    F.least(F.col("i"), F.lit(NEAR))).alias("before"))
                    .join(main, "shingle"), "mixed")
     rest = (rows.filter("root != main")
             .select("shingle", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("p").alias("py"),
-                    F.col("root").alias("ry"), "main", F.col("before").alias("by")))
-    cross = rest.join(rows.select("shingle", *x, F.col("root").alias("rx"), F.col("before").alias("bx")), "shingle").filter(
+                    F.col("root").alias("ry"), "main", F.col("before").alias("by"), F.col("sig").alias("sy"), F.col("m").alias("my")))
+    cross = rest.join(rows.select("shingle", *x, F.col("root").alias("rx"), F.col("before").alias("bx"),
+                                  F.col("sig").alias("sx"), F.col("m").alias("mx")), "shingle").filter(
         (F.col("rx") != F.col("ry")) & ((F.col("rx") == F.col("main")) | (F.col("x") < F.col("y")))
         & _sizes(threshold) & (_ahead() * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
+        & ((_common() + _beyond(threshold)) * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
         & ~F.arrays_overlap("bx", "by"))
     cross = _counted(cross.select("x", "y", "nx", "ny")).drop("c")
     # the overlap is at most the n-grams two prefixes share and what follows the prefix
@@ -325,8 +349,7 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
     shown = grams.select("node", F.col("g.shingle").alias("grams"))
     both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx")), "x")
             .join(shown.select(F.col("node").alias("y"), F.col("grams").alias("gy")), "y"))
-    rest_x, rest_y = ((F.ceil(F.col(n) * threshold / 100) - 1) for n in ("nx", "ny"))
-    most = F.size(F.array_intersect("gx", "gy")) + F.greatest(rest_x, rest_y)
+    most = F.size(F.array_intersect("gx", "gy")) + _beyond(threshold)
     second = written(both.filter(most * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
                      .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")),
                      "pairs")
