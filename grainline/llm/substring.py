@@ -179,15 +179,19 @@ def _settled(batch, ids, key, body, lo, hi):
     """Rows of one batch, equal keys compared within the batch.
 
     Whatever equals the earliest row of its key is a repeat for certain; the
-    earliest and all that differ from it are left open."""
+    earliest and all that differ from it are left open.  The earliest row again,
+    from a repeated row of the table, goes."""
     rank = _ranks(batch)
+    k1 = batch.column(0).to_numpy(zero_copy_only=False)
     o = np.lexsort((lo, rank[ids], key))
     ids, key, body, lo, hi = ids[o], key[o], body[o], lo[o], hi[o]
     head = np.ones(len(key), bool)
     head[1:] = key[1:] != key[:-1]
     first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(key) else np.zeros(0, np.int64)
     gone = ~head & (body == body[first]) & (hi - lo == (hi - lo)[first])
-    yield from _rows_out(batch, ids, key, body, lo, hi, np.where(gone, GONE, OPEN).astype(np.int8))
+    state = np.where(gone, GONE, OPEN).astype(np.int8)
+    own = head | (k1[ids] != k1[ids[first]]) | (lo != lo[first])
+    yield from _rows_out(batch, *(c[own] for c in (ids, key, body, lo, hi, state)))
 
 
 def _search(width: int, rounds: int):
@@ -216,15 +220,16 @@ def _search(width: int, rounds: int):
 
 def _decide(loose: int):
     """Streams rows sorted by key and age.  Rows equal to the first of their key
-    are repeats; the others, and then the first as well, leave as ``loose``."""
+    are repeats; the others, and then the first as well, leave as ``loose``.  The
+    first row again (same document, same place) is no repeat of itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first = None, None                 # current key; its first row, until it has left
-        body = width = None
+        body = width = row = place = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, b, lo, hi, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 4, 5, 6))
+            k, b, k1, lo, hi, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4, 5, 6))
             out, state = np.zeros(len(k), bool), s.copy()
             open_ = np.flatnonzero(s == OPEN)
             out[s == GONE] = True
@@ -236,8 +241,11 @@ def _decide(loose: int):
                 group = np.cumsum(head)             # 0: goes on from the batch before
                 lead = np.flatnonzero(head)
                 fb, fw = np.r_[0 if body is None else body, bo[lead]][group], np.r_[0 if width is None else width, wo[lead]][group]
-                equal = ~head & (bo == fb) & (wo == fw)
-                differ = ~head & ~equal
+                ro, po = k1[open_], lo[open_]
+                fr, fp = np.r_[0 if row is None else row, ro[lead]][group], np.r_[0 if place is None else place, po[lead]][group]
+                other = ~head & ((ro != fr) | (po != fp))
+                equal = other & (bo == fb) & (wo == fw)
+                differ = other & ~equal
                 state[open_[equal]] = GONE
                 state[open_[differ]] = loose
                 out[open_[equal | differ]] = True
@@ -250,7 +258,7 @@ def _decide(loose: int):
                 out[leads] = True
                 if len(lead):
                     at = open_[lead[-1]]
-                    key, body, width = ko[-1], bo[lead[-1]], wo[lead[-1]]
+                    key, body, width, row, place = ko[-1], bo[lead[-1]], wo[lead[-1]], ro[lead[-1]], po[lead[-1]]
                     first = None if out[at] else batch.slice(at, 1)
             if out.any():
                 yield batch.set_column(6, "state", pa.array(state)).filter(pa.array(out))

@@ -126,6 +126,26 @@ def test_substring_edges(spark, odd):
     assert dedup_substrings(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("parts, batch", [(1, "10000"), (8, "10000"), (1, "1"), (1, "2")])
+def test_substring_repeated_rows(spark, parts, batch):
+    """Rows of equal id and text are one document: its first occurrence stays, in all of them."""
+    from grainline.llm.substring import dedup_substrings
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a), (1, a), (1, a), (2, b + " " + a), (2, b + " " + a), (3, c + " " + c), (3, c + " " + c),
+            (4, "x " + c[:150] + " y"), (None, b), (None, b), (5, "q " * 70), (5, "q " * 70), (None, a[4:] + " new"), (None, a[4:] + " new")]
+    want = brute_substrings(dict.fromkeys(rows))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == len(rows)
+    assert all((r.n_words, r.n_removed, r.kept_sha256) == want[r.doc_id] for r in got if r.doc_id is not None)
+    assert {r.n_removed for r in got if r.doc_id == 1} == {0} and {r.n_removed for r in got if r.doc_id == 2} == {60}
+    assert {r.n_removed for r in got if r.doc_id is None} == {58, 60}
+
+
 def test_window_keys_depend_on_the_window_only():
     from grainline.llm import substring as S
     from grainline.llm import text as T
