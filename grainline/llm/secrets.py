@@ -5,7 +5,10 @@ Every whole text is searched for the base kinds (``assign``, ``access``,
 signed web tokens, credentials in a URL); matches of one kind do not overlap.
 A candidate is a match's secret value, known to Spark by its SHA-256.  For each
 candidate the distinct repositories (documents) and owners (sources) that hold
-it are counted over the whole corpus.  A value with at least ``owners`` owners, or
+it are counted over the whole corpus.  The value of a private key is its body:
+the span reaches from the header to the END line, or over the base64 (and key
+headers) that follows where there is none; blanks and line ends, also quoted
+ones, do not count.  A value with at least ``owners`` owners, or
 at least ``copies`` repositories, is a widely copied example; any other is owner-specific and
 reported as live.  All spans stay in the result, the class is added.
 
@@ -15,7 +18,8 @@ read once and never shuffled.
 
 Edge cases: null text is empty; a null source is an owner of its own; rows of
 equal id and text are one repository; positions are code points with exclusive
-ends; an empty table gives an empty result; other columns are ignored.
+ends; a key header without a body has the header as its value; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,13 +49,29 @@ KINDS = [
     ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("cloud", r"AIza[0-9A-Za-z_-]{35}", 0, 0),
     ("web", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
-    ("url", r"[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@]{1,64}:([^\x00-\x20/@]{3,128})@", 1, 0),
+    ("url", r"[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@]*:([^\x00-\x20/@]+)@", 1, 0),
 ]
 _COMPILED = [(k, re.compile(p), g, n) for k, p, g, n in KINDS]
 _RANK = {k: i for i, (k, *_) in enumerate(KINDS)}
 #: text without any of these holds no match
 _HINT = re.compile(r"(?i:passw|secret|token|api_?key)|AKIA|[0-9a-f]{24}|-----BEGIN |gh[pousr]_|xox[abprs]-|AIza|eyJ|://")
 
+_KEY_TAIL = re.compile(r"-----END [A-Z ]*PRIVATE KEY-----")
+#: lines of base64 or key headers, or a long run of base64 on the same line; line ends may be quoted
+_EOL = r"(?:\\r|\\n|[\r\n])"
+_KEY_BODY = re.compile(rf"""(?:[ \t]*{_EOL}(?:[ \t]*{_EOL})*(?:[A-Za-z][A-Za-z0-9-]*:[ \t][^\r\n\\]*|[ \t]*[A-Za-z0-9+/]+={{0,2}}(?=[ \t]*(?:\\r|\\n|[\r\n"'`]|\Z)))"""
+                       r"|[ \t]*[A-Za-z0-9+/]{24,}={0,2})*")
+_FILLER = re.compile(r"(?:\\r|\\n|\s)+")
+
+
+def _key_block(text: str, m: re.Match, limit: int) -> tuple[int, str]:
+    """End and value of the private key whose header is ``m``; the next header
+    is at ``limit``."""
+    tail = _KEY_TAIL.search(text, m.end(), limit)
+    end = tail.end() if tail else _KEY_BODY.match(text, m.end(), limit).end()
+    body = _FILLER.sub("", text[m.end():tail.start() if tail else end])
+    return end, body or m.group()
+
 
 def spans(text: str) -> list[tuple[int, int, int, str]]:
     """``(start, rank of the kind, end, value)`` of all matches, in order."""
@@ -59,6 +79,12 @@ def spans(text: str) -> list[tuple[int, int, int, str]]:
         return []
     out = []
     for kind, pattern, group, least in _COMPILED:
+        if kind == "key":
+            heads = list(pattern.finditer(text))
+            for m, after in zip(heads, [*(h.start() for h in heads[1:]), len(text)]):
+                end, value = _key_block(text, m, after)
+                out.append((m.start(), _RANK[kind], end, value))
+            continue
         for m in pattern.finditer(text):
             if len(m.group(group)) >= least:
                 out.append((m.start(), _RANK[kind], m.end(), m.group(group)))

@@ -258,6 +258,30 @@ def test_secrets(spark, odd):
     assert scan(odd).count() == odd.count() and scan(odd.limit(0)).count() == 0
 
 
+def test_private_keys_are_known_by_their_body(spark):
+    """Keys of one header are as many values as bodies; wrapping and the END line make no difference."""
+    from grainline.llm.secrets import scan, spans
+    head, tail = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    body = lambda x: "\n".join(hashlib.sha512(f"{x}{j}".encode()).hexdigest()[:64].upper() for j in range(3))
+    own = [f"see\n{head}\n{body(i)}\n{tail}\nend" for i in range(25)]
+    copies = [f"{head}\n{body('x')}\n{tail}", f"{head}\r\n" + body("x").replace("\n", "\r\n") + f"\r\n{tail}",
+              f'k = "{head}\\n' + body("x").replace("\n", "\\n") + f'\\n{tail}"', f"{head}\n{body('x')}\n"]
+    rows = [(i, t, None, f"s{i}", 1, 1, "x") for i, t in enumerate(own + copies)]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i].live_spans == f"key:4:{len(own[i]) - 4}" for i in range(25))
+    assert all((got[25 + i].n_live, got[25 + i].n_copied) == (0, 1) for i in range(4))
+    two = f"{head}\nABCD\n\nprose here {head} {'Q' * 40} and\n{tail}"
+    assert [(two[a:b], v) for a, _, b, v in spans(two)] == [(f"{head}\nABCD", "ABCD"), (two[two.rindex(head):], "Q" * 40 + "and")]
+    assert [v for *_, v in spans(f"a {head} b")] == [head]
+
+
+def test_url_credentials_of_any_length():
+    from grainline.llm.secrets import spans
+    for user, word in (("", "pw"), ("u" * 65, "abc"), ("u", "p" * 129), ("user", "word")):
+        assert [v for *_, v in spans(f"at redis://{user}:{word}@host/0 there")] == [word]
+    assert not spans("see http://host:80/a@b and http://a@b")
+
+
 def test_toxicity(spark, odd):
     from grainline.llm.toxicity import score
     rng = np.random.default_rng(5)
