@@ -44,8 +44,9 @@ COVERAGE = 0.75
 CONSISTENCY = 1.41              # of a 75 % covariance in five dimensions, chi-square
 CUT = 40.0                      # chi-square with five degrees of freedom: p about 1e-7
 MIN_ROWS = 50
-#: least standard deviation of each statistic
-FLOORS = (0.6, 0.35, 0.25, 0.2, 0.25)
+#: least standard deviation of each statistic; those of the three ratios are so small that each of them can reject
+#: alone (at 40 % where a group has none), and a single symbol or repeated line does not
+FLOORS = (0.6, 0.35, 0.1, 0.1, 0.1)
 P = len(FLOORS)
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = 1

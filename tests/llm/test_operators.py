@@ -228,6 +228,23 @@ def test_estimate_rejects_outliers(spark):
     assert (d[d.v > 8].d > Q.CUT).all() and (d[d.v < 5].d <= Q.CUT).mean() > 0.99
 
 
+def test_each_ratio_can_reject(spark):
+    """Repeated lines, symbols and repeated words reject in a clean group; a few of each do not."""
+    from grainline.llm.quality import judge
+    rng = np.random.default_rng(9)
+    word = lambda n: ["".join(chr(97 + c) for c in rng.integers(0, 26, 5)) for _ in range(n)]
+    lines = lambda w: "\n".join(" ".join(w[i:i + 20]) for i in range(0, len(w), 20))
+    clean = [lines(word(n)) for n in rng.integers(150, 400, 300)]
+    w = word(300)
+    few = [lines(w) + "\n" + " ".join(w[:2]) + "\n" + " ".join(w[:2]), lines([*w[:290], *(x + "#" for x in w[290:])]), lines(w + w[:8])]
+    bad = [" ".join(w) + "\nok" * 60, lines([x[:4] + "#" for x in w]), lines(w[:230] + w[:70])]
+    rows = [(i, t, "en", "s") for i, t in enumerate(clean + few + bad)]
+    got = {r.doc_id: r for r in judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert [got[i].kept for i in range(300, 306)] == [True] * 3 + [False] * 3
+    assert sum(got[i].kept for i in range(300)) >= 297
+
+
 def test_lengths(spark, documents, odd):
     from grainline.llm import token_counts as C
     enc = C._encoder(open(C.VOCABULARY, "rb").read())
