@@ -10,9 +10,9 @@ within words (a maximal run of letters, with a boundary before and after).
 * **Model.**  Continuation counts, discounts ``n1 / (n1 + 2 n2)``, context
   totals and back-off weights are DataFrame aggregates over the counts.  The
   model is a pair of sorted 64-bit arrays per order (n-grams, contexts) with
-  one number per language.  Its size is bounded by ``max_grams`` n-grams an
-  order: above that, the rarest n-grams fall back to the lower order, as in
-  any pruned model; counts and totals still cover every n-gram.
+  one number per language.  It holds every n-gram of the training texts, so
+  it grows with them, on the driver and in each task, until the languages'
+  n-grams are exhausted.
 * **Scores.**  Each distinct word of a batch is scored once under all
   languages; a text's cross-entropy is the sum over its words divided by the
   number of predicted characters.  The lowest one wins (ties: first language
@@ -49,7 +49,6 @@ from .shared import written
 ORDER = 5
 BITS = 12                       # bits of a symbol in a packed n-gram
 BOUNDARY = 1
-MAX_GRAMS = 2_000_000
 Z = 8.0
 SLACK = 1.0
 CAP = 40.0
@@ -161,27 +160,7 @@ def _mask(k: str) -> str:
     return f"(shiftleft(1L, {BITS} * ({k})) - 1L)"
 
 
-def _pruned(rows: DataFrame, max_grams: int) -> DataFrame:
-    """``(k, c, ...)`` rows by descending count until each order's bound; whole
-    count classes (sixteenths of a power of two) go."""
-    over = [r["k"] for r in rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect() if r["n"] > max_grams]
-    if not over:
-        return rows
-    cls = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
-    hist = rows.filter(F.col("k").isin(over)).groupBy("k", cls.alias("cls")).agg(F.count(F.lit(1)).alias("n")).collect()
-    keep = ~F.col("k").isin(over)
-    for k in over:
-        total, cut = 0, None
-        for c, n in sorted(((r["cls"], r["n"]) for r in hist if r["k"] == k), reverse=True):
-            if total + n > max_grams:
-                break
-            total, cut = total + n, c
-        if cut is not None:
-            keep = keep | ((F.col("k") == k) & (cls >= cut))
-    return rows.filter(keep)
-
-
-def fit(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict | None:
+def fit(docs: DataFrame, order: int = ORDER) -> dict | None:
     """Fit on all rows of ``docs`` (``lang``, ``text``) with a non-null ``lang``.
 
     All orders go through each step together, ``k`` is a row's order."""
@@ -215,12 +194,12 @@ def fit(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict
     context = F.shiftright("gram", BITS)
     totals = written(table.groupBy("lang", "k", context.alias("context"))
                      .agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds")), "contexts")
-    grams = _pruned(table, max_grams).withColumn("context", context).join(totals, ["lang", "k", "context"]).select(
+    grams = table.withColumn("context", context).join(totals, ["lang", "k", "context"]).select(
         "k", "gram", (code - 1).alias("at"),
         F.greatest((F.col("c") - discount) / F.col("total"), F.lit(0.0)).cast("float").alias("v"))
-    backs = _pruned(totals.withColumnRenamed("total", "c"), max_grams).select(
+    backs = totals.select(
         "k", F.col("context").alias("gram"), (code - 1).alias("at"),
-        (discount * F.col("kinds") / F.col("c")).cast("float").alias("v"))
+        (discount * F.col("kinds") / F.col("total")).cast("float").alias("v"))
     for name, df, empty in (("grams", grams, 0.0), ("contexts", backs, 1.0)):
         ks, keys, at, v = (c.to_numpy() for c in df.toArrow().columns)
         keys = keys.view(np.uint64)
@@ -298,15 +277,14 @@ def held_out(doc_id=None):
     return F.crc32((F.col("doc_id") if doc_id is None else doc_id).cast("string").cast("binary")) % 3 == 1
 
 
-def identify(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, z: float = Z,
-             slack: float = SLACK) -> DataFrame:
+def identify(docs: DataFrame, order: int = ORDER, z: float = Z, slack: float = SLACK) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score, cross_entropy, n_letters, rejected)``
     and the row key per row of ``docs`` (``doc_id``, ``text``, ``lang``), fitted on its training rows."""
     spark = docs.sparkSession
     T.prepare(spark)
     out = F.coalesce(held_out(), F.lit(False))
     train = F.col("doc_id").isNotNull() & ~out & F.col("lang").isNotNull() & F.col("text").isNotNull()
-    model = fit(docs.filter(train), order, max_grams)
+    model = fit(docs.filter(train), order)
     langs = model["langs"] if model else []
     model_b = spark.sparkContext.broadcast(model)
     rows = docs.select(*T.key_columns(), F.col("doc_id").cast("bigint").alias("doc_id"), train.alias("train"),

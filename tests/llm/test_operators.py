@@ -331,6 +331,20 @@ def test_language(spark, documents, odd):
     assert identify(odd.limit(0)).count() == 0
 
 
+def test_model_keeps_every_gram(spark):
+    """More than two million n-grams of a hot language take none from a small one."""
+    import pyarrow as pa
+    from grainline.llm import language as L
+    rng = np.random.default_rng(11)
+    hot = [" ".join("".join(map(chr, w)) for w in rng.integers(0x4E00, 0x9F00, (1000, 20))) for _ in range(130)]
+    small = "abra cadabra barb"
+    want = sum(len(np.unique(L._events(pa.array(t.split()), 2)[0])) for t in (" ".join(hot), small))
+    m = L.fit(spark.createDataFrame([(t, "hot") for t in hot] + [(small, "x")], "text string, lang string").repartition(4), order=2)
+    values = m["grams"][2][1]
+    assert want > 2_000_000 and (values > 0).sum() == want
+    assert (values[:, m["langs"].index("x")] > 0).sum() == len(np.unique(L._events(pa.array(small.split()), 2)[0]))
+
+
 def test_kneser_ney_sums_to_one(spark):
     from grainline.llm import language as L
     docs = spark.createDataFrame([("abra cadabra ab", "x"), ("barb a cab", "x")], "text string, lang string")
