@@ -117,9 +117,10 @@ def _logits(text: str, weights: dict[str, float], bias: float) -> tuple[list[tup
     return cuts, np.array([bias + sum(weights.get(w, 0.0) for w in set(_WORD.findall(s))) for s in low])
 
 
-def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = 3) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``held_out``, ``score``, ``predicted`` and ``offending``,
-    up to ``top`` sentences as ``start:end`` of those with a probability of 0.5 or more."""
+    all sentences with a probability of 0.5 or more as ``start:end``; the strongest one (ties:
+    the first) where a predicted document has none."""
     spark = docs.sparkSession
     T.prepare(spark)
     model = spark.sparkContext.broadcast(fit(docs, labels, sample))
@@ -134,8 +135,8 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, top: int = 3
                 cuts, z = _logits(text, weights, bias)
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
                 scores.append(float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-12)).sum())) if len(p) else 0.0)
-                worst = sorted((i for i in range(len(p)) if p[i] >= 0.5), key=lambda i: (-p[i], i))[:top]
-                found.append(",".join(f"{cuts[i][0]}:{cuts[i][1]}" for i in sorted(worst)))
+                worst = np.flatnonzero(p >= 0.5).tolist() or ([int(np.argmax(p))] if scores[-1] >= 0.5 else [])
+                found.append(",".join(f"{cuts[i][0]}:{cuts[i][1]}" for i in worst))
             s = np.clip(np.array(scores), 0.0, 1.0)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(s), pa.array((s >= 0.5).astype(np.int32)),
                                    pa.array(found, pa.string())], schema=schema)

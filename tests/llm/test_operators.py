@@ -321,6 +321,17 @@ def test_toxicity(spark, odd):
     assert len(none) == odd.count() and (none.predicted == 0).all()
 
 
+def test_toxicity_names_every_sentence(spark, monkeypatch):
+    from grainline.llm import toxicity as X
+    monkeypatch.setattr(X, "fit", lambda *a: ({"awful": 9.0, "poor": 4.7}, -5.0))
+    many, weak = ". ".join(f"line {i} is awful" for i in range(10)), "fine. poor one. so poor. fine"
+    got = {r.doc_id: r for r in X.score(spark.createDataFrame([(1, many), (2, weak), (3, "fine. poor")], "doc_id bigint, text string"),
+                                        spark.createDataFrame([], "doc_id bigint, toxic int")).collect()}
+    assert got[1].offending == ",".join(f"{a}:{b}" for a, b in X.sentences(many))
+    assert got[2].predicted == 1 and [weak[a:b] for a, b in [map(int, got[2].offending.split(":"))]] == [" poor one"]
+    assert got[3].predicted == 0 and got[3].offending == ""
+
+
 def test_language(spark, documents, odd):
     got = query(spark, "op9_").merge(documents[["doc_id", "lang"]], on="doc_id")
     held = got[got.held_out]
