@@ -14,6 +14,10 @@ the item's shingles.
 * **MinHash.**  ``HASHES`` minima per item and per window; one equal minimum
   makes a candidate.  At the bound, a pair is missed with a probability below
   1e-5.
+* **Small items.**  An item of fewer distinct shingles than half its class's
+  size would fall below the bound.  It is looked up by shingle hashes instead: of
+  its ``n`` shingles a document must hold ``m``, so it holds one of the
+  ``n - m + 1`` with the smallest hashes.  No such pair is missed.
 * **Exact containment.**  A candidate's shingles are compared as text.
 
 A window without any item shingle cannot agree on a minimum.  A bitmap of
@@ -49,6 +53,7 @@ _PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _TABLE = np.arange(256, dtype=np.uint8)
 _TABLE[65:91] += 32
 _TABLE[[ord(c) for c in _PUNCT]] = 32
+_EXACT = np.uint64(0xD1B54A32D192ED03)
 _FNS = T.mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -73,13 +78,19 @@ def _keys(minima: np.ndarray, cls: int) -> np.ndarray:
     return T.mix(minima ^ _FNS[None, :]) ^ T.mix(np.uint64([cls + 1]))[0]
 
 
+def _exact_keys(s: np.ndarray) -> np.ndarray:
+    """Keys by which small items are looked up: one per shingle hash."""
+    return T.mix(s + _EXACT)
+
+
 def _minima(s: np.ndarray) -> np.ndarray:
     """The HASHES minima of one set of shingle hashes."""
     return T.mix(s[:, None] ^ _FNS[None, :]).min(axis=0)
 
 
-def item_table(benchmark: DataFrame) -> DataFrame:
-    """Written ``(item, item_id, cls, n, shingles, hashes, keys)`` of the items with words."""
+def item_table(benchmark: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Written ``(item, item_id, cls, n, shingles, hashes, keys)`` of the items with words;
+    ``cls`` is null for small items."""
     schema = pa.schema([("item", pa.int64()), ("item_id", pa.int64()), ("cls", pa.int32()), ("n", pa.int64()),
                         ("shingles", pa.list_(pa.string())), ("hashes", pa.list_(pa.int64())),
                         ("keys", pa.list_(pa.int64()))])
@@ -94,8 +105,14 @@ def item_table(benchmark: DataFrame) -> DataFrame:
                     continue
                 cls = _class_of(len(own))
                 names = _shingle_texts(text, np.arange(len(own)))
+                kinds = np.unique(own)
+                if len(kinds) < (BLOCK << cls) // 2:
+                    cls, least = None, max(1, -(-len(kinds) * threshold // 100))
+                    keys = _exact_keys(kinds[:len(kinds) - least + 1])
+                else:
+                    keys = _keys(_minima(own)[None, :], cls)[0]
                 out.append((batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), cls, len(names), names,
-                            T.signed(np.unique(own)).tolist(), T.signed(_keys(_minima(own)[None, :], cls)[0]).tolist()))
+                            T.signed(kinds).tolist(), T.signed(keys).tolist()))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in out], schema=schema)
 
     rows = benchmark.select(F.xxhash64("item_id", "text").alias("item"), F.col("item_id").cast("bigint").alias("item_id"),
@@ -119,8 +136,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHO
     for each document row and item of which it holds enough."""
     spark = docs.sparkSession
     T.prepare(spark)
-    items = item_table(benchmark)
+    items = item_table(benchmark, threshold)
     classes = [r["cls"] for r in items.select("cls").distinct().orderBy("cls").collect()]
+    small, classes = None in classes, [c for c in classes if c is not None]
     bits = spark.sparkContext.broadcast(bitmap(items.select(F.explode("hashes").alias("h")), "h"))
     item_keys = items.select("item", F.explode(F.array_distinct("keys")).alias("key")).distinct()
     table = None
@@ -143,7 +161,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHO
             for i in np.unique(doc).tolist():
                 at = hit[doc == i] - sb[i]
                 own = s[sb[i]:sb[i + 1]]
-                found = np.unique(T.signed(np.concatenate([_windows(own, at, c) for c in classes])))
+                found = np.unique(T.signed(np.concatenate(
+                    [_windows(own, at, c) for c in classes] + ([_exact_keys(own[at])] if small else []))))
                 if known is not None:
                     lo, hi = np.searchsorted(known[0], found), np.searchsorted(known[0], found, side="right")
                     found = np.unique(np.concatenate([known[1][a:b] for a, b in zip(lo, hi)] or [known[1][:0]]))

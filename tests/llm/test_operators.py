@@ -199,6 +199,27 @@ def test_containment_both_ways(spark, documents, odd):
     assert contaminated(odd.limit(0), items).count() == 0 and contaminated(odd, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("keys", [2_000_000, 0])
+def test_containment_of_small_items(spark, keys):
+    """Items of few shingles are found wherever they stand in long documents."""
+    from grainline.llm.decontaminate import contaminated
+    rng = np.random.default_rng(7)
+    items = [" ".join(f"i{i}w{j}" for j in range(5 + i % 5)) for i in range(200)] + ["la " * 60 + "end of it", "solo"]
+    rows, want = [], collections.Counter()
+    for d, text in enumerate(items):
+        words = [f"d{d}x{j}" for j in range(300)]
+        at = int(rng.integers(0, 280)) if d % 2 else 0
+        rows.append((d, " ".join(words[:at] + text.split() + words[at:])))
+        want[d, d] += d != 201
+    rows += [(900, "solo"), (901, "x " + " ".join(items[4].split()[:7]) + " y " + " ".join(items[4].split()[4:]) + " z")]
+    want[900, 201] += 1
+    want[901, 4] += 1
+    got = collections.Counter((r.doc_id, r.item_id) for r in contaminated(
+        spark.createDataFrame(rows, "doc_id bigint, text string"),
+        spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string"), broadcast_keys=keys).collect())
+    assert got == +want
+
+
 def test_quality(spark, documents, odd):
     from grainline.llm.quality import judge
     got = query(spark, "op3_").sort_values("doc_id")
