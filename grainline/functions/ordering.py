@@ -2,216 +2,177 @@
 
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row into a single
 task, and ``partitionBy(key)`` does the same for a key that holds a third of
-the table.  Both fills and global numbering here run in two levels instead:
-
-1. **Range buckets.**  Up to ``CASE_MAX_BUCKETS`` buckets: a bounded sample
-   of the sort key (``SAMPLES_PER_BUCKET`` × buckets rows) is sorted on the
-   driver and cut into bounds, and the bucket of a row is a pure expression (a
-   balanced ``CASE`` tree of struct comparisons) — the same on every
-   recomputation and after executor loss, so nothing is materialised.  More
-   buckets (tables of billions of rows): ``repartitionByRange`` and the
-   partition id, frozen with a reliable ``checkpoint()`` in the shared
-   checkpoint folder (the range sampler is not deterministic across re-runs).
-2. **Per-bucket summary.**  One aggregate per bucket (counts, first/last keys,
-   last/first non-null value) — one row per bucket reaches the driver, which
-   computes carries / offsets in one linear pass.
-3. **Local window.**  ``Window.partitionBy(bucket, keys).orderBy(order)`` plus
-   the carried value (or offset), joined by bucket id from a small table
-   broadcast under its known row count.
-
-Hot partition keys are split across buckets because the sort key is
-``(keys..., order...)``; only ties of the full sort key stay together.
+the table.  Both fills and the numberings here are multi-level scans instead:
+
+1. **Range buckets.**  One exchange, ``repartitionByRange`` over ``(keys...,
+   order...)`` and a hash of the row, sorts the table into buckets.  The result
+   is staged in shared storage with the bucket of each row and its position in
+   the bucket (both from ``monotonically_increasing_id`` over the sorted
+   partition), so every later step sees the same buckets, also after an
+   executor loss.
+2. **Summary.**  A partial aggregate gives one row per bucket: its row count,
+   or its last (first) non-null value and the key its first (last) row has.
+3. **Scan.**  ``scan`` carries sums or last values over the summary rows.  The
+   summary is a table like any other: it is cut into groups of ``WIDTH``
+   buckets, the groups are summed up and scanned in turn, and a window runs
+   within each group.  No row of it reaches the driver, and the number of
+   buckets has no bound.
+4. **Local step.**  Rows join their bucket's carry (broadcast under a checked
+   size) and finish within the bucket.
+
+A hot key is split across buckets, and so are ties of the sort key; only
+rows equal in every column stay together.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-import decimal
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .exprs import qcol
 from .joins import join_lookup
-
-ROWS_PER_BUCKET = 2_000_000
-CASE_MAX_BUCKETS = 256          # above this the bucket is a range partition id
-SAMPLES_PER_BUCKET = 20
-
-
-def _lit(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(value, (_dt.datetime, _dt.date)):
-        return F.lit(value.isoformat(sep=" ") if isinstance(value, _dt.datetime)
-                     else value.isoformat()).cast(dtype)
-    if isinstance(value, decimal.Decimal):
-        return F.lit(str(value)).cast(dtype)
-    return F.lit(value).cast(dtype)
-
-
-def _sort_key(row):
-    out = []
-    for v in row:
-        if v is None:
-            out.append((0,))
-        elif isinstance(v, float) and math.isnan(v):
-            out.append((2,))
-        else:
-            out.append((1, v))
-    return tuple(out)
-
-
-def wanted_buckets(df: DataFrame, n: int) -> int:
-    return max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / ROWS_PER_BUCKET))
-
-
-def assign_buckets(df: DataFrame, sort_cols: list[str], n_buckets: int | None = None,
-                   name: str = "__bucket") -> tuple[DataFrame, int]:
-    """``df`` plus a range-bucket id column over ``sort_cols`` (ascending)."""
-    n = df.count()
-    want = n_buckets or wanted_buckets(df, n)
-    if want <= CASE_MAX_BUCKETS:
-        expr, nb = range_bucket_expr(df, sort_cols, want, n=n)
-        return df.withColumn(name, expr), nb
-    ranged = df.repartitionByRange(want, *[qcol(c) for c in sort_cols]).withColumn(
-        name, F.spark_partition_id())
-    return ranged.checkpoint(), want
-
-
-def _lookup(data: DataFrame, rows: list[tuple], schema: T.StructType, on: str) -> DataFrame:
-    """Join a per-bucket table built on the driver (one row per bucket)."""
-    table = data.sparkSession.createDataFrame(rows, schema)
-    return join_lookup(data, table, on, "left", len(rows))
-
-
-def range_bucket_expr(df: DataFrame, sort_cols: list[str], n_buckets: int | None = None,
-                      seed: int = 7, n: int | None = None) -> tuple[Column, int]:
-    """Deterministic range-bucket id of each row over ``sort_cols`` ascending
-    (``n``: the row count, when the caller already has it)."""
-    n = df.count() if n is None else n
-    n_buckets = max(1, min(CASE_MAX_BUCKETS, n_buckets or wanted_buckets(df, n)))
-    if n == 0 or n_buckets == 1:
-        return F.lit(0), 1
-    want = SAMPLES_PER_BUCKET * n_buckets
-    frac = min(1.0, want / n)
-    keys = df.select(*[qcol(c) for c in sort_cols])
-    sample = keys.sample(False, frac, seed).limit(4 * want).collect() if frac < 1.0 \
-        else keys.limit(4 * want).collect()
-    sample.sort(key=_sort_key)
-    bounds = []
-    for i in range(1, n_buckets):
-        b = tuple(sample[min(len(sample) - 1, (i * len(sample)) // n_buckets)])
-        if not bounds or _sort_key(b) > _sort_key(bounds[-1]):
-            bounds.append(b)
-    if not bounds:
-        return F.lit(0), 1
-    types = [df.schema[c].dataType for c in sort_cols]
-    key = F.struct(*[qcol(c).alias(f"k{i}") for i, c in enumerate(sort_cols)])
-    lits = [F.struct(*[_lit(v, t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
-            for b in bounds]
-
-    def tree(lo: int, hi: int) -> Column:
-        # bucket = number of bounds <= key, searched in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= lits[mid - 1], tree(mid, hi)).otherwise(tree(lo, mid - 1))
-
-    return tree(0, len(bounds)), len(bounds) + 1
+from .staging import staged
+
+WIDTH = 1024                    # summary rows one window task scans
+BUCKET, AT = "__bucket", "__at"
+_LOCAL_BITS = 33                # fixed value: monotonically_increasing_id numbers rows in its low 33 bits
+
+
+def _hashable(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    return isinstance(dtype, (T.AtomicType, T.NullType))
+
+
+def arranged(df: DataFrame, sort_cols: list[str], n_buckets: int | None = None) -> tuple[DataFrame, int]:
+    """A staged copy of ``df`` in range buckets over ``sort_cols`` (ascending,
+    nulls first), and the number of buckets.
+
+    Its columns are ``c0, c1, ...`` in the order of ``df.columns``, then the
+    bucket and the row's position in it."""
+    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    keys = [qcol(_spot(df, c)) for c in sort_cols]
+    spread = [qcol(f.name) for f in plain.schema.fields if _hashable(f.dataType)]
+    order = [*keys, F.xxhash64(*spread)] if spread else keys
+    ordered = plain.repartitionByRange(n, *order).sortWithinPartitions(*order) if order else plain
+    numbered = staged(ordered.withColumn("__id", F.monotonically_increasing_id()), "arranged")
+    return numbered.select(*plain.columns, F.shiftright("__id", _LOCAL_BITS).alias(BUCKET),
+                           F.col("__id").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)).alias(AT)), n
+
+
+def _spot(df: DataFrame, name: str) -> str:
+    """Positional name of column ``name`` (compared as Spark compares names)."""
+    if name in df.columns:
+        return f"c{df.columns.index(name)}"
+    low = [c.lower() for c in df.columns]
+    if name.lower() not in low:
+        raise ValueError(f"no column {name}; columns are {df.columns}")
+    return f"c{low.index(name.lower())}"
+
+
+def scan(table: DataFrame, n: int, values: list[str], how: str, forward: bool = True, width: int = WIDTH) -> DataFrame:
+    """``(bucket, values...)``: for each bucket what the buckets before it
+    (behind it, if not ``forward``) amount to: their ``sum``, or the ``last``
+    non-null value met on the way to the bucket."""
+    way = (lambda c: F.col(c).asc()) if forward else (lambda c: F.col(c).desc())
+
+    def carried(v: str, over) -> Column:
+        return F.sum(v).over(over) if how == "sum" else F.last(v, ignorenulls=True).over(over)
+
+    if n <= width:                                   # at most ``width`` rows
+        over = Window.partitionBy(F.expr(f"{BUCKET} div {width}")).orderBy(way(BUCKET))
+        over = over.rowsBetween(Window.unboundedPreceding, -1)
+        return table.select(BUCKET, *[carried(v, over).alias(v) for v in values])
+    grouped = table.withColumn("__group", F.expr(f"{BUCKET} div {width}"))
+    last = F.max_by if forward else F.min_by
+    upper = grouped.groupBy("__group").agg(*[
+        (F.sum(v) if how == "sum" else last(F.col(v), F.when(F.col(v).isNotNull(), F.col(BUCKET)))).alias(v)
+        for v in values])
+    upper = scan(upper.withColumnRenamed("__group", BUCKET), -(-n // width), values, how, forward, width)
+    upper = upper.select(F.col(BUCKET).alias("__group"), *[F.col(v).alias(f"__up_{v}") for v in values])
+    over = Window.partitionBy("__group").orderBy(way(BUCKET)).rowsBetween(Window.unboundedPreceding, -1)
+    both = grouped.join(upper, "__group", "left")
+    if how == "sum":
+        out = [(F.coalesce(carried(v, over), F.lit(0)) + F.coalesce(f"__up_{v}", F.lit(0))).alias(v) for v in values]
+    else:
+        out = [F.coalesce(carried(v, over), f"__up_{v}").alias(v) for v in values]
+    return both.select(BUCKET, *out)
 
 
 def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
                  partition_by: list[str] | None = None, direction: str = "forward",
-                 n_buckets: int | None = None) -> DataFrame:
+                 n_buckets: int | None = None, width: int = WIDTH) -> DataFrame:
     """Forward / backward fill of ``columns`` along ``order_by`` within
     ``partition_by`` groups (or over the whole table)."""
     pkeys = list(partition_by or [])
-    sort_cols = pkeys + list(order_by)
-    b = "__fill_bucket"
-    data, nb = assign_buckets(df, sort_cols, n_buckets, b)
-    skey = F.struct(*[qcol(c).alias(f"k{i}") for i, c in enumerate(sort_cols)])
-    pk = F.struct(*[qcol(c).alias(f"p{i}") for i, c in enumerate(pkeys)]) if pkeys else F.lit(0)
     forward = direction == "forward"
-    aggs = [F.min(F.struct(skey.alias("s"), pk.alias("p"))).alias("first"),
-            F.max(F.struct(skey.alias("s"), pk.alias("p"))).alias("last")]
-    for i, c in enumerate(columns):
-        packed = F.when(qcol(c).isNotNull(), F.struct(skey.alias("s"), pk.alias("p"), qcol(c).alias("v")))
-        aggs.append((F.max(packed) if forward else F.min(packed)).alias(f"nn{i}"))
-    summary = {r[b]: r for r in data.groupBy(b).agg(*aggs).collect()}   # one row per bucket
-
-    order = sorted(summary) if forward else sorted(summary, reverse=True)
-    carries = {i: {} for i in range(len(columns))}
-    for i in range(len(columns)):
-        state_key, state_val = object(), None
-        for bk in order:
-            r = summary[bk]
-            enter = r["first"]["p"] if forward else r["last"]["p"]
-            leave = r["last"]["p"] if forward else r["first"]["p"]
-            carry = state_val if state_key == enter else None
-            carries[i][bk] = carry
-            nn = r[f"nn{i}"]
-            if nn is not None and nn["p"] == leave:
-                state_key, state_val = leave, nn["v"]
-            elif leave == enter:
-                state_key, state_val = leave, carry
-            else:
-                state_key, state_val = leave, None
-
-    w = Window.partitionBy(F.col(b), *[qcol(c) for c in pkeys]).orderBy(*[qcol(c) for c in order_by])
+    data, n = arranged(df, pkeys + list(order_by), n_buckets)
+    keys = [_spot(df, c) for c in pkeys]
+    fills = [_spot(df, c) for c in columns]
+    key = F.struct(*[F.col(k).alias(f"p{i}") for i, k in enumerate(keys)]) if keys else F.struct(F.lit(0).alias("p0"))
+    nearest, enter = (F.max_by, F.min_by) if forward else (F.min_by, F.max_by)
+    summary = data.groupBy(BUCKET).agg(
+        enter(key, F.col(AT)).alias("__enter"),
+        *[nearest(F.struct(key.alias("p"), F.col(c).alias("v")), F.when(F.col(c).isNotNull(), F.col(AT))).alias(f"s{i}")
+          for i, c in enumerate(fills)])
+    summary = staged(summary, "summary")
+    names = [f"s{i}" for i in range(len(fills))]
+    # the value nearest to the bucket counts only where it is of the key the bucket starts with
+    carry = summary.select(BUCKET, "__enter").join(scan(summary, n, names, "last", forward, width), BUCKET)
+    carry = carry.select(BUCKET, "__enter", *[F.when(F.col(f"{s}.p") == F.col("__enter"), F.col(f"{s}.v")).alias(s)
+                                              for s in names])
+    if keys:
+        carry = carry.select(BUCKET, *[F.col(f"__enter.p{i}").alias(f"__k{i}") for i in range(len(keys))], *names)
+    else:
+        carry = carry.select(BUCKET, *names)
+    w = Window.partitionBy(BUCKET, *keys).orderBy(AT)
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if forward \
         else w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    needed = [i for i in range(len(columns)) if any(v is not None for v in carries[i].values())]
-    if needed:
-        # one row per bucket that has a carry: (bucket, carry values, entering key)
-        fields = [T.StructField(b, T.IntegerType())]
-        fields += [T.StructField(f"__carry{i}", df.schema[columns[i]].dataType) for i in needed]
-        if pkeys:
-            fields.append(T.StructField("__enter", T.StructType(
-                [T.StructField(f"p{j}", df.schema[c].dataType) for j, c in enumerate(pkeys)])))
-        rows = []
-        for bk, r in summary.items():
-            vals = [carries[i].get(bk) for i in needed]
-            if all(v is None for v in vals):
-                continue
-            row = [bk, *vals]
-            if pkeys:
-                p = r["first"]["p"] if forward else r["last"]["p"]
-                row.append(tuple(p))
-            rows.append(tuple(row))
-        data = _lookup(data, rows, T.StructType(fields), b)
-    exprs = {}
-    for i, c in enumerate(columns):
-        local = F.last(qcol(c), ignorenulls=True).over(w) if forward \
-            else F.first(qcol(c), ignorenulls=True).over(w)
-        if i not in needed:
-            exprs[c] = local
-            continue
-        carry = F.col(f"__carry{i}")
-        if pkeys:
-            carry = F.when(pk == F.col("__enter"), carry)
-        exprs[c] = F.coalesce(local, carry)
-    out = data.withColumns(exprs)
-    return out.select(*[qcol(c) for c in df.columns])
+    near = F.last if forward else F.first
+    done = data.withColumns({c: near(F.col(c), ignorenulls=True).over(w) for c in dict.fromkeys(fills)})
+    done = join_lookup(done, carry, BUCKET, "left", n)
+    entered = F.lit(True)
+    for i, k in enumerate(keys):
+        entered = entered & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    done = done.withColumns({c: F.coalesce(F.col(c), F.when(entered, F.col(s))) for c, s in zip(fills, names)})
+    return done.select(*[f"c{i}" for i in range(len(df.columns))]).toDF(*df.columns)
 
 
 def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_pos",
-                      n_buckets: int | None = None, with_total: bool = False):
-    """1-based position of each row in ``order_by`` order, computed in two
-    levels (no single-task window).  ``with_total=True`` also returns the row
-    count (known from the per-bucket counts, no extra job)."""
-    b = "__pos_bucket"
-    data, nb = assign_buckets(df, list(order_by), n_buckets, b)
-    counts = {r[b]: r["n"] for r in data.groupBy(b).agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows, run = [], 0
-    for bk in sorted(counts):
-        rows.append((bk, run))
-        run += counts[bk]
-    schema = T.StructType([T.StructField(b, T.IntegerType()), T.StructField("__offset", T.LongType())])
-    data = _lookup(data, rows, schema, b)
-    w = Window.partitionBy(F.col(b)).orderBy(*[qcol(c) for c in order_by])
-    out = data.withColumn(name, F.row_number().over(w) + F.col("__offset"))
-    out = out.select(*[qcol(c) for c in df.columns], F.col(name))
-    return (out, run) if with_total else out
+                      n_buckets: int | None = None, with_total: bool = False, width: int = WIDTH):
+    """1-based position of each row in ``order_by`` order, ``bigint``.
+    ``with_total=True`` also returns the row count."""
+    data, n = arranged(df, list(order_by), n_buckets)
+    counts = staged(data.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n")), "counts")
+    offsets = scan(counts, n, ["__n"], "sum", width=width)
+    out = join_lookup(data, offsets, BUCKET, "left", n)
+    out = out.select(*[f"c{i}" for i in range(len(df.columns))],
+                     (F.coalesce("__n", F.lit(0)) + F.col(AT) + 1).alias("__pos")).toDF(*df.columns, name)
+    return (out, counts.agg(F.sum("__n")).first()[0] or 0) if with_total else out
+
+
+def numbered_within(df: DataFrame, keys: list[str], order_by: list[str], name: str = "row_pos",
+                    n_buckets: int | None = None, width: int = WIDTH) -> DataFrame:
+    """1-based position of each row among the rows of its ``keys`` (nulls are
+    a key), in ``order_by`` order; a hot key is numbered by many tasks."""
+    data, n = arranged(df, list(keys) + list(order_by), n_buckets)
+    spots = [_spot(df, c) for c in keys]
+    parts = staged(data.groupBy(BUCKET, *spots).agg(F.count(F.lit(1)).alias("__n"), F.min(AT).alias("__first")), "parts")
+    offsets = scan(parts.groupBy(BUCKET).agg(F.sum("__n").alias("__n")), n, ["__n"], "sum", width=width)
+    parts = parts.select(BUCKET, *spots, "__first").join(offsets, BUCKET, "left") \
+        .withColumn("__from", F.coalesce("__n", F.lit(0)))
+    named = [F.col(s).alias(f"__k{i}") for i, s in enumerate(spots)]
+    # where a key starts; one row per key and bucket, so a key is as wide as its buckets
+    starts = parts.groupBy(*named).agg(F.min(F.col("__from") + F.col("__first")).alias("__start"))
+    same = F.lit(True)
+    for i, s in enumerate(spots):
+        same = same & F.col(s).eqNullSafe(F.col(f"__k{i}"))
+    table = parts.join(starts, same).select(F.col(BUCKET).alias("__b"), *[f"__k{i}" for i in range(len(spots))],
+                                            (F.col("__from") - F.col("__start")).alias("__shift"))
+    out = data.join(table, (F.col(BUCKET) == F.col("__b")) & same)
+    return out.select(*[f"c{i}" for i in range(len(df.columns))],
+                      (F.col("__shift") + F.col(AT) + 1).alias("__pos")).toDF(*df.columns, name)

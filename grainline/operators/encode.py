@@ -48,10 +48,6 @@ class LabelModel:
 def fit_label(df: DataFrame, column: str) -> LabelModel:
     values = (df.select(F.coalesce(qcol(column).cast("string"), F.lit(MISSING_LABEL)).alias("value"))
               .distinct())
-    # the numbering reads its input several times (size, bounds, counts, rows):
-    # materialise the dictionary once in the shared checkpoint folder
-    if df.sparkSession.sparkContext.getCheckpointDir():
-        values = values.checkpoint()
     numbered, size = global_row_number(values, ["value"], name="code", with_total=True)
     dictionary = numbered.select("value", (F.col("code") - 1).cast("int").alias("code"))
     return LabelModel(column, dictionary, size)
