@@ -135,3 +135,22 @@ def op6(spark, sf_dir):
 def op7(spark, sf_dir):
     from .toxicity import score
     return score(_documents(spark, sf_dir), T.table(spark, sf_dir, "labels"))
+
+
+@query("op11_histogram_shards")
+def op11(spark, sf_dir):
+    from .sharding import shard_documents
+    return shard_documents(_documents(spark, sf_dir))
+
+
+@query("op12_merkle_manifest")
+def op12(spark, sf_dir):
+    from .manifest import manifest
+    return manifest(_documents(spark, sf_dir))
+
+
+@query("op13_hard_negatives")
+def op13(spark, sf_dir):
+    from .negatives import mine
+    T.prepare(spark)
+    return mine(T.table(spark, sf_dir, "embeddings"))
