@@ -137,19 +137,98 @@ def op7(spark, sf_dir):
     return score(_documents(spark, sf_dir), T.table(spark, sf_dir, "labels"))
 
 
-@query("op11_histogram_shards")
+# CRC-32 in DuckDB: the table from its polynomial, then a fold over the bytes of the UTF-8 text
+_CRC_TABLE = """
+crc AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+_OP11_SQL = f"""
+WITH {_CRC_TABLE},
+d AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS body, (octet_length(encode(coalesce(text, ''))) + 16)::BIGINT AS size FROM documents),
+h AS MATERIALIZED (SELECT doc_id, size, list_transform(string_split(hex(encode(body)), ''), lambda c: strpos('0123456789ABCDEF', c) - 1) AS x FROM d),
+b AS MATERIALIZED (SELECT doc_id, size, list_transform(range(1, 2 * (size - 16), 2), lambda i: x[i] * 16 + x[i + 1]) AS octets FROM h),
+c AS (SELECT doc_id, size, xor(list_reduce(list_prepend(4294967295, octets),
+        lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)::BIGINT AS text_crc32 FROM b, crc),
+o AS (SELECT *, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS before, sum(size) OVER () AS total FROM c),
+s AS (SELECT *, ((2 * before + size) * 40 // (2 * total))::INTEGER AS shard FROM o)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard FROM s
+"""
+
+
+@query("op11_histogram_shards", _OP11_SQL)
 def op11(spark, sf_dir):
     from .sharding import shard_documents
     return shard_documents(_documents(spark, sf_dir))
 
 
-@query("op12_merkle_manifest")
+def _op12_sql(tree_levels: int = 8, top_levels: int = 3) -> str:
+    """The manifest with its levels unrolled: trees of up to 8 ** 8 rows, up to 8 ** 3 languages."""
+    def field(x):
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE octet_length(encode(({x})::VARCHAR)) || ':' || ({x})::VARCHAR END"
+
+    def leaf(text):
+        return "sha256(concat(" + ", ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + "))"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    id_bytes = "list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c))"
+    parts = [_CRC_TABLE.strip(), f"""d AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '') AS tree, {leaf('text')} AS leaf,
+  CASE WHEN xor(list_reduce(list_prepend(4294967295, {id_bytes}), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 3 = 0
+    THEN {leaf(lower)} ELSE {leaf('text')} END AS checked FROM documents, crc)""",
+             "n0 AS MATERIALIZED (SELECT doc_id, tree, leaf AS h, checked, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS i FROM d)",
+             "c0 AS MATERIALIZED (SELECT doc_id, tree, h AS leaf, i, checked AS f, '' AS proof FROM n0)"]
+
+    def climb(nodes, climbers, k, tree):
+        n, c = f"{nodes}{k}", f"{climbers}{k}"
+        parts.append(f"""{nodes}{k + 1} AS MATERIALIZED (SELECT tree, i // 8 AS i,
+  CASE WHEN any_value(most) = 0 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h
+  FROM (SELECT *, max(i) OVER (PARTITION BY tree) AS most FROM {n}) GROUP BY tree, i // 8)""")
+        parts.append(f"""{climbers}{k + 1} AS MATERIALIZED (SELECT c.*  REPLACE (c.i // 8 AS i,
+    CASE WHEN g.most = 0 THEN c.f ELSE sha256(g.l || c.f || g.r) END AS f, c.proof || g.l || g.r AS proof)
+  FROM {c} c JOIN (SELECT tree, i, max(i) OVER (PARTITION BY tree) AS most,
+      coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+      coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+    FROM {n}) g ON g.tree = c.{tree} AND g.i = c.i)""")
+
+    for k in range(tree_levels):
+        climb("n", "c", k, "tree")
+    last = tree_levels
+    parts.append(f"s0 AS MATERIALIZED (SELECT 'top' AS tree, tree AS lang, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM n{last})")
+    parts.append(f"""t0 AS MATERIALIZED (SELECT doc_id, 'top' AS tree, leaf, s0.h AS subroot, s0.i AS i, f, proof
+  FROM c{last} c JOIN s0 ON s0.lang = c.tree)""")
+    for k in range(top_levels):
+        climb("s", "t", k, "tree")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, s.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = s.h AS verified
+FROM t{top_levels} CROSS JOIN s{top_levels} s"""
+
+
+@query("op12_merkle_manifest", _op12_sql())
 def op12(spark, sf_dir):
     from .manifest import manifest
     return manifest(_documents(spark, sf_dir))
 
 
-@query("op13_hard_negatives")
+_OP13_SQL = """
+WITH v AS MATERIALIZED (SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS z
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label, list_inner_product(a.z, b.z)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE label = anchor_label AND vec_id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank,
+  s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+  AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) <= 10
+"""
+
+
+@query("op13_hard_negatives", _OP13_SQL)
 def op13(spark, sf_dir):
     from .negatives import mine
     T.prepare(spark)
