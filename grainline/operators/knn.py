@@ -12,42 +12,52 @@ Plan, per column to fill:
 * **Pre-aggregation.**  Donors are grouped by their full feature tuple with a
   multiplicity, receivers by their tuple: a value repeated in a third of the
   table becomes one weighted row before anything is shuffled.
-* **Grid.**  Up to ``grid_dims`` feature columns without nulls span a grid
-  whose size follows the number of distinct donors.  Cell ids are pure
-  expressions.
-* **Rings.**  Round ``ρ`` sends each open receiver to the cells of its ring
-  ``ρ`` (Chebyshev shell).  Cells are cut into donor chunks and receiver
-  chunks by hash, and each ``(cell, donor chunk, receiver chunk)`` group is
-  solved by ``cogroup().applyInPandas`` with numpy, which returns only the best
-  ``k`` (by multiplicity) per receiver — pairs are never materialised.
-* **Exact stop.**  A receiver is finished when its ``k``-th distance is at
-  most its distance to the edge of the visited region (any unvisited donor is
-  farther in at least one grid coordinate, and the NaN weight is ≥ 1), or when
-  the region covers the grid.  Candidates and open receivers are checkpointed
-  between rounds in the shared checkpoint folder.
+* **Tree.**  Donors are dealt into the leaves of a space-partition tree
+  (``spacetree``): median splits on the widest coordinate, missing coordinates
+  split off first, so skewed and gappy columns fill leaves evenly and no column
+  has to be free of nulls.  It is grown on a bounded sample of the donors, has at most
+  ``MAX_LEAVES`` leaves, and travels to the tasks as arrays.  One aggregate gives
+  the exact box of every leaf.
+* **Rounds.**  A receiver first meets its own leaf.  Each further round sends it
+  to the next nearest leaves among those whose lower bound is within its ``k``-th
+  best distance so far; most receivers end after one or two.  Leaves are cut into
+  donor chunks and receiver chunks by hash, and each ``(leaf, donor chunk, receiver
+  chunk)`` group is solved by ``cogroup().applyInPandas`` with numpy, which returns
+  only the best ``k`` (by multiplicity) per receiver; pairs are never materialised.
+* **Exact stop.**  A receiver is finished when no unvisited leaf can hold a donor
+  at its ``k``-th distance or nearer.  Leaves without a coordinate in common with it
+  are never visited.  Candidates are staged between rounds in the shared folder.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import as_double, existing, numeric_columns, qcol
 from ..functions.joins import join_lookup
+from ..functions.staging import staged
+from .spacetree import Boxes, grow, leaf_of
 
-MAX_GRID_DIMS = 2
-DONORS_PER_CELL = 4096
+DONORS_PER_CELL = 2048
+MAX_LEAVES = 8192
+SAMPLE_PER_LEAF = 16            # donors the tree is grown on, for each leaf
 CHUNK_ROWS = 2048
+BOUND_CELLS = 1 << 21           # receivers x leaves x coordinates bounded at a time in a task
 
 
 def impute_knn(df: DataFrame, target: str | None = None, k: int = 5, columns=None,
-               grid_dims: int = MAX_GRID_DIMS, donors_per_cell: int = DONORS_PER_CELL,
-               chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+               donors_per_cell: int = DONORS_PER_CELL, chunk_rows: int = CHUNK_ROWS,
+               max_leaves: int = MAX_LEAVES) -> DataFrame:
+    """``df`` with the gaps of all its numeric columns (or ``columns``) filled;
+    nothing happens where ``target`` is none of them."""
     feats = existing(df, columns) if columns else numeric_columns(df)
     if target is not None and target not in feats:
         return df
@@ -58,15 +68,13 @@ def impute_knn(df: DataFrame, target: str | None = None, k: int = 5, columns=Non
     fcols = [f"f{i}" for i in range(n)]
     X = df.select(*[as_double(df, c).alias(f) for c, f in zip(feats, fcols)])
     stats = X.agg(*[F.count_if(F.col(f).isNull()).alias(f"z{i}") for i, f in enumerate(fcols)],
-                  *[F.min(f).alias(f"lo{i}") for i, f in enumerate(fcols)],
-                  *[F.max(f).alias(f"hi{i}") for i, f in enumerate(fcols)],
                   *[F.avg(f).alias(f"m{i}") for i, f in enumerate(fcols)]).first()
     to_fill = [i for i in range(n) if stats[f"z{i}"] > 0]
     if not to_fill:
         return df
     lookups = []
     for j in to_fill:
-        vals = _knn_column(X, fcols, j, k, stats, grid_dims, donors_per_cell, chunk_rows)
+        vals = _knn_column(X, fcols, j, k, stats, donors_per_cell, chunk_rows, max_leaves)
         lookups.append(vals.withColumnRenamed("value", f"fill{j}"))
     table = lookups[0]
     for other in lookups[1:]:
@@ -91,113 +99,132 @@ def _merge_lookup(a: DataFrame, b: DataFrame, fcols: list[str]) -> DataFrame:
         .select(*[F.col("__t").getField(f).alias(f) for f in fcols], *fill_a, *fill_b)
 
 
-def _knn_column(X: DataFrame, fcols, j, k, stats, grid_dims, donors_per_cell, chunk_rows) -> DataFrame:
+def _numbers(batch: pa.RecordBatch, fcols: list[str]) -> np.ndarray:
+    """Coordinates of a batch, missing ones as NaN."""
+    return np.stack([batch.column(batch.schema.get_field_index(f)).cast(pa.float64()).to_numpy(zero_copy_only=False)
+                     for f in fcols], axis=1).astype(np.float64)
+
+
+def _with_leaf(points: DataFrame, fcols: list[str], nodes) -> DataFrame:
+    """``points`` plus the ``leaf`` each falls into."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("leaf", pa.array(leaf_of(nodes.value, _numbers(batch, fcols)).astype(np.int32)))
+
+    return points.mapInArrow(run, T.StructType([*points.schema.fields, T.StructField("leaf", T.IntegerType())]))
+
+
+def _next_leaves(receivers: DataFrame, fcols: list[str], boxes, seen: int, step: int) -> DataFrame:
+    """``(coordinates, leaf)``: per receiver the leaves ``seen`` to ``seen + step`` among
+    those within its limit ``dk2``, nearest first, its own leaf left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = boxes.value
+        block = max(1, BOUND_CELLS // (len(told.nodes["kind"]) * len(fcols)))
+        for batch in batches:
+            for start in range(0, batch.num_rows, block):
+                part = batch.slice(start, block)
+                x = _numbers(part, fcols)
+                limit = part.column(part.schema.get_field_index("dk2")).cast(pa.float64()).to_numpy(zero_copy_only=False)
+                home = part.column(part.schema.get_field_index("home")).to_numpy(zero_copy_only=False)
+                point, leaf, _ = told.near(x, np.where(np.isnan(limit), np.inf, limit))
+                other = leaf != home[point]
+                point, leaf = point[other], leaf[other]
+                place = np.arange(len(point)) - np.searchsorted(point, point, "left")
+                due = (place >= seen) & (place < seen + step)
+                point, leaf = point[due], leaf[due]
+                taken = part.select(fcols).take(pa.array(point))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(leaf.astype(np.int32))], names=[*fcols, "leaf"])
+
+    return receivers.mapInArrow(run, T.StructType([*[T.StructField(f, T.DoubleType()) for f in fcols],
+                                                    T.StructField("leaf", T.IntegerType())]))
+
+
+def _knn_column(X: DataFrame, fcols, j, k, stats, donors_per_cell, chunk_rows, max_leaves) -> DataFrame:
     spark = X.sparkSession
-    n = len(fcols)
     fj = fcols[j]
-    donors = (X.where(F.col(fj).isNotNull()).groupBy(*fcols).agg(F.count(F.lit(1)).alias("m")))
+    donors = staged(X.where(F.col(fj).isNotNull()).groupBy(*fcols).agg(F.count(F.lit(1)).alias("m")), "donors")
     receivers = X.where(F.col(fj).isNull()).select(*fcols).distinct()
-    # grid dimensions: columns without any null, widest range first
-    dims = [i for i in range(n) if i != j and stats[f"z{i}"] == 0 and stats[f"hi{i}"] is not None
-            and stats[f"hi{i}"] > stats[f"lo{i}"]]
-    dims = sorted(dims, key=lambda i: -(stats[f"hi{i}"] - stats[f"lo{i}"]))[:grid_dims]
     n_donors = donors.count()
     if n_donors == 0:
         return receivers.withColumn("value", F.lit(None).cast("double"))
-    g = max(1, int(math.ceil((n_donors / donors_per_cell) ** (1.0 / max(len(dims), 1))))) if dims else 1
-    lo = [stats[f"lo{i}"] for i in dims]
-    width = [(stats[f"hi{i}"] - stats[f"lo{i}"]) / g for i in dims]
-
-    def cell_cols(frame):
-        if not dims:                       # no usable grid column: one cell, chunked
-            return frame.withColumn("c0", F.lit(0))
-        return frame.withColumns({f"c{d}": F.least(F.lit(g - 1), F.greatest(F.lit(0), F.floor(
-            (F.col(fcols[i]) - F.lit(lo[d])) / F.lit(width[d])).cast("int"))) for d, i in enumerate(dims)})
-
-    ccols = [f"c{d}" for d in range(max(len(dims), 1))]
-    donors = cell_cols(donors)
-    per_cell = donors.groupBy(*ccols).agg(F.count(F.lit(1)).alias("nd"))
-    per_cell = per_cell.select(*ccols, F.ceil(F.col("nd") / chunk_rows).cast("int").alias("dchunks"))
-    n_cells = per_cell.count()
-    donors = join_lookup(donors, per_cell, ccols, "inner", n_cells)
-    donors = donors.withColumn("dchunk", F.pmod(F.xxhash64(*fcols), F.col("dchunks")).cast("int"))
-    donors = donors.select(*ccols, "dchunk", *fcols, "m").checkpoint()
-
-    recv = cell_cols(receivers).withColumn("rk", F.struct(*fcols)).checkpoint()
-    rkey = ["rk"]
-    rk_type = recv.schema["rk"].dataType
+    # the target takes no part in a distance, receivers do not have it
+    leaves = max(1, min(max_leaves, math.ceil(n_donors / donors_per_cell)))
+    want = SAMPLE_PER_LEAF * leaves
+    sample = donors if n_donors <= want else donors.where(
+        F.pmod(F.xxhash64(F.lit(5), *fcols), F.lit(1 << 30)) < F.lit(int((1 << 30) * want / n_donors)))
+    drawn = sample.select(*fcols).limit(2 * want).toPandas().to_numpy(dtype="float64", na_value=np.nan)
+    drawn[:, j] = np.nan
+    nodes = grow(drawn, leaves).packed() if len(drawn) else grow(np.full((1, len(fcols)), np.nan), 1).packed()
+    told = spark.sparkContext.broadcast(nodes)
+    blank = [F.lit(None).cast("double").alias(f) if f == fj else F.col(f) for f in fcols]
+    donors = staged(_with_leaf(donors.select(*blank, F.col(fj).alias("__t"), "m"), fcols, told)
+                    .select("leaf", *[f for f in fcols if f != fj], F.col("__t").alias(fj), "m"), "donor-leaves")
+    others = [f for f in fcols if f != fj]
+    per_leaf = donors.groupBy("leaf").agg(
+        F.count(F.lit(1)).alias("nd"), *[F.min(f).alias(f"lo_{f}") for f in others],
+        *[F.max(f).alias(f"hi_{f}") for f in others], *[F.count(f).alias(f"n_{f}") for f in others])
+    found = per_leaf.toPandas().set_index("leaf")              # a row per leaf, at most ``max_leaves``
+    boxes = spark.sparkContext.broadcast(_boxes(nodes, found, fcols, fj))
+    chunks = spark.createDataFrame([(int(i), int(math.ceil(nd / chunk_rows))) for i, nd in found["nd"].items()],
+                                   "leaf int, dchunks int")
+    donors = join_lookup(donors, chunks, "leaf", "inner", len(found))
+    donors = donors.withColumn("dchunk", F.pmod(F.xxhash64(*fcols), F.col("dchunks")).cast("int")).drop("dchunks")
+
+    recv = staged(_with_leaf(receivers, fcols, told).withColumnRenamed("leaf", "home"), "receivers")
+    rk = F.struct(*fcols)
+    rk_type = recv.select(rk.alias("rk")).schema["rk"].dataType
     cand_schema = T.StructType([T.StructField("rk", rk_type),
                                 *[T.StructField(f"d_{f}", T.DoubleType()) for f in fcols],
                                 T.StructField("dist2", T.DoubleType()), T.StructField("m", T.LongType())])
-    candidates = spark.createDataFrame([], cand_schema)
-    open_recv = recv
-    max_ring = g if dims else 0
-    for ring in range(max_ring + 1):
-        offsets = _shell(len(ccols), ring)
-        if not offsets:
-            break
-        targets = open_recv.select(*rkey, *fcols, *ccols, F.explode(F.array(*[
-            F.array(*[F.lit(o) for o in off]) for off in offsets])).alias("off"))
-        targets = targets.withColumns({f"t{d}": F.col(f"c{d}") + F.col("off")[d] for d in range(len(ccols))})
-        for d in range(len(ccols)):
-            targets = targets.where((F.col(f"t{d}") >= 0) & (F.col(f"t{d}") < g))
-        targets = targets.select(*rkey, *fcols, *[F.col(f"t{d}").alias(f"c{d}") for d in range(len(ccols))])
-        # receiver chunks per target cell, donor chunks per cell
-        per_t = targets.groupBy(*ccols).agg(F.count(F.lit(1)).alias("nr"))
-        per_t = per_t.select(*ccols, F.ceil(F.col("nr") / chunk_rows).cast("int").alias("rchunks"))
-        per_t = per_t.join(per_cell, ccols, "inner")
-        n_t = per_t.count()
-        targets = join_lookup(targets, per_t, ccols, "inner", n_t)
-        targets = targets.withColumn("rchunk", F.pmod(F.xxhash64(*fcols), F.col("rchunks")).cast("int"))
-        targets = targets.withColumn("dchunk", F.explode(F.sequence(F.lit(0), F.col("dchunks") - 1)))
-        dside = join_lookup(donors, per_t.select(*ccols, "rchunks"), ccols, "inner", n_t)
+    targets, candidates, seen, step = recv.select(*fcols, F.col("home").alias("leaf")), None, 0, 2
+    while True:
+        # receiver chunks per target leaf; each meets every donor chunk of the leaf
+        per_t = targets.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("int").alias("rchunks"))
+        per_t = staged(per_t.join(chunks, "leaf", "inner"), "chunks")
+        sent = join_lookup(targets, per_t, "leaf", "inner", len(found))
+        sent = sent.withColumn("rchunk", F.pmod(F.xxhash64(*fcols), F.col("rchunks")).cast("int"))
+        sent = sent.withColumn("dchunk", F.explode(F.sequence(F.lit(0), F.col("dchunks") - 1)))
+        dside = join_lookup(donors, per_t.select("leaf", "rchunks"), "leaf", "inner", len(found))
         dside = dside.withColumn("rchunk", F.explode(F.sequence(F.lit(0), F.col("rchunks") - 1)))
-        keys = [*ccols, "dchunk", "rchunk"]
-        found = (targets.select(*keys, *fcols).groupBy(*keys)
-                 .cogroup(dside.select(*keys, *[F.col(f).alias(f"d_{f}") for f in fcols], "m").groupBy(*keys))
-                 .applyInPandas(_group_topk(fcols, j, k), cand_schema))
-        candidates = _keep_best(candidates.unionByName(found, allowMissingColumns=True), fcols, k).checkpoint()
-        # which receivers are finished?
+        keys = ["leaf", "dchunk", "rchunk"]
+        got = (sent.select(*keys, *fcols).groupBy(*keys)
+               .cogroup(dside.select(*keys, *[F.col(f).alias(f"d_{f}") for f in fcols], "m").groupBy(*keys))
+               .applyInPandas(_group_topk(fcols, j, k), cand_schema))
+        both = got if candidates is None else candidates.unionByName(got, allowMissingColumns=True)
+        candidates = staged(_keep_best(both, fcols, k), "candidates")
+        if len(found) == 1:
+            break
+        # receivers without k donors yet have no limit
         status = _status(candidates, k)
-        bound = _edge_bound(open_recv, dims, fcols, lo, width, g, ring)
-        nxt = open_recv.join(status, "rk", "left").withColumn("lb", bound)
-        done = (F.col("have") >= k) & (F.col("dk2") <= F.col("lb") * F.col("lb"))
-        open_recv = nxt.where(~F.coalesce(done, F.lit(False)) & (F.col("lb") < F.lit(float("inf")))) \
-            .select(*recv.columns).checkpoint()
-        if open_recv.isEmpty():
+        open_ = recv.withColumn("rk", rk).join(status, "rk", "left").select(*fcols, "home", "dk2")
+        targets = staged(_next_leaves(open_, fcols, boxes, seen, step), "targets")
+        if targets.isEmpty():
             break
+        seen, step = seen + step, step * 4
     # value = mean of the target over the best k (multiplicities included)
     best = candidates.withColumn("use", F.least(F.col("m"), F.lit(k) - F.col("__before")))
     best = best.where(F.col("use") > 0)
     vals = best.groupBy("rk").agg((F.sum(F.col(f"d_{fj}") * F.col("use")) / F.sum("use")).alias("value"))
-    out = recv.join(vals, "rk", "left")
-    mean_j = stats[f"m{j}"]
-    return out.select(*fcols, F.coalesce(F.col("value"), F.lit(mean_j)).alias("value"))
-
-
-def _shell(m: int, ring: int) -> list[tuple]:
-    """Grid offsets at Chebyshev distance exactly ``ring`` (m dimensions)."""
-    if m == 0:
-        return [()] if ring == 0 else []
-    rng = range(-ring, ring + 1)
-    grid = np.array(np.meshgrid(*[list(rng)] * m, indexing="ij")).reshape(m, -1).T
-    return [tuple(int(v) for v in row) for row in grid if np.max(np.abs(row)) == ring]
-
-
-def _edge_bound(frame, dims, fcols, lo, width, g, ring):
-    """Distance from each receiver to the edge of the cells visited so far
-    (+inf on sides where the grid ends)."""
-    if not dims:
-        return F.lit(float("inf"))
-    parts = []
-    for d, i in enumerate(dims):
-        x, c = F.col(fcols[i]), F.col(f"c{d}")
-        left = F.when(c - ring <= 0, F.lit(float("inf"))).otherwise(
-            x - (F.lit(lo[d]) + (c - ring) * F.lit(width[d])))
-        right = F.when(c + ring >= g - 1, F.lit(float("inf"))).otherwise(
-            (F.lit(lo[d]) + (c + ring + 1) * F.lit(width[d])) - x)
-        parts += [left, right]
-    return F.least(*parts)
+    out = recv.withColumn("rk", rk).join(vals, "rk", "left")
+    return out.select(*fcols, F.coalesce(F.col("value"), F.lit(stats[f"m{j}"])).alias("value"))
+
+
+def _boxes(nodes: dict, found: pd.DataFrame, fcols: list[str], fj: str) -> Boxes:
+    """Boxes of the tree from the leaves' ranges; the target is in none of them."""
+    n, leaves = len(fcols), int(nodes["leaf"].max()) + 1
+    low, high = np.full((leaves, n), np.inf), np.full((leaves, n), -np.inf)
+    always, ever, held = np.zeros((leaves, n), bool), np.zeros((leaves, n), bool), np.zeros(leaves, bool)
+    at = found.index.to_numpy(np.int64)
+    held[at] = True
+    for i, f in enumerate(fcols):
+        if f == fj:
+            continue
+        count = found[f"n_{f}"].to_numpy(np.int64)
+        low[at, i] = found[f"lo_{f}"].to_numpy(dtype="float64", na_value=np.inf)
+        high[at, i] = found[f"hi_{f}"].to_numpy(dtype="float64", na_value=-np.inf)
+        ever[at, i], always[at, i] = count > 0, count == found["nd"].to_numpy(np.int64)
+    low[~ever], high[~ever] = np.inf, -np.inf
+    return Boxes(nodes, low, high, always, ever, held)
 
 
 def _keep_best(cands: DataFrame, fcols, k) -> DataFrame:

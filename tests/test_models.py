@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from grainline.operators import forest, reduce
@@ -59,3 +60,54 @@ def test_knn_exact_against_brute_force_with_rings_and_chunks(spark):
     got = impute_knn(df, None, 4, donors_per_cell=40, chunk_rows=30).toPandas()
     got = got.assign(rid=got.rid.astype(int)).sort_values("rid")[["a", "b", "c"]].to_numpy()
     assert np.allclose(got, _brute_knn(X, 4), atol=1e-12)
+
+
+@pytest.mark.parametrize("shape", ["skewed", "gappy", "clumps"])
+def test_knn_tree_against_brute_force(spark, shape):
+    """Many leaves over skewed columns, over columns that all have gaps, and over one dense clump."""
+    from grainline.operators.knn import impute_knn
+    rng = np.random.default_rng(11)
+    n = 500
+    if shape == "skewed":
+        X = np.exp(3 * rng.normal(size=(n, 3)))
+        X[rng.random(n) < 0.1, 1] = np.nan
+    elif shape == "gappy":
+        X = np.round(rng.normal(size=(n, 4)), 2)
+        X[rng.random((n, 4)) < 0.35] = np.nan
+    else:
+        X = np.where(rng.random((n, 1)) < 0.8, 0.001 * rng.normal(size=(n, 3)), 100 * rng.normal(size=(n, 3)))
+        X[: n // 3] = [0.0, 0.0, 1.0]                       # one row a third of the table
+        X[rng.random(n) < 0.1, 2] = np.nan
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in row) + (i,) for i, row in enumerate(X)],
+                               ", ".join(f"c{i} double" for i in range(X.shape[1])) + ", id bigint")
+    got = impute_knn(df, None, 4, columns=[f"c{i}" for i in range(X.shape[1])], donors_per_cell=20, chunk_rows=25)
+    got = got.toPandas().sort_values("id")[[f"c{i}" for i in range(X.shape[1])]].to_numpy(float)
+    want = _brute_knn(X, 4)
+    want = np.where(np.isnan(want), np.nanmean(X, axis=0), want)    # rows without a coordinate to compare
+    assert np.allclose(got, want, atol=1e-9)
+
+
+def test_tree_bounds_hold():
+    """A node's bound never exceeds the distance to a point in it; leaves are of even size."""
+    from grainline.operators.spacetree import Boxes, grow, leaf_of
+    rng = np.random.default_rng(4)
+    P = np.exp(2 * rng.normal(size=(2000, 3)))
+    P[rng.random(P.shape) < 0.2] = np.nan
+    nodes = grow(P, 40).packed()
+    leaf = leaf_of(nodes, P)
+    sizes = np.bincount(leaf, minlength=40)
+    assert sizes.max() <= 4 * 2000 / 40
+    low, high = np.full((40, 3), np.inf), np.full((40, 3), -np.inf)
+    always, ever = np.zeros((40, 3), bool), np.zeros((40, 3), bool)
+    for i in range(40):
+        q = P[leaf == i]
+        always[i], ever[i] = (~np.isnan(q)).all(0), (~np.isnan(q)).any(0)
+        low[i], high[i] = np.nanmin(np.vstack([q, np.full(3, np.inf)]), 0), np.nanmax(np.vstack([q, np.full(3, -np.inf)]), 0)
+    boxes = Boxes(nodes, low, high, always, ever, sizes > 0)
+    x = P[:60]
+    point, at, bound = boxes.near(x, np.full(60, np.inf))
+    for p, i, b in zip(point, at, bound):
+        diff = x[p] - P[leaf == i]
+        shared = (~np.isnan(diff)).sum(1)
+        d2 = np.where(shared > 0, np.nansum(diff ** 2, 1) * 3 / np.maximum(shared, 1), np.inf)
+        assert b <= d2.min()
