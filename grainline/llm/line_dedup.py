@@ -107,14 +107,18 @@ def drop_lines(docs: DataFrame, depth: int = DEPTH, min_docs: int = MIN_DOCS, si
     names replace input columns of the same name."""
     gone = (line_templates(docs, depth, min_docs, similarity).filter(~F.col("first"))
             .groupBy(T.K1, T.K2).agg(F.collect_set("line").alias("_gone")))
-    k = T.key_columns()
-    out = docs.withColumns({T.K1: k[0], T.K2: k[1]}).join(gone, [T.K1, T.K2], "left")
-    lines = F.split(F.col("text").cast("string"), "\n", -1)
+    plain, names = T.positional(docs)
+    text = names[T.spot(docs, "text")]
+    k = T.key_columns(names[T.spot(docs, "doc_id")], text)
+    out = plain.withColumns({T.K1: k[0], T.K2: k[1]}).join(gone, [T.K1, T.K2], "left")
+    lines = F.split(F.col(text).cast("string"), "\n", -1)
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     # the lines are bound to a lambda's variable, so a text is cut once and not once a line
     left = F.get(F.transform(F.array(lines), lambda cut: F.transform(stay, lambda i: F.get(cut, i))), 0)
-    kept = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text")
-    cols = [kept if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts]
-    n = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(lines)).cast("bigint")
+    kept = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
+    n = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("bigint")
     removed = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("bigint")
-    return out.select(*cols, n.alias(counts[0]), removed.alias(counts[1]))
+    replaced = {c.lower() for c in counts}
+    stays = [(at, c) for at, c in zip(names, docs.columns) if c.lower() not in replaced]
+    return out.select(*[kept if at == text else F.col(at) for at, _ in stays], n, removed) \
+        .toDF(*[c for _, c in stays], *counts)

@@ -5,7 +5,8 @@ aggregated by *membership pattern*, the set of sources that hold them.  Tokens
 flow from patterns to source quotas: the first pass over a pattern's texts
 costs nothing, each further pass one unit more than the one before, so the
 costs are convex and repetition is spread as thin as the quotas allow.  Second
-and later copies of a text inside one source are a last resort of that source.
+and later copies of a text inside one source, whether under other ids or as
+repeated rows, are a last resort of that source; they count with their full size.
 The flow network has a node per pattern and per source and is solved on the
 driver; texts never get there.
 
@@ -18,14 +19,14 @@ driver; texts never get there.
   prefix sums (hash buckets, then within a bucket).  A stretch may end inside
   a text, so each source takes its target exactly, rounded down.
 
-Bounds: one driver row per source and per pattern.  Patterns beyond the
-``max_patterns`` largest are split into one pattern per source, which changes
-where repeats fall, never how much a source takes.
+Bounds: one driver row per source and per membership pattern, that is per set of
+sources some text occurs in; texts, ids and rows never get there.
 
 Edge cases: null or blank text has size 0 and is never taken; a null source is
-a source; rows equal in id, source and text share what is taken evenly; an
-empty table gives an empty result; other columns are ignored.  Reruns agree:
-the order depends on the seed and the texts alone.
+a source; rows equal in id, source and text share what is taken evenly, the
+first of them (in the order of the staged rows) one word more where it does not
+divide; an empty table gives an empty result; other columns are ignored.
+Reruns agree: the order depends on the seed and the texts alone.
 """
 
 from __future__ import annotations
@@ -35,15 +36,15 @@ from collections import deque
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordering import numbered_within
 from . import text as T
-from .shared import written
+from .shared import place, written
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST = 2
 SEED = 20
 BUCKETS = 4096
-MAX_PATTERNS = 20_000
 
 
 def targets(sizes: list[tuple[str | None, int]], weights=WEIGHTS, budget: float = BUDGET, most: float = MOST) -> dict:
@@ -144,9 +145,13 @@ def route(patterns: list[tuple[tuple, int]], extra: dict, quota: dict) -> tuple[
     return got, {s: min(MOST * extra.get(s, 0), quota[s] - had[s]) for s in names if quota[s] > had[s]}
 
 
-def mix_sources(docs: DataFrame, seed: int = SEED, max_patterns: int = MAX_PATTERNS, weights=WEIGHTS,
+def mix_sources(docs: DataFrame, seed: int = SEED, max_patterns: int | None = None, weights=WEIGHTS,
                 budget: float = BUDGET, buckets: int = BUCKETS) -> DataFrame:
-    """``(doc_id, source, size, source_size, target, taken)`` per row of ``docs``."""
+    """``(doc_id, source, size, source_size, target, taken)`` per row of ``docs``.
+
+    ``max_patterns`` (none unless asked for) splits all but the largest patterns
+    into one per source, which changes where repeats fall, never how much a
+    source takes."""
     spark = docs.sparkSession
     T.prepare(spark)
     text, source = F.coalesce(F.col("text").cast("string"), F.lit("")), F.col("source").cast("string")
@@ -158,52 +163,48 @@ def mix_sources(docs: DataFrame, seed: int = SEED, max_patterns: int = MAX_PATTE
     table = spark.createDataFrame([(s, int(n), float(target[s])) for s, n in sizes],
                                   "source string, source_size bigint, target double")
     mark = F.col("source").isNull()
+    # a unit: the rows of one id, source and text; ``c`` of them
     units = rows.filter("size > 0").groupBy("g", "source", "doc_id").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("c"))
-    lead = units.groupBy("g", "source").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id")).alias("lead"), F.max("size").alias("size"))
-    units = written(units.join(lead.select("g", F.col("source").alias("s2"), "lead"), "g").filter(
-        F.col("source").eqNullSafe(F.col("s2"))).select(
+    lead = units.groupBy("g", F.col("source").alias("s2")).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id")).alias("lead"))
+    units = written(units.join(lead, "g").filter(F.col("source").eqNullSafe(F.col("s2"))).select(
         "g", "source", "doc_id", "size", "c", F.col("doc_id").eqNullSafe(F.col("lead.doc_id")).alias("lead")), "units")
+    # one row of a text's first unit in a source is its first copy there, all other rows are further copies
+    copies = units.withColumn("more", F.col("c") - F.col("lead").cast("int")).filter("more > 0")
     member = F.struct(mark.alias("x"), "source")
-    groups = units.filter("lead").groupBy("g").agg(F.sort_array(F.collect_set(member)).alias("p"), F.max("size").alias("size"))
-    kinds = written(groups.groupBy("p").agg(F.sum("size").alias("size"), F.min("g").alias("name")), "patterns")
-    top = kinds.orderBy(F.desc("size"), "name").limit(max_patterns)
-    big = [(tuple(m["source"] for m in r["p"]), int(r["size"])) for r in top.select("p", "size").collect()]
-    rest = kinds.join(top.select("name"), "name", "left_anti")
-    split = [(r["source"], int(r["s"])) for r in rest.select("size", F.explode("p").alias("m")).groupBy(
-        F.col("m.source").alias("source")).agg(F.sum("size").alias("s")).collect()]
-    patterns = big + [((s,), n) for s, n in sorted(split, key=lambda r: (r[0] is None, r[0] or ""))]
-    extra = {r["source"]: int(r["s"]) for r in units.filter("not lead").groupBy("source").agg(
-        F.sum("size").alias("s")).collect()}
+    groups = written(units.filter("lead").groupBy("g").agg(F.sort_array(F.collect_set(member)).alias("p"),
+                                                           F.max("size").alias("size")), "texts")
+    if max_patterns is not None:
+        order = F.struct((-F.col("size")).alias("s"), "name")
+        top = groups.groupBy("p").agg(F.sum("size").alias("size"), F.min("g").alias("name")).orderBy(order).limit(max_patterns)
+        groups = groups.join(top.select("p", F.lit(True).alias("whole")), "p", "left").withColumn(
+            "p", F.explode(F.when(F.col("whole"), F.array("p")).otherwise(F.transform("p", lambda m: F.array(m))))).drop("whole")
+        groups = written(groups, "split-texts")
+    kinds = groups.groupBy("p").agg(F.sum("size").alias("size"), F.min("g").alias("name")).orderBy(F.desc("size"), "name")
+    patterns = [(tuple(m["source"] for m in r["p"]), int(r["size"])) for r in kinds.collect()]
+    extra = {r["source"]: int(r["s"]) for r in copies.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("more")).alias("s")).collect()}
     flow, more = route(patterns, extra, {s: int(target[s]) for s, _ in sizes})
 
     # stretches of each pattern's line: (pattern, source, from, to)
+    def by_name(s):
+        return s is None, s or ""
     stretches, at = [], {}
-    for (i, s), f in sorted(flow.items(), key=lambda r: (r[0][0], r[0][1] is None, r[0][1] or "")):
+    for (i, s), f in sorted(flow.items(), key=lambda r: (r[0][0], *by_name(r[0][1]))):
         stretches.append((i, s, at.get(i, 0), at.get(i, 0) + f, patterns[i][1]))
         at[i] = at.get(i, 0) + f
-    base = len(patterns)
-    for j, s in enumerate(sorted(more, key=lambda s: (s is None, s or ""))):
-        if more[s] > 0:
-            stretches.append((base + j, s, 0, more[s], extra[s]))
+    last_resort = {s: len(patterns) + j for j, s in enumerate(sorted(more, key=by_name))}
+    stretches += [(i, s, 0, more[s], extra[s]) for s, i in last_resort.items() if more[s] > 0]
     reach = spark.createDataFrame(stretches, "pattern int, source string, a bigint, b bigint, u bigint")
-    copies = spark.createDataFrame([(s, base + j) for j, s in enumerate(sorted(more, key=lambda s: (s is None, s or "")))],
-                                   "source string, pattern int")
-    listed = spark.createDataFrame([([{"x": s is None, "source": s} for s in p], i) for i, (p, _) in enumerate(big)],
+    lines = spark.createDataFrame(list(last_resort.items()), "source string, pattern int")
+    listed = spark.createDataFrame([([{"x": s is None, "source": s} for s in p], i) for i, (p, _) in enumerate(patterns)],
                                    "p array<struct<x:boolean,source:string>>, pattern int")
-    single = spark.createDataFrame([(p[0], len(big) + i) for i, (p, _) in enumerate(patterns[len(big):])],
-                                   "source string, single int")
-    # texts on their pattern's line; a text of a split pattern lies on one line per source
-    member_of = groups.join(listed, "p", "left")
-    whole = member_of.filter("pattern is not null").select("g", "pattern", "size", F.lit(None).cast("string").alias("doc"))
-    parts = (member_of.filter("pattern is null").select("g", "size", F.explode("p").alias("m"))
-             .select("g", "size", F.col("m.source").alias("source")))
-    parts = parts.join(single, parts["source"].eqNullSafe(single["source"])).select(
-        "g", F.col("single").alias("pattern"), "size", F.lit(None).cast("string").alias("doc"))
-    others = units.filter("not lead").select("g", "source", "doc_id", "size")
-    others = others.join(copies, others["source"].eqNullSafe(copies["source"])).select(
-        "g", "pattern", "size", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc"))
-    items = whole.union(parts).union(others)
+    # texts on their pattern's line; further copies, a unit's together, on their source's line
+    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    whole = groups.join(listed, "p").select("g", "pattern", "size", F.lit(None).cast("string").alias("doc"))
+    others = copies.join(lines, copies["source"].eqNullSafe(lines["source"])).select(
+        "g", "pattern", (F.col("size") * F.col("more")).alias("size"), doc.alias("doc"))
+    items = whole.union(others)
     spot = F.xxhash64(F.lit(seed), "pattern", "g", "doc")
     items = items.withColumn("spot", spot).withColumn("bucket", F.pmod("spot", F.lit(buckets)))
     sums = items.groupBy("pattern", "bucket").agg(F.sum("size").alias("s"))
@@ -213,17 +214,29 @@ def mix_sources(docs: DataFrame, seed: int = SEED, max_patterns: int = MAX_PATTE
     placed = (items.withColumn("inside", F.sum("size").over(inner))
               .join(before.select("pattern", "bucket", "base"), ["pattern", "bucket"])
               .select("g", "doc", "pattern", "size", (F.coalesce("base", F.lit(0)) + F.coalesce("inside", F.lit(0))).alias("x")))
+
     # words of [x, x + size) within [a, b) on a line that repeats every u words
     def covered(until):
         turns = F.expr(f"{until} div u")
         return turns * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), F.col(until) - turns * F.col("u") - F.col("x")))
     drawn = (placed.join(reach, "pattern").withColumn("n", covered("b") - covered("a")).filter("n > 0")
-             .select("g", F.col("source").alias("s2"), "doc", "n"))
-    name = F.when(F.col("lead"), F.lit(None).cast("string")).otherwise(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    taken = units.select("g", "source", "doc_id", "c", name.alias("d2")).join(drawn, "g").filter(
-        F.col("source").eqNullSafe(F.col("s2")) & F.col("d2").eqNullSafe(F.col("doc"))).select(
-        "g", F.col("source").alias("s3"), F.col("doc_id").alias("id3"), F.expr("n div c").alias("n"))
-    out = rows.join(taken, (rows["g"] == taken["g"]) & rows["doc_id"].eqNullSafe(taken["id3"])
-                    & rows["source"].eqNullSafe(taken["s3"]), "left").select("doc_id", "source", "size", "n")
-    return (out.join(F.broadcast(table.withColumnRenamed("source", "s4")), out["source"].eqNullSafe(F.col("s4")))
-            .select("doc_id", "source", "size", "source_size", "target", F.coalesce("n", F.lit(0)).cast("bigint").alias("taken")))
+             .select("g", F.col("source").alias("s2"), F.col("doc").alias("d2"), "n"))
+    # what a unit takes: of its text's line, if it leads there, and of its source's further copies
+    none = F.lit(None).cast("string")
+    named = units.select("g", "source", "doc_id", "c", F.explode(
+        F.when(F.col("lead"), F.array(none, doc)).otherwise(F.array(doc))).alias("name"))
+    taken = named.join(drawn, "g").filter(F.col("source").eqNullSafe(F.col("s2")) & F.col("name").eqNullSafe(F.col("d2"))) \
+        .groupBy("g", F.col("source").alias("s3"), F.col("doc_id").alias("id3")).agg(F.max("c").alias("c"), F.sum("n").alias("n"))
+    uneven = taken.filter("c > 1 and n % c > 0")
+    of_unit = (F.col("g") == F.col("g3")) & F.col("source").eqNullSafe(F.col("s3")) & F.col("doc_id").eqNullSafe(F.col("id3"))
+    taken = taken.withColumnRenamed("g", "g3")
+    each = rows.withColumn("u", place())
+    # the rows of a unit that take one word more, where its words do not divide
+    odd = uneven.withColumnRenamed("g", "g3")
+    dealt = numbered_within(each.join(odd, of_unit).select("g3", "s3", "id3", "u", F.expr("n % c").alias("over")),
+                            ["g3", "s3", "id3"], ["u"], "nth").filter("nth <= over").select(F.col("u").alias("u1"))
+    out = (each.join(taken, of_unit, "left").join(dealt, F.col("u") == F.col("u1"), "left")
+           .select("doc_id", "source", "size", (F.coalesce(F.expr("n div c"), F.lit(0)) + F.when(
+               F.col("u1").isNull(), F.lit(0)).otherwise(F.lit(1))).cast("bigint").alias("taken")))
+    return (out.join(table.withColumnRenamed("source", "s4"), out["source"].eqNullSafe(F.col("s4")))
+            .select("doc_id", "source", "size", "source_size", "target", "taken"))

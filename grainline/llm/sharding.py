@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as ST
 
 from . import text as T
-from .shared import written
+from .shared import place, written
 
 SHARDS = 40
 ROW_BYTES = 16                # fixed value: bytes a row counts beside its text
@@ -257,9 +257,7 @@ def shard_documents(docs: DataFrame, n_shards: int = SHARDS, key: Column | None
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.coalesce(i if key is None else key.cast("bigint"), least).alias("_h1"), F.xxhash64(i, text).alias("_h2"),
         *[F.col(f"`{c}`").alias(f"_c{n}") for n, c in enumerate(carry)]), "shard-rows")
-    # a staged row's own place: number of its file, then its row in the file
-    part = F.coalesce(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint"), F.lit(0))
-    rows = staged.withColumn("_h3", part * (1 << 33) + F.col("_metadata.row_index"))
+    rows = staged.withColumn("_h3", place())
     out = shard(rows, n_shards, tolerance, probes, piece_bytes)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"),

@@ -29,6 +29,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place() -> Column:
+    """A number per row of a written table, its own and the same in every pass:
+    the number of its file, then its row in the file."""
+    part = F.coalesce(F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).try_cast("bigint"), F.lit(0))
+    return part * (1 << 33) + F.col("_metadata.row_index")
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 

@@ -54,11 +54,32 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.col("text").cast("string").alias("text"))
 
 
+def spot(docs: DataFrame, name: str) -> int:
+    """Position of a column, names compared as Spark compares them."""
+    return [c.lower() for c in docs.columns].index(name.lower())
+
+
+def positional(docs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns named by position, which cannot clash with a
+    name an operator adds, and those names."""
+    names = [f"_at{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, or with underscores added until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the rows whose key is in ``dropped``; columns unchanged."""
-    k = key_columns()
-    return (docs.withColumns({K1: k[0], K2: k[1]}).join(dropped.select(K1, K2).distinct(), [K1, K2], "left_anti")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    plain, names = positional(docs)
+    k = key_columns(names[spot(docs, "doc_id")], names[spot(docs, "text")])
+    return (plain.withColumns({K1: k[0], K2: k[1]}).join(dropped.select(K1, K2).distinct(), [K1, K2], "left_anti")
+            .select(*names).toDF(*docs.columns))
 
 
 def words_of(col: Column) -> Column:

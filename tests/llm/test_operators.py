@@ -436,3 +436,107 @@ def test_pipeline(spark, documents):
             want = brute_components(list(zip(before.doc_id, before.text)))
             assert set(after.doc_id) == {c for _, _, c in want}
     assert (after.taken > 0).all()
+
+
+@pytest.mark.parametrize("words", [7, 5])
+def test_mix_repeated_rows_reach_the_target(spark, words):
+    """Two ids with three equal rows each, and one text under two sources: all rows count, remainders are dealt out."""
+    from grainline.llm.mixing import mix_sources
+    a, b = (" ".join(f"{x}{i}" for i in range(words)) for x in "ab")
+    rows = [(1, a, "s")] * 3 + [(2, b, "s")] * 3
+    got = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).toPandas()
+    assert set(got.source_size) == {6 * words} and set(got.target) == {9.0 * words}
+    assert got.taken.sum() == 9 * words and (got.taken <= 2 * words).all()
+    rows += [(3, a, None)] * 2 + [(4, "z " * 3, None)]
+    got = mix_sources(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3)).toPandas()
+    assert len(got) == len(rows)
+    for _, g in got.groupby("source", dropna=False):
+        assert abs(g.taken.sum() - int(g.target.iloc[0])) <= 1 and (g.taken <= 2 * g["size"]).all()
+    for _, g in got.groupby("doc_id"):
+        assert g.taken.max() - g.taken.min() <= 1
+
+
+def cheapest(patterns, quota):
+    """Most tokens that can flow, and their least cost, by successive shortest paths of one token."""
+    names = sorted(quota)
+    flow = {(i, s): 0 for i, (m, _) in enumerate(patterns) for s in m}
+    into = [0] * len(patterns)
+    left, cost = dict(quota), 0
+    while True:
+        # cheapest way of one more token: enter pattern i, perhaps push others aside, end at a source with room
+        dist = {("p", i): (into[i] // size if into[i] < 2 * len(m) * size else None) for i, (m, size) in enumerate(patterns)}
+        back = {k: None for k in dist}
+        dist = {k: v for k, v in dist.items() if v is not None}
+        queue = sorted(dist, key=dist.get)
+        while queue:
+            k = queue.pop(0)
+            steps = [(("s", s), flow[k[1], s] < 2 * patterns[k[1]][1]) for s in patterns[k[1]][0]] if k[0] == "p" else \
+                [(("p", i), flow[i, k[1]] > 0) for i, (m, _) in enumerate(patterns) if k[1] in m]
+            for n, free in steps:
+                if free and dist[k] < dist.get(n, 1 << 60):
+                    dist[n], back[n] = dist[k], k
+                    queue.append(n)
+            queue.sort(key=dist.get)
+        ends = [k for k in dist if k[0] == "s" and left[k[1]] > 0]
+        if not ends:
+            return sum(quota.values()) - sum(left.values()), cost
+        k = min(ends, key=lambda e: (dist[e], names.index(e[1])))
+        cost += dist[k]
+        left[k[1]] -= 1
+        while back[k] is not None:
+            b = back[k]
+            if b[0] == "p":
+                flow[b[1], k[1]] += 1
+            else:
+                flow[k[1], b[1]] -= 1
+            k = b
+        into[k[1]] += 1
+
+
+def test_route_is_cheapest():
+    from grainline.llm.mixing import route
+    rng = np.random.default_rng(6)
+    for _ in range(40):
+        names = list("abc")
+        patterns = [(tuple(x for x in names if rng.random() < 0.6) or ("a",), int(rng.integers(1, 5))) for _ in range(4)]
+        quota = {s: int(rng.integers(0, 14)) for s in names}
+        got, _ = route(patterns, {}, quota)
+        into = [sum(f for (j, _), f in got.items() if j == i) for i in range(len(patterns))]
+        cost = sum(t // size for n, (_, size) in zip(into, patterns) for t in range(n))
+        assert (sum(into), cost) == cheapest(patterns, quota)
+        for s in names:
+            assert sum(f for (_, x), f in got.items() if x == s) <= quota[s]
+        assert all(f <= 2 * patterns[i][1] for (i, _), f in got.items())
+
+
+def test_clashing_names_keep_their_values(spark):
+    """Columns named like the ones operators add, in any case, come through with their values."""
+    import corpus_pipeline as P
+    from grainline.llm import text as T
+    from grainline.llm.line_dedup import drop_lines
+    rows = [(i, f"shared line of some words here\nown {'abc'[i % 3]} text {i} of the document", "en", "s", 1, i, i, i, i, i)
+            for i in range(12)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, _gone int, _row_k1 int, " \
+             "_n_removed int, _at0 int, N_Lines int"
+    df = spark.createDataFrame(rows, schema)
+    out = drop_lines(df)
+    assert out.columns == [c for c in df.columns if c != "N_Lines"] + ["n_lines", "n_removed"]
+    assert all(r["_gone"] == r["_row_k1"] == r["_n_removed"] == r["_at0"] == r["doc_id"] for r in out.collect())
+    kept = P.lines(spark, df, SF)
+    assert kept.columns == df.columns
+    assert all(r["_n_removed"] == r["N_Lines"] == r["_gone"] == r["doc_id"] for r in kept.collect())
+    less = T.without(df, df.filter("doc_id = 3").select(*T.key_columns()))
+    assert less.columns == df.columns and sorted(r["_row_k1"] for r in less.collect()) == [i for i in range(12) if i != 3]
+    assert drop_lines(df.limit(0)).count() == 0
+
+
+def test_pipeline_stages_on_odd_tables(spark, odd):
+    """Every stage runs on nulls, empty and long texts, repeated rows and clashing names, and on no rows."""
+    import corpus_pipeline as P
+    df = odd.withColumns({"_gone": F.lit(1), "N_Removed": F.lit(2), "_row_k1": F.lit("v"), "key": F.col("key")})
+    for name, stage in P.STAGES:
+        got = stage(spark, df, SF)
+        assert got.count() <= df.count()
+        if name != "mix":
+            assert got.columns == df.columns and {r["_row_k1"] for r in got.collect()} <= {"v"}
+        assert stage(spark, df.limit(0), SF).count() == 0
