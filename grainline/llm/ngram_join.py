@@ -22,7 +22,9 @@ least the threshold; linked documents form components.
    rows outside its largest component meet the rows of all others.  Pairs in
    one component are never emitted; every pair that could link two components
    is, if the number and places of its shared prefix n-grams still allow it;
-   bit signatures of the prefixes bound that number before a pair is made.
+   bit signatures of the prefixes bound that number before a pair is made, and
+   signatures of the whole sets (``_marks``, four to eight bits a shingle) bound
+   the overlap of a pair before its fragments are counted.
 5. **Verification, by fragments.**  The global order is cut into fragments;
    each candidate pair's overlap is counted in every fragment by itself and
    the partial counts are summed per pair.  The exact sum decides.
@@ -75,25 +77,37 @@ def _nodes(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(n == 0, np.uint64(0), np.where(node == 0, np.uint64(1), node))
 
 
+def _marks(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Bits of each whole set in 64-bit words: a power of two of words, four to
+    eight bits a shingle.  Halves of a longer signature fold onto a shorter one."""
+    n = np.diff(bounds)
+    words = np.int64(1) << np.ceil(np.log2(np.maximum(n / 16, 1))).astype(np.int64)
+    offs = np.concatenate([[0], np.cumsum(words)])
+    which = np.repeat(np.arange(len(n)), n)
+    bits = np.zeros(int(offs[-1]) * 64, bool)
+    bits[offs[which] * 64 + (T.mix(h) & (words[which] * 64 - 1).astype(np.uint64)).astype(np.int64)] = True
+    return pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(np.packbits(bits, bitorder="little").view(np.int64)))
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows ``(row, node, n, 0)`` per document and ``(null, shingle, 0, count)``
     per locally repeated shingle."""
     schema = pa.schema([(T.K1, pa.int64()), (T.K2, pa.int32()), ("doc_id", pa.int64()), ("node", pa.int64()),
-                        ("n", pa.int64()), ("seen", pa.int64())])
+                        ("n", pa.int64()), ("seen", pa.int64()), ("marks", pa.list_(pa.int64()))])
 
     def counts(parts):
         k, c = np.unique(np.concatenate(parts), return_counts=True)
         k, c = k[c >= LOCAL], c[c >= LOCAL]
         z = np.zeros(len(k), np.int64)
         return pa.record_batch([pa.array(z), pa.array(z.astype(np.int32)), pa.nulls(len(k), pa.int64()), pa.array(T.signed(k)),
-                                pa.array(z), pa.array(c.astype(np.int64))], schema=schema)
+                                pa.array(z), pa.array(c.astype(np.int64)), pa.nulls(len(k), pa.list_(pa.int64()))], schema=schema)
 
     kept, total = [], 0
     for batch, arr in T.rows(batches):
         h, _, bounds = _sets(arr)
         n = np.diff(bounds).astype(np.int64)
         yield pa.record_batch([batch.column(0), batch.column(1), batch.column(2), pa.array(T.signed(_nodes(h, bounds))),
-                               pa.array(n), pa.array(np.zeros(len(n), np.int64))], schema=schema)
+                               pa.array(n), pa.array(np.zeros(len(n), np.int64)), _marks(h, bounds)], schema=schema)
         kept.append(h)
         total += len(h)
         if total >= FLUSH:
@@ -133,7 +147,7 @@ def _positions(late: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def survey(docs: DataFrame) -> DataFrame:
     """Written table of set sizes and nodes per input row, and local counts."""
     return written(T.keyed(docs).mapInArrow(_survey, f"{T.K1} bigint, {T.K2} int, doc_id bigint, node bigint, n bigint, "
-                                            "seen bigint"), "sets")
+                                            "seen bigint, marks array<bigint>"), "sets")
 
 
 def frequent_shingles(seen: DataFrame, max_frequent: int = MAX_FREQUENT) -> np.ndarray:
@@ -267,6 +281,22 @@ def _common():
     return F.least(F.col("mx") - lacking("sx", "sy"), F.col("my") - lacking("sy", "sx"))
 
 
+def _overlap_bound():
+    """Most shingles two sets share by their whole signatures: a bit only one of
+    them has set stands for a shingle the other lacks."""
+    short = F.least(F.size("kx"), F.size("ky"))
+
+    def folded(k: str):
+        half = F.zip_with(F.slice(k, F.lit(1), short), F.slice(k, short + 1, short), lambda u, v: u.bitwiseOR(v))
+        return F.when(F.size(k) > short, half).otherwise(F.col(k))
+
+    def lacking(u, v):
+        bits = F.zip_with(u, v, lambda i, j: F.bit_count(i.bitwiseAND(F.bitwise_not(j))))
+        return F.aggregate(bits, F.lit(0), lambda total, c: total + c)
+    x, y = folded("kx"), folded("ky")
+    return F.least(F.col("nx") - lacking(x, y), F.col("ny") - lacking(y, x))
+
+
 def _counted(met: DataFrame) -> DataFrame:
     """Distinct pairs ``x < y`` with the number ``c`` of n-grams at which they met."""
     swap = F.col("x") > F.col("y")
@@ -343,13 +373,15 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
         & _sizes(threshold) & (_ahead() * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
         & ((_common() + _beyond(threshold)) * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
         & ~F.arrays_overlap("bx", "by"))
-    cross = _counted(cross.select("x", "y", "nx", "ny")).drop("c")
+    cross = written(_counted(cross.select("x", "y", "nx", "ny")).drop("c"), "met")
     # the overlap is at most the n-grams two prefixes share and what follows the prefix
-    # that ends first in the global order
-    shown = grams.select("node", F.col("g.shingle").alias("grams"))
-    both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx")), "x")
-            .join(shown.select(F.col("node").alias("y"), F.col("grams").alias("gy")), "y"))
-    most = F.size(F.array_intersect("gx", "gy")) + _beyond(threshold)
+    # that ends first in the global order; and no more than the whole signatures allow
+    near = cross.select(F.col("x").alias("node")).union(cross.select("y")).distinct()
+    shown = grams.select("node", F.col("g.shingle").alias("grams")).join(
+        sets.select("node", "marks").join(near, "node", "left_semi").dropDuplicates(["node"]), "node")
+    both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx"), F.col("marks").alias("kx")), "x")
+            .join(shown.select(F.col("node").alias("y"), F.col("grams").alias("gy"), F.col("marks").alias("ky")), "y"))
+    most = F.least(F.size(F.array_intersect("gx", "gy")) + _beyond(threshold), _overlap_bound())
     second = written(both.filter(most * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
                      .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")),
                      "pairs")

@@ -540,3 +540,19 @@ def test_pipeline_stages_on_odd_tables(spark, odd):
         if name != "mix":
             assert got.columns == df.columns and {r["_row_k1"] for r in got.collect()} <= {"v"}
         assert stage(spark, df.limit(0), SF).count() == 0
+
+
+def test_whole_signatures_bound_the_overlap(spark):
+    """Never below the true overlap, also across signatures of different length; far pairs fall out."""
+    from grainline.llm import ngram_join as J
+    rng = np.random.default_rng(2)
+    rows, true = [], []
+    for n, m, shared in [(100, 100, 60), (100, 100, 95), (120, 140, 110), (130, 110, 100), (5, 4, 4), (1000, 1000, 500), (0, 3, 0)]:
+        pool = rng.choice(1 << 62, n + m - shared, replace=False).astype(np.uint64)
+        sets = [np.sort(pool[:n]), np.sort(pool[n - shared:])]
+        marks = J._marks(np.concatenate(sets), np.array([0, n, n + m])).to_pylist()
+        rows.append((n, m, *marks))
+        true.append(shared)
+    got = spark.createDataFrame(rows, "nx long, ny long, kx array<long>, ky array<long>").select(J._overlap_bound().alias("b")).collect()
+    assert all(r.b >= t for r, t in zip(got, true))
+    assert got[0].b < 86 and got[5].b < 700 and {len(k) for r in rows[2:4] for k in r[2:]} == {8, 16}
