@@ -4,9 +4,9 @@
   ``linear``, DuckDB ``quantile_cont``) without Spark's ``percentile``
   aggregate, whose buffer holds every distinct value of a column and merges
   them in one task.  Instead: a ``percentile_approx`` sketch (mergeable, fixed
-  size) brackets each wanted rank, one counting pass verifies the bracket, and
-  only the values inside a bracket (at most ``collect_limit`` of them) are
-  gathered.  Brackets that are still too wide are narrowed by another sketch
+  size) brackets each wanted rank, one counting pass verifies all brackets of
+  all columns (binary search to a cell, one group-by), and only the values inside
+  a bracket (at most ``collect_limit`` of them) are gathered.  Brackets that are still too wide are narrowed by another sketch
   pass over their rows only.  Every pass is a plain partial-then-final
   aggregate, so hot values cost nothing extra.
 * ``column_modes`` — most frequent value, smallest on ties, via a partial
@@ -133,40 +133,85 @@ def _between(col, t):
     return F.when(cond, col)
 
 
+def _cell(value, edges: list[float]):
+    """Where a value lies among ascending edges: ``2 i + 1`` on edge ``i``, ``2 i``
+    before it; found by binary search in one expression."""
+    def search(lo: int, hi: int):
+        if lo > hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        return (F.when(value < F.lit(edges[mid]), search(lo, mid - 1))
+                .when(value == F.lit(edges[mid]), F.lit(2 * mid + 1)).otherwise(search(mid + 1, hi)))
+    return search(0, len(edges) - 1)
+
+
+def _cell_counts(base, v, edges: dict[str, list[float]]) -> dict[str, list[int]]:
+    """Rows per cell of every column, from one scan and one group-by."""
+    cols = list(edges)
+    spots = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.when(v[c].isNotNull(), _cell(v[c], edges[c])).alias("cell"))
+                                for i, c in enumerate(cols)])).alias("s")
+    counted = base.select(spots).groupBy("s.k", "s.cell").agg(F.count(F.lit(1)).alias("n"))
+    out = {c: [0] * (2 * len(edges[c]) + 1) for c in cols}
+    for r in counted.collect():                             # a row per column and cell
+        if r["cell"] is not None:
+            out[cols[r["k"]]][r["cell"]] = r["n"]
+    return out
+
+
+def _inside_values(base, v, brackets: list[tuple[str, dict]]) -> list[list[tuple[float, int]]]:
+    """Distinct values strictly inside each bracket with their counts, ascending."""
+    cols = list(dict.fromkeys(c for c, _ in brackets))
+    kept = []
+    for i, c in enumerate(cols):
+        inside = F.lit(False)
+        for _, t in (x for x in brackets if x[0] == c):
+            inside = inside | _between(v[c], t).isNotNull()
+        kept.append(F.when(inside, F.struct(F.lit(i).alias("k"), v[c].alias("v"))))
+    rows = (base.select(F.explode(F.array_compact(F.array(*kept))).alias("s")).groupBy("s.k", "s.v")
+            .agg(F.count(F.lit(1)).alias("n")).collect())
+    found = {c: sorted((r["v"], r["n"]) for r in rows if r["k"] == i) for i, c in enumerate(cols)}
+    return [[(x, n) for x, n in found[c] if (t["lo"] is None or x > t["lo"]) and (t["hi"] is None or x < t["hi"])]
+            for c, t in brackets]
+
+
 def _resolve(base, v, pending, accuracy, collect_limit):
     """Turn rank brackets ``{(column, rank): {n, lo, hi}}`` into exact values.
 
-    A missing end (``None``) means unbounded.  Each round: one counting pass
-    counts the values below, at and between the ends, at every size.  A rank that
-    falls on an end is done, a bracket the sketch missed is opened on that side,
-    brackets with few values inside are gathered (at most ``collect_limit`` values
-    a job over all brackets), and wide ones get a finer sketch over the values
-    strictly inside, so heavy values at the ends cannot come back.
+    A missing end (``None``) means unbounded.  Each round: the ends of all
+    brackets of a column are its edges; one scan finds the cell of every value
+    (binary search) and counts per column and cell, at every size and for any
+    number of columns.  A rank that falls on an end is done, a bracket the sketch
+    missed is opened on that side, brackets with few values inside are gathered
+    (at most ``collect_limit`` values a job over all brackets), and wide ones get
+    a finer sketch over the values strictly inside, so heavy values at the ends
+    cannot come back.
     """
     done = {}
     eps = 3.0 / accuracy
     while pending:
-        keys = list(pending)
-        aggs = []
-        for j, (c, _) in enumerate(keys):
-            lo, hi = pending[keys[j]]["lo"], pending[keys[j]]["hi"]
-            aggs += [(F.count_if(v[c] < F.lit(lo)) if lo is not None else F.lit(0)).alias(f"b{j}"),
-                     (F.count_if(v[c] == F.lit(lo)) if lo is not None else F.lit(0)).alias(f"l{j}"),
-                     (F.count_if(v[c] == F.lit(hi)) if hi is not None and hi != lo else F.lit(0)).alias(f"h{j}"),
-                     F.count(_between(v[c], pending[keys[j]])).alias(f"i{j}")]
-        row = base.agg(*aggs).first()
+        edges: dict[str, set] = {}
+        for (c, _), t in pending.items():
+            edges.setdefault(c, set()).update(x for x in (t["lo"], t["hi"]) if x is not None)
+        ends = {c: sorted(e) for c, e in edges.items()}
+        cells = _cell_counts(base, v, ends)
+        at_edge = {c: {x: 2 * i + 1 for i, x in enumerate(e)} for c, e in ends.items()}
         gather, narrow = [], []
-        for j, key in enumerate(keys):
-            t = pending[key]
-            at = key[1] - row[f"b{j}"]
+        for key, t in pending.items():
+            c, rank = key
+            n = cells[c]
+            low = at_edge[c][t["lo"]] if t["lo"] is not None else -1
+            high = at_edge[c][t["hi"]] if t["hi"] is not None else len(n)
+            on_low, on_high = (n[low] if low >= 0 else 0), (n[high] if low < high < len(n) else 0)
+            inside = sum(n[low + 1:high])
+            at = rank - sum(n[:max(low, 0)])
             if at < 0:                                      # low end above the rank: open it
                 t["lo"] = None
-            elif at < row[f"l{j}"]:
+            elif at < on_low:
                 done[key] = float(t["lo"])
-            elif at - row[f"l{j}"] < row[f"i{j}"]:
-                t["at"], t["size"] = at - row[f"l{j}"], row[f"i{j}"]
+            elif at - on_low < inside:
+                t["at"], t["size"] = at - on_low, inside
                 (gather if t["size"] <= collect_limit else narrow).append(key)
-            elif at - row[f"l{j}"] - row[f"i{j}"] < row[f"h{j}"]:
+            elif at - on_low - inside < on_high:
                 done[key] = float(t["hi"])
             else:                                           # high end below the rank: open it
                 t["hi"] = None
@@ -175,10 +220,13 @@ def _resolve(base, v, pending, accuracy, collect_limit):
             while gather and (not some or total + pending[gather[0]]["size"] <= collect_limit):
                 total += pending[gather[0]]["size"]
                 some.append(gather.pop(0))
-            row = base.agg(*[F.sort_array(F.collect_list(_between(v[c], pending[(c, r)]))).alias(f"g{j}")
-                             for j, (c, r) in enumerate(some)]).first()
-            for j, key in enumerate(some):
-                done[key] = float(row[f"g{j}"][pending[key]["at"]])
+            for key, values in zip(some, _inside_values(base, v, [(c, pending[(c, r)]) for c, r in some])):
+                left = pending[key]["at"]
+                for x, n in values:
+                    if left < n:
+                        done[key] = float(x)
+                        break
+                    left -= n
         if narrow:
             aggs = []
             for j, (c, r) in enumerate(narrow):

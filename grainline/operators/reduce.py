@@ -1,9 +1,9 @@
 """The ``dimensionality_reduction`` step: PCA on centred, unscaled columns.
 
-Fit = one aggregate job of means and pairwise ``covar_samp`` over complete
-rows (d·(d+1)/2 values for d columns), then an eigen-decomposition of the
-d×d matrix on the driver — the same split Spark ML's PCA uses, without
-turning rows into vectors.  Components follow the usual sign rule (largest
+Fit = one job for the means and the scatter matrix of the complete rows
+(``functions.gram``: blockwise partials of Arrow batches, merged in a tree), then
+an eigen-decomposition of the d×d matrix on the driver, the same split Spark ML's
+PCA uses.  The plan is the same for two columns and for thousands.  Components follow the usual sign rule (largest
 absolute loading positive).  ``transform`` is a projection
 ``Σ (x_i - mean_i) · v_ij``: whole-stage codegen, stream-safe.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import and_all, as_double, existing, numeric_columns, qcol
+from ..functions.gram import scatter
 
 
 @dataclass
@@ -54,18 +55,8 @@ def fit_pca(df: DataFrame, columns=None, n_components: int = 2) -> PCAModel | No
     if not cols or len(cols) < n_components:
         return None
     complete = df.where(and_all([as_double(df, c).isNotNull() for c in cols]))
-    xs = [as_double(complete, c) for c in cols]
-    aggs = [F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)]
-    for i in range(len(cols)):
-        for j in range(i, len(cols)):
-            aggs.append(F.covar_samp(xs[i], xs[j]).alias(f"c{i}_{j}"))
-    row = complete.agg(*aggs).first()
-    d = len(cols)
-    cov = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            v = row[f"c{i}_{j}"]
-            cov[i, j] = cov[j, i] = 0.0 if v is None else v
+    n, means, scattered = scatter(complete.select(*[as_double(complete, c).alias(f"x{i}") for i, c in enumerate(cols)]))
+    cov = scattered / max(n - 1, 1)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]
     vals, vecs = vals[order], vecs[:, order]
@@ -75,8 +66,7 @@ def fit_pca(df: DataFrame, columns=None, n_components: int = 2) -> PCAModel | No
             comps[k] = -comps[k]
     total = float(np.sum(np.clip(vals, 0, None)))
     ratio = [float(max(v, 0.0) / total) if total > 0 else 0.0 for v in vals[:n_components]]
-    means = [row[f"m{i}"] if row[f"m{i}"] is not None else 0.0 for i in range(d)]
-    return PCAModel(cols, means, comps, ratio)
+    return PCAModel(cols, [float(m) for m in means], comps, ratio)
 
 
 def pca(df: DataFrame, columns=None, n_components: int = 2) -> DataFrame:

@@ -111,3 +111,27 @@ def test_tree_bounds_hold():
         shared = (~np.isnan(diff)).sum(1)
         d2 = np.where(shared > 0, np.nansum(diff ** 2, 1) * 3 / np.maximum(shared, 1), np.inf)
         assert b <= d2.min()
+
+
+def test_scatter_matches_numpy_over_tiles_and_partitions(spark):
+    """Large means, columns over several tiles, partitions of unequal size and an empty one."""
+    from grainline.functions.gram import scatter
+    rng = np.random.default_rng(3)
+    X = rng.normal(size=(150, 150)) * np.arange(1, 151) + 1e6
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], ", ".join(f"c{i} double" for i in range(150)))
+    n, mean, m = scatter(df.repartition(7))
+    assert n == 150 and np.allclose(mean, X.mean(0), rtol=1e-12)
+    assert np.allclose(m / 149, np.cov(X.T), rtol=1e-8, atol=1e-6)
+    n, mean, m = scatter(df.limit(0))
+    assert n == 0 and not m.any()
+
+
+def test_pca_of_many_columns_and_no_rows(spark):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(300, 2)) @ rng.normal(size=(2, 80))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in base], ", ".join(f"c{i} double" for i in range(80)))
+    model = reduce.fit_pca(df, None, 2)
+    assert abs(sum(model.explained_variance_ratio) - 1) < 1e-9
+    assert np.allclose(np.cov(model.transform(df).toPandas().to_numpy().T),
+                       np.diag(np.sort(np.linalg.eigvalsh(np.cov(base.T)))[::-1][:2]), atol=1e-6)
+    assert reduce.pca(df.limit(0), None, 2).count() == 0

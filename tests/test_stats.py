@@ -42,3 +42,17 @@ def test_approximate_option_is_close(spark):
     exact = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75])["x"]
     approx = exact_quantiles(df, ["x"], [0.25, 0.5, 0.75], approximate=True)["x"]
     assert all(abs(a - e) <= 100000 / 10_000 + 1 for a, e in zip(approx, exact))
+
+
+def test_many_columns_in_one_counting_pass(spark):
+    """100 columns, ties and heavy values: equal to numpy, and few jobs."""
+    rng = np.random.default_rng(12)
+    X = np.round(rng.normal(size=(400, 100)), 1)
+    X[:140, ::3] = 0.5                                     # a third of the rows on one value
+    X[rng.random(X.shape) < 0.05] = np.nan
+    cols = [f"c{i}" for i in range(100)]
+    df = spark.createDataFrame([tuple(None if np.isnan(x) else float(x) for x in r) for r in X],
+                               ", ".join(f"{c} double" for c in cols))
+    got = exact_quantiles(df, cols, [0.25, 0.5, 0.9], accuracy=50)
+    for i, c in enumerate(cols):
+        assert np.allclose(got[c], np.nanquantile(X[:, i], [0.25, 0.5, 0.9]), atol=1e-12)
