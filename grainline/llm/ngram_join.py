@@ -23,7 +23,7 @@ least the threshold; linked documents form components.
    one component are never emitted; every pair that could link two components
    is, if the number and places of its shared prefix n-grams still allow it;
    bit signatures of the prefixes bound that number before a pair is made, and
-   signatures of the whole sets (``_marks``, four to eight bits a shingle) bound
+   signatures of the whole sets (``_marks``, eight to sixteen bits a shingle) bound
    the overlap of a pair before its fragments are counted.
 5. **Verification, by fragments.**  The global order is cut into fragments;
    each candidate pair's overlap is counted in every fragment by itself and
@@ -78,10 +78,10 @@ def _nodes(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _marks(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """Bits of each whole set in 64-bit words: a power of two of words, four to
-    eight bits a shingle.  Halves of a longer signature fold onto a shorter one."""
+    """Bits of each whole set in 64-bit words: a power of two of words, eight to
+    sixteen bits a shingle.  Halves of a longer signature fold onto a shorter one."""
     n = np.diff(bounds)
-    words = np.int64(1) << np.ceil(np.log2(np.maximum(n / 16, 1))).astype(np.int64)
+    words = np.int64(1) << np.ceil(np.log2(np.maximum(n / 8, 1))).astype(np.int64)
     offs = np.concatenate([[0], np.cumsum(words)])
     which = np.repeat(np.arange(len(n)), n)
     bits = np.zeros(int(offs[-1]) * 64, bool)
@@ -235,6 +235,17 @@ def _fragments(docs: DataFrame, wanted: DataFrame, order, fragments: int) -> Dat
             .dropDuplicates(["node", "fragment"]))
 
 
+def possible(pairs: DataFrame, sets: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Written table of the pairs ``(a, b, na, nb)`` that the whole signatures do not rule out."""
+    near = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    marks = sets.select("node", "marks").join(near, "node", "left_semi").dropDuplicates(["node"])
+    both = (pairs.join(marks.select(F.col("node").alias("a"), F.col("marks").alias("kx")), "a")
+            .join(marks.select(F.col("node").alias("b"), F.col("marks").alias("ky")), "b")
+            .withColumnsRenamed({"na": "nx", "nb": "ny"}))
+    return written(both.filter(_overlap_bound() * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
+                   .select("a", "b", F.col("nx").alias("na"), F.col("ny").alias("nb")), "possible")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, order, threshold: int = THRESHOLD,
              fragments: int = FRAGMENTS) -> DataFrame:
     """Pairs ``(a, b, na, nb)`` whose summed fragment overlaps reach the threshold."""
@@ -346,7 +357,7 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
     first = written(met.filter(F.col("c") * 1600 >= F.least("nx", "ny") * EVIDENCE)
                     .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")),
                     "pairs")
-    links = verified(first, docs, reps, order, threshold, fragments).select("a", "b")
+    links = verified(possible(first, sets, threshold), docs, reps, order, threshold, fragments).select("a", "b")
     roots = components(links)
 
     # second round: what still joins different components
@@ -373,18 +384,17 @@ def jaccard_components(docs: DataFrame, threshold: int = THRESHOLD, fragments: i
         & _sizes(threshold) & (_ahead() * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
         & ((_common() + _beyond(threshold)) * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
         & ~F.arrays_overlap("bx", "by"))
-    cross = written(_counted(cross.select("x", "y", "nx", "ny")).drop("c"), "met")
+    cross = _counted(cross.select("x", "y", "nx", "ny")).drop("c")
     # the overlap is at most the n-grams two prefixes share and what follows the prefix
-    # that ends first in the global order; and no more than the whole signatures allow
-    near = cross.select(F.col("x").alias("node")).union(cross.select("y")).distinct()
-    shown = grams.select("node", F.col("g.shingle").alias("grams")).join(
-        sets.select("node", "marks").join(near, "node", "left_semi").dropDuplicates(["node"]), "node")
-    both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx"), F.col("marks").alias("kx")), "x")
-            .join(shown.select(F.col("node").alias("y"), F.col("grams").alias("gy"), F.col("marks").alias("ky")), "y"))
-    most = F.least(F.size(F.array_intersect("gx", "gy")) + _beyond(threshold), _overlap_bound())
+    # that ends first in the global order
+    shown = grams.select("node", F.col("g.shingle").alias("grams"))
+    both = (cross.join(shown.select(F.col("node").alias("x"), F.col("grams").alias("gx")), "x")
+            .join(shown.select(F.col("node").alias("y"), F.col("grams").alias("gy")), "y"))
+    most = F.size(F.array_intersect("gx", "gy")) + _beyond(threshold)
     second = written(both.filter(most * (100 + threshold) >= (F.col("nx") + F.col("ny")) * threshold)
                      .select(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb")),
                      "pairs")
+    second = possible(second, sets, threshold)
     if not second.isEmpty():
         more = verified(second, docs, reps, order, threshold, fragments).select("a", "b")
         more = (more.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")

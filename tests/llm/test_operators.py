@@ -555,4 +555,4 @@ def test_whole_signatures_bound_the_overlap(spark):
         true.append(shared)
     got = spark.createDataFrame(rows, "nx long, ny long, kx array<long>, ky array<long>").select(J._overlap_bound().alias("b")).collect()
     assert all(r.b >= t for r, t in zip(got, true))
-    assert got[0].b < 86 and got[5].b < 700 and {len(k) for r in rows[2:4] for k in r[2:]} == {8, 16}
+    assert got[0].b < 86 and got[5].b < 700 and {len(k) for r in rows[2:4] for k in r[2:]} == {16, 32}
