@@ -9,7 +9,7 @@ from ..operators import predicates as P
 from ..operators import scale as S
 from ..plans import history as H
 from ..plans import rules as R
-from ..plans.runner import run_spec
+from ..plans.runner import extract, run_spec, transform
 from ..streaming import stream as ST
 from .q_quality import SUITE, SUITE_SQL
 from .registry import events_gaps, register, rounded, scratch_dir, table
@@ -50,6 +50,27 @@ def q_spec_run(spark, sf):
     return spark.read.parquet(out)
 
 
+@register("pipeline_run", SPEC_SQL)
+def q_pipeline_run(spark, sf):
+    """A run with two named targets in the shape of the source tool's specs; the Parquet one is read back."""
+    out = scratch_dir(spark, "pipeline-run")
+    targets = [{"name": "table", "type": "parquet", "path": f"{out}/table", "compression": "snappy"},
+               {"name": "by status", "type": "multiple_files", "base_path": f"{out}/groups", "group_by": "o_orderstatus",
+                "file_format": "csv", "include_header": True, "include_index": False}]
+    res = run_spec(spark, _orders_spec(sf, targets=targets))
+    if not res.success:
+        raise RuntimeError(res.error)
+    return spark.read.parquet(f"{out}/table")
+
+
+@register("pipeline_steps", SPEC_SQL)
+def q_pipeline_steps(spark, sf):
+    """The steps of a spec applied in order to a table at hand."""
+    spec = _orders_spec(sf)
+    raw = extract(spark, spec["extraction"])
+    return transform(raw, spec["transformation"], observe=False)[0]
+
+
 @register("spec_steps", SPEC_SQL)
 def q_spec_steps(spark, sf):
     broken = {"type": "custom", "config": {"expression": "no_such_column * 2", "new_column": "bad"}}

@@ -65,12 +65,34 @@ def category_values(df: DataFrame, column: str, max_categories: int = MAX_CATEGO
             .limit(max_categories + 1).collect())
     if len(vals) > max_categories:
         raise ValueError(f"{column} has more than {max_categories} categories; "
-                         "raise max_categories to one-hot encode it")
+                         "raise max_categories, or encode it sparse")
     return sorted(r["v"] for r in vals)
 
 
+def encode_onehot_sparse(df: DataFrame, columns=None, drop_first: bool = False, suffix: str = "_onehot") -> DataFrame:
+    """One column ``{c}_onehot`` per input instead of one per category: a struct
+    ``(size, index)``, the position of the one that is set among ``size`` categories in
+    sorted order (null where none is: a missing value, or the first category under
+    ``drop_first``).  The categories stay in a table: any number of them encodes."""
+    for c in _columns(df, columns):
+        name = f"{c}{suffix}"
+        if name.lower() in {x.lower() for x in df.columns if x != c}:
+            raise ValueError(f"column {name} exists already; choose another suffix")
+        values = df.where(qcol(c).isNotNull()).select(qcol(c).alias("value")).distinct()
+        numbered, size = global_row_number(values, ["value"], name="code", with_total=True)
+        first = 2 if drop_first else 1
+        table = numbered.where(F.col("code") >= first).select(F.col("value").alias("__oh_value"),
+                                                              (F.col("code") - first).cast("int").alias("__oh_code"))
+        joined = join_lookup(df, table, qcol(c) == F.col("__oh_value"), "left")
+        hot = F.struct(F.lit(max(0, size - first + 1)).cast("int").alias("size"), F.col("__oh_code").alias("index")).alias(name)
+        df = joined.select(*[qcol(x) for x in df.columns if x != c], hot)
+    return df
+
+
 def encode_onehot(df: DataFrame, columns=None, prefix: str | None = None, drop_first: bool = False,
                   max_categories: int = MAX_CATEGORIES) -> DataFrame:
+    """One boolean column per category.  More than ``max_categories`` raise: that many
+    columns make no usable table, ``encode_onehot_sparse`` has no such bound."""
     cols = _columns(df, columns)
     if cols:
         # one HyperLogLog pass over all columns first: a column with millions of
@@ -80,15 +102,18 @@ def encode_onehot(df: DataFrame, columns=None, prefix: str | None = None, drop_f
         for i, c in enumerate(cols):
             if approx[f"a{i}"] > max_categories * 1.1:
                 raise ValueError(f"{c} has about {approx[f'a{i}']} categories (more than {max_categories}); "
-                                 "raise max_categories to one-hot encode it")
+                                 "raise max_categories, or encode it sparse")
     for c in cols:
         cats = category_values(df, c, max_categories)
         if drop_first:
             cats = cats[1:]
         p = prefix or c
         dummies = {f"{p}_{v}": F.coalesce(qcol(c) == F.lit(v), F.lit(False)) for v in cats}
-        rest = [qcol(x) for x in df.columns if x != c]
-        df = df.select(*rest, *[e.alias(n) for n, e in dummies.items()])
+        rest = [x for x in df.columns if x != c]
+        clash = {x.lower() for x in rest} & {x.lower() for x in dummies}
+        if clash:
+            raise ValueError(f"columns {sorted(clash)} exist already; choose another prefix")
+        df = df.select(*[qcol(x) for x in rest], *[e.alias(n) for n, e in dummies.items()])
     return df
 
 
@@ -115,6 +140,8 @@ def encode_step(df: DataFrame, config: dict) -> DataFrame:
     cols = config.get("columns")
     if method == "label":
         return encode_label(df, cols)
+    if method == "onehot" and config.get("sparse"):
+        return encode_onehot_sparse(df, cols, config.get("drop_first", False))
     if method == "onehot":
         return encode_onehot(df, cols, config.get("prefix"), config.get("drop_first", False),
                              config.get("max_categories", MAX_CATEGORIES))

@@ -1,10 +1,10 @@
 """Isolation forest (Liu, Ting, Zhou 2008) as a distributed Spark job.
 
-1. **Sample.**  Every row hashes itself once per tree (``xxhash64`` of its
-   values and the tree seed) inside one codegen pipeline.  A row joins tree
-   ``t`` when its hash falls under a rate that yields about twice
-   ``max_samples`` rows per tree, so only a few hundred rows per tree leave
-   the stage — the table is never copied per tree.
+1. **Sample.**  A pool of some 64 times ``max_samples`` rows is drawn once, by a
+   seeded number of each row's own, so that equal rows are drawn apart.  Within the
+   pool a row joins tree ``t`` when its hash with ``t`` falls under a rate that yields
+   about twice ``max_samples`` rows per tree, so only a few hundred rows per tree leave
+   the stage; the table is never copied per tree.
 2. **Grow.**  ``groupBy(tree).applyInPandas``: each group keeps its
    ``max_samples`` smallest hashes and grows one random tree with numpy.  A
    group holds at most a few hundred rows.
@@ -13,6 +13,8 @@
 4. **Cut.**  The outlier cut is the ``1 − contamination`` quantile of the
    training scores (``percentile_approx`` with accuracy 10⁴, one pass).
 
+An empty table gives a forest without trees, which flags nothing and scores null.
+
 Randomness comes from ``seed`` and the tree id, so results are reproducible;
 they are not bit-equal to other implementations of the algorithm.
 """
@@ -122,6 +124,9 @@ class IsolationForestModel:
         return score(*[as_double(df, c) for c in self.columns])
 
     def transform(self, df: DataFrame, flag_column: str = "is_outlier", score_column: str | None = None) -> DataFrame:
+        if not self.trees:
+            out = df.withColumn(flag_column, F.lit(False))
+            return out.withColumn(score_column, F.lit(None).cast("double")) if score_column else out
         df = spread(df)
         s = self.score_column(df)
         out = df.withColumn(flag_column, s > F.lit(self.threshold))
@@ -131,17 +136,19 @@ class IsolationForestModel:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Scoring is CPU-bound Python: when the input has fewer partitions than
-    the cluster has cores (a small file is one split), spread it round-robin
-    first.  Inputs that are already split are left alone."""
+    """Scoring is CPU-bound Python: an input of fewer files than the cluster has
+    cores (a small file is one split) is spread round-robin first.  The files are
+    known to the plan, so nothing runs to find out; other inputs are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def fit_isolation_forest(df: DataFrame, columns=None, n_trees: int = 100, max_samples: int = 256,
                          contamination: float = 0.1, seed: int = 42) -> IsolationForestModel:
     cols = existing(df, columns) if columns else numeric_columns(df)
     n = df.count()
+    if not n:
+        return IsolationForestModel(cols, {}, 0)
     psi = int(min(max_samples, n))
     max_depth = int(math.ceil(math.log2(max(psi, 2))))
     # a pool of rows drawn once, by a number of the row's own (equal rows are drawn

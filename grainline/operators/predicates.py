@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import and_all, is_float_type, qcol
 
@@ -48,11 +49,28 @@ def condition_expr(df: DataFrame, column: str, condition: str, value=None) -> Co
         # a regular-expression search on the string form
         return c.cast("string").rlike(str(value))
     if condition == "in":
-        values = list(value) if isinstance(value, (list, tuple, set)) else [value]
-        return c.isin(values)
+        return c.isin(in_values(df, column, value))
     return None
 
 
+def in_values(df: DataFrame, column: str, value) -> list:
+    """The wanted values in the column's own kind: text columns are compared as
+    text, numbers with the values that read as numbers (others match nothing)."""
+    values = list(value) if isinstance(value, (list, tuple, set)) else [value]
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.StringType):
+        return [v if v is None or isinstance(v, str) else str(v) for v in values]
+    if isinstance(dtype, T.NumericType):
+        out = []
+        for v in values:
+            try:
+                out.append((int(v) if v.strip().lstrip("+-").isdigit() else float(v)) if isinstance(v, str) else v)
+            except ValueError:
+                continue
+        return out
+    return values
+
+
 def apply_filters(df: DataFrame, filters: list[dict]) -> DataFrame:
     """AND all filters of a list (list order does not matter for an AND)."""
     preds = []
@@ -68,7 +86,7 @@ def apply_filters(df: DataFrame, filters: list[dict]) -> DataFrame:
             preds.append(p)
     out = df.where(and_all(preds)) if preds else df
     for f in big_in:
-        out = filter_in_table(out, f["column"], list(f["value"]))
+        out = filter_in_table(out, f["column"], in_values(out, f["column"], f["value"]))
     return out
 
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import qcol
+from ..functions.staging import staged
 
 log = logging.getLogger(__name__)
 
@@ -60,13 +60,9 @@ def write_csv(df: DataFrame, path: str, separator: str = ",", encoding: str = "u
         return w
 
     paths = [path] + ([timestamped_path(path)] if timestamped_copy else [])
-    target = out.persist(StorageLevel.MEMORY_AND_DISK) if len(paths) > 1 else out
-    try:
-        for p in paths:
-            writer(target).csv(p)
-    finally:
-        if len(paths) > 1:
-            target.unpersist()
+    target = staged(out, "copies") if len(paths) > 1 else out
+    for p in paths:
+        writer(target).csv(p)
     return paths
 
 
@@ -123,36 +119,90 @@ def write_split_by_group(df: DataFrame, path: str, group_by: str, file_format: s
     return path
 
 
+#: the options of every target type; other keys are a mistake and raise
+TARGET_OPTIONS = {
+    "csv": {"path", "separator", "encoding", "include_header", "include_index", "mode", "na_representation", "float_format",
+            "date_format", "timestamped_copy", "create_timestamped_copy"},
+    "json": {"path", "mode", "orient", "date_format"},
+    "parquet": {"path", "mode", "compression", "partition_by"},
+    "split": {"path", "base_path", "group_by", "format", "file_format", "filename_template", "mode", "separator",
+              "encoding", "include_header", "include_index", "compression", "na_representation"},
+    "jdbc": {"url", "connection_string", "table_name", "if_exists", "chunksize"},
+}
+#: other names of target types
+TARGET_NAMES = {"multiple_files": "split", "database": "jdbc"}
+_FILE_OPTIONS = {"separator": "sep", "encoding": "encoding", "include_header": "header", "compression": "compression",
+                 "na_representation": "nullValue"}
+
+
+def _write_target(data: DataFrame, kind: str, t: dict) -> str:
+    """Write one target; returns where it went."""
+    if t.get("include_index"):
+        raise ValueError("include_index: rows have no index; number them in a step to write one")
+    mode = t.get("mode", "w")
+    if kind == "csv":
+        opts = {k: v for k, v in t.items() if k not in ("path", "include_index", "create_timestamped_copy")}
+        if t.get("create_timestamped_copy"):
+            opts["timestamped_copy"] = True
+        write_csv(data, t["path"], **opts)
+    elif kind == "json":
+        if t.get("orient", "records") != "records":
+            raise ValueError("orient: only records are written, one per line")
+        write_json(data, t["path"], mode, None if t.get("date_format") == "iso" else t.get("date_format"))
+    elif kind == "parquet":
+        write_parquet(data, t["path"], t.get("compression", "snappy"), mode, t.get("partition_by"))
+    elif kind == "split":
+        if t.get("filename_template"):
+            raise ValueError("filename_template: a group is a folder named group=value, not a file")
+        fmt = t.get("file_format", t.get("format", "csv" if "base_path" in t else "parquet"))
+        wanted = {name: str(t[k]).lower() if k == "include_header" else t[k] for k, name in _FILE_OPTIONS.items() if k in t}
+        if fmt == "csv":
+            wanted = {"header": "true", **wanted}
+        write_split_by_group(data, t.get("base_path", t.get("path")), t["group_by"], fmt, mode, **wanted)
+        return t.get("base_path", t.get("path"))
+    else:
+        write_jdbc(data, t.get("url", t.get("connection_string")), t["table_name"], t.get("if_exists", "replace"),
+                   t.get("chunksize", 10_000))
+        return t["table_name"]
+    return t["path"]
+
+
 def write_targets(df: DataFrame, targets: list[dict], fail_on_target_error: bool = True) -> list[dict]:
-    """Write one computed plan to the targets (persisted where there are several)."""
-    several = len(targets) > 1
-    data = df.persist(StorageLevel.MEMORY_AND_DISK) if several else df
+    """Write one table to several targets.
+
+    Several targets: the table is computed once and staged in shared storage,
+    each target is then a write of its own from there, so a lost executor or a
+    failed target repeats that target only.  A file target is complete when
+    its ``_SUCCESS`` marker is there.  Types and options are checked before
+    anything is written."""
+    plans = []
+    for t in targets:
+        kind = TARGET_NAMES.get(t.get("type"), t.get("type"))
+        try:
+            if kind not in TARGET_OPTIONS:
+                raise ValueError(f"unknown target type {t.get('type')!r}; types are {sorted(TARGET_OPTIONS | TARGET_NAMES)}")
+            opts = {k: v for k, v in t.items() if k not in ("type", "name", "description")}
+            odd = set(opts) - TARGET_OPTIONS[kind]
+            if odd:
+                raise ValueError(f"target {t.get('name', kind)} has no option {sorted(odd)}; options are {sorted(TARGET_OPTIONS[kind])}")
+            plans.append((t, kind, opts, None))
+        except ValueError as exc:
+            if fail_on_target_error:
+                raise
+            plans.append((t, kind, {}, exc))
+    data = staged(df, "targets") if sum(p[3] is None for p in plans) > 1 else df
     results = []
-    try:
-        for t in targets:
-            kind = t.get("type")
-            try:
-                if kind == "csv":
-                    write_csv(data, t["path"], **{k: v for k, v in t.items() if k not in ("type", "path")})
-                elif kind == "json":
-                    write_json(data, t["path"], t.get("mode", "w"))
-                elif kind == "parquet":
-                    write_parquet(data, t["path"], t.get("compression", "snappy"), t.get("mode", "w"))
-                elif kind == "split":
-                    write_split_by_group(data, t["path"], t["group_by"], t.get("format", "parquet"),
-                                         t.get("mode", "w"))
-                elif kind == "jdbc":
-                    write_jdbc(data, t["url"], t["table_name"], t.get("if_exists", "replace"),
-                               t.get("chunksize", 10_000))
-                else:
-                    raise ValueError(f"unknown target type {kind!r}")
-                results.append({"target": t.get("path", t.get("table_name")), "type": kind, "ok": True})
-            except Exception as exc:  # noqa: BLE001 - policy decides
-                if fail_on_target_error:
-                    raise
-                log.warning("target %s failed: %s", t, exc)
-                results.append({"target": t.get("path"), "type": kind, "ok": False, "error": str(exc)})
-    finally:
-        if several:
-            data.unpersist()
+    for t, kind, opts, exc in plans:
+        where = {"target": t.get("path", t.get("base_path", t.get("table_name"))), "type": t.get("type")}
+        if "name" in t:
+            where["name"] = t["name"]
+        try:
+            if exc is not None:
+                raise exc
+            results.append({**where, "target": _write_target(data, kind, opts), "ok": True})
+        except Exception as failed:  # noqa: BLE001 - policy decides
+            if fail_on_target_error:
+                raise
+            log.warning("target %s failed: %s", t, failed)
+            results.append({**where, "ok": False, "error": str(failed)})
     return results

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,16 +88,25 @@ def null_tokens(df: DataFrame, tokens: list[str]) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, separator: str = ",", encoding: str = "utf-8",
              header: int | None = 0, columns: list[str] | None = None, dtypes: dict | None = None,
              date_columns: list[str] | None = None, skip_rows: int = 0, na_values: list[str] | None = None,
-             max_rows: int | None = None, multiline: bool = False, schema=None) -> DataFrame:
+             max_rows: int | None = None, multiline: bool | None = None, schema=None) -> DataFrame:
     """CSV scan with the options of the spec.
 
+    ``header`` is the number of the line that holds the names (lines before it are
+    dropped; ``None``: no names).  Fields may hold quoted line breaks: whether any
+    line leaves a quote open is found by one scan of the lines, which stops at the
+    first, unless ``multiline`` says so.  Only then is a file read by one task.
+
     Without ``dtypes``/``schema`` every column is read as text, the pandas null
     tokens (plus ``na_values``) become null, and types are inferred by one
     aggregate.  ``skip_rows`` drops the first lines of **each file** (see
     ``_skip_lines``).
     """
+    if header is not None and int(header) > 0:
+        skip_rows, header = skip_rows + int(header), 0
+    if multiline is None:
+        multiline = not spark.read.text(path).where(F.regexp_count("value", F.lit('"')) % 2 == 1).isEmpty()
     if skip_rows:
-        df = _csv_after_skip(spark, path, separator, encoding, header, skip_rows)
+        df = _csv_after_skip(spark, path, separator, encoding, header, skip_rows, multiline)
     elif schema is not None:
         df = _csv_with_schema(_reader(spark, separator, encoding, header is not None, multiline), path, schema, na_values)
     else:
@@ -148,24 +158,44 @@ def _skip_lines(spark: SparkSession, path: str, encoding: str, n: int) -> DataFr
     (valid while the skipped lines lie in the first split, i.e. any realistic
     ``n``).  The per-file minimum is a partial aggregate with one row per file.
     """
-    lines = (spark.read.option("encoding", encoding).text(path)
-             .select(F.col("value"), F.col("_metadata.file_path").alias("__file"),
+    raw = F.col("value") if encoding.lower().replace("-", "").replace("_", "") == "utf8" \
+        else F.decode(F.col("value").cast("binary"), encoding)       # lines keep their bytes until here
+    lines = (spark.read.text(path)
+             .select(raw.alias("value"), F.col("_metadata.file_path").alias("__file"),
                      F.col("_metadata.file_block_start").alias("__start"),
                      F.monotonically_increasing_id().alias("__id")))
     head = lines.where(F.col("__start") == 0)
     firsts = head.groupBy("__file").agg(F.min("__id").alias("__first"))   # one row per file
     kept = head.join(F.broadcast(firsts), "__file").where(F.col("__id") >= F.col("__first") + n)
-    kept = kept.select("value", "__file", (F.col("__id") - F.col("__first") - n).alias("__line"))
-    rest = lines.where(F.col("__start") > 0).select("value", "__file", F.lit(1 << 62).alias("__line"))
+    kept = kept.select("value", "__file", "__start", "__id", (F.col("__id") - F.col("__first") - n).alias("__line"))
+    rest = lines.where(F.col("__start") > 0).select("value", "__file", "__start", "__id", F.lit(1 << 62).alias("__line"))
     return kept.unionByName(rest)
 
 
-def _csv_after_skip(spark, path, separator, encoding, header, n) -> DataFrame:
+def _whole_records(lines: DataFrame) -> DataFrame:
+    """Lines joined to records where a quoted field runs over several: a line
+    starts a record when the quotes before it in its file are closed.  A file is
+    one window, as a file with such fields can only be read from its start."""
+    order = Window.partitionBy("__file").orderBy("__start", "__id")
+    before = F.coalesce(F.sum(F.regexp_count("value", F.lit('"'))).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    marked = lines.withColumn("__new", (before % 2 == 0).cast("long"))
+    marked = marked.withColumn("__rec", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = marked.groupBy("__file", "__rec").agg(
+        F.array_sort(F.collect_list(F.struct("__start", "__id", "value"))).alias("__parts"), F.min("__line").alias("__line"))
+    return joined.select(F.array_join("__parts.value", "\n").alias("value"), "__file", "__line")
+
+
+def _csv_after_skip(spark, path, separator, encoding, header, n, multiline=False) -> DataFrame:
     lines = _skip_lines(spark, path, encoding, n)
+    if multiline:
+        lines = _whole_records(lines)
+    lines = lines.where(F.trim("value") != "")
     if header is not None:
-        first = lines.where(F.col("__line") == 0).select("value").limit(1).collect()
+        # the first line left of each file holds the names
+        first = lines.where(F.col("__line") < F.lit(1 << 62)).orderBy("__file", "__line").select("value").limit(1).collect()
         names = next(csv.reader(io.StringIO(first[0]["value"]), delimiter=separator)) if first else []
-        body = lines.where(F.col("__line") > 0)
+        heads = lines.groupBy("__file").agg(F.min("__line").alias("__head"))
+        body = lines.join(F.broadcast(heads), "__file").where(F.col("__line") > F.col("__head"))
     else:
         sample = lines.select("value").limit(1).collect()
         width = len(next(csv.reader(io.StringIO(sample[0]["value"]), delimiter=separator))) if sample else 0
@@ -193,11 +223,26 @@ def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*cols)
 
 
+def _is_document(line: str) -> bool:
+    try:
+        json.loads(line)
+        return True
+    except ValueError:
+        return False
+
+
 def read_json_records(spark: SparkSession, path: str, json_path: str | None = None,
-                      multiline: bool = False, schema=None) -> DataFrame:
+                      multiline: bool | None = None, schema=None) -> DataFrame:
     """JSON documents → one row per record under the dotted ``json_path``
     (a list explodes into rows, a single object is one row), then flattened.
-    A missing key fails at analysis, as a missing key does in the source tool."""
+    A missing key fails at analysis, as a missing key does in the source tool.
+
+    A file is one whole document (``multiline=True``) or holds one per line
+    (``False``, read in parallel); by default its first line tells, which is a
+    document of its own in the second case only."""
+    if multiline is None:
+        first = spark.read.text(path).where(F.trim("value") != "").first()
+        multiline = first is not None and not _is_document(first["value"])
     reader = spark.read.option("multiLine", str(multiline).lower())
     if schema is not None:
         reader = reader.schema(schema)

@@ -91,14 +91,15 @@ def paged_records(pages: DataFrame, data_path: str = "data", page_size: int = 10
 
 
 # --------------------------------------------------------------------- union
-def union_sources(frames: dict[str, DataFrame], tag_column: str = "_source",
+def union_sources(frames: dict[str, DataFrame] | list[tuple[str, DataFrame]], tag_column: str = "_source",
                   skip_empty: bool = True) -> DataFrame:
     """Union by column name; missing columns become null; each row tagged with
-    its source name.  Empty sources are left out (one ``limit(1)`` probe each),
+    its source name (pairs may repeat a name: both sources carry it).  Empty sources are left out (one ``limit(1)`` probe each),
     so their columns do not appear.  Columns whose types conflict between
     sources are promoted to text first (Spark would otherwise widen
     text+number to number and fail at run time)."""
-    items = [(name, df) for name, df in frames.items() if df is not None]
+    pairs = frames.items() if isinstance(frames, dict) else frames
+    items = [(name, df) for name, df in pairs if df is not None]
     if skip_empty and len(items) > 1:
         kept = [(name, df) for name, df in items if not df.isEmpty()]
         items = kept or items[:1]
