@@ -144,6 +144,17 @@ def q_encode_onehot(spark, sf):
     return E.encode_onehot(df, ["o_orderpriority"], prefix="prio")
 
 
+@register("encode_onehot_sparse", f"""
+WITH v AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS i
+  FROM (SELECT DISTINCT o_orderpriority FROM {OG} WHERE o_orderpriority IS NOT NULL))
+SELECT o.o_orderkey, CAST((SELECT count(*) FROM v) AS INTEGER) AS size, CAST(v.i AS INTEGER) AS index
+FROM {OG} o LEFT JOIN v ON o.o_orderpriority = v.o_orderpriority""")
+def q_encode_onehot_sparse(spark, sf):
+    df = orders_gaps(spark, sf).select("o_orderkey", "o_orderpriority")
+    return E.encode_onehot_sparse(df, ["o_orderpriority"]).select("o_orderkey", "o_orderpriority_onehot.size",
+                                                                  "o_orderpriority_onehot.index")
+
+
 @register("encode_target", f"""
 SELECT o.o_orderkey, o.o_orderstatus, (round(m.te, 6) + 0.0) AS o_orderpriority_target_encoded
 FROM {OG} o LEFT JOIN (SELECT o_orderpriority, avg(o_totalprice) AS te FROM {OG}

@@ -128,6 +128,16 @@ def q_src_paged(spark, sf):
     return SF.apply_dtypes(df, None, ["o_orderdate"])
 
 
+@register("src_paged_json_all", ORDER_SQL)
+def q_src_paged_all(spark, sf):
+    """Every order: all pages are full, so paging ends with the last one."""
+    o = table(spark, sf, "orders")
+    low = F.lit(o.agg(F.min("o_orderkey")).first()[0])
+    pages = o.groupBy(F.floor((F.col("o_orderkey") - low) / PAGE).alias("page")).agg(F.collect_list(F.struct(*ORDER_COLS)).alias("data"))
+    df = SM.paged_records(pages.select("page", F.to_json(F.struct("data")).alias("body")), "data", page_size=PAGE)
+    return SF.apply_dtypes(df, None, ["o_orderdate"])
+
+
 @register("multi_source_union", """
 SELECT c_custkey AS key, c_name AS name, c_nationkey AS nationkey, c_acctbal AS acctbal, c_mktsegment AS segment,
   'customers' AS _source FROM customer

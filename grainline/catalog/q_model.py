@@ -62,6 +62,24 @@ def q_pca(spark, sf):
     return RD.pca(df, FEATS, 2)
 
 
+# two columns: eigenvalues and -vectors of a symmetric 2 x 2 matrix in closed form, largest loading positive
+PCA2_SQL = """
+WITH c AS (SELECT var_samp(l_quantity) AS a, covar_samp(l_quantity, l_extendedprice) AS b, var_samp(l_extendedprice) AS d FROM lineitem),
+e AS (SELECT *, (a + d) / 2 + sqrt(((a - d) / 2) ** 2 + b ** 2) AS l1, (a + d) / 2 - sqrt(((a - d) / 2) ** 2 + b ** 2) AS l2 FROM c),
+v AS (SELECT 1 AS component, b AS x, l1 - a AS y, l1 / (l1 + l2) AS ratio FROM e
+  UNION ALL SELECT 2, b, l2 - a, l2 / (l1 + l2) FROM e),
+u AS (SELECT component, ratio, x / sqrt(x * x + y * y) AS x, y / sqrt(x * x + y * y) AS y FROM v),
+s AS (SELECT component, ratio, x, y, CASE WHEN (CASE WHEN abs(x) >= abs(y) THEN x ELSE y END) < 0 THEN -1 ELSE 1 END AS sign FROM u)
+SELECT component, 'l_quantity' AS "column", round(sign * x, 6) + 0.0 AS loading, round(ratio, 6) + 0.0 AS explained_variance_ratio FROM s
+UNION ALL SELECT component, 'l_extendedprice', round(sign * y, 6) + 0.0, round(ratio, 6) + 0.0 FROM s"""
+
+
+@register("pca_two_columns", PCA2_SQL)
+def q_pca_two(spark, sf):
+    df = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
+    return rounded(RD.fit_pca(df, None, 2).components_frame(spark))
+
+
 @register("custom_column", """SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, l_tax,
   l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem""")
 def q_custom_column(spark, sf):

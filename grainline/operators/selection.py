@@ -10,25 +10,42 @@ Each score table is a lazy DataFrame computed from sufficient statistics:
 * regression (F of Pearson r) — one aggregate of counts, sums and
   ``covar_samp`` / ``stddev_samp`` over complete pairs.
 
+Features are taken in blocks of ``BLOCK``: an aggregate of a block reads the columns of
+that block only, so thousands of features cost one pass over the data in column slices
+and no projection grows beyond what code generation takes.
+
 ``select_*`` applies a score table: it reads the few scores (one per feature)
 and keeps the chosen features plus every non-feature column.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import as_double, existing, numeric_columns, qcol
 
+BLOCK = 250                     # features of one aggregate
+
 
 def _features(df: DataFrame, feature_columns, target: str | None) -> list[str]:
     cols = existing(df, feature_columns) if feature_columns else numeric_columns(df)
     return [c for c in cols if c != target]
 
 
+def _by_block(feats: list[str], scores, df: DataFrame) -> DataFrame:
+    """``scores`` of blocks of ``BLOCK`` features, as one table."""
+    blocks = [scores(feats[i:i + BLOCK]) for i in range(0, len(feats), BLOCK)]
+    return reduce(DataFrame.union, blocks) if blocks else df.sparkSession.createDataFrame([], "feature string, score double")
+
+
 def variance_scores(df: DataFrame, feature_columns=None, target: str | None = None) -> DataFrame:
-    feats = _features(df, feature_columns, target)
+    return _by_block(_features(df, feature_columns, target), lambda feats: _variances(df, feats), df)
+
+
+def _variances(df: DataFrame, feats: list[str]) -> DataFrame:
     wide = df.agg(*[F.var_samp(as_double(df, c)).alias(f"v{i}") for i, c in enumerate(feats)])
     return wide.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(f"v{i}").alias("score")) for i, c in enumerate(feats)
@@ -39,10 +56,13 @@ def anova_f_scores(df: DataFrame, target: str, feature_columns=None) -> DataFram
     """ANOVA F per feature against a class column (rows with a null class or
     value are left out, per feature).  Two scans: grand means, then per-class
     statistics for every feature, then one aggregate over the class rows."""
-    feats = _features(df, feature_columns, target)
     known = df.where(qcol(target).isNotNull())
+    return _by_block(_features(df, feature_columns, target), lambda feats: _anova(known, df, target, feats), df)
+
+
+def _anova(known: DataFrame, df: DataFrame, target: str, feats: list[str]) -> DataFrame:
     # sums of squares of centred values do not cancel; the grand means are literals
-    mean = known.agg(*[F.avg(as_double(df, c)).alias(f"m{i}") for i, c in enumerate(feats)]).first() if feats else None
+    mean = known.agg(*[F.avg(as_double(df, c)).alias(f"m{i}") for i, c in enumerate(feats)]).first()
     centred = [as_double(df, c) - F.lit(mean[f"m{i}"]).cast("double") for i, c in enumerate(feats)]
     per_class = known.groupBy(qcol(target).alias("__cls")).agg(
         *[agg for i, x in enumerate(centred) for agg in (
@@ -68,7 +88,10 @@ def anova_f_scores(df: DataFrame, target: str, feature_columns=None) -> DataFram
 
 def regression_f_scores(df: DataFrame, target: str, feature_columns=None) -> DataFrame:
     """F of Pearson r: r²/(1-r²)·(n-2) over complete (x, y) pairs."""
-    feats = _features(df, feature_columns, target)
+    return _by_block(_features(df, feature_columns, target), lambda feats: _regression(df, target, feats), df)
+
+
+def _regression(df: DataFrame, target: str, feats: list[str]) -> DataFrame:
     y = as_double(df, target)
     aggs = []
     for i, c in enumerate(feats):

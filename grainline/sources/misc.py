@@ -42,6 +42,23 @@ def sql_with_params(spark: SparkSession, query: str, params: dict | None = None,
 
 
 # ------------------------------------------------------------ paged results
+FIRST_WINDOW = 1024             # pages whose lengths are looked at first
+
+
+def _stop_page(pages: DataFrame, raw, page_size: int, low: int, end: int) -> int:
+    """The first page from ``low`` on with fewer than ``page_size`` records, ``end`` if there is none."""
+    n = F.when(raw.isNull(), F.lit(0)).when(F.trim(raw).startswith("["), F.coalesce(F.json_array_length(raw), F.lit(0))) \
+        .otherwise(F.lit(1))
+    width = FIRST_WINDOW
+    while low <= end:
+        window = pages.where((F.col("page") >= F.lit(low)) & (F.col("page") < F.lit(low + width)) & (F.col("page") <= F.lit(end)))
+        stop = window.agg(F.min(F.when(n < page_size, F.col("page")))).first()[0]
+        if stop is not None:
+            return stop
+        low, width = low + width, width * 8
+    return end
+
+
 def paged_records(pages: DataFrame, data_path: str = "data", page_size: int = 100,
                   max_pages: int | None = None, paginate: bool = True,
                   record_schema: T.DataType | None = None) -> DataFrame:
@@ -50,15 +67,25 @@ def paged_records(pages: DataFrame, data_path: str = "data", page_size: int = 10
     Paging stops at the first empty page and after the first page shorter than
     ``page_size``; at most ``max_pages`` pages are read (one page without
     paging).  A body whose ``data_path`` holds an object counts as one record;
-    a body without the key has no records.  The stop page is one aggregate
-    over the page sizes; the records themselves never leave the executors.
+    a body without the key has no records.
+
+    The stop is found first, in windows of pages that grow: only the records
+    of a window's pages are counted (their array lengths, no parsing), and pages
+    behind the window that holds the stop are not read at all.  Record types are
+    inferred from, and bodies parsed for, the pages up to the stop only.
     """
     parts = data_path.split(".")
     json_path = "$." + ".".join(parts)
     raw = F.get_json_object(F.col("body"), json_path)
+    low, high = pages.agg(F.min("page"), F.max("page")).first()
+    last = low
+    if paginate and low is not None:
+        end = high if max_pages is None else min(high, low + max_pages - 1)
+        last = _stop_page(pages, raw, page_size, low, end)
+    kept = pages if last is None else pages.where(F.col("page") <= F.lit(last))
     if record_schema is None:
-        # one distributed pass over all pages: fields and wider types of any page count
-        bodies = pages.select(raw.alias("d")).where(F.col("d").isNotNull())
+        # one distributed pass over the pages that count: fields and wider types of any page
+        bodies = kept.select(raw.alias("d")).where(F.col("d").isNotNull())
         found = pages.sparkSession.read.option("columnNameOfCorruptRecord", "__bad").json(
             bodies.rdd.map(lambda r: r[0])).schema
         if [f.name for f in found.fields] in ([], ["__bad"]):       # lists of plain values, or nothing
@@ -72,18 +99,7 @@ def paged_records(pages: DataFrame, data_path: str = "data", page_size: int = 10
     else:
         record_schema = T.ArrayType(record_schema) if not isinstance(record_schema, T.ArrayType) else record_schema
     as_list = F.when(F.trim(raw).startswith("["), raw).otherwise(F.concat(F.lit("["), raw, F.lit("]")))
-    parsed = pages.select("page", F.from_json(as_list, record_schema).alias("recs"))
-    sized = parsed.withColumn("n", F.coalesce(F.size("recs"), F.lit(0)))
-    if not paginate:
-        last = sized.agg(F.min("page")).first()[0]
-    else:
-        stop = sized.agg(F.min(F.when(F.col("n") < page_size, F.col("page")))).first()[0]
-        last = stop
-        if max_pages is not None:
-            first_page = sized.agg(F.min("page")).first()[0]
-            cap = None if first_page is None else first_page + max_pages - 1
-            last = cap if last is None else (min(last, cap) if cap is not None else last)
-    kept = sized if last is None else sized.where(F.col("page") <= F.lit(last))
+    kept = kept.select("page", F.from_json(as_list, record_schema).alias("recs"))
     rows = kept.select("page", F.explode("recs").alias("r"))
     if isinstance(rows.schema["r"].dataType, T.StructType):
         return flatten(rows.select("r.*"))

@@ -185,3 +185,34 @@ def test_forest_on_an_empty_table(spark):
     df = spark.createDataFrame([], "id int, x double, y double")
     out = forest.fit_isolation_forest(df, ["x", "y"], n_trees=5).transform(df)
     assert out.count() == 0 and "is_outlier" in out.columns
+
+
+def test_scores_of_many_features_in_blocks(spark, monkeypatch):
+    """Features cut into blocks score as they do together."""
+    from grainline.operators import selection as S
+    rng = np.random.default_rng(5)
+    X = rng.normal(size=(120, 30))
+    df = spark.createDataFrame([(*map(float, r), int(i % 3)) for i, r in enumerate(X)],
+                               ", ".join(f"c{i} double" for i in range(30)) + ", y int")
+    def scores():
+        return [sorted(map(tuple, f.collect())) for f in (S.variance_scores(df, None, "y"), S.anova_f_scores(df, "y"),
+                                                          S.regression_f_scores(df, "y"))]
+    whole = scores()
+    monkeypatch.setattr(S, "BLOCK", 7)
+    for a, b in zip(whole, scores()):
+        assert [r[0] for r in a] == [r[0] for r in b] and np.allclose([r[1] for r in a], [r[1] for r in b])
+    assert len(whole[0]) == 30 and S.variance_scores(df, ["none"]).count() == 0
+
+
+def test_pages_behind_the_stop_are_not_parsed(spark, monkeypatch):
+    """A stop in a later window; pages behind it may hold anything."""
+    from grainline.sources import misc as M
+    monkeypatch.setattr(M, "FIRST_WINDOW", 4)
+    rows = [(p, json.dumps({"data": [{"v": p * 10 + i} for i in range(10)]})) for p in range(1, 21)]
+    rows += [(21, json.dumps({"data": [{"v": 210}]})), (22, '{"data": [{"v": "text", "w": 1}'), (23, "no json at all")]
+    pages = spark.createDataFrame(rows, "page bigint, body string")
+    out = M.paged_records(pages, "data", page_size=10)
+    assert out.columns == ["v"] and sorted(r["v"] for r in out.collect()) == list(range(10, 211))
+    assert M.paged_records(pages, "data", page_size=10, max_pages=3).count() == 30
+    assert M.paged_records(pages, "data", page_size=10, paginate=False).count() == 10
+    assert M.paged_records(pages.where("page <= 20"), "data", page_size=10).count() == 200
