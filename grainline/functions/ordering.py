@@ -74,8 +74,9 @@ def _spot(df: DataFrame, name: str) -> str:
     return f"c{low.index(name.lower())}"
 
 
-def scan(table: DataFrame, n: int, values: list[str], how: str, forward: bool = True, width: int = WIDTH) -> DataFrame:
-    """``(bucket, values...)``: for each bucket what the buckets before it
+def scan(table: DataFrame, n: int, values: list[str], how: str, forward: bool = True, width: int = WIDTH,
+         keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(bucket, keep..., values...)``: for each bucket what the buckets before it
     (behind it, if not ``forward``) amount to: their ``sum``, or the ``last``
     non-null value met on the way to the bucket."""
     way = (lambda c: F.col(c).asc()) if forward else (lambda c: F.col(c).desc())
@@ -86,7 +87,7 @@ def scan(table: DataFrame, n: int, values: list[str], how: str, forward: bool =
     if n <= width:                                   # at most ``width`` rows
         over = Window.partitionBy(F.expr(f"{BUCKET} div {width}")).orderBy(way(BUCKET))
         over = over.rowsBetween(Window.unboundedPreceding, -1)
-        return table.select(BUCKET, *[carried(v, over).alias(v) for v in values])
+        return table.select(BUCKET, *keep, *[carried(v, over).alias(v) for v in values])
     grouped = table.withColumn("__group", F.expr(f"{BUCKET} div {width}"))
     last = F.max_by if forward else F.min_by
     upper = grouped.groupBy("__group").agg(*[
@@ -100,7 +101,7 @@ def scan(table: DataFrame, n: int, values: list[str], how: str, forward: bool =
         out = [(F.coalesce(carried(v, over), F.lit(0)) + F.coalesce(f"__up_{v}", F.lit(0))).alias(v) for v in values]
     else:
         out = [F.coalesce(carried(v, over), f"__up_{v}").alias(v) for v in values]
-    return both.select(BUCKET, *out)
+    return both.select(BUCKET, *keep, *out)
 
 
 def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
@@ -119,10 +120,9 @@ def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
         enter(key, F.col(AT)).alias("__enter"),
         *[nearest(F.struct(key.alias("p"), F.col(c).alias("v")), F.when(F.col(c).isNotNull(), F.col(AT))).alias(f"s{i}")
           for i, c in enumerate(fills)])
-    summary = staged(summary, "summary")
     names = [f"s{i}" for i in range(len(fills))]
     # the value nearest to the bucket counts only where it is of the key the bucket starts with
-    carry = summary.select(BUCKET, "__enter").join(scan(summary, n, names, "last", forward, width), BUCKET)
+    carry = scan(summary, n, names, "last", forward, width, ("__enter",))
     carry = carry.select(BUCKET, "__enter", *[F.when(F.col(f"{s}.p") == F.col("__enter"), F.col(f"{s}.v")).alias(s)
                                               for s in names])
     if keys:
@@ -147,12 +147,12 @@ def global_row_number(df: DataFrame, order_by: list[str], name: str = "row_pos",
     """1-based position of each row in ``order_by`` order, ``bigint``.
     ``with_total=True`` also returns the row count."""
     data, n = arranged(df, list(order_by), n_buckets)
-    counts = staged(data.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n")), "counts")
+    counts = data.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("__n"))
     offsets = scan(counts, n, ["__n"], "sum", width=width)
     out = join_lookup(data, offsets, BUCKET, "left", n)
     out = out.select(*[f"c{i}" for i in range(len(df.columns))],
                      (F.coalesce("__n", F.lit(0)) + F.col(AT) + 1).alias("__pos")).toDF(*df.columns, name)
-    return (out, counts.agg(F.sum("__n")).first()[0] or 0) if with_total else out
+    return (out, data.count()) if with_total else out
 
 
 def numbered_within(df: DataFrame, keys: list[str], order_by: list[str], name: str = "row_pos",

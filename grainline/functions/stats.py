@@ -123,6 +123,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], *,
     return out
 
 
+_WIDE = 1 << 16                 # cells of a column are numbered below this
+
+
 def _between(col, t):
     """Values strictly inside a bracket."""
     cond = F.lit(True)
@@ -145,17 +148,30 @@ def _cell(value, edges: list[float]):
     return search(0, len(edges) - 1)
 
 
-def _cell_counts(base, v, edges: dict[str, list[float]]) -> dict[str, list[int]]:
-    """Rows per cell of every column, from one scan and one group-by."""
+def _cell_counts(base, v, edges: dict[str, list[float]], inside: dict[str, set[int]]) -> tuple[dict, dict]:
+    """Rows per cell of every column, and the distinct values (with their counts)
+    of the cells listed in ``inside``, from one scan and one group-by."""
     cols = list(edges)
-    spots = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.when(v[c].isNotNull(), _cell(v[c], edges[c])).alias("cell"))
-                                for i, c in enumerate(cols)])).alias("s")
-    counted = base.select(spots).groupBy("s.k", "s.cell").agg(F.count(F.lit(1)).alias("n"))
+    cells = [F.when(v[c].isNotNull(), _cell(v[c], edges[c])) for c in cols]
+    spots = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), cell.alias("cell"), v[c].alias("v"))
+                                for i, (c, cell) in enumerate(zip(cols, cells))])).alias("s")
+    rows = base.select(spots).select("s.k", "s.cell", "s.v")
+    wanted = [i * _WIDE + cell for i, c in enumerate(cols) for cell in inside.get(c, ())]
+    if wanted:
+        rows = rows.withColumn("v", F.when((F.col("k") * _WIDE + F.col("cell")).isin(wanted), F.col("v")))
+        counted = rows.groupBy("k", "cell", "v").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        counted = rows.groupBy("k", "cell").agg(F.count(F.lit(1)).alias("n"))
     out = {c: [0] * (2 * len(edges[c]) + 1) for c in cols}
-    for r in counted.collect():                             # a row per column and cell
-        if r["cell"] is not None:
-            out[cols[r["k"]]][r["cell"]] = r["n"]
-    return out
+    values: dict[str, list[tuple[float, int]]] = {c: [] for c in cols}
+    for r in counted.collect():                   # a row per column and cell, and per value of the listed cells
+        if r["cell"] is None:
+            continue
+        c = cols[r["k"]]
+        out[c][r["cell"]] += r["n"]
+        if wanted and r["v"] is not None:
+            values[c].append((r["v"], r["n"]))
+    return out, {c: sorted(x) for c, x in values.items()}
 
 
 def _inside_values(base, v, brackets: list[tuple[str, dict]]) -> list[list[tuple[float, int]]]:
@@ -174,6 +190,15 @@ def _inside_values(base, v, brackets: list[tuple[str, dict]]) -> list[list[tuple
             for c, t in brackets]
 
 
+def _nth(values: list[tuple[float, int]], at: int) -> float:
+    """The value at a position of the ascending ``(value, count)`` pairs."""
+    for x, n in values:
+        if at < n:
+            return float(x)
+        at -= n
+    raise AssertionError("fewer values than counted")
+
+
 def _resolve(base, v, pending, accuracy, collect_limit):
     """Turn rank brackets ``{(column, rank): {n, lo, hi}}`` into exact values.
 
@@ -184,17 +209,26 @@ def _resolve(base, v, pending, accuracy, collect_limit):
     missed is opened on that side, brackets with few values inside are gathered
     (at most ``collect_limit`` values a job over all brackets), and wide ones get
     a finer sketch over the values strictly inside, so heavy values at the ends
-    cannot come back.
+    cannot come back.  In the first round a bracket holds ``8 / accuracy`` of the rows
+    at most, by the sketch's error bound; where all of them together stay within
+    ``collect_limit``, their values come with the counts, in the same pass.
     """
     done = {}
     eps = 3.0 / accuracy
+    first = True
     while pending:
         edges: dict[str, set] = {}
         for (c, _), t in pending.items():
             edges.setdefault(c, set()).update(x for x in (t["lo"], t["hi"]) if x is not None)
         ends = {c: sorted(e) for c, e in edges.items()}
-        cells = _cell_counts(base, v, ends)
         at_edge = {c: {x: 2 * i + 1 for i, x in enumerate(e)} for c, e in ends.items()}
+        inside_cells: dict[str, set[int]] = {}
+        if first and sum(8 * t["n"] / accuracy + 1 for t in pending.values()) <= collect_limit:
+            for (c, _), t in pending.items():
+                if t["lo"] is not None and t["hi"] is not None:
+                    inside_cells.setdefault(c, set()).update(range(at_edge[c][t["lo"]] + 1, at_edge[c][t["hi"]]))
+        first = False
+        cells, met = _cell_counts(base, v, ends, inside_cells)
         gather, narrow = [], []
         for key, t in pending.items():
             c, rank = key
@@ -210,6 +244,9 @@ def _resolve(base, v, pending, accuracy, collect_limit):
                 done[key] = float(t["lo"])
             elif at - on_low < inside:
                 t["at"], t["size"] = at - on_low, inside
+                if t["lo"] is not None and t["hi"] is not None and low + 1 in inside_cells.get(c, ()):
+                    done[key] = _nth([x for x in met[c] if t["lo"] < x[0] < t["hi"]], t["at"])
+                    continue
                 (gather if t["size"] <= collect_limit else narrow).append(key)
             elif at - on_low - inside < on_high:
                 done[key] = float(t["hi"])
@@ -221,12 +258,7 @@ def _resolve(base, v, pending, accuracy, collect_limit):
                 total += pending[gather[0]]["size"]
                 some.append(gather.pop(0))
             for key, values in zip(some, _inside_values(base, v, [(c, pending[(c, r)]) for c, r in some])):
-                left = pending[key]["at"]
-                for x, n in values:
-                    if left < n:
-                        done[key] = float(x)
-                        break
-                    left -= n
+                done[key] = _nth(values, pending[key]["at"])
         if narrow:
             aggs = []
             for j, (c, r) in enumerate(narrow):
