@@ -17,7 +17,7 @@ start); windows are judged on the input.
 * **Verification.**  Spark sorts the rows by key and age.  A row that equals the
   earliest of its key in all its words is a repeat for certain; rows that differ
   from it, and that earliest one, are then compared window by window in the same
-  way.  Hashes are of 64 bits (with 32 more for whole rows).
+  way.  Hashes are of 64 bits, and as many again for whole rows.
 * **Hot keys.**  Each batch settles equal rows among its own first, so a key sends
   one row a batch and form to the task that decides on it, however often it occurs.
 
@@ -151,10 +151,12 @@ def _stretches(full: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np
     return at[first], at[np.r_[first[1:], len(at)] - 1]
 
 
-_ROW = f"key bigint, body int, {T.K1} bigint, doc_id bigint, lo int, hi int, state tinyint"
-_SCHEMA = pa.schema([("key", pa.int64()), ("body", pa.int32()), (T.K1, pa.int64()), ("doc_id", pa.int64()),
-                     ("lo", pa.int32()), ("hi", pa.int32()), ("state", pa.int8())])
-OPEN, GONE, LOOK = 0, 1, 2       # to be decided; a repeat for certain; to be compared window by window
+# spot: first window << 16 | number of windows after it << 2 | state
+_ROW = f"key bigint, body bigint, {T.K1} bigint, doc_id bigint, spot bigint"
+_SCHEMA = pa.schema([("key", pa.int64()), ("body", pa.int64()), (T.K1, pa.int64()), ("doc_id", pa.int64()), ("spot", pa.int64())])
+# to be decided; a repeat for certain; to be compared window by window
+OPEN, GONE, LOOK = 0, 1, 2
+MAX_WIDTH = 1 << 14
 
 
 def _ranks(batch: pa.RecordBatch) -> np.ndarray:
@@ -166,38 +168,37 @@ def _ranks(batch: pa.RecordBatch) -> np.ndarray:
     return rank
 
 
-def _rows_out(batch, ids, key, body, lo, hi, state):
+def _rows_out(batch, ids, key, body, lo, more, state):
     pick = pa.array(ids)
+    spot = (lo.astype(np.int64) << 16) | (more.astype(np.int64) << 2) | state
     for a in range(0, len(lo), 100_000):
         s = slice(a, a + 100_000)
-        yield pa.record_batch([pa.array(T.signed(key[s])), pa.array(body[s]), *(batch.column(i).take(pick[s]) for i in range(2)),
-                               pa.array(lo[s].astype(np.int32)), pa.array(hi[s].astype(np.int32)),
-                               pa.array(state[s])], schema=_SCHEMA)
+        yield pa.record_batch([pa.array(T.signed(key[s])), pa.array(T.signed(body[s])),
+                               *(batch.column(i).take(pick[s]) for i in range(2)), pa.array(spot[s])], schema=_SCHEMA)
 
 
-def _settled(batch, ids, key, body, lo, hi):
+def _settled(batch, ids, key, body, lo, more):
     """Rows of one batch, equal keys compared within the batch.
 
-    Whatever equals the earliest row of its key is a repeat for certain; the
-    earliest and all that differ from it are left open.  The earliest row again,
-    from a repeated row of the table, goes."""
+    Whatever equals an earlier row of its key and body is a repeat for certain;
+    the earliest row of each form is left open.  A row again, from a repeated row
+    of the table, goes."""
     rank = _ranks(batch)
     k1 = batch.column(0).to_numpy(zero_copy_only=False)
-    o = np.lexsort((lo, rank[ids], key))
-    ids, key, body, lo, hi = ids[o], key[o], body[o], lo[o], hi[o]
+    o = np.lexsort((lo, rank[ids], body, key))
+    ids, key, body, lo, more = ids[o], key[o], body[o], lo[o], more[o]
     head = np.ones(len(key), bool)
-    head[1:] = key[1:] != key[:-1]
+    head[1:] = (key[1:] != key[:-1]) | (body[1:] != body[:-1])
     first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(key) else np.zeros(0, np.int64)
-    gone = ~head & (body == body[first]) & (hi - lo == (hi - lo)[first])
-    state = np.where(gone, GONE, OPEN).astype(np.int8)
+    state = np.where(head, OPEN, GONE)
     own = head | (k1[ids] != k1[ids[first]]) | (lo != lo[first])
-    yield from _rows_out(batch, *(c[own] for c in (ids, key, body, lo, hi, state)))
+    yield from _rows_out(batch, *(c[own] for c in (ids, key, body, lo, more, state)))
 
 
 def _search(width: int, rounds: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, bodies, ids, los, his, base = [], [], [], [], [], 0
+            keys, bodies, ids, los, more, base = [], [], [], [], [], 0
             for part, arr in T.rows([batch]):
                 words, bounds = T.hashed_words(arr)
                 n = np.diff(bounds)
@@ -207,13 +208,12 @@ def _search(width: int, rounds: int):
                 a, b = _stretches(full, place, key)
                 keys.append(key[a])
                 # equal bodies: all words of the stretch are equal, and the symbol lies at the same place in them
-                body = T.mix(_slice_hashes(words, a, b + width) ^ (place[a] - a).astype(np.uint64))
-                bodies.append(body.astype(np.uint32).view(np.int32))
+                bodies.append(T.mix(_slice_hashes(words, a, b + width) ^ (place[a] - a).astype(np.uint64)))
                 ids.append(doc[a] + base)
                 los.append(a - bounds[:-1][doc[a]])
-                his.append(b - bounds[:-1][doc[a]])
+                more.append(b - a)
                 base += len(n)
-            yield from _settled(batch, *map(np.concatenate, (ids, keys, bodies, los, his)))
+            yield from _settled(batch, *map(np.concatenate, (ids, keys, bodies, los, more)))
 
     return run
 
@@ -225,52 +225,65 @@ def _decide(loose: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first = None, None                 # current key; its first row, until it has left
-        body = width = row = place = None
+        body = row = place = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, b, k1, lo, hi, s = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4, 5, 6))
-            out, state = np.zeros(len(k), bool), s.copy()
-            open_ = np.flatnonzero(s == OPEN)
-            out[s == GONE] = True
+            k, b, k1, spot = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
+            lo, state = spot >> 16, spot & 3
+            out = (state == GONE) | (state == LOOK)
+            open_ = np.flatnonzero(~out)
             if len(open_):
-                ko, bo, wo = k[open_], b[open_], (hi - lo)[open_]
+                ko, bo, ro, po = k[open_], b[open_], k1[open_], lo[open_]
                 head = np.ones(len(open_), bool)
                 head[1:] = ko[1:] != ko[:-1]
                 head[0] = key is None or key != ko[0]
                 group = np.cumsum(head)             # 0: goes on from the batch before
                 lead = np.flatnonzero(head)
-                fb, fw = np.r_[0 if body is None else body, bo[lead]][group], np.r_[0 if width is None else width, wo[lead]][group]
-                ro, po = k1[open_], lo[open_]
-                fr, fp = np.r_[0 if row is None else row, ro[lead]][group], np.r_[0 if place is None else place, po[lead]][group]
+                fb, fr, fp = (np.r_[0 if old is None else old, new[lead]][group] for old, new in ((body, bo), (row, ro), (place, po)))
                 other = ~head & ((ro != fr) | (po != fp))
-                equal = other & (bo == fb) & (wo == fw)
+                equal = other & (bo == fb)
                 differ = other & ~equal
                 state[open_[equal]] = GONE
                 state[open_[differ]] = loose
                 out[open_[equal | differ]] = True
                 mixed = np.unique(group[differ])
                 if len(mixed) and mixed[0] == 0 and first is not None:
-                    yield first.set_column(6, "state", pa.array([loose], pa.int8()))
+                    yield _with_state(first, np.array([loose]))
                     first = None
                 leads = open_[lead[mixed[mixed > 0] - 1]]
                 state[leads] = loose
                 out[leads] = True
                 if len(lead):
                     at = open_[lead[-1]]
-                    key, body, width, row, place = ko[-1], bo[lead[-1]], wo[lead[-1]], ro[lead[-1]], po[lead[-1]]
+                    key, body, row, place = ko[-1], bo[lead[-1]], ro[lead[-1]], po[lead[-1]]
                     first = None if out[at] else batch.slice(at, 1)
             if out.any():
-                yield batch.set_column(6, "state", pa.array(state)).filter(pa.array(out))
+                yield _with_state(batch, state).filter(pa.array(out))
 
     return run
 
 
+def _with_state(batch: pa.RecordBatch, state: np.ndarray) -> pa.RecordBatch:
+    spot = batch.column(4).to_numpy(zero_copy_only=False)
+    return batch.set_column(4, "spot", pa.array((spot & ~np.int64(3)) | state))
+
+
 def _sorted(rows: DataFrame) -> DataFrame:
     """Open rows dealt by key, certain repeats evenly; sorted by key and age."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, F.when(F.col("state") == GONE, F.xxhash64(T.K1, "lo")).otherwise(F.col("key")))
-            .sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), T.K1, "lo"))
+    return (rows.repartition(n, F.when(_state() == GONE, F.xxhash64(T.K1, "spot")).otherwise(F.col("key")))
+            .sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), T.K1, "spot"))
+
+
+def _state():
+    return F.col("spot").bitwiseAND(F.lit(3))
+
+
+def _range():
+    """First and last window of a row, as a struct."""
+    lo = F.shiftright("spot", 16).cast("int")
+    return F.struct(lo.alias("lo"), (lo + F.shiftright("spot", 2).bitwiseAND(F.lit(MAX_WIDTH - 1)).cast("int")).alias("hi"))
 
 
 def _ranges(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -307,7 +320,8 @@ def _verify(width: int):
                 pos.append(at - bounds[:-1][doc[at]])
                 base += len(arr)
             key, ids, pos = map(np.concatenate, (keys, ids, pos))
-            yield from _settled(batch, ids, key, np.zeros(len(key), np.int32), pos, pos)
+            none = np.zeros(len(key), np.uint64)
+            yield from _settled(batch, ids, key, none, pos, none)
 
     return run
 
@@ -342,20 +356,21 @@ def _apply(width: int, texts: bool):
 def dedup_substrings(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, texts: bool = True) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, kept_sha256)`` and the row key, one row
     per row of ``docs``; ``kept`` (the kept words joined by one space) only with ``texts``."""
+    if not 0 < width < MAX_WIDTH:
+        raise ValueError(f"width must lie between 1 and {MAX_WIDTH - 1}")
     spark = docs.sparkSession
     T.prepare(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = T.keyed(docs).select(T.K1, "doc_id", "text").repartition(n, T.K1)
-    ranges = F.collect_list(F.struct("lo", "hi"))               # bounded by the document's words
     first = _sorted(rows.mapInArrow(_search(width, rounds), _ROW)).mapInArrow(_decide(LOOK), _ROW)
     per = first.groupBy(T.K1).agg(
-        F.collect_list(F.when(F.col("state") == LOOK, F.struct("lo", "hi"))).alias("ranges"),
-        F.collect_list(F.when(F.col("state") == GONE, F.struct("lo", "hi"))).alias("sure"))
+        F.collect_list(F.when(_state() == LOOK, _range())).alias("ranges"),         # bounded by the document's words
+        F.collect_list(F.when(_state() == GONE, _range())).alias("sure"))
     both = rows.join(per, T.K1, "left").select(T.K1, "doc_id", "text", "ranges", "sure")
     # the second comparison only sees documents with ranges to look at
     windows = both.filter(F.size("ranges") > 0).select(T.K1, "doc_id", "text", "ranges").mapInArrow(_verify(width), _ROW)
-    found = _sorted(windows).mapInArrow(_decide(GONE), _ROW).filter(F.col("state") == GONE)
-    gone = found.groupBy(T.K1).agg(ranges.alias("more"))
+    found = _sorted(windows).mapInArrow(_decide(GONE), _ROW).filter(_state() == GONE)
+    gone = found.groupBy(T.K1).agg(F.collect_list(_range()).alias("more"))
     all_ = F.concat(F.coalesce("sure", F.array().cast("array<struct<lo:int,hi:int>>")),
                     F.coalesce("more", F.array().cast("array<struct<lo:int,hi:int>>")))
     return (both.join(gone, T.K1, "left").select(T.K1, "doc_id", "text", all_.alias("gone"))
