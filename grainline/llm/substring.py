@@ -18,11 +18,13 @@ start); windows are judged on the input.
   earliest of its key in all its words is a repeat for certain; rows that differ
   from it, and that earliest one, are then compared window by window in the same
   way.  Hashes are of 64 bits, and as many again for whole rows.
-* **Hot keys.**  Each batch settles equal rows among its own first, so a key sends
-  one row a batch and form to the task that decides on it, however often it occurs.
+* **Hot keys.**  Each batch settles its own rows first: equal ones are repeats, and where
+  a key has more than ``FORMS`` forms they are looked at without meeting the others.  So a
+  batch sends at most ``FORMS`` rows to the task that decides on a key, however often it occurs;
+  decided rows are dealt evenly.
 
 Texts are shuffled once; key search, verification and removal read the same
-partitioning.  A hot key sends one row a batch to the task that decides on it.
+partitioning.
 
 Edge cases: null or blank text has no words (hash of the empty text); texts
 shorter than a window lose nothing; null ids come after all others, ordered by
@@ -154,9 +156,10 @@ def _stretches(full: np.ndarray, place: np.ndarray, key: np.ndarray) -> tuple[np
 # spot: first window << 16 | number of windows after it << 2 | state
 _ROW = f"key bigint, body bigint, {T.K1} bigint, doc_id bigint, spot bigint"
 _SCHEMA = pa.schema([("key", pa.int64()), ("body", pa.int64()), (T.K1, pa.int64()), ("doc_id", pa.int64()), ("spot", pa.int64())])
-# to be decided; a repeat for certain; to be compared window by window
-OPEN, GONE, LOOK = 0, 1, 2
+# to be decided; a repeat for certain; to be compared window by window; the first of rows that differ
+OPEN, GONE, LOOK, MIXED = 0, 1, 2, 3
 MAX_WIDTH = 1 << 14
+FORMS = 8                       # differing rows of one key that a batch sends on undecided; any number gives the same result
 
 
 def _ranks(batch: pa.RecordBatch) -> np.ndarray:
@@ -177,12 +180,14 @@ def _rows_out(batch, ids, key, body, lo, more, state):
                                *(batch.column(i).take(pick[s]) for i in range(2)), pa.array(spot[s])], schema=_SCHEMA)
 
 
-def _settled(batch, ids, key, body, lo, more):
+def _settled(batch, ids, key, body, lo, more, forms):
     """Rows of one batch, equal keys compared within the batch.
 
     Whatever equals an earlier row of its key and body is a repeat for certain;
-    the earliest row of each form is left open.  A row again, from a repeated row
-    of the table, goes."""
+    the earliest row of each form is left open.  A key of more than ``forms`` forms
+    is known to have rows that differ: they need not meet the others of the key to
+    be looked at, and only the earliest stays undecided (``MIXED``).  A row again,
+    from a repeated row of the table, goes."""
     rank = _ranks(batch)
     k1 = batch.column(0).to_numpy(zero_copy_only=False)
     o = np.lexsort((lo, rank[ids], body, key))
@@ -192,10 +197,18 @@ def _settled(batch, ids, key, body, lo, more):
     first = np.flatnonzero(head)[np.cumsum(head) - 1] if len(key) else np.zeros(0, np.int64)
     state = np.where(head, OPEN, GONE)
     own = head | (k1[ids] != k1[ids[first]]) | (lo != lo[first])
+    at = np.flatnonzero(head)
+    cut = np.ones(len(at), bool)
+    cut[1:] = key[at[1:]] != key[at[:-1]]
+    group = np.cumsum(cut) - 1
+    many = np.bincount(group)[group] > forms if len(at) else cut
+    eldest = np.zeros(len(at), bool)
+    eldest[np.lexsort((lo[at], rank[ids[at]], group))[cut]] = True
+    state[at[many]] = np.where(eldest[many], MIXED, LOOK)
     yield from _rows_out(batch, *(c[own] for c in (ids, key, body, lo, more, state)))
 
 
-def _search(width: int, rounds: int):
+def _search(width: int, rounds: int, forms: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, bodies, ids, los, more, base = [], [], [], [], [], 0
@@ -213,15 +226,16 @@ def _search(width: int, rounds: int):
                 los.append(a - bounds[:-1][doc[a]])
                 more.append(b - a)
                 base += len(n)
-            yield from _settled(batch, *map(np.concatenate, (ids, keys, bodies, los, more)))
+            yield from _settled(batch, *map(np.concatenate, (ids, keys, bodies, los, more)), forms)
 
     return run
 
 
 def _decide(loose: int):
     """Streams rows sorted by key and age.  Rows equal to the first of their key
-    are repeats; the others, and then the first as well, leave as ``loose``.  The
-    first row again (same document, same place) is no repeat of itself."""
+    are repeats; the others, and then the first as well, leave as ``loose``; so does
+    the first of a key with a ``MIXED`` row.  The first row again (same document,
+    same place) is no repeat of itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, first = None, None                 # current key; its first row, until it has left
@@ -244,10 +258,10 @@ def _decide(loose: int):
                 other = ~head & ((ro != fr) | (po != fp))
                 equal = other & (bo == fb)
                 differ = other & ~equal
+                mixed = np.unique(group[differ | (state[open_] == MIXED)])
                 state[open_[equal]] = GONE
                 state[open_[differ]] = loose
                 out[open_[equal | differ]] = True
-                mixed = np.unique(group[differ])
                 if len(mixed) and mixed[0] == 0 and first is not None:
                     yield _with_state(first, np.array([loose]))
                     first = None
@@ -270,9 +284,9 @@ def _with_state(batch: pa.RecordBatch, state: np.ndarray) -> pa.RecordBatch:
 
 
 def _sorted(rows: DataFrame) -> DataFrame:
-    """Open rows dealt by key, certain repeats evenly; sorted by key and age."""
+    """Open rows dealt by key, decided ones evenly; sorted by key and age."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, F.when(_state() == GONE, F.xxhash64(T.K1, "spot")).otherwise(F.col("key")))
+    return (rows.repartition(n, F.when(_state().isin(GONE, LOOK), F.xxhash64(T.K1, "spot")).otherwise(F.col("key")))
             .sortWithinPartitions("key", F.col("doc_id").asc_nulls_last(), T.K1, "spot"))
 
 
@@ -321,7 +335,7 @@ def _verify(width: int):
                 base += len(arr)
             key, ids, pos = map(np.concatenate, (keys, ids, pos))
             none = np.zeros(len(key), np.uint64)
-            yield from _settled(batch, ids, key, none, pos, none)
+            yield from _settled(batch, ids, key, none, pos, none, FORMS)
 
     return run
 
@@ -353,7 +367,8 @@ def _apply(width: int, texts: bool):
     return run
 
 
-def dedup_substrings(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, texts: bool = True) -> DataFrame:
+def dedup_substrings(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS, texts: bool = True,
+                     forms: int = FORMS) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept, kept_sha256)`` and the row key, one row
     per row of ``docs``; ``kept`` (the kept words joined by one space) only with ``texts``."""
     if not 0 < width < MAX_WIDTH:
@@ -362,7 +377,7 @@ def dedup_substrings(docs: DataFrame, width: int = WIDTH, rounds: int = ROUNDS,
     T.prepare(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = T.keyed(docs).select(T.K1, "doc_id", "text").repartition(n, T.K1)
-    first = _sorted(rows.mapInArrow(_search(width, rounds), _ROW)).mapInArrow(_decide(LOOK), _ROW)
+    first = _sorted(rows.mapInArrow(_search(width, rounds, forms), _ROW)).mapInArrow(_decide(LOOK), _ROW)
     per = first.groupBy(T.K1).agg(
         F.collect_list(F.when(_state() == LOOK, _range())).alias("ranges"),         # bounded by the document's words
         F.collect_list(F.when(_state() == GONE, _range())).alias("sure"))

@@ -146,6 +146,28 @@ def test_substring_repeated_rows(spark, parts, batch):
     assert {r.n_removed for r in got if r.doc_id is None} == {58, 60}
 
 
+@pytest.mark.parametrize("forms, batch", [(8, "10000"), (1, "10000"), (1, "3"), (2, "40")])
+def test_substring_key_of_many_forms(spark, forms, batch):
+    """One passage between ever different words, and whole copies: a batch's rows of the
+    passage's keys differ, some equal those of other batches."""
+    from grainline.llm import substring as S
+    rng = np.random.default_rng(5)
+    hot = " ".join(f"h{i}" for i in range(12))
+    rows = []
+    for i in range(120):
+        side = [" ".join(f"w{x}" for x in rng.integers(0, 4 if i % 3 else 4000, 14)) for _ in range(4)]
+        rows.append((i, f"{side[0]} {hot} {side[1]} {hot} {hot} {side[2]}"))
+    rows += [(200 + i, rows[i][1]) for i in range(0, 120, 4)] + [(400, " ".join(r[1] for r in rows[:30]))]
+    want = brute_substrings(rows)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = S.dedup_substrings(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5), forms=forms).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got} == {r[0]: want[r[0]] for r in rows}
+
+
 def test_window_keys_depend_on_the_window_only():
     from grainline.llm import substring as S
     from grainline.llm import text as T
