@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from ..sinks import batches as BT
+from ..sinks import outbox as OB
 from ..sinks import writers as W
 from ..sources import files as SF
 from ..sources import misc as SM
@@ -194,6 +195,23 @@ def q_sink_batches(spark, sf):
                                                "array<bigint>"), -1).alias("last_key"))
 
 
+@register("sink_request_outbox", """
+SELECT run, (pos - 1) // 100 + 1 AS batch_number, CAST(count(*) OVER (PARTITION BY run, (pos - 1) // 100) AS INTEGER) AS batch_size,
+  (pos - 1) % 100 AS place, o_orderkey, o_orderstatus, o_totalprice
+FROM (SELECT 'all' AS run, *, row_number() OVER (ORDER BY o_orderkey) AS pos FROM orders
+  UNION ALL SELECT 'open', *, row_number() OVER (ORDER BY o_orderkey) FROM orders WHERE o_orderstatus = 'O')""")
+def q_sink_outbox(spark, sf):
+    path = scratch_dir(spark, "sink-outbox")
+    orders = table(spark, sf, "orders")
+    OB.send_batches(orders, path, ["o_orderkey"], run="all")
+    OB.send_batches(orders.where("o_orderstatus = 'O'"), path, ["o_orderkey"], run="open")
+    OB.send_batches(orders, path, ["o_orderkey"], run="all")           # sent already
+    record = "o_orderkey bigint, o_orderstatus string, o_totalprice double"
+    data = F.from_json("payload", f"data array<struct<{record.replace(' ', ': ').replace(',: ', ', ')}>>")["data"]
+    return (OB.sent_batches(spark, path).select("run", "batch_number", "batch_size", F.posexplode(data).alias("place", "r"))
+            .select("run", "batch_number", "batch_size", F.col("place").cast("long").alias("place"), "r.*"))
+
+
 def _split_group():
     p = F.col("o_orderpriority")
     return F.when(F.col("o_orderkey") % 17 == 0, None).otherwise(

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import qcol
 from ..functions.staging import staged
+from .outbox import send_batches
 
 log = logging.getLogger(__name__)
 
@@ -128,6 +129,7 @@ TARGET_OPTIONS = {
     "split": {"path", "base_path", "group_by", "format", "file_format", "filename_template", "mode", "separator",
               "encoding", "include_header", "include_index", "compression", "na_representation"},
     "jdbc": {"url", "connection_string", "table_name", "if_exists", "chunksize"},
+    "requests": {"path", "order_by", "batch_size", "run"},
 }
 #: other names of target types
 TARGET_NAMES = {"multiple_files": "split", "database": "jdbc"}
@@ -160,6 +162,8 @@ def _write_target(data: DataFrame, kind: str, t: dict) -> str:
             wanted = {"header": "true", **wanted}
         write_split_by_group(data, t.get("base_path", t.get("path")), t["group_by"], fmt, mode, **wanted)
         return t.get("base_path", t.get("path"))
+    elif kind == "requests":
+        send_batches(data, t["path"], t["order_by"], t.get("batch_size", 100), t.get("run"))
     else:
         write_jdbc(data, t.get("url", t.get("connection_string")), t["table_name"], t.get("if_exists", "replace"),
                    t.get("chunksize", 10_000))
