@@ -271,6 +271,47 @@ def test_estimate_rejects_outliers(spark):
     assert (d[d.v > 8].d > Q.CUT).all() and (d[d.v < 5].d <= Q.CUT).mean() > 0.99
 
 
+def brute_mcd(x, floors, steps=5, coverage=0.75, cut=40.0, consistency=1.41):
+    """The estimate from medians, row by row; returns mean and inverse covariance."""
+    def middle(v):
+        bins = np.sort(np.floor(np.abs(v) * 200 + 0.5) * np.sign(v))
+        return bins[(len(bins) + 1) // 2 - 1] / 200
+
+    def fitted(rows, factor):
+        c = np.cov(rows.T, bias=True) * factor
+        scale = np.maximum(np.diag(c), floors ** 2)
+        for share in (1.0, 0.9, 0.5, 0.0):
+            full = np.where(np.eye(len(floors), dtype=bool), scale, c * share)
+            if np.linalg.eigvalsh(full / np.sqrt(np.outer(scale, scale))).min() > 1e-3:
+                return rows.mean(axis=0), np.linalg.inv(full)
+
+    def distance(mu, inv):
+        return np.einsum("ni,ij,nj->n", x - mu, inv, x - mu)
+
+    mu = np.array([middle(v) for v in x.T])
+    dev = np.array([middle(np.abs(v - m)) for v, m in zip(x.T, mu)])
+    inv = np.diag(1 / np.maximum(dev * 1.4826, floors) ** 2)
+    for _ in range(steps):
+        bins = np.floor(np.log(distance(mu, inv) + 1e-6) * 32)
+        last = np.sort(bins)[int(np.ceil(len(x) * coverage)) - 1]
+        mu, inv = fitted(x[bins <= last], consistency)
+    return fitted(x[distance(mu, inv) <= cut], 1.0)
+
+
+def test_estimate_equals_brute_force(spark):
+    from grainline.llm import quality as Q
+    rng = np.random.default_rng(17)
+    mix = rng.normal(0, 1, (5, 5))
+    groups = {"a": rng.normal(0, 1, (301, 5)) @ mix, "b": np.vstack([rng.normal(2, 1, (90, 5)), rng.normal(9, 0.3, (25, 5))]),
+              "c": np.repeat(rng.normal(1, 1, (20, 5)), 5, axis=0), "d": np.full((60, 5), 0.5)}
+    df = spark.createDataFrame([(g, r.tolist()) for g, x in groups.items() for r in x], "g string, x array<double>").repartition(7)
+    got = {r.g: r for r in Q.estimates(df).collect()}
+    assert set(got) == set(groups)
+    for g, x in groups.items():
+        mu, inv = brute_mcd(x, np.array(Q.FLOORS))
+        assert np.allclose(got[g].mu, mu, atol=1e-9) and np.allclose(np.reshape(got[g].inv, (5, 5)), inv, rtol=1e-6, atol=1e-9), g
+
+
 def test_each_ratio_can_reject(spark):
     """Repeated lines, symbols and repeated words reject in a clean group; a few of each do not."""
     from grainline.llm.quality import judge
