@@ -44,12 +44,12 @@ KINDS = [
     ("assign", r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0),
+    ("key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
     ("forge", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 0),
     ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0),
     ("cloud", r"AIza[0-9A-Za-z_-]{35}", 0, 0),
     ("web", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
-    ("url", r"[a-z][a-z0-9+.-]{1,20}://[^\x00-\x20/:@]*:([^\x00-\x20/@]+)@", 1, 0),
+    ("url", r"://[^\x00-\x20/:@]*:([^\x00-\x20/@]+)@", 1, 0),
 ]
 _COMPILED = [(k, re.compile(p), g, n) for k, p, g, n in KINDS]
 _RANK = {k: i for i, (k, *_) in enumerate(KINDS)}
@@ -73,6 +73,19 @@ def _key_block(text: str, m: re.Match, limit: int) -> tuple[int, str]:
     return end, body or m.group()
 
 
+def _scheme(text: str, at: int, after: int) -> int | None:
+    """Start of the URL scheme (two characters or more) that ends at ``at``, not
+    before ``after``; each character is looked at once, whatever its length."""
+    first = None
+    for i in range(at - 1, after - 1, -1):
+        c = text[i]
+        if "a" <= c <= "z":
+            first = i
+        elif not ("0" <= c <= "9" or c in "+.-"):
+            break
+    return first if first is not None and at - first >= 2 else None
+
+
 def spans(text: str) -> list[tuple[int, int, int, str]]:
     """``(start, rank of the kind, end, value)`` of all matches, in order."""
     if not _HINT.search(text):
@@ -85,6 +98,14 @@ def spans(text: str) -> list[tuple[int, int, int, str]]:
                 end, value = _key_block(text, m, after)
                 out.append((m.start(), _RANK[kind], end, value))
             continue
+        if kind == "url":
+            after = 0
+            for m in pattern.finditer(text):
+                start = _scheme(text, m.start(), after)
+                if start is not None:
+                    out.append((start, _RANK[kind], m.end(), m.group(group)))
+                    after = m.end()
+            continue
         for m in pattern.finditer(text):
             if len(m.group(group)) >= least:
                 out.append((m.start(), _RANK[kind], m.end(), m.group(group)))
