@@ -6,13 +6,14 @@ toxic with the noisy-or of its sentences, ``1 - prod(1 - p)``.  The model is tra
 on document labels through the noisy-or, and then names the offending sentences.
 
 * **Sample.**  At most ``sample`` labelled documents per label, those with the
-  smallest hash of their id; whole texts.  Held-out rows (crc32 of the id,
+  smallest hash of their id, as long as their texts hold ``chars`` characters at most
+  together; whole texts, rows of equal id and text once.  Held-out rows (crc32 of the id,
   modulo 5, is 0) are never in it.  Labels, language, source and id are not inputs.
-* **Fit.**  Spark cuts the sampled texts into sentences; the words found in
-  at least ``min_docs`` sampled documents are the vocabulary (the ``max_words`` most frequent).
-  The driver fits their weights by Adam with an L1 pull towards zero; what it
-  holds is bounded by the sample.
-* **Scores.**  One pass over all texts, weights broadcast (``max_words`` at most).
+* **Fit.**  Spark cuts the sampled texts into sentences; every word found in
+  at least ``min_docs`` sampled documents is in the vocabulary.  The driver fits their
+  weights by Adam with steps that die out and an L1 pull that sets a weight to zero;
+  it holds one Arrow table of the sample, so rows and bytes are both bounded.
+* **Scores.**  One pass over all texts, weights broadcast (bounded by the sample as well).
 
 Sentences end at ``.``, ``!``, ``?`` and line ends; words are runs of letters in lower case.
 
@@ -24,13 +25,13 @@ empty tables give an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -38,8 +39,8 @@ from .shared import written
 
 SAMPLE = 2000
 MIN_DOCS = 4
-MAX_WORDS = 50_000
-ITERATIONS = 120
+CHARS = 16_000_000
+ITERATIONS = 400
 RATE = 0.15
 L1 = 2e-4
 _CUT = regex.compile(r"[^.!?\n]+")
@@ -62,36 +63,45 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column(0), pa.array([[s for s in b if s] for b in bags], schema.field(1).type)], schema=schema)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS,
-        max_words: int = MAX_WORDS, iterations: int = ITERATIONS) -> tuple[dict[str, float], float] | None:
-    """Word weights and bias, or None without labels of both kinds."""
+def _sampled(docs: DataFrame, labels: DataFrame, sample: int, chars: int) -> DataFrame:
+    """``(toxic, text)`` of the sampled documents."""
     known = (labels.filter("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
              .agg(F.min("toxic").cast("int").alias("toxic"), F.max("toxic").cast("int").alias("hi"))
              .filter("toxic = hi").filter(~held_out()))
-    order = F.xxhash64("doc_id")
-    pick = written(known.filter("toxic = 0").orderBy(order, "doc_id").limit(sample).union(
-        known.filter("toxic = 1").orderBy(order, "doc_id").limit(sample)).select("doc_id", "toxic"), "sample")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # the sample is bounded by a parameter, so it may be broadcast
-    bags = (rows.join(F.broadcast(pick), "doc_id").select("toxic", "text")
-            .mapInArrow(_bags, "toxic int, bags array<array<string>>")
-            .orderBy(F.xxhash64("bags"), "toxic").toPandas())
-    y = bags["toxic"].to_numpy(np.int64)
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    first = [known.filter(F.col("toxic") == y).orderBy(*order).limit(sample) for y in (0, 1)]
+    pick = written(first[0].union(first[1]).select("doc_id", "toxic"), "sample")
+    # the sample is bounded by a parameter, so it may be broadcast and its lengths summed in one task
+    rows = T.keyed(docs).join(F.broadcast(pick), "doc_id")
+    sizes = rows.select(T.K1, T.K2, "doc_id", "toxic", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("size")).distinct()
+    kept = [sizes.filter(F.col("toxic") == y).orderBy(*order, T.K1, T.K2).limit(sample) for y in (0, 1)]
+    upto = Window.partitionBy("toxic").orderBy(*order, T.K1, T.K2)
+    kept = written(kept[0].union(kept[1]).withColumn("upto", F.sum("size").over(upto)).filter(F.col("upto") <= chars)
+                   .select(T.K1, T.K2), "sampled")
+    return (rows.join(F.broadcast(kept), [T.K1, T.K2], "left_semi").groupBy(T.K1, T.K2)
+            .agg(F.first("toxic").alias("toxic"), F.first("text").alias("text")).select("toxic", "text"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int = MIN_DOCS,
+        chars: int = CHARS, iterations: int = ITERATIONS) -> tuple[dict[str, float], float] | None:
+    """Word weights and bias, or None without labels of both kinds."""
+    bags = (_sampled(docs, labels, sample, chars).mapInArrow(_bags, "toxic int, bags array<array<string>>")
+            .orderBy(F.xxhash64("bags"), "toxic").toArrow().combine_chunks())
+    y = bags["toxic"].to_numpy().astype(np.int64)
     if not len(y) or y.min() == y.max():
         return None
-    seen = Counter()
-    for doc in bags["bags"]:
-        seen.update({w for s in doc for w in s})
-    words = sorted(w for w, c in sorted(seen.items(), key=lambda r: (-r[1], r[0]))[:max_words] if c >= min_docs)
-    index = {w: i for i, w in enumerate(words)}
-    col, start, owner = [], [0], []
-    for d, doc in enumerate(bags["bags"]):
-        for s in doc:
-            col.extend(i for i in map(index.get, s) if i is not None)
-            start.append(len(col))
-            owner.append(d)
-    col, start, owner = np.array(col, np.int64), np.array(start, np.int64), np.array(owner, np.int64)
-    row = np.repeat(np.arange(len(owner)), np.diff(start))
+    lists = pa.concat_arrays(bags["bags"].chunks)
+    parts = lists.flatten()
+    owner = np.repeat(np.arange(len(y)), pc.list_value_length(lists).to_numpy())
+    size = pc.list_value_length(parts).to_numpy()
+    enc = parts.flatten().dictionary_encode()
+    code = enc.indices.to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(owner)), size)
+    held = np.unique(owner[row] * max(1, len(enc.dictionary)) + code) % max(1, len(enc.dictionary))
+    often = np.bincount(held, minlength=len(enc.dictionary)) >= min_docs
+    words = enc.dictionary.filter(pa.array(often)).to_pylist()
+    keep = often[code]
+    col, row = (np.cumsum(often) - 1)[code[keep]], row[keep]
     w, b = np.zeros(len(words)), -5.0
     m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     balance = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
@@ -103,12 +113,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, min_docs: int
         # d loss / d safe, then through the sentences: d(-log(1 - p)) / dz = p
         pull = np.where(y == 1, -clean / np.maximum(1 - clean, 1e-6), 1.0) * balance
         dz = pull[owner] * p
-        grad = np.r_[np.bincount(col, weights=dz[row], minlength=len(words)) + L1 * np.sign(w), dz.sum()]
+        grad = np.r_[np.bincount(col, weights=dz[row], minlength=len(words)), dz.sum()]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
-        step = RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-6)
+        rate = RATE * 0.5 * (1 + np.cos(np.pi * (t - 1) / iterations))
+        scale = rate / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-6)
+        step = scale * (m / (1 - 0.9 ** t))
         w, b = w - step[:-1], b - step[-1]
-    # weights that L1 holds near zero are noise
-    return {x: float(u) for x, u in zip(words, w) if abs(u) > 0.25}, float(b)
+        w = np.sign(w) * np.maximum(np.abs(w) - scale[:-1] * L1, 0.0)
+    return {x: float(u) for x, u in zip(words, w) if u}, float(b)
 
 
 def _logits(text: str, weights: dict[str, float], bias: float) -> tuple[list[tuple[int, int]], np.ndarray]:
