@@ -428,31 +428,130 @@ def test_language(spark, documents, odd):
 
 def test_model_keeps_every_gram(spark):
     """More than two million n-grams of a hot language take none from a small one."""
-    import pyarrow as pa
     from grainline.llm import language as L
     rng = np.random.default_rng(11)
     hot = [" ".join("".join(map(chr, w)) for w in rng.integers(0x4E00, 0x9F00, (1000, 20))) for _ in range(130)]
     small = "abra cadabra barb"
-    want = sum(len(np.unique(L._events(pa.array(t.split()), 2)[0])) for t in (" ".join(hot), small))
-    m = L.fit(spark.createDataFrame([(t, "hot") for t in hot] + [(small, "x")], "text string, lang string").repartition(4), order=2)
-    values = m["grams"][2][1]
-    assert want > 2_000_000 and (values > 0).sum() == want
-    assert (values[:, m["langs"].index("x")] > 0).sum() == len(np.unique(L._events(pa.array(small.split()), 2)[0]))
+
+    def pairs(text):
+        return {w[i:i + 2] for w in (f"\1{x}\1" for x in text.split()) for i in range(len(w) - 1)}
+    want = {"hot": pairs(" ".join(hot)), "x": pairs(small)}
+    m = L.fit(L.count(spark.createDataFrame([(t, "hot") for t in hot] + [(small, "x")], "text string, lang string").repartition(4), 2), 2)
+    got = {r.at: r.n for r in m.grams.filter("char_length(key) = 2 AND v > 0").groupBy("at").agg(F.count("key").alias("n")).collect()}
+    assert len(want["hot"]) > 2_000_000 and got == {i: len(want[x]) for i, x in enumerate(m.langs)}
+
+
+class BruteKneserNey:
+    """One language's model from plain dictionaries."""
+
+    def __init__(self, texts, order):
+        self.order, self.c = order, [collections.Counter() for _ in range(order + 1)]
+        for w in (f"\1{x}\1" for t in texts for x in t.split()):
+            for i in range(1, len(w)):
+                g = w[max(0, i - order + 1):i + 1]
+                self.c[len(g)][g] += 1
+        for k in range(order, 1, -1):
+            for g in self.c[k]:
+                self.c[k - 1][g[1:]] += 1
+        self.d = [0] + [self.discount(collections.Counter(c.values())) for c in self.c[1:]]
+        self.by = collections.defaultdict(list)
+        for c in self.c[1:]:
+            for g, n in c.items():
+                self.by[g[:-1]].append(n)
+
+    @staticmethod
+    def discount(n):
+        return min(0.95, max(0.1, n[1] / (n[1] + 2 * n[2]))) if n[1] else 0.1
+
+    def p(self, gram, floor):
+        if not gram:
+            return floor
+        low, own = self.p(gram[1:], floor), self.by.get(gram[:-1])
+        if not own:
+            return low
+        d = self.d[len(gram)]
+        return max(self.c[len(gram)][gram] - d, 0) / sum(own) + d * len(own) / sum(own) * low if gram in self.c[len(gram)] \
+            else d * len(own) / sum(own) * low
+
+
+def test_kneser_ney_equals_brute_force(spark):
+    from grainline.llm import language as L
+    texts = {"x": ["abra cadabra ab", "barb a cab"], "y": ["漢字 仮名 漢 abba", "字漢字"], "z": ["ж"]}
+    docs = spark.createDataFrame([(t, x) for x, ts in texts.items() for t in ts], "text string, lang string")
+    m = L.fit(L.count(docs, 3), 3)
+    asked = ["\1a", "\1ab", "abr", "bra", "字\1", "\1漢字", "q", "\1q", "abq", "ж\1", "漢字q", "\1\1"]
+    got = {r.gram: r.lp for r in L.log_probabilities(m, spark.createDataFrame([(g,) for g in asked], "gram string")).collect()}
+    assert m.langs == ["x", "y", "z"] and m.floor == 1 / (len(set("".join(t for ts in texts.values() for t in ts)) - {" "}) + 2)
+    for i, x in enumerate(m.langs):
+        brute = BruteKneserNey(texts[x], 3)
+        assert all(abs(got[g][i] - np.log(brute.p(g, m.floor))) < 1e-5 for g in asked)
 
 
 def test_kneser_ney_sums_to_one(spark):
+    """Over all symbols and one that no text holds, after any history."""
     from grainline.llm import language as L
     docs = spark.createDataFrame([("abra cadabra ab", "x"), ("barb a cab", "x")], "text string, lang string")
-    m = L.fit(docs, order=3)
-    for history in ([1], [1, 97], [97, 98]):
-        grams = []
-        for s in (1, 97, 98, 99, 100, 114):
-            g = 0
-            for h in (history + [s])[-3:]:
-                g = (g << L.BITS) | h
-            grams.append(g | (len((history + [s])[-3:]) << (5 * L.BITS)))
-        p = np.exp(L.log_probabilities(m, np.array(grams, np.uint64)))[:, 0]
-        assert abs(p.sum() + m["floor"] * 0 - 1) < 0.2 and (p > 0).all()
+    m = L.fit(L.count(docs, 3), 3)
+    histories = ("\1", "\1a", "ab", "br", "zz")
+    asked = spark.createDataFrame([(h + s,) for h in histories for s in "\1abcdr?"], "gram string")
+    got = {r.gram: np.exp(r.lp[0]) for r in L.log_probabilities(m, asked).collect()}
+    for h in histories:
+        assert abs(sum(got[h + s] for s in "\1abcdr?") - 1) < 1e-6
+
+
+def test_language_of_colliding_ideographs(spark):
+    """Two languages of Han characters that a hash into 4090 symbols cannot tell apart."""
+    from grainline.llm import text as T
+    from grainline.llm.language import identify
+    symbols = T.mix(np.arange(0x4E00, 0x9F00).astype(np.uint64)) % np.uint64(4093)
+    twins = collections.defaultdict(list)
+    for c, s in zip(range(0x4E00, 0x9F00), symbols.tolist()):
+        twins[s].append(chr(c))
+    pairs = [v[:2] for v in twins.values() if len(v) > 1][:200]
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(240):
+        words = rng.integers(0, len(pairs), (20, 4))
+        rows.append((i, " ".join("".join(pairs[j][i % 2] for j in w) for w in words), "ab"[i % 2]))
+    got = identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).toPandas()
+    held = got[got.held_out]
+    assert len(held) > 40 and (held.lang_pred == held.doc_id.map(lambda i: "ab"[i % 2])).all()
+
+
+def test_language_does_not_depend_on_what_is_broadcast(spark, odd):
+    from grainline.llm.language import identify
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").union(odd.select("doc_id", "text", "lang"))
+    want = identify(docs).orderBy("doc_id", "n_letters").toPandas()
+    for frequent in (0, 3000):
+        got = identify(docs, frequent=frequent).orderBy("doc_id", "n_letters").toPandas()
+        assert (got.lang_pred == want.lang_pred).all() and (got.rejected == want.rejected).all()
+        assert np.allclose(got.cross_entropy, want.cross_entropy) and np.allclose(got.score, want.score)
+
+
+def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch):
+    import pyarrow as pa
+    from grainline.llm import language as L
+    rng = np.random.default_rng(4)
+    texts = [" ".join("".join(rng.choice(list("abcdé漢"), 5)) for _ in range(30)) for _ in range(40)]
+    batches = [pa.record_batch({"lang": pa.array([["x", "y", None][(i + j) % 3] for j in range(4)], pa.string()), "text": texts[i:i + 4]})
+               for i in range(0, 40, 4)]
+
+    def counted():
+        out = collections.Counter()
+        for b in L._count(4)(iter(batches)):
+            for r in b.to_pylist():
+                out[r["lang"], r["gram"], r["h"]] += r["c"]
+        return out
+    want = counted()
+    brute = collections.Counter()
+    for b in batches:
+        for r in b.to_pylist():
+            for w in (f"\1{x}\1" for x in r["text"].split()):
+                brute.update((r["lang"], w[max(0, i - 3):i + 1]) for i in range(1, len(w)))
+    assert collections.Counter({(x, g): n for (x, g, _), n in want.items()}) == brute
+    assert len({g: h for _, g, h in want}) == len({h for *_, h in want})
+    monkeypatch.setattr(L, "HELD", 10)
+    assert counted() == want
 
 
 def test_targets():
