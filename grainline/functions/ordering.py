@@ -129,11 +129,11 @@ def ordered_fill(df: DataFrame, columns: list[str], order_by: list[str],
         carry = carry.select(BUCKET, *[F.col(f"__enter.p{i}").alias(f"__k{i}") for i in range(len(keys))], *names)
     else:
         carry = carry.select(BUCKET, *names)
-    w = Window.partitionBy(BUCKET, *keys).orderBy(AT)
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if forward \
-        else w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    near = F.last if forward else F.first
-    done = data.withColumns({c: near(F.col(c), ignorenulls=True).over(w) for c in dict.fromkeys(fills)})
+    # a backward fill walks its rows from the end: a frame that grows keeps one value, one that shrinks is
+    # read anew for every row
+    w = Window.partitionBy(BUCKET, *keys).orderBy(F.col(AT).asc() if forward else F.col(AT).desc())
+    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    done = data.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in dict.fromkeys(fills)})
     done = join_lookup(done, carry, BUCKET, "left", n)
     entered = F.lit(True)
     for i, k in enumerate(keys):

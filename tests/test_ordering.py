@@ -42,6 +42,15 @@ def test_fill_plan_has_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_backward_fill_reads_each_row_once(spark, keys):
+    """No frame that shrinks row by row (quadratic in a bucket): each frame grows from the first row."""
+    df, _ = _frame(spark)
+    plan = ordered_fill(df, ["v"], ["t", "id"], keys, "backward", n_buckets=5)._jdf.queryExecution() \
+        .optimizedPlan().toString()
+    assert "unboundedpreceding$(), currentrow$()" in plan and "unboundedfollowing" not in plan
+
+
 @pytest.mark.parametrize("keys", [[], ["k"]])
 @pytest.mark.parametrize("direction", ["forward", "backward"])
 def test_fill_scans_summary_in_levels(spark, keys, direction):
