@@ -54,6 +54,7 @@ from .shared import place, written
 
 ORDER = 5
 FREQUENT = 32 << 20             # bytes of n-grams that are broadcast
+PIECE = 1 << 20                 # bytes of text a task takes apart at once; its n-grams take up to a hundred times that
 HELD = 1_000_000                # n-grams a counting task holds before it hands them over
 STEPS = 8                       # classes of n-gram frequency per power of two
 BOUNDARY = 1
@@ -135,7 +136,7 @@ def _count(order: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str | None, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        for batch, arr in T.rows(batches):
+        for batch, arr in T.rows(batches, limit=PIECE):
             enc_lang = batch.column(0).dictionary_encode(null_encoding="encode")
             names = enc_lang.dictionary.to_pylist()
             flat, bounds = T.split_words(arr)
@@ -255,7 +256,7 @@ def _score(known_b, width: int, order: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values = known_b.value
-        for batch, arr in T.rows(batches):
+        for batch, arr in T.rows(batches, limit=PIECE):
             size = len(arr)
             n, total = np.zeros(size, np.int64), np.zeros((size, width))
             doc, rest, times = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)

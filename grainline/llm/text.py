@@ -208,12 +208,16 @@ def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def rows(batch_iter: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Sub-batches of bounded bytes with their text column made plain."""
+def rows(batch_iter: Iterator[pa.RecordBatch], text: str = "text",
+         limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Sub-batches of ``limit`` bytes of text or so, with their text column made plain.
+
+    Arrow keeps what it has freed; a worker outlives its task, so that goes back when the rows end."""
     for batch in batch_iter:
         arr = plain(batch.column(batch.schema.get_field_index(text)))
-        for a, b in chunks(arr):
+        for a, b in chunks(arr, limit):
             yield batch.slice(a, b - a), arr.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def distinct_per_text(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
